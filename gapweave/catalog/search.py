@@ -123,7 +123,7 @@ def scores(spark, sf):
 
 def embedded(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "text")
-    vectors_ = embed_texts(documents, "text", HashedTokenEncoder, batch_size=64)
+    vectors_ = embed_texts(documents, "text", HashedTokenEncoder, 64, partitions=spark.sparkContext.defaultParallelism)
     long = vectors_.select("doc_id", F.posexplode("vector").alias("pos", "x")).where("x <> 0")
     return long.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("x").cast("double").alias("x"))
 

@@ -44,10 +44,15 @@ def normalize_text(c: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(c, _BLANKS, " ")), F.lit(""))
 
 
+def is_blank(c: Column) -> Column:
+    """Null, or nothing but blanks; decided at the first other character."""
+    return ~F.coalesce(c.rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(False))
+
+
 def combine_fields(labelled: dict[str, Column]) -> Column:
     """`Label: value` parts joined by ` | `, without null, blank or literal `nan` values."""
     parts = [
-        F.when((normalize_text(c) != "") & (c != "nan"), F.concat(F.lit(f"{label}: "), c))
+        F.when(~is_blank(c) & (c != "nan"), F.concat(F.lit(f"{label}: "), c))
         for label, c in labelled.items()
     ]
     return F.concat_ws(" | ", *parts)

@@ -50,12 +50,16 @@ def embed_texts(
     encoder: Callable[[], Encoder],
     batch_size: int = 16,
     vector: str = "vector",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Append a unit-length float vector of the column `text`.
 
     `encoder` is called once per task, where a model is then loaded; texts reach it in batches of
-    `batch_size`. An empty or null text gets the zero vector.
+    `batch_size`. An empty or null text gets the zero vector. With `partitions` the rows are first
+    spread over that many tasks, for an input of few files.
     """
+    if partitions:
+        df = df.repartition(partitions)
     schema = T.StructType(
         [*df.schema.fields, T.StructField(vector, T.ArrayType(T.FloatType(), False))]
     )

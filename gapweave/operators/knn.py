@@ -76,7 +76,8 @@ def nearest(
     """Similarity join by index type; an unknown type is reported and searched exactly."""
     kind = index_type.lower()
     scorer = scorer or DenseScorer()
-    target, master = _comparable(target, scorer), _comparable(master, scorer)
+    if kind in ("cells", "ivfflat", "hnsw"):
+        target, master = scorer.ready(target), scorer.ready(master)
     if kind == "ivfflat":
         return ivf_knn(target, master, centroids, k, threshold, nprobe, limits)
     if kind == "cells":
@@ -89,29 +90,24 @@ def nearest(
 
 
 def exact_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> DataFrame:
-    """Exact search: broadcast if the masters are measured to be small, blocks otherwise."""
-    m_rows, m_bytes = _measure(master, scorer)
-    t_rows, t_bytes = _measure(target, scorer)
-    if m_rows <= limits.broadcast_rows and m_bytes <= limits.broadcast_bytes:
-        return broadcast_knn(target, master, k, threshold, scorer, t_rows, t_bytes, limits)
-    slots = _spread(target, t_rows)
-    return block_knn(
-        target,
-        master,
-        k,
-        threshold,
-        scorer,
-        max(slots, _block_count(t_rows, t_bytes, limits)),
-        _block_count(m_rows, m_bytes, limits),
-    )
+    """Exact search: broadcast if the masters are measured to be small, blocks otherwise.
+
+    Rows are counted without the compared column; its bytes are summed only where they matter.
+    """
+    m_rows, t_rows = master.count(), target.count()
+    master = scorer.ready(_spread_small(master, m_rows, limits))
+    if m_rows <= limits.broadcast_rows and _bytes(master, scorer) <= limits.broadcast_bytes:
+        return broadcast_knn(target, master, k, threshold, scorer, t_rows, limits)
+    t_blocks = max(_spread(target, t_rows), _block_count(t_rows, _bytes(target, scorer), limits))
+    m_blocks = _block_count(m_rows, _bytes(master, scorer), limits)
+    return block_knn(scorer.ready(target), master, k, threshold, scorer, t_blocks, m_blocks)
 
 
-def broadcast_knn(target, master, k, threshold, scorer, t_rows, t_bytes, limits) -> DataFrame:
+def broadcast_knn(target, master, k, threshold, scorer, t_rows, limits) -> DataFrame:
     spark = target.sparkSession
-    target = target.select(TARGET_KEY, scorer.column)
-    # A few targets in one file would keep one core busy; a large table is left where it is.
-    if t_bytes < spark.sparkContext.defaultParallelism * limits.block_bytes:
-        target = target.repartition(_spread(target, t_rows))
+    target = scorer.ready(
+        _spread_small(target.select(TARGET_KEY, scorer.column), t_rows, limits)
+    )
     masters = spark.sparkContext.broadcast(master.select(MASTER_KEY, scorer.column).toArrow())
     token = uuid.uuid4().hex
 
@@ -346,12 +342,6 @@ def _match_schema(target: DataFrame, master: DataFrame) -> T.StructType:
     )
 
 
-def _comparable(df: DataFrame, scorer) -> DataFrame:
-    """Rows that can match at all: an empty text or missing vector resembles nothing."""
-    filled = F.col("text") != "" if scorer.column == "text" else F.size("vector") > 0
-    return df.where(filled)
-
-
 def _spread(df: DataFrame, rows: int) -> int:
     """Tasks worth starting for `rows` targets."""
     return max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / 64)))
@@ -361,11 +351,17 @@ def _block_of(key: str, blocks) -> F.Column:
     return F.pmod(F.xxhash64(key), blocks).cast("int")
 
 
-def _measure(df: DataFrame, scorer) -> tuple[int, int]:
-    """Rows and bytes of one side, by one aggregate over the compared column."""
+def _spread_small(df: DataFrame, rows: int, limits: BlockLimits) -> DataFrame:
+    """A few rows in one file would keep one core busy; a large table is left where it was read."""
+    if rows < df.sparkSession.sparkContext.defaultParallelism * limits.block_rows:
+        return df.repartition(_spread(df, rows))
+    return df
+
+
+def _bytes(df: DataFrame, scorer) -> int:
+    """Bytes of the compared column."""
     size = F.octet_length(scorer.column) if scorer.column == "text" else F.size(scorer.column) * 8
-    row = df.agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).first()
-    return row["rows"], row["bytes"] or 0
+    return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
 
 
 def _block_count(rows: int, size: int, limits: BlockLimits) -> int:

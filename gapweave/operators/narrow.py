@@ -95,13 +95,23 @@ def dictionary(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def dictionary_encode(df: DataFrame, columns: Sequence[str], spread: str) -> DataFrame:
-    """Add `<column>_code` for each column; null has no code."""
+def dictionary_encode(
+    df: DataFrame, columns: Sequence[str], spread: str, broadcast_bytes: int = 32 * 2**20
+) -> DataFrame:
+    """Add `<column>_code` for each column; null has no code.
+
+    A dictionary measured to be small is broadcast, so that the table itself is not shuffled. A larger
+    one is joined by value, with frequent values salted by a hash of `spread`.
+    """
     for column in columns:
         codes = dictionary(df, column).select(
             F.col("value").alias(column), F.col("code").alias(f"{column}_code")
         )
-        df = skew_safe_lookup(df, codes, column, spread)
+        size = codes.agg(F.sum(F.octet_length(column) + 16).alias("bytes")).first()["bytes"] or 0
+        if size <= broadcast_bytes:
+            df = df.join(F.broadcast(codes), column, "left")
+        else:
+            df = skew_safe_lookup(df, codes, column, spread)
     return df
 
 
@@ -111,25 +121,28 @@ class Narrowed:
     categories: tuple[str, ...]
 
 
-def narrow_schema(
-    df: DataFrame,
-    date_columns: Sequence[str],
-    date_formats: Sequence[str],
-    first: float = 0.5,
-    second: float = 0.3,
-) -> Narrowed:
-    """Numbers narrowed, dates parsed, low-cardinality text columns named as categories.
+def narrow_types(df: DataFrame, date_columns: Sequence[str], date_formats: Sequence[str]) -> DataFrame:
+    """Numbers narrowed and dates parsed."""
+    return parse_date_columns(narrow_numbers(df), date_columns, date_formats)
 
-    Category columns stay text: columnar files dictionary-encode them anyway. A date column counts
-    for the first threshold like any text; the others pass if below either one.
-    """
-    narrowed = parse_date_columns(narrow_numbers(df), date_columns, date_formats)
-    texts = [n for n, k in narrowed.dtypes if k == "string"]
+
+def category_columns(df: DataFrame, first: float = 0.5, second: float = 0.3) -> tuple[str, ...]:
+    """Text columns with few enough distinct values per row for either threshold."""
+    texts = [n for n, k in df.dtypes if k == "string"]
     if not texts:
-        return Narrowed(narrowed, ())
-    flags = cardinality_ratio(narrowed, texts, first, second)
+        return ()
+    flags = cardinality_ratio(df, texts, first, second)
     low = flags.where("category_first_pass or category_second_pass").select("column").collect()
-    return Narrowed(narrowed, tuple(sorted(r["column"] for r in low)))
+    return tuple(sorted(r["column"] for r in low))
+
+
+def narrow_schema(df: DataFrame, date_columns: Sequence[str], date_formats: Sequence[str]) -> Narrowed:
+    """Narrowed table with its category columns named.
+
+    Category columns stay text: columnar files dictionary-encode them anyway.
+    """
+    narrowed = narrow_types(df, date_columns, date_formats)
+    return Narrowed(narrowed, category_columns(narrowed))
 
 
 def narrowed_footprint(narrowed: Narrowed) -> DataFrame:

@@ -84,9 +84,11 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """
     columns = list(columns or df.columns)
     cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), _text_value(df, c).alias("value")) for c in columns]
+        *[F.struct(F.lit(i).alias("at"), _text_value(df, c).alias("value")) for i, c in enumerate(columns)]
     )
-    return df.select(F.inline(cells)).groupBy("column", "value").agg(F.count("*").alias("n"))
+    counts = df.select(F.inline(cells)).groupBy("at", "value").agg(F.count("*").alias("n"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return counts.select(names[F.col("at")].alias("column"), "value", "n")
 
 
 def column_info(df: DataFrame, approximate: bool = False) -> DataFrame:

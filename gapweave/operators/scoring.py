@@ -11,6 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gapweave.functions.text import is_blank, normalize_text
 
 TARGET_KEY = "target_key"
 MASTER_KEY = "master_key"
@@ -20,6 +24,7 @@ DECIMALS = 6
 
 # Bound of the score matrices held at a time, in cells.
 _CELLS = 4_000_000
+_DENSE_CELLS = 16_000_000
 
 
 def vector_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -34,6 +39,10 @@ class DenseScorer:
 
     column = "vector"
 
+    def ready(self, df: DataFrame) -> DataFrame:
+        """Rows that can match at all, in the form that is compared."""
+        return df.where(F.size("vector") > 0)
+
     def index(self, masters: pa.Table) -> "_DenseIndex":
         return _DenseIndex(vector_matrix(masters[self.column]))
 
@@ -57,10 +66,15 @@ class _DenseIndex:
 
 
 class LexicalScorer:
-    """Cosine of token counts; texts are lower-cased and blank-separated beforehand."""
+    """Cosine of the counts of lower-cased, blank-separated tokens; an empty text matches nothing."""
 
     column = "text"
 
+    def ready(self, df: DataFrame) -> DataFrame:
+        # The filter looks at the raw text, so that texts are not normalised twice.
+        filled = df.where(~is_blank(F.col("text")))
+        return filled.withColumn("text", F.lower(normalize_text(F.col("text"))))
+
     def index(self, masters: pa.Table) -> "_LexicalIndex":
         return _LexicalIndex(masters[self.column])
 
@@ -103,6 +117,23 @@ class _LexicalIndex:
         self.rows, self.weights = row[order], weight[order]
         self.bounds = np.searchsorted(token[order], np.arange(len(self.vocabulary) + 1))
         self.first_row = np.unique(self.text_of_row, return_index=True)[1]
+        self._densify_frequent()
+
+    def _densify_frequent(self):
+        """Tokens of more than a twentieth of the texts as a dense matrix, for a matrix product.
+
+        They make up most of the postings; the others stay in the inverted lists.
+        """
+        frequency = np.diff(self.bounds)
+        room = _DENSE_CELLS // max(1, self.texts)
+        frequent = np.flatnonzero(frequency > self.texts / 20)
+        frequent = frequent[np.argsort(-frequency[frequent], kind="stable")][:room]
+        self.place = np.full(len(self.vocabulary) + 1, -1)
+        self.place[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.texts))
+        for at, token in enumerate(frequent):
+            postings = slice(self.bounds[token], self.bounds[token + 1])
+            self.dense[at, self.rows[postings]] = self.weights[postings]
 
     def scores(self, targets: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         texts, text_of_row = _distinct(targets[LexicalScorer.column])
@@ -110,16 +141,20 @@ class _LexicalIndex:
         known = pc.index_in(vocabulary, value_set=self.vocabulary).fill_null(-1).to_numpy()[token]
         shared = known >= 0
         row, known, weight = row[shared], known[shared], weight[shared]
-        lengths = self.bounds[known + 1] - self.bounds[known]
+        place = self.place[known]
+        lengths = np.where(place >= 0, 0, self.bounds[known + 1] - self.bounds[known])
         text_bounds = np.searchsorted(row, np.arange(len(texts) + 1))
         rows_by_text = np.argsort(text_of_row, kind="stable")
         row_bounds = np.searchsorted(text_of_row[rows_by_text], np.arange(len(texts) + 1))
         height = max(1, _CELLS // max(1, self.texts))
         for top in range(0, len(texts), height):
             end = min(top + height, len(texts))
-            found = np.zeros((end - top) * self.texts)
-            # Postings of the whole batch at once, cut where they would outgrow the score matrix.
             lo, hi = text_bounds[top], text_bounds[end]
+            frequent = lo + np.flatnonzero(place[lo:hi] >= 0)
+            query = np.zeros((end - top, len(self.dense)))
+            query[row[frequent] - top, place[frequent]] = weight[frequent]
+            found = (query @ self.dense).ravel()
+            # Postings of the whole batch at once, cut where they would outgrow the score matrix.
             for a, b in _pieces(lengths[lo:hi], _CELLS):
                 a, b = lo + a, lo + b
                 at = _slices(self.bounds[known[a:b]], lengths[a:b])

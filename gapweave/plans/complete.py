@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapweave.config import COLUMN_ALIASES, FIELD_LABELS, CompletionConfig
-from gapweave.functions.text import combine_fields, normalize_text, quoted
+from gapweave.functions.text import combine_fields, quoted
 from gapweave.operators.columns import add_missing_columns, order_output_columns, resolve_aliases
 from gapweave.operators.encode import Encoder, embed_texts
 from gapweave.operators.knn import cell_count, nearest, random_hyperplanes, train_centroids
@@ -26,8 +26,8 @@ from gapweave.storage import materialize
 
 
 def record_text(fields: Sequence[str], labels: dict[str, str] = FIELD_LABELS):
-    """The text that stands for a record, blanks normalised."""
-    return normalize_text(combine_fields({labels.get(f, f): quoted(f) for f in fields}))
+    """The text that stands for a record."""
+    return combine_fields({labels.get(f, f): quoted(f) for f in fields})
 
 
 def _as_text(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -54,9 +54,8 @@ def find_matches(
     if encoder is None and config.index_type.lower() in ("cells", "ivfflat", "hnsw"):
         raise ValueError(f"Index type {config.index_type} works on vectors; give an encoder")
     if encoder is None:
-        lowered = [df.withColumn("text", F.lower("text")) for df in (target, master)]
         return nearest(
-            *lowered, config.top_k, config.threshold, config.index_type, scorer=LexicalScorer()
+            target, master, config.top_k, config.threshold, config.index_type, scorer=LexicalScorer()
         )
     t, m = (
         materialize(embed_texts(df.where("text <> ''"), "text", encoder, config.batch_size).drop("text"), label)

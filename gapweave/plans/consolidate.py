@@ -15,7 +15,7 @@ from gapweave.operators.combine import (
     rename_columns,
     union_by_name,
 )
-from gapweave.operators.narrow import narrow_schema
+from gapweave.operators.narrow import category_columns, narrow_types
 from gapweave.operators.profile import footprint_summary
 from gapweave.operators.report import processing_report
 from gapweave.operators.validate import validate_null_ratio
@@ -47,7 +47,7 @@ def consolidate(dfs: Sequence[DataFrame], config: ConsolidationConfig = Consolid
     combined = combine(dfs, config)
     if not config.narrow_types:
         return combined
-    return narrow_schema(combined, config.date_columns, config.date_formats).df
+    return narrow_types(combined, config.date_columns, config.date_formats)
 
 
 def run_consolidation(
@@ -75,6 +75,7 @@ def run_consolidation(
         processing_report(written, combination_stats([raw], written), footprint_summary(written))
     )
     report["null_ratio"] = {r["column"]: r["severity"] for r in validate_null_ratio(written).collect()}
+    report["category_columns"] = list(category_columns(written))
     report["missing_columns"] = missing_required(raw.columns, config.required_columns)
     report["skipped_sources"] = list(load.skipped)
     report["sources"] = {r["source"]: {"rows": r["rows"], "columns": r["columns"]} for r in checks}
