@@ -95,12 +95,15 @@ def exact_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> Dat
     Rows are counted without the compared column; its bytes are summed only where they matter.
     """
     m_rows, t_rows = master.count(), target.count()
-    master = scorer.ready(_spread_small(master, m_rows, limits))
-    if m_rows <= limits.broadcast_rows and _bytes(master, scorer) <= limits.broadcast_bytes:
-        return broadcast_knn(target, master, k, threshold, scorer, t_rows, limits)
-    t_blocks = max(_spread(target, t_rows), _block_count(t_rows, _bytes(target, scorer), limits))
+    if m_rows <= limits.broadcast_rows:
+        spread = scorer.ready(_spread_small(master, m_rows, limits))
+        if _bytes(spread, scorer) <= limits.broadcast_bytes:
+            return broadcast_knn(target, spread, k, threshold, scorer, t_rows, limits)
+    t_blocks = max(_spread(target, t_rows, 4), _block_count(t_rows, _bytes(target, scorer), limits))
     m_blocks = _block_count(m_rows, _bytes(master, scorer), limits)
-    return block_knn(scorer.ready(target), master, k, threshold, scorer, t_blocks, m_blocks)
+    return block_knn(
+        scorer.ready(target), scorer.ready(master), k, threshold, scorer, t_blocks, m_blocks
+    )
 
 
 def broadcast_knn(target, master, k, threshold, scorer, t_rows, limits) -> DataFrame:
@@ -157,7 +160,7 @@ def cell_knn(target, master, centroids, k, threshold, limits=BlockLimits()) -> D
         angles = np.arccos(np.clip(vectors @ matrix.T, -1.0, 1.0))
         return np.nonzero(angles - radii <= reach + 1e-6)
 
-    return _routed(_route(target, TARGET_KEY, visited), placed, k, threshold, limits)
+    return _routed(_route(target, TARGET_KEY, visited), placed, k, threshold, limits, matrix.shape[1])
 
 
 def ivf_knn(target, master, centroids, k, threshold, nprobe, limits=BlockLimits()) -> DataFrame:
@@ -169,9 +172,8 @@ def ivf_knn(target, master, centroids, k, threshold, nprobe, limits=BlockLimits(
         closest = np.argsort(-np.round(vectors @ matrix.T, 9), axis=1, kind="stable")[:, :probes]
         return np.repeat(np.arange(len(vectors)), probes), closest.ravel()
 
-    return _routed(
-        _route(target, TARGET_KEY, visited), assign_cells(master, matrix), k, threshold, limits
-    )
+    placed = assign_cells(master, matrix)
+    return _routed(_route(target, TARGET_KEY, visited), placed, k, threshold, limits, matrix.shape[1])
 
 
 def random_hyperplanes(dimension: int, tables: int = 6, bits: int = 4, seed: int = 7) -> np.ndarray:
@@ -198,6 +200,7 @@ def hash_knn(target, master, hyperplanes: np.ndarray, k, threshold, limits=Block
         k,
         threshold,
         limits,
+        dimension,
         repeated=True,
     )
 
@@ -273,15 +276,18 @@ def _route(df: DataFrame, key: str, visited, closeness=None) -> DataFrame:
     return df.select(key, "vector").mapInArrow(route, T.StructType(fields))
 
 
-def _routed(targets, masters, k, threshold, limits, repeated=False) -> DataFrame:
-    """Equi-join on the cell, cells cut into blocks of at most `block_rows` on both sides.
+def _routed(targets, masters, k, threshold, limits, dimension, repeated=False) -> DataFrame:
+    """Equi-join on the cell, cells cut into blocks of bounded size on both sides.
 
-    Sizes per cell come from an aggregate with one row per cell, at most MAX_CELLS.
+    Sizes per cell are measured first: one row per cell, at most MAX_CELLS. Cells that only one
+    side visits are left out by the join with them.
     """
-    rows = limits.block_rows
-    m_sizes = masters.groupBy("cell").agg(F.ceil(F.count("*") / rows).cast("int").alias("m_blocks"))
-    t_sizes = targets.groupBy("cell").agg(F.ceil(F.count("*") / rows).cast("int").alias("t_blocks"))
-    sizes = F.broadcast(m_sizes.join(t_sizes, "cell"))
+    rows = max(1, min(limits.block_rows, limits.block_bytes // (8 * dimension)))
+    blocks = F.ceil(F.count("*") / rows).cast("int")
+    m_sizes = masters.groupBy("cell").agg(blocks.alias("m_blocks"))
+    t_sizes = targets.groupBy("cell").agg(blocks.alias("t_blocks"))
+    measured = m_sizes.join(t_sizes, "cell").select("cell", "m_blocks", "t_blocks")
+    sizes = F.broadcast(masters.sparkSession.createDataFrame(measured.collect(), measured.schema))
     t = targets.join(sizes, "cell").select(
         TARGET_KEY,
         "vector",
@@ -342,9 +348,10 @@ def _match_schema(target: DataFrame, master: DataFrame) -> T.StructType:
     )
 
 
-def _spread(df: DataFrame, rows: int) -> int:
-    """Tasks worth starting for `rows` targets."""
-    return max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / 64)))
+def _spread(df: DataFrame, rows: int, per_slot: int = 1) -> int:
+    """Tasks worth starting for `rows` rows, up to `per_slot` for each core."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(per_slot * slots, math.ceil(rows / 64)))
 
 
 def _block_of(key: str, blocks) -> F.Column:

@@ -22,7 +22,8 @@ SCORE = "score"
 RANK = "rank"
 DECIMALS = 6
 
-# Bound of the score matrices held at a time, in cells.
+# Bytes of targets compared at a time, and the bound of the matrices held for that, in cells.
+_SLICE_BYTES = 16 * 2**20
 _CELLS = 4_000_000
 _DENSE_CELLS = 16_000_000
 
@@ -231,6 +232,14 @@ def prepare_once(token: str, broadcast, scorer):
 
 def match_block(targets: pa.Table, prepared, k: int, threshold: float) -> pa.Table:
     """(target_key, master_key, score, rank) of the k best masters of each target in the block."""
+    step = max(1, int(len(targets) * min(1.0, _SLICE_BYTES / max(1, targets.nbytes))))
+    if step < len(targets):
+        parts = [targets.slice(i, step) for i in range(0, len(targets), step)]
+        return pa.concat_tables([_match_slice(part, prepared, k, threshold) for part in parts])
+    return _match_slice(targets, prepared, k, threshold)
+
+
+def _match_slice(targets: pa.Table, prepared, k: int, threshold: float) -> pa.Table:
     keys, index = prepared
     none = np.zeros(0, np.int64)
     rows, columns, scores = [none], [none], [np.zeros(0)]

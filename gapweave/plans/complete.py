@@ -11,7 +11,7 @@ from gapweave.config import COLUMN_ALIASES, FIELD_LABELS, CompletionConfig
 from gapweave.functions.text import combine_fields, quoted
 from gapweave.operators.columns import add_missing_columns, order_output_columns, resolve_aliases
 from gapweave.operators.encode import Encoder, embed_texts
-from gapweave.operators.knn import cell_count, nearest, random_hyperplanes, train_centroids
+from gapweave.operators.knn import BlockLimits, cell_count, nearest, random_hyperplanes, train_centroids
 from gapweave.operators.match import best_matches, fill, lookup_matches
 from gapweave.operators.report import completion_report
 from gapweave.operators.scoring import MASTER_KEY, TARGET_KEY, LexicalScorer
@@ -45,6 +45,7 @@ def find_matches(
     target: DataFrame,
     config: CompletionConfig = CompletionConfig(),
     encoder: Callable[[], Encoder] | None = None,
+    limits: BlockLimits = BlockLimits(),
 ) -> DataFrame:
     """Neighbours of each (target_key, text) among the (master_key, text) rows.
 
@@ -55,13 +56,19 @@ def find_matches(
         raise ValueError(f"Index type {config.index_type} works on vectors; give an encoder")
     if encoder is None:
         return nearest(
-            target, master, config.top_k, config.threshold, config.index_type, scorer=LexicalScorer()
+            target,
+            master,
+            config.top_k,
+            config.threshold,
+            config.index_type,
+            scorer=LexicalScorer(),
+            limits=limits,
         )
     t, m = (
         materialize(embed_texts(df.where("text <> ''"), "text", encoder, config.batch_size).drop("text"), label)
         for df, label in ((target, "target-vectors"), (master, "master-vectors"))
     )
-    extra: dict = {"nprobe": config.nprobe}
+    extra: dict = {"nprobe": config.nprobe, "limits": limits}
     kind = config.index_type.lower()
     if kind in ("cells", "ivfflat"):
         rows = m.count()
@@ -81,6 +88,7 @@ def complete(
     encoder: Callable[[], Encoder] | None = None,
     aliases: dict[str, Sequence[str]] = COLUMN_ALIASES,
     labels: dict[str, str] = FIELD_LABELS,
+    limits: BlockLimits = BlockLimits(),
 ) -> DataFrame:
     """The target table with its null fields filled where a master record is similar enough.
 
@@ -102,6 +110,7 @@ def complete(
         incomplete.select(quoted(t_key).alias(TARGET_KEY), record_text(fields, labels).alias("text")),
         config,
         encoder,
+        limits,
     )
     # The search is the costly step; its result is three narrow columns, kept for the joins.
     best = materialize(best_matches(neighbours), "matches")
