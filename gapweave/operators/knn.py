@@ -29,10 +29,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gapweave.operators.encode import mean_pool
 from gapweave.operators.scoring import (
     MASTER_KEY,
     RANK,
@@ -44,6 +47,7 @@ from gapweave.operators.scoring import (
     prepare_once,
     vector_matrix,
 )
+from gapweave.storage import materialize
 
 log = logging.getLogger(__name__)
 
@@ -211,15 +215,19 @@ def cell_count(rows: int, nlist: int = 100) -> int:
 
 
 def train_centroids(master: DataFrame, rows: int, nlist: int = 100, seed: int = 7) -> DataFrame:
-    """(cell, centroid) by k-means on at most 256 vectors per cell; search itself uses all rows."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+    """(cell, centroid) by k-means on about 256 vectors per cell; search itself uses all rows.
 
+    The training vectors are stored, since every iteration reads them again.
+    """
     cells = cell_count(rows, nlist)
     share = min(1.0, 256.0 * cells / max(1, rows))
-    points = master.select(array_to_vector("vector").alias("features"))
+    drawn = master.select("vector").where(F.exists("vector", lambda x: x != 0))
+    if cells == 1:
+        mean = mean_pool(drawn.withColumn("cell", F.lit(0)), "cell", "vector")
+        return mean.withColumnRenamed("vector", "centroid")
     if share < 1.0:
-        points = points.sample(share, seed)
+        drawn = drawn.sample(share, seed)
+    points = materialize(drawn, "training").select(array_to_vector("vector").alias("features"))
     model = KMeans(k=cells, seed=seed, distanceMeasure="cosine").fit(points)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return master.sparkSession.createDataFrame(centers, "cell int, centroid array<double>")

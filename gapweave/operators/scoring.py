@@ -163,7 +163,6 @@ class _LexicalIndex:
                 product = np.repeat(weight[a:b], lengths[a:b]) * self.weights[at]
                 found += np.bincount(cell, weights=product, minlength=len(found))
             found = np.round(found.reshape(end - top, self.texts), DECIMALS)
-            found[text_bounds[top:end] == text_bounds[top + 1 : end + 1]] = -np.inf
             yield from self._per_row(found, top, end, rows_by_text, row_bounds, k)
 
     def _per_row(self, found, top, end, rows_by_text, row_bounds, k):

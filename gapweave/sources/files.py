@@ -112,16 +112,16 @@ def load_files(spark: SparkSession, paths: Sequence[str], fmt: str, multi_line:
 def _scan(reader, paths, fmt, names, schema_json) -> DataFrame:
     schema = T.StructType.fromJson(json.loads(schema_json))
     reader = reader.option("ignoreCorruptFiles", "true").option("mode", "PERMISSIVE")
-    good = None
+    kept = None
     if fmt != "parquet":
-        # Text formats report rows that do not fit the layout in an extra column.
+        # A row that does not fit the layout is flagged; it is left out if nothing of it could be read.
         fields = [f for f in schema.fields if f.name != CORRUPT]
         schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        good = F.col(CORRUPT).isNull()
+        kept = F.col(CORRUPT).isNull() | F.coalesce(*[quoted(c) for c in names]).isNotNull()
     df = reader.schema(schema).load(list(paths))
-    if good is not None:
-        df = df.where(good)
+    if kept is not None:
+        df = df.where(kept)
     columns = [quoted(c).cast("string").alias(c) for c in names]
     return df.select(*columns, _source_column().alias(SOURCE))
 
