@@ -20,7 +20,7 @@ from gapweave.operators.encode import HashedTokenEncoder, embed_texts, lexical_v
 from gapweave.operators.knn import BlockLimits, assign_cells, centroid_matrix, nearest, random_hyperplanes
 from gapweave.operators.match import best_matches, fill, lookup_matches, match_records
 from gapweave.operators.report import completion_report, completion_stats, score_stats
-from gapweave.operators.scoring import MASTER_KEY, TARGET_KEY
+from gapweave.operators.scoring import MASTER_KEY, TARGET_KEY, LexicalScorer
 from gapweave.operators.validate import rows_needing_fill, vector_checks, vector_stats
 from gapweave.plans.complete import complete, find_matches, record_text
 from gapweave.storage import materialize
@@ -49,6 +49,15 @@ def knn_exact_cells(spark, sf):
     return _neighbours(found)
 
 
+def knn_prefix(spark, sf):
+    master, target = record_sides(spark, sf)
+    text = record_text(FIELDS).alias("text")
+    incomplete = rows_needing_fill(target).select(F.col("doc_id").alias(TARGET_KEY), text)
+    known = master.select(F.col("doc_id").alias(MASTER_KEY), text)
+    found = nearest(incomplete, known, k=3, threshold=0.9, index_type="prefix", scorer=LexicalScorer())
+    return _neighbours(found)
+
+
 def knn_ivf(spark, sf):
     found = nearest(
         *vector_sides(spark, sf),
@@ -153,6 +162,7 @@ QUERIES = {
     "knn_topk": knn_topk,
     "knn_exact": knn_exact,
     "knn_exact_cells": knn_exact_cells,
+    "knn_prefix": knn_prefix,
     "knn_ivf": knn_ivf,
     "knn_lsh": knn_lsh,
     "match_lookup": match_lookup,
@@ -176,10 +186,10 @@ pairs AS (
 """
 
 
-def _top(source: str, k: int) -> str:
+def _top(source: str, k: int, threshold: float = _THRESHOLD) -> str:
     return (
         f"SELECT target_key, master_key, score, row_number() OVER (PARTITION BY target_key "
-        f"ORDER BY score DESC, master_key) AS rank FROM {source} WHERE score >= {_THRESHOLD} QUALIFY rank <= {k}"
+        f"ORDER BY score DESC, master_key) AS rank FROM {source} WHERE score >= {threshold} QUALIFY rank <= {k}"
     )
 
 
@@ -219,6 +229,7 @@ ORACLE = {
     "knn_topk": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 5)}",
     "knn_exact": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 3)}",
     "knn_exact_cells": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 3)}",
+    "knn_prefix": f"WITH {MATCHES_SQL} {_top('scores', 3, 0.9)}",
     "knn_ivf": f"""
         WITH {VECTORS_SQL}, {_PLACED}, probes AS (
           SELECT * FROM closeness QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cell) <= 3),

@@ -12,6 +12,8 @@ Routes:
 
 * broadcast: the masters fit the checked limit; targets stay in the partitions they were read in.
 * blocks:    both sides are cut by key hash, every target block meets every master block. Exact.
+* prefix:    texts meet in the buckets of their rarest tokens. Exact for the threshold, and far below all
+             pairs for short texts.
 * cells:     masters lie in cells around centroids; a target visits the cells that can hold a match by
              the angle bound. Exact, and skips cells when the threshold is high.
 * ivfflat:   like cells, but a target visits its `nprobe` nearest cells. May miss matches.
@@ -43,6 +45,7 @@ from gapweave.operators.scoring import (
     TARGET_KEY,
     DenseScorer,
     match_block,
+    prefix_buckets,
     prepare,
     prepare_once,
     vector_matrix,
@@ -54,15 +57,26 @@ log = logging.getLogger(__name__)
 # Most cells a routing table may have; centroids and cell sizes below it are safe to broadcast.
 MAX_CELLS = 65_536
 
+# Below this cosine nearly all tokens of a text would be prefix; at 0 even texts without a common
+# token would match.
+_LEAST_PREFIX_THRESHOLD = 0.1
+
+# How often prefix search may copy the average text before blocks are the lighter way.
+_MOST_PREFIX_COPIES = 16
+
+# Frequent tokens that get a place of their own in the token order.
+_FREQUENT_TOKENS = 200_000
+
 
 @dataclass(frozen=True)
 class BlockLimits:
     """How much of each side one task compares, and up to where masters are broadcast."""
 
-    block_rows: int = 50_000
+    block_rows: int = 250_000
     block_bytes: int = 64 * 2**20
     broadcast_bytes: int = 64 * 2**20
     broadcast_rows: int = 500_000
+    bucket_rows: int = 10_000
 
 
 def nearest(
@@ -80,7 +94,7 @@ def nearest(
     """Similarity join by index type; an unknown type is reported and searched exactly."""
     kind = index_type.lower()
     scorer = scorer or DenseScorer()
-    if kind in ("cells", "ivfflat", "hnsw"):
+    if kind in ("cells", "ivfflat", "hnsw", "prefix"):
         target, master = scorer.ready(target), scorer.ready(master)
     if kind == "ivfflat":
         return ivf_knn(target, master, centroids, k, threshold, nprobe, limits)
@@ -88,13 +102,16 @@ def nearest(
         return cell_knn(target, master, centroids, k, threshold, limits)
     if kind == "hnsw":
         return hash_knn(target, master, hyperplanes, k, threshold, limits)
+    if kind == "prefix":
+        return prefix_knn(target, master, k, threshold, scorer, limits)
     if kind != "flat":
         log.warning("Unknown index type %s, searching exactly", index_type)
     return exact_knn(target, master, k, threshold, scorer, limits)
 
 
 def exact_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> DataFrame:
-    """Exact search: broadcast if the masters are measured to be small, blocks otherwise.
+    """Exact search: broadcast if the masters are measured to be small. Texts are then compared by
+    prefix if that compares fewer pairs, everything else in blocks.
 
     Rows are counted without the compared column; its bytes are summed only where they matter.
     """
@@ -103,11 +120,18 @@ def exact_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> Dat
         spread = scorer.ready(_spread_small(master, m_rows, limits))
         if _bytes(spread, scorer) <= limits.broadcast_bytes:
             return broadcast_knn(target, spread, k, threshold, scorer, t_rows, limits)
-    t_blocks = max(_spread(target, t_rows, 4), _block_count(t_rows, _bytes(target, scorer), limits))
-    m_blocks = _block_count(m_rows, _bytes(master, scorer), limits)
-    return block_knn(
-        scorer.ready(target), scorer.ready(master), k, threshold, scorer, t_blocks, m_blocks
-    )
+    target, master = scorer.ready(target), scorer.ready(master)
+    t_bytes, m_bytes = _bytes(target, scorer), _bytes(master, scorer)
+    if scorer.column == "text" and threshold >= _LEAST_PREFIX_THRESHOLD:
+        routes = _prefix_routes(target, master, threshold, t_rows + m_rows, limits)
+        sizes = _cell_sizes(*routes, scorer)
+        pairs = sum(r["t_rows"] * r["m_rows"] for r in sizes)
+        moved = sum(r["t_bytes"] + r["m_bytes"] for r in sizes)
+        if pairs < t_rows * m_rows and moved <= _MOST_PREFIX_COPIES * (t_bytes + m_bytes):
+            return _routed(*routes, sizes, k, threshold, scorer, limits, repeated=True)
+    t_blocks = max(_spread(target, t_rows, 4), _block_count(t_rows, t_bytes, limits))
+    m_blocks = _block_count(m_rows, m_bytes, limits)
+    return block_knn(target, master, k, threshold, scorer, t_blocks, m_blocks)
 
 
 def broadcast_knn(target, master, k, threshold, scorer, t_rows, limits) -> DataFrame:
@@ -146,6 +170,31 @@ def block_knn(target, master, k, threshold, scorer, t_blocks: int, m_blocks: int
     return _rank(found, k)
 
 
+def prefix_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> DataFrame:
+    """Exact search by the rarest tokens of the texts; a hot bucket is split like a hot cell."""
+    if scorer.column != "text" or threshold < _LEAST_PREFIX_THRESHOLD:
+        raise ValueError(f"Prefix search compares texts from a cosine of {_LEAST_PREFIX_THRESHOLD} on")
+    routes = _prefix_routes(target, master, threshold, target.count() + master.count(), limits)
+    return _routed(*routes, _cell_sizes(*routes, scorer), k, threshold, scorer, limits, repeated=True)
+
+
+def _prefix_routes(target, master, threshold, rows, limits) -> tuple[DataFrame, DataFrame]:
+    """Both sides with one row per text and bucket."""
+    spark = master.sparkSession
+    tokens = master.select(F.explode(F.array_distinct(F.split("text", " "))).alias("token"))
+    # Leaving out the less frequent ones only changes the order of tokens, not the result.
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > rows // 10_000)
+    listed = counts.orderBy(F.desc("n"), "token").limit(_FREQUENT_TOKENS).toArrow()
+    ascending = listed.sort_by([("n", "ascending"), ("token", "ascending")])["token"]
+    frequent = spark.sparkContext.broadcast(ascending.combine_chunks())
+    buckets = max(16, min(MAX_CELLS, 4 * rows // limits.bucket_rows))
+
+    def visited(batch) -> tuple[np.ndarray, np.ndarray]:
+        return prefix_buckets(batch.column("text"), frequent.value, threshold, buckets)
+
+    return _route(target, TARGET_KEY, "text", visited), _route(master, MASTER_KEY, "text", visited)
+
+
 def cell_knn(target, master, centroids, k, threshold, limits=BlockLimits()) -> DataFrame:
     """Exact search that visits only cells able to hold a match.
 
@@ -160,11 +209,11 @@ def cell_knn(target, master, centroids, k, threshold, limits=BlockLimits()) -> D
         radii[row["cell"]] = math.acos(max(-1.0, min(1.0, row["s"])))
     reach = math.acos(max(-1.0, min(1.0, threshold - 1e-6)))
 
-    def visited(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        angles = np.arccos(np.clip(vectors @ matrix.T, -1.0, 1.0))
+    def visited(batch) -> tuple[np.ndarray, np.ndarray]:
+        angles = np.arccos(np.clip(vector_matrix(batch.column("vector")) @ matrix.T, -1.0, 1.0))
         return np.nonzero(angles - radii <= reach + 1e-6)
 
-    return _routed(_route(target, TARGET_KEY, visited), placed, k, threshold, limits, matrix.shape[1])
+    return _search_cells(_route(target, TARGET_KEY, "vector", visited), placed, k, threshold, limits)
 
 
 def ivf_knn(target, master, centroids, k, threshold, nprobe, limits=BlockLimits()) -> DataFrame:
@@ -172,12 +221,13 @@ def ivf_knn(target, master, centroids, k, threshold, nprobe, limits=BlockLimits(
     matrix = centroid_matrix(centroids)
     probes = min(nprobe, len(matrix))
 
-    def visited(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        closest = np.argsort(-np.round(vectors @ matrix.T, 9), axis=1, kind="stable")[:, :probes]
-        return np.repeat(np.arange(len(vectors)), probes), closest.ravel()
+    def visited(batch) -> tuple[np.ndarray, np.ndarray]:
+        closeness = np.round(vector_matrix(batch.column("vector")) @ matrix.T, 9)
+        closest = np.argsort(-closeness, axis=1, kind="stable")[:, :probes]
+        return np.repeat(np.arange(batch.num_rows), probes), closest.ravel()
 
     placed = assign_cells(master, matrix)
-    return _routed(_route(target, TARGET_KEY, visited), placed, k, threshold, limits, matrix.shape[1])
+    return _search_cells(_route(target, TARGET_KEY, "vector", visited), placed, k, threshold, limits)
 
 
 def random_hyperplanes(dimension: int, tables: int = 6, bits: int = 4, seed: int = 7) -> np.ndarray:
@@ -193,18 +243,17 @@ def hash_knn(target, master, hyperplanes: np.ndarray, k, threshold, limits=Block
     normals = hyperplanes.reshape(tables * bits, dimension)
     places = 2 ** np.arange(bits)
 
-    def visited(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sides = (vectors @ normals.T >= 0).reshape(len(vectors), tables, bits)
-        cells = sides @ places + np.arange(tables) * 2**bits
-        return np.repeat(np.arange(len(vectors)), tables), cells.ravel()
+    def visited(batch) -> tuple[np.ndarray, np.ndarray]:
+        sides = vector_matrix(batch.column("vector")) @ normals.T >= 0
+        cells = sides.reshape(-1, tables, bits) @ places + np.arange(tables) * 2**bits
+        return np.repeat(np.arange(batch.num_rows), tables), cells.ravel()
 
-    return _routed(
-        _route(target, TARGET_KEY, visited),
-        _route(master, MASTER_KEY, visited),
+    return _search_cells(
+        _route(target, TARGET_KEY, "vector", visited),
+        _route(master, MASTER_KEY, "vector", visited),
         k,
         threshold,
         limits,
-        dimension,
         repeated=True,
     )
 
@@ -250,18 +299,19 @@ def centroid_matrix(centroids: DataFrame) -> np.ndarray:
 def assign_cells(master: DataFrame, matrix: np.ndarray) -> DataFrame:
     """Add the nearest centroid as `cell`, and the similarity to it as `cell_score`."""
 
-    def visited(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.arange(len(vectors)), np.round(vectors @ matrix.T, 9).argmax(axis=1)
+    def visited(batch) -> tuple[np.ndarray, np.ndarray]:
+        closeness = np.round(vector_matrix(batch.column("vector")) @ matrix.T, 9)
+        return np.arange(batch.num_rows), closeness.argmax(axis=1)
 
-    def closeness(vectors, rows, cells):
-        return np.einsum("ij,ij->i", vectors[rows], matrix[cells])
+    def closeness(batch, rows, cells):
+        return np.einsum("ij,ij->i", vector_matrix(batch.column("vector"))[rows], matrix[cells])
 
-    return _route(master, MASTER_KEY, visited, closeness)
+    return _route(master, MASTER_KEY, "vector", visited, closeness)
 
 
-def _route(df: DataFrame, key: str, visited, closeness=None) -> DataFrame:
-    """One row per vector and visited cell. Vectors pass through unchanged."""
-    fields = [df.schema[key], df.schema["vector"], T.StructField("cell", T.IntegerType())]
+def _route(df: DataFrame, key: str, column: str, visited, closeness=None) -> DataFrame:
+    """One row per row of `df` and cell that `visited` names for it; the row itself is unchanged."""
+    fields = [df.schema[key], df.schema[column], T.StructField("cell", T.IntegerType())]
     if closeness:
         fields.append(T.StructField("cell_score", T.DoubleType()))
 
@@ -269,48 +319,63 @@ def _route(df: DataFrame, key: str, visited, closeness=None) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = vector_matrix(batch.column("vector"))
-            rows, cells = visited(vectors)
-            at = pa.array(rows)
-            columns = {
-                key: batch.column(key).take(at),
-                "vector": batch.column("vector").take(at),
-                "cell": pa.array(cells, pa.int32()),
-            }
-            if closeness:
-                columns["cell_score"] = pa.array(closeness(vectors, rows, cells), pa.float64())
-            yield pa.RecordBatch.from_pydict(columns)
-
-    return df.select(key, "vector").mapInArrow(route, T.StructType(fields))
-
-
-def _routed(targets, masters, k, threshold, limits, dimension, repeated=False) -> DataFrame:
-    """Equi-join on the cell, cells cut into blocks of bounded size on both sides.
-
-    Sizes per cell are measured first: one row per cell, at most MAX_CELLS. Cells that only one
-    side visits are left out by the join with them.
-    """
-    rows = max(1, min(limits.block_rows, limits.block_bytes // (8 * dimension)))
-    blocks = F.ceil(F.count("*") / rows).cast("int")
-    m_sizes = masters.groupBy("cell").agg(blocks.alias("m_blocks"))
-    t_sizes = targets.groupBy("cell").agg(blocks.alias("t_blocks"))
-    measured = m_sizes.join(t_sizes, "cell").select("cell", "m_blocks", "t_blocks")
-    sizes = F.broadcast(masters.sparkSession.createDataFrame(measured.collect(), measured.schema))
-    t = targets.join(sizes, "cell").select(
+            rows, cells = visited(batch)
+            # Copies are handed on in pieces, so that a batch does not multiply in memory.
+            for start in range(0, len(rows), batch.num_rows):
+                piece = slice(start, start + batch.num_rows)
+                at = pa.array(rows[piece])
+                columns = [batch.column(key).take(at), batch.column(column).take(at), pa.array(cells[piece], pa.int32())]
+                names = [key, column, "cell"]
+                if closeness:
+                    columns.append(pa.array(closeness(batch, rows[piece], cells[piece]), pa.float64()))
+                    names.append("cell_score")
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return df.select(key, column).mapInArrow(route, T.StructType(fields))
+
+
+def _search_cells(targets, masters, k, threshold, limits, repeated=False) -> DataFrame:
+    scorer = DenseScorer()
+    sizes = _cell_sizes(targets, masters, scorer)
+    return _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated)
+
+
+def _cell_sizes(targets, masters, scorer) -> list:
+    """Rows and bytes per cell of the cells that both sides visit: at most MAX_CELLS entries."""
+    size = _size_of(scorer)
+    t = targets.groupBy("cell").agg(F.count("*").alias("t_rows"), F.sum(size).alias("t_bytes"))
+    m = masters.groupBy("cell").agg(F.count("*").alias("m_rows"), F.sum(size).alias("m_bytes"))
+    return t.join(m, "cell").collect()
+
+
+def _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated=False) -> DataFrame:
+    """Equi-join on the cell, cells cut into blocks of bounded size on both sides."""
+    column = scorer.column
+    counts = [
+        (
+            r["cell"],
+            _block_count(r["t_rows"], r["t_bytes"], limits),
+            _block_count(r["m_rows"], r["m_bytes"], limits),
+        )
+        for r in sizes
+    ]
+    schema = "cell int, t_blocks int, m_blocks int"
+    blocks = F.broadcast(masters.sparkSession.createDataFrame(counts, schema))
+    t = targets.join(blocks, "cell").select(
         TARGET_KEY,
-        "vector",
+        column,
         "cell",
         _block_of(TARGET_KEY, F.col("t_blocks")).alias("t_block"),
         F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1)).alias("m_block"),
     )
-    m = masters.join(sizes, "cell").select(
+    m = masters.join(blocks, "cell").select(
         MASTER_KEY,
-        "vector",
+        column,
         "cell",
         _block_of(MASTER_KEY, F.col("m_blocks")).alias("m_block"),
         F.explode(F.sequence(F.lit(0), F.col("t_blocks") - 1)).alias("t_block"),
     )
-    found = _compare_blocks(t, m, ["cell", "t_block", "m_block"], k, threshold, DenseScorer())
+    found = _compare_blocks(t, m, ["cell", "t_block", "m_block"], k, threshold, scorer)
     return _rank(found, k, repeated)
 
 
@@ -373,10 +438,13 @@ def _spread_small(df: DataFrame, rows: int, limits: BlockLimits) -> DataFrame:
     return df
 
 
+def _size_of(scorer):
+    """Bytes of the compared column in memory."""
+    return F.octet_length("text") if scorer.column == "text" else F.size("vector") * 8
+
+
 def _bytes(df: DataFrame, scorer) -> int:
-    """Bytes of the compared column."""
-    size = F.octet_length(scorer.column) if scorer.column == "text" else F.size(scorer.column) * 8
-    return df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+    return df.agg(F.sum(_size_of(scorer)).alias("bytes")).first()["bytes"] or 0
 
 
 def _block_count(rows: int, size: int, limits: BlockLimits) -> int:

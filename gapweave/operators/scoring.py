@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -109,6 +110,35 @@ def _slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - starts, lengths)
 
 
+def prefix_buckets(
+    column: pa.Array, frequent: pa.Array, threshold: float, buckets: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of the tokens by which a text meets every text of at least `threshold` cosine.
+
+    Tokens are ordered alike for all texts: those outside `frequent` alphabetically, then `frequent` as
+    listed. The last tokens of a text may be left out while their norm is below the threshold: a text
+    that shares none of the others has a smaller cosine. Any order is right; one with rare tokens first
+    makes the buckets small.
+    """
+    texts, text_of_row = _distinct(column)
+    vocabulary, row, token, weight = _token_counts(texts)
+    late = pc.index_in(vocabulary, value_set=frequent).fill_null(-1).to_numpy()
+    alphabetical = np.empty(len(vocabulary), np.int64)
+    alphabetical[pc.sort_indices(vocabulary).to_numpy()] = np.arange(len(vocabulary))
+    order = np.lexsort((-alphabetical[token], -late[token], row))
+    row, token, energy = row[order], token[order], np.cumsum(weight[order] ** 2)
+    first = np.searchsorted(row, row)
+    tail = energy - np.where(first > 0, energy[first - 1], 0.0)
+    kept = tail >= max(0.0, threshold - 1e-5) ** 2 - 1e-9
+    hashed = pd.util.hash_array(vocabulary.to_numpy(zero_copy_only=False), categorize=False)
+    places = (hashed % np.uint64(buckets)).astype(np.int64)
+    cells = np.unique(row[kept] * buckets + places[token[kept]])
+    bounds = np.searchsorted(cells, np.arange(len(texts) + 1) * buckets)
+    counts = np.diff(bounds)[text_of_row]
+    at = _slices(bounds[text_of_row], counts)
+    return np.repeat(np.arange(len(text_of_row)), counts), cells[at] % buckets
+
+
 class _LexicalIndex:
     def __init__(self, column: pa.ChunkedArray | pa.Array):
         texts, self.text_of_row = _distinct(column)

@@ -102,6 +102,43 @@ def test_lexical_search_equals_brute_force(spark, texts, limits, k, threshold):
     assert result(got) == brute_force(targets, masters, k, threshold, token_score)
 
 
+@pytest.mark.parametrize("k, threshold", [(1, 0.4), (7, 0.6), (60, 0.8), (3, 0.95)])
+def test_prefix_search_equals_brute_force(spark, texts, k, threshold):
+    targets, masters = texts
+    t, m = frame(spark, "target", "text", targets), frame(spark, "master", "text", masters)
+    limits = BlockLimits(block_rows=16, bucket_rows=20)
+    got = nearest(t, m, k, threshold, "prefix", LexicalScorer(), limits=limits)
+    assert result(got) == brute_force(targets, masters, k, threshold, token_score)
+
+
+def test_short_texts_are_compared_by_prefix_and_long_ones_in_blocks(spark, monkeypatch):
+    from gapweave.operators import knn
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("blocks")
+
+    rows = [(i, f"pump p{i} q{i % 7} r{i % 11}") for i in range(200)]
+    t, m = frame(spark, "target", "text", rows), frame(spark, "master", "text", rows)
+    limits = BlockLimits(broadcast_rows=0, bucket_rows=5)
+    exact = brute_force(rows, rows, 2, 0.7, token_score)
+    assert result(nearest(t, m, 2, 0.7, scorer=LexicalScorer(), limits=limits)) == exact
+    monkeypatch.setattr(knn, "block_knn", refuse)
+    assert result(nearest(t, m, 2, 0.7, scorer=LexicalScorer(), limits=limits)) == exact
+    long = [(i, " ".join(f"w{j}" for j in range(i % 5, 60))) for i in range(200)]
+    t, m = frame(spark, "target", "text", long), frame(spark, "master", "text", long)
+    with pytest.raises(AssertionError, match="blocks"):
+        nearest(t, m, 2, 0.2, scorer=LexicalScorer(), limits=limits)
+
+
+def test_prefix_search_is_for_texts_above_a_threshold(spark, texts, vectors):
+    t, m = (frame(spark, side, "text", rows) for side, rows in zip(("target", "master"), texts))
+    with pytest.raises(ValueError, match="0.1"):
+        nearest(t, m, 1, 0.0, "prefix", LexicalScorer())
+    t, m = (frame(spark, side, "vector", rows) for side, rows in zip(("target", "master"), vectors))
+    with pytest.raises(ValueError, match="texts"):
+        nearest(t, m, 1, 0.5, "prefix")
+
+
 def test_lexical_slices_do_not_change_the_result(spark, texts, monkeypatch):
     import pyarrow as pa
 
