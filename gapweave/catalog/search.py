@@ -50,12 +50,12 @@ def knn_exact_cells(spark, sf):
 
 
 def knn_prefix(spark, sf):
-    master, target = record_sides(spark, sf)
-    text = record_text(FIELDS).alias("text")
-    incomplete = rows_needing_fill(target).select(F.col("doc_id").alias(TARGET_KEY), text)
-    known = master.select(F.col("doc_id").alias(MASTER_KEY), text)
-    found = nearest(incomplete, known, k=3, threshold=0.9, index_type="prefix", scorer=LexicalScorer())
-    return _neighbours(found)
+    """Short texts, as in an equipment register: all parts compared with all parts."""
+    size = F.concat(F.lit("size-"), F.col("p_size"))
+    part = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type", size).alias("text"))
+    target = part.select(F.col("p_partkey").alias(TARGET_KEY), "text")
+    master = part.select(F.col("p_partkey").alias(MASTER_KEY), "text")
+    return _neighbours(nearest(target, master, 3, 0.8, "prefix", LexicalScorer()))
 
 
 def knn_ivf(spark, sf):
@@ -229,7 +229,17 @@ ORACLE = {
     "knn_topk": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 5)}",
     "knn_exact": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 3)}",
     "knn_exact_cells": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 3)}",
-    "knn_prefix": f"WITH {MATCHES_SQL} {_top('scores', 3, 0.9)}",
+    "knn_prefix": f"""
+        WITH counts AS (
+          SELECT p_partkey, token, count(*) AS n FROM (
+            SELECT p_partkey, unnest(string_split(
+              lower(concat_ws(' ', p_name, p_brand, p_type, 'size-' || p_size)), ' ')) AS token FROM part)
+          GROUP BY ALL),
+        weights AS (SELECT p_partkey, token, n / sqrt(sum(n * n) OVER (PARTITION BY p_partkey)) AS w FROM counts),
+        scores AS (
+          SELECT t.p_partkey AS target_key, m.p_partkey AS master_key, round(sum(t.w * m.w), 6) AS score
+          FROM weights t JOIN weights m USING (token) GROUP BY ALL)
+        {_top('scores', 3, 0.8)}""",
     "knn_ivf": f"""
         WITH {VECTORS_SQL}, {_PLACED}, probes AS (
           SELECT * FROM closeness QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cell) <= 3),
