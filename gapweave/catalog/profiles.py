@@ -38,6 +38,7 @@ from gapweave.operators.profile import (
 )
 from gapweave.operators.report import combination_text, processing_report, reduction_text
 from gapweave.plans.consolidate import combine, consolidate
+from gapweave.storage import materialize
 
 
 def census(spark, sf):
@@ -117,7 +118,8 @@ def _narrowed(df):
 
 
 def narrowed_schema(spark, sf):
-    before = combine([register(spark, sf)])
+    # Stored, because deciding and casting read the de-duplicated table twice.
+    before = materialize(combine([register(spark, sf)]), "combined")
     return narrowing_decisions(before, _narrowed(before))
 
 

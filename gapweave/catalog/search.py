@@ -138,7 +138,8 @@ def embedded(spark, sf):
 
 
 def lexical(spark, sf):
-    found = lexical_vectors(table(spark, sf, "documents"), "doc_id", "text")
+    slots = spark.sparkContext.defaultParallelism
+    found = lexical_vectors(table(spark, sf, "documents"), "doc_id", "text", partitions=slots)
     return found.select("doc_id", "token", F.round("weight", 9).alias("weight"))
 
 

@@ -8,11 +8,14 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapweave.functions.text import normalize_text
+from gapweave.operators.scoring import LexicalScorer, token_counts
+
+_ROWS_PER_BATCH = 100_000
 
 
 class Encoder(Protocol):
@@ -88,21 +91,35 @@ def embed_texts(
     return df.withColumn(prepared, normalize_text(F.col(text))).mapInArrow(encode, schema)
 
 
-def lexical_vectors(df: DataFrame, key: str, text: str) -> DataFrame:
+def lexical_vectors(df: DataFrame, key: str, text: str, partitions: int | None = None) -> DataFrame:
     """(key, token, weight): unit-length counts of the lower-cased tokens of each text.
 
-    Texts are shuffled once by key, before they are split; counting and the norm reuse that
-    partitioning.
+    Counted inside the row's Arrow batch, so neither texts nor tokens are shuffled. `partitions` is as
+    in `embed_texts`.
     """
-    tokens = (
-        df.select(key, text)
-        .repartition(F.col(key))
-        .select(key, F.explode(F.split(F.lower(normalize_text(F.col(text))), " ")).alias("token"))
-        .where("token <> ''")
+    if partitions:
+        df = df.repartition(partitions)
+    scorer = LexicalScorer()
+    texts = scorer.ready(df.select(key, F.col(text).alias(scorer.column)))
+    schema = T.StructType(
+        [df.schema[key], T.StructField("token", T.StringType()), T.StructField("weight", T.DoubleType())]
     )
-    counts = tokens.groupBy(key, "token").agg(F.count("*").alias("n"))
-    norm = F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy(key)))
-    return counts.select(key, "token", (F.col("n") / norm).alias("weight"))
+
+    def count(batches):
+        for batch in batches:
+            vocabulary, row, token, weight = token_counts(batch.column(1))
+            for start in range(0, len(row), _ROWS_PER_BATCH):
+                piece = slice(start, start + _ROWS_PER_BATCH)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(row[piece])),
+                        vocabulary.take(pa.array(token[piece])),
+                        pa.array(weight[piece]),
+                    ],
+                    schema.names,
+                )
+
+    return texts.mapInArrow(count, schema)
 
 
 def mean_pool(df: DataFrame, key: str, vector: str, mask: str | None = None) -> DataFrame:

@@ -88,7 +88,7 @@ def _distinct(column: pa.ChunkedArray | pa.Array) -> tuple[pa.Array, np.ndarray]
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
 
 
-def _token_counts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+def token_counts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Vocabulary and the (text, token, unit-length weight) triples, ordered by text."""
     lists = pc.split_pattern(texts, " ")
     tokens, rows = pc.list_flatten(lists), pc.list_parent_indices(lists)
@@ -121,7 +121,7 @@ def prefix_buckets(
     makes the buckets small.
     """
     texts, text_of_row = _distinct(column)
-    vocabulary, row, token, weight = _token_counts(texts)
+    vocabulary, row, token, weight = token_counts(texts)
     late = pc.index_in(vocabulary, value_set=frequent).fill_null(-1).to_numpy()
     alphabetical = np.empty(len(vocabulary), np.int64)
     alphabetical[pc.sort_indices(vocabulary).to_numpy()] = np.arange(len(vocabulary))
@@ -143,7 +143,7 @@ class _LexicalIndex:
     def __init__(self, column: pa.ChunkedArray | pa.Array):
         texts, self.text_of_row = _distinct(column)
         self.texts = len(texts)
-        self.vocabulary, row, token, weight = _token_counts(texts)
+        self.vocabulary, row, token, weight = token_counts(texts)
         order = np.argsort(token, kind="stable")
         self.rows, self.weights = row[order], weight[order]
         self.bounds = np.searchsorted(token[order], np.arange(len(self.vocabulary) + 1))
@@ -168,7 +168,7 @@ class _LexicalIndex:
 
     def scores(self, targets: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         texts, text_of_row = _distinct(targets[LexicalScorer.column])
-        vocabulary, row, token, weight = _token_counts(texts)
+        vocabulary, row, token, weight = token_counts(texts)
         known = pc.index_in(vocabulary, value_set=self.vocabulary).fill_null(-1).to_numpy()[token]
         shared = known >= 0
         row, known, weight = row[shared], known[shared], weight[shared]
