@@ -117,7 +117,7 @@ def exact_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> Dat
     """
     m_rows, t_rows = master.count(), target.count()
     if m_rows <= limits.broadcast_rows:
-        spread = scorer.ready(_spread_small(master, m_rows, limits))
+        spread = scorer.ready(spread_small(master, m_rows, limits))
         if _bytes(spread, scorer) <= limits.broadcast_bytes:
             return broadcast_knn(target, spread, k, threshold, scorer, t_rows, limits)
     target, master = scorer.ready(target), scorer.ready(master)
@@ -137,7 +137,7 @@ def exact_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> Dat
 def broadcast_knn(target, master, k, threshold, scorer, t_rows, limits) -> DataFrame:
     spark = target.sparkSession
     target = scorer.ready(
-        _spread_small(target.select(TARGET_KEY, scorer.column), t_rows, limits)
+        spread_small(target.select(TARGET_KEY, scorer.column), t_rows, limits)
     )
     masters = spark.sparkContext.broadcast(master.select(MASTER_KEY, scorer.column).toArrow())
     token = uuid.uuid4().hex
@@ -431,7 +431,7 @@ def _block_of(key: str, blocks) -> F.Column:
     return F.pmod(F.xxhash64(key), blocks).cast("int")
 
 
-def _spread_small(df: DataFrame, rows: int, limits: BlockLimits) -> DataFrame:
+def spread_small(df: DataFrame, rows: int, limits: BlockLimits) -> DataFrame:
     """A few rows in one file would keep one core busy; a large table is left where it was read."""
     if rows < df.sparkSession.sparkContext.defaultParallelism * limits.block_rows:
         return df.repartition(_spread(df, rows))

@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapweave.config import COLUMN_ALIASES, FIELD_LABELS, CompletionConfig
-from gapweave.functions.text import combine_fields, quoted
+from gapweave.functions.text import combine_fields, is_blank, quoted
 from gapweave.operators.columns import add_missing_columns, order_output_columns, resolve_aliases
 from gapweave.operators.encode import Encoder, embed_texts
-from gapweave.operators.knn import BlockLimits, cell_count, nearest, random_hyperplanes, train_centroids
+from gapweave.operators.knn import (
+    BlockLimits,
+    cell_count,
+    nearest,
+    random_hyperplanes,
+    spread_small,
+    train_centroids,
+)
 from gapweave.operators.match import best_matches, fill, lookup_matches
 from gapweave.operators.report import completion_report
 from gapweave.operators.scoring import MASTER_KEY, TARGET_KEY, LexicalScorer
@@ -65,7 +72,15 @@ def find_matches(
             limits=limits,
         )
     t, m = (
-        materialize(embed_texts(df.where("text <> ''"), "text", encoder, config.batch_size).drop("text"), label)
+        materialize(
+            embed_texts(
+                spread_small(df, df.count(), limits).where(~is_blank(F.col("text"))),
+                "text",
+                encoder,
+                config.batch_size,
+            ).drop("text"),
+            label,
+        )
         for df, label in ((target, "target-vectors"), (master, "master-vectors"))
     )
     extra: dict = {"nprobe": config.nprobe, "limits": limits}

@@ -136,7 +136,8 @@ def source_name(path: str) -> str:
 
 def _source_column():
     """`source_name` of the row's file, as an expression."""
-    path = F.col("_metadata.file_path")
+    # The path is given as a URL, in which a plus sign stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     folder = F.regexp_extract(path, r"([^/]+)\.(?i:csv|parquet|json)/[^/]+$", 1)
     leaf = F.regexp_extract(path, r"([^/]+?)(?:\.[^./]+)?$", 1)
     return F.when(folder != "", folder).otherwise(leaf)

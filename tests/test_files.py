@@ -40,13 +40,13 @@ def test_discovery_is_sorted_and_strict(spark, tmp_path):
 
 def test_drifting_files_are_joined_by_name_as_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\n001,x\n")
-    (tmp_path / "b.csv").write_text("name,id\ny,002\n")
+    (tmp_path / "b +1 ü.csv").write_text("name,id\ny,002\n")
     (tmp_path / "c.csv").write_text("id,extra\n003,\n")
     (tmp_path / "d.csv").write_text("id,name\n")
     load = load_files(spark, discover_files(spark, str(tmp_path)), "csv")
     rows = {(r["id"], r["name"], r["extra"], r["_source"]) for r in load.df.collect()}
-    assert rows == {("001", "x", None, "a"), ("002", "y", None, "b"), ("003", None, None, "c")}
-    assert {tuple(r) for r in load_summary(load).collect()} == {("a", 1, 2), ("b", 1, 2), ("c", 1, 2), ("d", 0, 2)}
+    assert rows == {("001", "x", None, "a"), ("002", "y", None, "b +1 ü"), ("003", None, None, "c")}
+    assert {tuple(r) for r in load_summary(load).collect()} == {("a", 1, 2), ("b +1 ü", 1, 2), ("c", 1, 2), ("d", 0, 2)}
     assert {r["source"]: r["verdict"] for r in load_validation(load).collect()}["d"] == "empty"
 
 
