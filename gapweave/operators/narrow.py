@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.functions.dates import parse_date
 from gapweave.functions.text import quoted
 from gapweave.operators.lookup import skew_safe_lookup
+from gapweave.operators.ordering import running_total
 from gapweave.operators.profile import cardinality_ratio, category_footprint, footprint
-from gapweave.storage import materialize
 
 _SIGNED = (("tinyint", 2**7), ("smallint", 2**15), ("int", 2**31))
 # Fixed value: the absolute error up to which a float counts as equal to a double.
@@ -74,25 +74,10 @@ def parse_date_columns(df: DataFrame, columns: Sequence[str], formats: Sequence[
 
 
 def dictionary(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): the distinct values of a column, coded 0, 1, ... in sorted order.
-
-    Values are range-partitioned and numbered inside their partition, then shifted by the size of the
-    partitions before it. Only that list of partition sizes is ever ordered as a whole. The
-    partitioned values are written once, so that both uses see the same ranges.
-    """
+    """(value, code): the distinct values of a column, coded 0, 1, ... in sorted order."""
     values = df.select(quoted(column).alias("value")).where("value is not null").distinct()
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(
-        values.repartitionByRange(parts, "value").select("value", F.spark_partition_id().alias("part")),
-        "dictionary",
-    )
-    inside = Window.partitionBy("part").orderBy("value")
-    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return placed.join(F.broadcast(offsets), "part").select(
-        "value", (F.col("offset") + F.row_number().over(inside) - 1).alias("code")
-    )
+    ranked = running_total(values.withColumn("one", F.lit(1)), "value", "one")
+    return ranked.select("value", (F.col("upto") - 1).alias("code"))
 
 
 def dictionary_encode(

@@ -153,6 +153,20 @@ def test_stats_add_up(spark):
     assert tuple(score_stats(scores).first()) == ("my_score", 0.725, 0.75, 0.5, 0.9, 4)
 
 
+def test_exact_median_over_many_partitions(spark):
+    rng = np.random.default_rng(5)
+    odd, even = rng.integers(0, 50, 1001) / 7.0, rng.random(1000) * 1e6
+    rows = [(float(a), float(b) if i < 1000 else None) for i, (a, b) in enumerate(zip(odd, [*even, 0.0]))]
+    df = spark.createDataFrame(rows, "a_score double, b_score double").repartition(5)
+    got = {r["column"]: (r["median_score"], r["scores_available"]) for r in score_stats(df).collect()}
+    assert got == {
+        "a_score": (round(float(np.median(odd)), 6), 1001),
+        "b_score": (round(float(np.median(even)), 6), 1000),
+    }
+    rough = {r["column"]: r["median_score"] for r in score_stats(df, approximate=True).collect()}
+    assert abs(rough["b_score"] - np.median(even)) < 2e4
+
+
 def read_json(spark, path):
     return json.loads("\n".join(r["value"] for r in spark.read.text(path).coalesce(1).collect()))
 
