@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from gapweave.catalog.fixtures import (
     MATCHES_SQL,
-    RECORDS_SQL,
     VECTORS_SQL,
     centroids,
     record_sides,

@@ -30,7 +30,6 @@ from gapweave.operators.validate import (
     validate_table,
 )
 from gapweave.sources.files import (
-    SOURCE,
     discover_files,
     load_files,
     load_summary,

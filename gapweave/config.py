@@ -78,6 +78,7 @@ class CompletionConfig:
     nlist: int = 100
     nprobe: int = 8
     batch_size: int = 16
+    max_tokens: int | None = None
     include_scores: bool = True
     output_format: str = "csv"
     backup_original: bool = True
@@ -88,6 +89,8 @@ class CompletionConfig:
         for name in ("top_k", "nlist", "nprobe", "batch_size"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive, got {getattr(self, name)}")
+        if self.max_tokens is not None and self.max_tokens <= 0:
+            raise ValueError(f"max_tokens must be positive, got {self.max_tokens}")
         if self.output_format not in OUTPUT_FORMATS:
             raise ValueError(f"output_format must be one of {OUTPUT_FORMATS}, got {self.output_format}")
 

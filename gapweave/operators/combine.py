@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,16 +10,28 @@ from pyspark.sql import functions as F
 from gapweave.functions.text import quoted
 
 
-def as_strings(df: DataFrame) -> DataFrame:
-    """Every column as text, so that extracts with drifting types can be unioned."""
-    return df.select(*[quoted(c).cast("string").alias(c) for c in df.columns])
+def as_strings(df: DataFrame, columns: Collection[str] | None = None) -> DataFrame:
+    """All columns, or those named, as text."""
+    chosen = set(df.columns if columns is None else columns)
+    return df.select(
+        *[quoted(c).cast("string").alias(c) if c in chosen else quoted(c) for c in df.columns]
+    )
 
 
 def union_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by column name; absent columns are null, columns come in alphabetical order."""
+    """UNION ALL by column name; absent columns are null, columns come in alphabetical order.
+
+    A column whose type differs between the tables becomes text in all of them.
+    """
     frames = list(dfs)
     if not frames:
         raise ValueError("No tables given to combine")
+    types: dict[str, set[str]] = {}
+    for name, kind in (column for df in frames for column in df.dtypes):
+        types.setdefault(name, set()).add(kind)
+    mixed = {name for name, kinds in types.items() if len(kinds) > 1}
+    if mixed:
+        frames = [as_strings(df, mixed) for df in frames]
     while len(frames) > 1:
         paired = [
             a.unionByName(b, allowMissingColumns=True)

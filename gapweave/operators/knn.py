@@ -166,7 +166,9 @@ def block_knn(target, master, k, threshold, scorer, t_blocks: int, m_blocks: int
         _block_of(MASTER_KEY, F.lit(m_blocks)).alias("m_block"),
         F.explode(F.sequence(F.lit(0), F.lit(t_blocks - 1))).alias("t_block"),
     )
-    found = _compare_blocks(targets, masters, ["t_block", "m_block"], k, threshold, scorer)
+    found = _compare_blocks(
+        targets, masters, ["t_block", "m_block"], t_blocks * m_blocks, k, threshold, scorer
+    )
     return _rank(found, k)
 
 
@@ -375,17 +377,19 @@ def _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated=Fals
         _block_of(MASTER_KEY, F.col("m_blocks")).alias("m_block"),
         F.explode(F.sequence(F.lit(0), F.col("t_blocks") - 1)).alias("t_block"),
     )
-    found = _compare_blocks(t, m, ["cell", "t_block", "m_block"], k, threshold, scorer)
+    pairs = sum(t_blocks * m_blocks for _, t_blocks, m_blocks in counts)
+    found = _compare_blocks(t, m, ["cell", "t_block", "m_block"], pairs, k, threshold, scorer)
     return _rank(found, k, repeated)
 
 
-def _compare_blocks(targets, masters, on, k, threshold, scorer) -> DataFrame:
+def _compare_blocks(targets, masters, on, pairs, k, threshold, scorer) -> DataFrame:
     """Cogroup bounded blocks.
 
     The explicit partition count keeps AQE from merging light but compute-heavy blocks into one task,
     and is shared by both sides, so that each is shuffled once.
     """
     parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(parts, 2 * pairs))
     schema = _match_schema(targets, masters)
     nothing = targets.sparkSession.createDataFrame([], schema).toArrow()
 

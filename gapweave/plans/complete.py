@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapweave.config import COLUMN_ALIASES, FIELD_LABELS, CompletionConfig
-from gapweave.functions.text import combine_fields, is_blank, quoted
+from gapweave.functions.text import combine_fields, is_blank, quoted, truncate_tokens
 from gapweave.operators.columns import add_missing_columns, order_output_columns, resolve_aliases
 from gapweave.operators.encode import Encoder, embed_texts
 from gapweave.operators.knn import (
@@ -32,9 +32,12 @@ from gapweave.sources.sinks import (
 from gapweave.storage import materialize
 
 
-def record_text(fields: Sequence[str], labels: dict[str, str] = FIELD_LABELS):
-    """The text that stands for a record."""
-    return combine_fields({labels.get(f, f): quoted(f) for f in fields})
+def record_text(
+    fields: Sequence[str], labels: dict[str, str] = FIELD_LABELS, max_tokens: int | None = None
+):
+    """The text that stands for a record: whole, unless an encoder takes `max_tokens` only."""
+    text = combine_fields({labels.get(f, f): quoted(f) for f in fields})
+    return truncate_tokens(text, max_tokens) if max_tokens else text
 
 
 def _as_text(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -120,9 +123,10 @@ def complete(
     if target_key is None:
         target = _with_key(target, t_key, "target")
     incomplete = rows_needing_fill(target, fields)
+    text = record_text(fields, labels, config.max_tokens).alias("text")
     neighbours = find_matches(
-        master.select(quoted(m_key).alias(MASTER_KEY), record_text(fields, labels).alias("text")),
-        incomplete.select(quoted(t_key).alias(TARGET_KEY), record_text(fields, labels).alias("text")),
+        master.select(quoted(m_key).alias(MASTER_KEY), text),
+        incomplete.select(quoted(t_key).alias(TARGET_KEY), text),
         config,
         encoder,
         limits,

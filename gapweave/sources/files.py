@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapweave.functions.text import null_if_na_token, quoted
-from gapweave.operators.combine import union_by_name
+from gapweave.operators.combine import as_strings, union_by_name
 
 log = logging.getLogger(__name__)
 
@@ -145,8 +145,7 @@ def _source_column():
 
 def load_table(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One file or dataset with every column as text; ids keep their leading zeros."""
-    df = load_typed(spark, path, multi_line=multi_line)
-    return df.select(*[quoted(c).cast("string").alias(c) for c in df.columns])
+    return as_strings(load_typed(spark, path, multi_line=multi_line))
 
 
 def load_typed(

@@ -102,6 +102,15 @@ def test_raising_the_threshold_never_adds_fills(spark):
             assert original[1] in (None, r["equipment_type"]) and original[2] in (None, r["equipment_description"])
 
 
+def test_texts_are_compared_whole_unless_limited(spark):
+    master = spark.createDataFrame([(1, "A", "x y z a a a a a a"), (2, "B", "x y z")], SCHEMA)
+    target = spark.createDataFrame([(5, None, "x y z a a a a a a")], SCHEMA)
+    whole = complete(master, target, CompletionConfig(threshold=0.1), "id", "id").first()
+    first = complete(master, target, CompletionConfig(threshold=0.1, max_tokens=4), "id", "id").first()
+    assert whole["equipment_type"] == "A"
+    assert first["equipment_type_similarity_score"] < whole["equipment_type_similarity_score"]
+
+
 def test_keys_are_made_where_none_is_given(spark):
     master = spark.createDataFrame([("PUMP", "red pump")], "ObjectType string, desc string")
     target = spark.createDataFrame([("red pump", 5)], "description string, n int")

@@ -40,6 +40,14 @@ def test_union_sorts_columns_and_fills_with_null(spark):
         union_by_name([])
 
 
+def test_union_turns_columns_of_differing_type_into_text(spark):
+    a = spark.createDataFrame([(7, 1)], "id bigint, n bigint")
+    b = spark.createDataFrame([("007", 2)], "id string, n bigint")
+    df = union_by_name([a, b])
+    assert dict(df.dtypes) == {"id": "string", "n": "bigint"}
+    assert sorted(map(tuple, df.collect())) == [("007", 2), ("7", 1)]
+
+
 def test_projection_keeps_required_order(spark):
     df = spark.createDataFrame([("1", "2", "3")], "z string, `a b` string, m string")
     assert project_required(df, ["m", "nope", "a b"]).columns == ["m", "a b"]
