@@ -56,6 +56,7 @@ log = logging.getLogger(__name__)
 
 # Most cells a routing table may have; centroids and cell sizes below it are safe to broadcast.
 MAX_CELLS = 65_536
+MAX_CENTROID_BYTES = 256 * 2**20
 
 # Below this cosine nearly all tokens of a text would be prefix; at 0 even texts without a common
 # token would match.
@@ -205,17 +206,21 @@ def cell_knn(target, master, centroids, k, threshold, limits=BlockLimits()) -> D
     Vectors are taken to have unit length.
     """
     matrix = centroid_matrix(centroids)
+    scorer = DenseScorer()
     placed = assign_cells(master, matrix)
+    m_sizes = _sizes(placed, scorer, F.min("cell_score").alias("least"))
     radii = np.zeros(len(matrix))
-    for row in placed.groupBy("cell").agg(F.min("cell_score").alias("s")).collect():
-        radii[row["cell"]] = math.acos(max(-1.0, min(1.0, row["s"])))
+    for cell, size in m_sizes.items():
+        radii[cell] = math.acos(max(-1.0, min(1.0, size["least"])))
     reach = math.acos(max(-1.0, min(1.0, threshold - 1e-6)))
 
     def visited(batch) -> tuple[np.ndarray, np.ndarray]:
         angles = np.arccos(np.clip(vector_matrix(batch.column("vector")) @ matrix.T, -1.0, 1.0))
         return np.nonzero(angles - radii <= reach + 1e-6)
 
-    return _search_cells(_route(target, TARGET_KEY, "vector", visited), placed, k, threshold, limits)
+    routed = _route(target, TARGET_KEY, "vector", visited)
+    sizes = _shared_cells(_sizes(routed, scorer), m_sizes)
+    return _routed(routed, placed, sizes, k, threshold, scorer, limits)
 
 
 def ivf_knn(target, master, centroids, k, threshold, nprobe, limits=BlockLimits()) -> DataFrame:
@@ -294,6 +299,8 @@ def centroid_matrix(centroids: DataFrame) -> np.ndarray:
     if table["cell"].to_pylist() != list(range(len(table))):
         raise ValueError("Cells must be numbered 0, 1, ...")
     matrix = vector_matrix(table["centroid"])
+    if matrix.nbytes > MAX_CENTROID_BYTES:
+        raise ValueError(f"Centroids of {matrix.nbytes} bytes exceed {MAX_CENTROID_BYTES}")
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norms > 0, norms, 1.0)
 
@@ -342,12 +349,31 @@ def _search_cells(targets, masters, k, threshold, limits, repeated=False) -> Dat
     return _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated)
 
 
-def _cell_sizes(targets, masters, scorer) -> list:
-    """Rows and bytes per cell of the cells that both sides visit: at most MAX_CELLS entries."""
-    size = _size_of(scorer)
-    t = targets.groupBy("cell").agg(F.count("*").alias("t_rows"), F.sum(size).alias("t_bytes"))
-    m = masters.groupBy("cell").agg(F.count("*").alias("m_rows"), F.sum(size).alias("m_bytes"))
-    return t.join(m, "cell").collect()
+def _sizes(routed, scorer, *more) -> dict:
+    """Rows and bytes of each cell, at most MAX_CELLS entries."""
+    figures = routed.groupBy("cell").agg(
+        F.count("*").alias("rows"), F.sum(_size_of(scorer)).alias("bytes"), *more
+    )
+    return {r["cell"]: r for r in figures.collect()}
+
+
+def _shared_cells(t_sizes: dict, m_sizes: dict) -> list[dict]:
+    """Rows and bytes on both sides of the cells that both visit."""
+    return [
+        {
+            "cell": cell,
+            "t_rows": t["rows"],
+            "t_bytes": t["bytes"],
+            "m_rows": m_sizes[cell]["rows"],
+            "m_bytes": m_sizes[cell]["bytes"],
+        }
+        for cell, t in t_sizes.items()
+        if cell in m_sizes
+    ]
+
+
+def _cell_sizes(targets, masters, scorer) -> list[dict]:
+    return _shared_cells(_sizes(targets, scorer), _sizes(masters, scorer))
 
 
 def _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated=False) -> DataFrame:
