@@ -68,27 +68,37 @@ def completeness(df: DataFrame) -> DataFrame:
     )
 
 
-def _text_value(df: DataFrame, name: str):
+def _cell(df: DataFrame, at: int, name: str):
+    """(at, whole, real, value) with the value in the field of its kind; -0.0 counts as 0.0."""
     kind = df.schema[name].dataType
     c = quoted(name)
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        c = F.when(c == 0, F.lit(0.0).cast(kind)).otherwise(c)
-    return c.cast("string")
+    whole, real, value = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(kind, T.IntegralType):
+        whole = c.cast("bigint")
+    elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        real = F.when(c == 0, F.lit(0.0)).otherwise(c.cast("double"))
+    else:
+        value = c.cast("string")
+    return F.struct(F.lit(at).alias("at"), whole.alias("whole"), real.alias("real"), value.alias("value"))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, value, n): occurrences of each value of each column, values as text, null included.
+    """(column, value, filled, n): occurrences of each value of each column, null included.
 
-    The count is combined before the shuffle, so a value that fills a third of the
-    table costs one row per task.
+    Numbers are grouped as numbers; only what is neither whole nor real is shown as text in
+    `value`. The count is combined before the shuffle, so a value that fills a third of the table costs
+    one row per task.
     """
     columns = list(columns or df.columns)
-    cells = F.array(
-        *[F.struct(F.lit(i).alias("at"), _text_value(df, c).alias("value")) for i, c in enumerate(columns)]
-    )
-    counts = df.select(F.inline(cells)).groupBy("at", "value").agg(F.count("*").alias("n"))
+    cells = F.array(*[_cell(df, i, c) for i, c in enumerate(columns)])
+    counts = df.select(F.inline(cells)).groupBy("at", "whole", "real", "value").agg(F.count("*").alias("n"))
     names = F.array(*[F.lit(c) for c in columns])
-    return counts.select(names[F.col("at")].alias("column"), "value", "n")
+    return counts.select(
+        names[F.col("at")].alias("column"),
+        "value",
+        (F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("value").isNotNull()).alias("filled"),
+        "n",
+    )
 
 
 def column_info(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -107,8 +117,8 @@ def column_info(df: DataFrame, approximate: bool = False) -> DataFrame:
     else:
         facts = value_counts(df).groupBy("column").agg(
             F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null_count"),
-            F.count("value").alias("unique_values"),
+            F.coalesce(F.sum(F.when(F.col("filled"), F.col("n"))), F.lit(0)).alias("non_null_count"),
+            F.count_if("filled").alias("unique_values"),
         )
     types = F.create_map(*[F.lit(x) for name, kind in df.dtypes for x in (name, kind)])
     return facts.select(
@@ -141,7 +151,7 @@ def cardinality_ratio(
 ) -> DataFrame:
     """Distinct values per row of each column, against the two thresholds for categories."""
     facts = value_counts(df, columns).groupBy("column").agg(
-        F.sum("n").alias("rows"), F.count("value").alias("unique_values")
+        F.sum("n").alias("rows"), F.count_if("filled").alias("unique_values")
     )
     share = F.col("unique_values") / F.col("rows")
     return facts.select(
