@@ -10,15 +10,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder the cluster names in `spark.checkpoint.dir`.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    Only where that setting is missing (local tests) a local temporary folder is used.
+    That is `spark.checkpoint.dir`, or the folder given to `SparkContext.setCheckpointDir`. Only a local
+    session may do without: it gets a temporary folder. A cluster without a shared folder is refused, as its
+    executors would write to their own disks.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="gapweave-")
-    return f"{base.rstrip('/')}/gapweave/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="gapweave-")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark)}/gapweave/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -28,6 +38,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, as `spark-submit --py-files` would."""
     context = spark.sparkContext
