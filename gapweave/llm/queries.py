@@ -46,7 +46,7 @@ sizes AS (
   FROM ranked JOIN weights USING (mix_source) GROUP BY mix_source, weight),
 phases AS (
   SELECT until, coalesce(lag(until) OVER (ORDER BY until), 0) AS since,
-         (SELECT sum(weight) FROM sizes WHERE periods >= until) AS length
+         CAST((SELECT sum(weight) FROM sizes WHERE periods >= until) AS BIGINT) AS length
   FROM (SELECT DISTINCT periods AS until FROM sizes)),
 spans AS (
   SELECT *, coalesce(sum((until - since) * length)
