@@ -132,10 +132,9 @@ def mix(
         ),
         F.lit(0),
     )
-    slots = (
-        length.select("since", "until", "length", before.alias("before"), F.explode(_period(F.col("sources"))).alias("s"))
-        .select("since", "until", "length", "before", F.col("s.source").alias("mix_source"), F.col("s.turn").alias("turn"), F.col("s.slot").alias("slot"))
-        .join(F.broadcast(weight), "mix_source")
+    timed = length.select("since", "until", "length", "sources", before.alias("before"))
+    slots = timed.select("since", "until", "length", "before", F.inline(_period(F.col("sources")))).withColumnRenamed(
+        "source", "mix_source"
     )
     sortable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     numbered = (
@@ -155,7 +154,7 @@ def mix(
     )
     placed = numbered.alias("n").join(
         # At most (number of weights) * (sum of the weights) rows.
-        F.broadcast(slots.drop("weight")).alias("s"),
+        F.broadcast(slots).alias("s"),
         (F.col("n.mix_source") == F.col("s.mix_source"))
         & (F.col("n.turn") == F.col("s.turn"))
         & (F.col("n._at") >= F.col("s.since"))

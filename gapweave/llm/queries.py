@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import bpe, mixing, secrets, urls
+from gapweave.llm import bpe, mixing, secrets, topk, urls
 from gapweave.storage import scratch_path
 
 
@@ -73,7 +73,7 @@ pattern AS (SELECT until, names[pick] AS mix_source, turn, slot - 1 AS slot FROM
 blocks AS (
   SELECT ranked.*, place // 16 AS mix_block, (place // 16) % weight AS turn, (place // 16) // weight AS period
   FROM ranked JOIN weights USING (mix_source))
-SELECT doc_id, source, mix_source, mix_block,
+SELECT doc_id, source, blocks.mix_source, mix_block,
        CAST(before + (period - since) * length + slot AS BIGINT) AS mix_slot,
        CAST((before + (period - since) * length + slot) * 16 + place % 16 AS BIGINT) AS mix_position
 FROM blocks JOIN spans ON period >= since AND period < spans.until
@@ -154,5 +154,24 @@ def _urls_sql() -> str:
     """
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls}
-ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql()}
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows.where("vec_id % 50 = 0"), rows, 5)
+
+
+_TOPK_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_dot_product(q.v, r.v) AS BIGINT) AS score
+  FROM whole q JOIN whole r ON q.vec_id % 50 = 0 AND r.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op9_topk": op9_topk}
+ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql(), "op9_topk": _TOPK_SQL}
