@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import bpe, mixing, secrets, topk, urls
+from gapweave.llm import bpe, mixing, pii, quality, secrets, topk, urls
 from gapweave.storage import scratch_path
 
 
@@ -81,22 +81,26 @@ JOIN pattern ON pattern.until = spans.until AND pattern.mix_source = blocks.mix_
 """
 
 
-def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
-    base = [rule.kind for rule in secrets.BASE_RULES]
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-        for kind in base
-    ]
-    own = F.filter("spans", lambda s: s["kind"].isin(base))
+def _span_report(found: DataFrame, kinds: list[str], is_base) -> DataFrame:
+    """doc_id, n_<kind> (of base spans), base_sha256 and spans, of rows (doc_id, spans)."""
+
+    def of_kind(kind: str):
+        return F.filter("spans", lambda span: is_base(span) & (span["kind"] == kind))
+
     return found.select(
         "doc_id",
-        *counts,
-        F.sha2(secrets.joined_spans(own), 256).alias("base_sha256"),
+        *(F.size(of_kind(kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds),
+        F.sha2(secrets.joined_spans(F.filter("spans", lambda span: is_base(span))), 256).alias("base_sha256"),
         secrets.joined_spans(F.col("spans")).alias("spans"),
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+    kinds = [rule.kind for rule in secrets.BASE_RULES]
+    return _span_report(found, kinds, lambda span: span["kind"].isin(kinds))
+
+
 # The host rules of the contract.
 HOST_RULES = [
     urls.HostRule("allow", "com", "/"),
@@ -154,6 +158,11 @@ def _urls_sql() -> str:
     """
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _span_report(pii.find_pii(docs, pii.fit_model(docs)), list(pii.KINDS), lambda span: span["base"])
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return topk.top_k(rows.where("vec_id % 50 = 0"), rows, 5)
@@ -173,5 +182,13 @@ FROM scored QUALIFY rank <= 5
 """
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op9_topk": op9_topk}
+def good_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(_table(spark, sf_dir, "documents"), good_documents(spark, sf_dir))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op7_pii": op7_pii, "op9_topk": op9_topk, "op10_quality": op10_quality}
 ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql(), "op9_topk": _TOPK_SQL}
