@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import bpe, mixing, pii, quality, secrets, topk, urls
+from gapweave.llm import ann, bpe, jaccard, mixing, pii, quality, secrets, topk, urls
 from gapweave.storage import scratch_path
 
 
@@ -25,6 +25,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 #: Target weights of the mix: the two large crawls, and all other sources as one.
 MIX_WEIGHTS = {"src0": 5, "src1": 3, mixing.REST: 12}
 MIX_BLOCK_ROWS = 16
@@ -158,6 +162,11 @@ def _urls_sql() -> str:
     """
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return ann.search(rows.where("vec_id % 20 = 0"), rows, 20)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return _span_report(pii.find_pii(docs, pii.fit_model(docs)), list(pii.KINDS), lambda span: span["base"])
@@ -190,5 +199,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(_table(spark, sf_dir, "documents"), good_documents(spark, sf_dir))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op7_pii": op7_pii, "op9_topk": op9_topk, "op10_quality": op10_quality}
+QUERIES = {"op1_bpe": op1_bpe,
+    "op2_jaccard": op2_jaccard,
+    "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op6_ann": op6_ann,
+    "op7_pii": op7_pii, "op9_topk": op9_topk, "op10_quality": op10_quality}
 ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql(), "op9_topk": _TOPK_SQL}

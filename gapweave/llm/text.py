@@ -89,10 +89,8 @@ def shingles(data: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray,
     full = (row_of[: len(combined)] == row_of[size - 1 :]) if len(combined) else np.zeros(0, bool)
     short = np.flatnonzero((per_row > 0) & (per_row < size))
     whole = np.zeros(len(short), np.uint64)
-    for i, row in enumerate(short):
+    for i, row in enumerate(short):  # the number of words is part of the hash, so these never equal a full shingle
         own = words[first[row] : first[row + 1]]
-        with np.errstate(over="ignore"):
-            whole[i] = mix(np.uint64(len(own)) + mix(own + np.arange(1, len(own) + 1).astype(np.uint64)))[:1].sum() if len(own) == 1 else mix(
-                np.array([np.sum(mix(own + np.arange(1, len(own) + 1).astype(np.uint64))) + np.uint64(len(own))], np.uint64)
-            )[0]
+        places = np.arange(1, len(own) + 1).astype(np.uint64)
+        whole[i] = mix(mix(own + places).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(own)))[0]
     return np.concatenate([row_of[: len(combined)][full], short]), np.concatenate([mix(combined[full]), whole])
