@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import ann, bpe, jaccard, mixing, pii, quality, secrets, topk, urls
+from gapweave.llm import ann, bpe, jaccard, mixing, pii, quality, secrets, suffix, topk, urls
 from gapweave.storage import scratch_path
 
 
@@ -172,6 +172,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_report(pii.find_pii(docs, pii.fit_model(docs)), list(pii.KINDS), lambda span: span["base"])
 
 
+def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return topk.top_k(rows.where("vec_id % 50 = 0"), rows, 5)
@@ -202,5 +207,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
     "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op6_ann": op6_ann,
-    "op7_pii": op7_pii, "op9_topk": op9_topk, "op10_quality": op10_quality}
+    "op7_pii": op7_pii, "op8_suffix": op8_suffix,
+    "op9_topk": op9_topk, "op10_quality": op10_quality}
 ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql(), "op9_topk": _TOPK_SQL}
