@@ -129,6 +129,11 @@ class Ledger:
         found.write.parquet(f"{self.path}/run-{uuid.uuid4().hex}")
 
 
+def blob(content: Column) -> Column:
+    """The address of a content."""
+    return F.unhex(F.sha2(F.encode(content, "UTF-8"), 256))
+
+
 def joined_spans(spans: Column) -> Column:
     """kind:start:end, by start and then kind, joined by commas."""
     one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
@@ -142,24 +147,52 @@ def scan_secrets(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """Scans what the ledger lacks; returns id and `spans` (array of start, kind_order, kind, end) of every row.
+    """Scans what the ledger lacks; returns id, blob and `spans` (array of start, kind_order, kind, end) of every row.
 
     A row is one version of a path: repeated and null ids are kept, each with the findings of its own content. A
     null text counts as empty. Spans of different kinds may overlap. Other columns are ignored.
     """
-    versions = docs.select(F.col(id_column).alias("path"), F.coalesce(F.col(text_column), F.lit("")).alias("content"))
-    versions = versions.withColumn("blob", F.unhex(F.sha2(F.encode("content", "UTF-8"), 256)))
+    content = F.coalesce(F.col(text_column), F.lit(""))
+    versions = docs.select(F.col(id_column).alias("path"), content.alias("content"), blob(content).alias("blob"))
     ledger = Ledger(docs.sparkSession, ledger_path, rules)
     ledger.scan(versions)
     findings = ledger.rows().where(F.size("spans") > 0).dropDuplicates(["blob"])
     joined = versions.select("path", "blob").join(findings, "blob", "left")
     return joined.select(
-        F.col("path").alias(id_column), F.coalesce("spans", F.array().cast(_SPANS)).alias("spans")
+        F.col("path").alias(id_column), "blob", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans")
+    )
+
+
+def redact_documents(
+    docs: DataFrame,
+    ledger_path: str,
+    rules: tuple[Rule, ...] = RULES,
+    mark: str = "[secret]",
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """All rows and columns of `docs`, with the secrets in the texts replaced by `mark`.
+
+    Findings are joined by id and content, so repeated and null ids are treated by their own texts and copies
+    spread. Null texts stay null. Columns named `_blob` or `_spans` are refused.
+    """
+    if clash := {"_blob", "_spans"} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"columns already there: {sorted(clash)}")
+    found = scan_secrets(docs, ledger_path, rules, id_column, text_column).where(F.size("spans") > 0)
+    found = found.select(F.col(id_column).alias("_id"), F.col("blob").alias("_found"), F.col("spans").alias("_spans"))
+    keyed = docs.withColumn("_blob", blob(F.coalesce(F.col(text_column), F.lit(""))))
+    joined = keyed.join(
+        found.dropDuplicates(["_id", "_found"]),
+        F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_blob") == F.col("_found")),
+        "left",
     )
+    clean = F.when(F.col("_spans").isNull(), F.col(text_column)).otherwise(redact(F.col(text_column), F.col("_spans"), mark))
+    return joined.withColumn(text_column, clean).select(*docs.columns)
 
 
 def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with every maximal run of overlapping spans replaced by `mark`."""
+
     def step(acc: Column, span: Column) -> Column:
         inside = span["start"] < acc["at"]
         gap = F.substring(text, (acc["at"] + 1).cast("int"), (span["start"] - acc["at"]).cast("int"))
