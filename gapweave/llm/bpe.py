@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding.
 
-Words are cut out by the JVM's regular expressions. An Arrow pass then numbers the words of many documents
-at once, so that every distinct word of such a batch is encoded once: a higher-order function folds the ranked
-merges over its byte array, with the ranks in a literal map. Decoding concatenates the pieces of the ids.
-All of it runs in one stage, nothing is shuffled, and a lost task only repeats its own documents.
+Words are cut out by the JVM's regular expressions. The distinct words that most batches of documents hold are
+encoded once and broadcast (a bounded number). Then an Arrow pass numbers the words of many documents at once, so that
+every other distinct word is encoded once per batch. To encode, a higher-order function folds the ranked merges over
+the byte array of a word, with the ranks in a literal map. Decoding concatenates the pieces of the ids. Documents
+are not shuffled, and a lost task only repeats its own.
 """
 
 from __future__ import annotations
@@ -19,13 +20,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.storage import materialize
+
 #: The split pattern of the rank files, for the JVM: `\s` there means ASCII blanks only, hence the property.
 SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
     r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 )
 #: A batch is closed once it holds so many words or so many bytes of words; this bounds the memory of a task.
-BATCH_WORDS, BATCH_BYTES = 10_000_000, 48 << 20
+BATCH_WORDS, BATCH_BYTES = 2_000_000, 24 << 20
+#: Words that are encoded once for all batches, at most, and bytes of such a word.
+COMMON_WORDS, COMMON_BYTES = 400_000, 64
 #: Rows that leave the last pass at once hold about so many bytes.
 OUTPUT_BYTES = 8 << 20
 #: Longer words are merged by a heap in the numbering pass.
@@ -77,30 +82,32 @@ class RankMap:
         table = {
             "pairs": pairs,
             "merged": merged,
-            "pieces": pieces,
             "sizes": [len(piece) // 2 for piece in pieces],
             "bytes": [ranks[bytes([b])] for b in range(256)],
         }
         self._literal = F.from_json(
             F.lit(json.dumps(table, separators=(",", ":"))),
-            "pairs array<array<bigint>>, merged array<array<bigint>>, pieces array<string>, "
-            "sizes array<int>, bytes array<bigint>",
+            "pairs array<array<bigint>>, merged array<array<bigint>>, sizes array<int>, bytes array<bigint>",
         )
+        self._pieces = F.split(F.lit(",".join(pieces)), ",")
 
     def bound(self, body) -> Column:
         """`body` of the tables as a variable, so that the plan holds the literal once."""
 
         def maps(lists: Column) -> Column:
             merges = F.zip_with(lists["pairs"], lists["merged"], F.map_from_arrays).alias("merges")
-            return F.struct(merges, *(lists[name].alias(name) for name in ("pieces", "sizes", "bytes")))
+            return F.struct(merges, *(lists[name].alias(name) for name in ("sizes", "bytes")))
 
         return _let(_let(self._literal, maps), lambda table: body(_Tables(table)))
 
+    def bound_pieces(self, body) -> Column:
+        """`body` of the list of the pieces, by rank."""
+        return _let(self._pieces, body)
+
 
 class _Tables:
     def __init__(self, table: Column):
-        self._merges, self._pieces = table["merges"], table["pieces"]
-        self._sizes, self._bytes = table["sizes"], table["bytes"]
+        self._merges, self._sizes, self._bytes = table["merges"], table["sizes"], table["bytes"]
 
     def of_byte(self, byte: Column) -> Column:
         return F.get(self._bytes, byte)
@@ -114,9 +121,6 @@ class _Tables:
     def size(self, token: Column) -> Column:
         return F.get(self._sizes, token.cast("int"))
 
-    def piece(self, token: Column) -> Column:
-        return F.get(self._pieces, token)
-
 
 def _encode_word(byte_array: Column, tables: _Tables) -> Column:
     """The ids of a word: of its bytes, the leftmost pair of least rank is merged until none is left.
@@ -232,45 +236,110 @@ def encode_words(words: Column, ranks: RankMap) -> Column:
 
 def decode_words(ids: Column, ranks: RankMap) -> Column:
     """The bytes of each of a list of lists of ids."""
-    return ranks.bound(
-        lambda tables: F.transform(ids, lambda each: F.unhex(F.array_join(F.transform(each, tables.piece), "")))
+    return ranks.bound_pieces(
+        lambda pieces: F.transform(
+            ids, lambda each: F.unhex(F.array_join(F.transform(each, lambda token: F.get(pieces, token)), ""))
+        )
     )
 
 
-def _number_words(vocabulary: dict[bytes, int]):
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of many documents at a time, without those too long to be common."""
+
+    def flush(kept: list[pa.Array]) -> pa.RecordBatch:
+        words = pc.unique(pa.concat_arrays(kept))
+        return pa.RecordBatch.from_arrays([words.filter(pc.less_equal(pc.binary_length(words), COMMON_BYTES))], ["word"])
+
+    kept, words = [], 0
+    for batch in batches:
+        flat = pc.unique(batch.column(0).flatten())
+        kept.append(flat)
+        words += len(flat)
+        if words >= BATCH_WORDS:
+            yield flush(kept)
+            kept, words = [], 0
+    if kept:
+        yield flush(kept)
+
+
+def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words as lists of structs that `encode_words` takes."""
+    for batch in batches:
+        texts = batch.column(0).cast(pa.binary())
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        structs = _word_structs(texts, sizes, pa.nulls(len(texts), pa.list_(pa.int32())))
+        yield pa.RecordBatch.from_arrays(
+            [_one_list(texts), pa.ListArray.from_arrays(np.array([0, len(texts)], np.int32), structs)], ["texts", "words"]
+        )
+
+
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(np.array([0, len(values)], np.int32), values)
+
+
+def _word_structs(words: pa.Array, sizes: np.ndarray, ids: pa.Array) -> pa.StructArray:
+    """(ids, bytes): the bytes are left out where the ids are known."""
+    known = pc.is_valid(ids).to_numpy(zero_copy_only=False)
+    data = np.frombuffer(b"".join(words.filter(pa.array(~known)).to_pylist()), np.uint8).astype(np.int16)
+    starts = np.concatenate([[0], np.cumsum(np.where(known, 0, sizes))]).astype(np.int32)
+    return pa.StructArray.from_arrays([ids, pa.ListArray.from_arrays(starts, pa.array(data))], ["ids", "bytes"])
+
+
+def common_words(words: DataFrame, ranks: RankMap, limit: int = COMMON_WORDS) -> tuple[pa.Array, pa.Array]:
+    """The words that the most batches of documents hold, at most `limit`, and their ids.
+
+    They are encoded once; all other words are encoded where they occur. The result is broadcast: at most `limit`
+    words of at most `COMMON_BYTES` bytes.
+    """
+    spread = words.select("words").mapInArrow(_distinct_words, "word string").groupBy("word").agg(F.count("*").alias("n"))
+    spread = materialize(spread.where("n > 1").withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "words")
+    levels = {row["level"]: row["count"] for row in spread.groupBy("level").count().collect()}  # a few hundred rows
+    least, total = None, 0
+    for level in sorted(levels, reverse=True):
+        total += levels[level]
+        if total > limit:
+            break
+        least = level
+    if least is None:
+        return pa.array([], pa.binary()), pa.array([], pa.list_(pa.int32()))
+    lists = spread.where(F.col("level") >= least).select("word").mapInArrow(
+        _word_lists, "texts array<binary>, words array<struct<ids:array<int>,bytes:array<smallint>>>"
+    )
+    table = lists.select("texts", encode_words(F.col("words"), ranks).alias("ids")).toArrow()
+    texts, ids = table.column("texts").combine_chunks(), table.column("ids").combine_chunks()
+    return texts.flatten().cast(pa.binary()), ids.flatten().cast(pa.list_(pa.int32()))
+
+
+def _number_words(vocabulary: dict[bytes, int], common):
     """Batches of documents with their words -> one row per batch: the distinct words, and their numbers in each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(list(vocabulary), pa.binary())
-        rank_of = np.array(list(vocabulary.values()), np.int32)
+        # A word that is a piece itself is never cut; common words have been encoded before.
+        single = pa.ListArray.from_arrays(
+            np.arange(len(vocabulary) + 1, dtype=np.int32), pa.array(list(vocabulary.values()), pa.int32())
+        )
+        known = pa.concat_arrays([pa.array(list(vocabulary), pa.binary()), common.value[0]])
+        known_ids = pa.concat_arrays([single, common.value[1]])
 
         def closed(kept: list[pa.RecordBatch]) -> pa.RecordBatch:
-            ids = pa.concat_arrays([b.column(0) for b in kept])
             lists = pa.concat_arrays([b.column(1) for b in kept])
             counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             coded = lists.flatten().dictionary_encode()
             words = coded.dictionary.cast(pa.binary())
             sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = np.frombuffer(b"".join(words.to_pylist()), np.uint8).astype(np.int16)
-            starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            whole = pc.index_in(words, known)
-            done = pc.is_valid(whole).to_numpy(zero_copy_only=False)
-            known_ids: list[list[int] | None] = [None] * len(words)
-            for i in np.nonzero(done)[0]:  # a word that is a piece itself is never cut
-                known_ids[i] = [rank_of[whole[i].as_py()]]
-            for i in np.nonzero(~done & (sizes > FOLD_BYTES))[0]:
-                known_ids[i] = encode_long_word(words[i].as_py(), vocabulary)
-            structs = pa.StructArray.from_arrays(
-                [pa.array(known_ids, pa.list_(pa.int32())), pa.ListArray.from_arrays(starts, pa.array(flat))],
-                ["ids", "bytes"],
-            )
-            one = lambda values: pa.ListArray.from_arrays(np.array([0, len(values)], np.int32), values)
+            ids = known_ids.take(pc.index_in(words, known))
+            long = np.flatnonzero((sizes > FOLD_BYTES) & ids.is_null().to_numpy(zero_copy_only=False))
+            if len(long):
+                filled = ids.to_pylist()
+                for i in long:
+                    filled[i] = encode_long_word(words[i].as_py(), vocabulary)
+                ids = pa.array(filled, pa.list_(pa.int32()))
             return pa.RecordBatch.from_arrays(
                 [
-                    one(ids),
+                    _one_list(pa.concat_arrays([b.column(0) for b in kept])),
                     pa.array([counts.tobytes()], pa.binary()),
                     pa.array([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()),
-                    one(structs),
+                    _one_list(_word_structs(words, sizes, ids)),
                 ],
                 ["ids", "counts", "codes", "words"],
             )
@@ -282,7 +351,7 @@ def _number_words(vocabulary: dict[bytes, int]):
             kept.append(batch)
             words += len(batch.column(1).flatten())
             size += batch.column(1).nbytes
-            if words >= BATCH_WORDS or size >= 2 * BATCH_BYTES:
+            if words >= BATCH_WORDS or size >= BATCH_BYTES:
                 yield closed(kept)
                 kept, words, size = [], 0, 0
         if kept:
@@ -333,8 +402,9 @@ def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_colu
         F.col(id_column).alias("id"),
         F.regexp_extract_all(F.coalesce(F.col(text_column), F.lit("")), F.lit(SPLIT), F.lit(0)).alias("words"),
     )
+    common = docs.sparkSession.sparkContext.broadcast(common_words(words, ranks))
     numbered = words.mapInArrow(
-        _number_words(ranks.pieces),
+        _number_words(ranks.pieces, common),
         f"ids array<{id_type}>, counts binary, codes binary, words array<struct<ids:array<int>,bytes:array<smallint>>>",
     )
     encoded = numbered.select("ids", "counts", "codes", encode_words(F.col("words"), ranks).alias("tokens"))
