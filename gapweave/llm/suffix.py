@@ -21,17 +21,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.llm.text import prefix_hashes, range_hashes, text_chunks
+from gapweave.llm.text import CHUNK_BYTES, prefix_hashes, range_hashes, text_chunks
 from gapweave.storage import materialize
 
 LENGTH, GRAM = 50, 20
 #: Stretches that one task compares, and bytes of stretches that one task sorts.
 PART_STRETCHES, SHARD_BYTES = 3_000_000, 8 << 20
 #: Suffixes of a sorted run, and suffixes of a run that the merge holds in memory at once.
-RUN_ROWS, BLOCK_ROWS = 400_000, 40_000
+RUN_ROWS, BLOCK_ROWS = 300_000, 30_000
 _PLACE = np.uint64((1 << 28) - 1)
 _SHORT = np.uint64((1 << 48) - 1)
 
@@ -70,7 +71,7 @@ def _text_refs(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return range_hashes(*prefix_hashes(data), rows[:-1], rows[1:]).view(np.int64)
 
 
-def _owner_rows(ids, refs, owner: np.ndarray, values: np.ndarray, part: np.ndarray | None = None):
+def _owner_rows(ids, refs, owner: np.ndarray, values: np.ndarray):
     """Values grouped by owner, as (id, ref, packed values)."""
     order = np.argsort(owner, kind="stable")
     owner, values = owner[order], values[order]
@@ -152,11 +153,12 @@ def _compare(docs: DataFrame, length: int, gram: int, parts: int) -> DataFrame:
         else:
             gone = sent = np.zeros(0, bool)
         pieces = []
+        six = lambda values: values.view(np.uint8).reshape(-1, 8)[:, :6]
         for name, at, values in (
             ("gone", np.concatenate([owner[gone], done_owner]), np.concatenate([of_bytes[gone], join("done", np.uint64)])),
             ("sent", owner[sent], of_bytes[sent]),
         ):
-            i, r, v = _owner_rows(ids, refs, at, values)
+            i, r, v = _owner_rows(ids, refs, at, six(values))
             pieces.append(pd.DataFrame({"id": i, "ref": r, "gone": None, "sent": None} | {name: v}))
         return pd.concat(pieces, ignore_index=True)
 
@@ -171,20 +173,58 @@ def _own(column: pa.Array, row: int, ref: int, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(p[name] for p in parts if p["ref"] == ref and p[name]), kind)
 
 
+def _own_hashes(column: pa.Array, row: int, ref: int, name: str) -> np.ndarray:
+    six = _own(column, row, ref, name, np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(six), 8), np.uint8)
+    wide[:, :6] = six
+    return wide.view(np.uint64).ravel()
+
+
+def _squeezed(docs: DataFrame) -> DataFrame:
+    """(id, text) with the texts compressed, as both joins move them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(pack, texts), pa.binary())], ["id", "text"])
+
+    return docs.select("id", "text").mapInArrow(run, "id bigint, text binary")
+
+
+def _texts(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of stretches of compressed texts, unpacked a bounded number of bytes at a time."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    first, held, size = 0, [], 0
+    for row, each in enumerate(column):
+        held.append(unpack(each.as_py()))
+        size += len(held[-1])
+        if size >= 4 * CHUNK_BYTES or row == len(column) - 1:
+            yield first, pa.array(held, pa.large_binary())
+            first, held, size = row + 1, [], 0
+
+
+def _chunks(column: pa.Array) -> Iterator[tuple[int, tuple]]:
+    for base, texts in _texts(column):
+        for chunk in text_chunks(texts):
+            yield base, chunk
+
+
 def _sent_stretches(docs: DataFrame, flags: DataFrame, length: int, gram: int, shards: int) -> DataFrame:
     """(shard, id, ref, start, bytes) of one copy of each stretch that must be sorted."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, last, data, rows in text_chunks(batch.column(1)):
+            for base, (first, last, data, rows) in _chunks(batch.column(1)):
+                first, last = base + first, base + last
                 refs = _text_refs(data, rows)
                 start, windows, of_gram, of_bytes = stretches(data, rows, length, gram)
                 bounds = np.searchsorted(start, rows)
                 out = []
                 for row in range(last - first):
                     a, b = bounds[row], bounds[row + 1]
-                    wanted = _own(batch.column(2), first + row, int(refs[row]), "sent", np.uint64)
+                    wanted = _own_hashes(batch.column(2), first + row, int(refs[row]), "sent")
                     for i in np.flatnonzero(np.isin(of_bytes[a:b] & _SHORT, wanted)) + a:
                         end = start[i] + windows[i] + length - 1
                         shard = int((of_gram[i] >> np.uint64(20)) % np.uint64(shards))
@@ -197,30 +237,35 @@ def _sent_stretches(docs: DataFrame, flags: DataFrame, length: int, gram: int, s
                     )
 
     wanted = flags.where(F.col("sent").isNotNull()).groupBy("id").agg(F.collect_list(F.struct("ref", "sent")).alias("own"))
-    rows = docs.join(wanted, "id").select("id", "text", "own")
+    rows = _squeezed(docs).join(wanted, "id").select("id", "text", "own")
     return rows.mapInArrow(cut, "shard bigint, id bigint, ref bigint, start bigint, bytes binary")
 
 
 class SuffixRuns:
-    """Suffix tuples (prefix, owner, place): sorted runs on the task's disk, merged by a queue of their next blocks.
+    """Sorted runs of suffixes on the task's disk, merged by a queue of their next blocks.
 
-    A prefix is `length` bytes as big-endian words of 64 bits, so that words compare like bytes.
+    The texts lie in one file and a run holds (place in it, owner), so a block of a run becomes suffix tuples (prefix,
+    place, owner) when it is read. A prefix is `length` bytes as big-endian words of 64 bits, which compare like bytes.
     """
 
-    def __init__(self, length: int):
+    def __init__(self, texts: list[bytes], length: int):
         self.length, self.words = length, -(-length // 8)
         self.runs: list[tuple] = []
-
-    def add(self, prefix: np.ndarray, owner: np.ndarray, place: np.ndarray) -> None:
-        """prefix: one row of `length` bytes per suffix."""
-        wide = np.zeros((len(prefix), self.words * 8), np.uint8)
-        wide[:, : self.length] = prefix
-        run = np.empty((len(prefix), self.words + 2), np.uint64)
-        run[:, : self.words] = wide.view(">u8")
-        run[:, self.words], run[:, self.words + 1] = owner, place
-        out = tempfile.TemporaryFile()  # noqa: SIM115  closed below, and gone with the task in any case
-        run[self._order(run)].tofile(out)
-        self.runs.append((out, len(run)))
+        self.file = tempfile.TemporaryFile()  # noqa: SIM115  closed below, and gone with the task in any case
+        self.file.writelines(texts)
+        self.file.flush()
+        self.windows = np.lib.stride_tricks.sliding_window_view(np.memmap(self.file, np.uint8, "r"), length)
+
+    def add(self, place: np.ndarray, owner: np.ndarray) -> None:
+        rows = self._tuples(np.stack([place, owner], axis=1).astype(np.uint32))
+        out = tempfile.TemporaryFile()  # noqa: SIM115
+        rows[self._order(rows)][:, self.words :].astype(np.uint32).tofile(out)
+        self.runs.append((out, len(rows)))
+
+    def _tuples(self, pairs: np.ndarray) -> np.ndarray:
+        wide = np.zeros((len(pairs), self.words * 8), np.uint8)
+        wide[:, : self.length] = self.windows[pairs[:, 0]]
+        return np.concatenate([wide.view(">u8").astype(np.uint64), pairs], axis=1)
 
     def _order(self, rows: np.ndarray) -> np.ndarray:
         return np.lexsort(tuple(rows[:, w] for w in range(self.words - 1, -1, -1)))
@@ -231,9 +276,9 @@ class SuffixRuns:
     def _blocks(self, file, left: int) -> Iterator[np.ndarray]:
         file.seek(0)
         while left:
-            block = np.fromfile(file, np.uint64, min(left, BLOCK_ROWS) * (self.words + 2)).reshape(-1, self.words + 2)
-            left -= len(block)
-            yield block
+            pairs = np.fromfile(file, np.uint32, min(left, BLOCK_ROWS) * 2).reshape(-1, 2)
+            left -= len(pairs)
+            yield self._tuples(pairs)
 
     def _upto(self, rows: np.ndarray, bound: tuple[int, ...]) -> int:
         low, high = 0, len(rows)
@@ -243,7 +288,10 @@ class SuffixRuns:
         return low
 
     def merged(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(common prefix with the tuple before, owner, place) of all tuples in order; equal prefixes come together."""
+        """(common prefix with the tuple before, place, owner) of all tuples in order; equal prefixes come together.
+
+        The common prefix is given in whole words, or as the length where all is equal.
+        """
         readers = [self._blocks(*run) for run in self.runs]
         held = [next(reader, None) for reader in readers]
         queue = [(self._key(block[-1]), n) for n, block in enumerate(held) if block is not None]
@@ -271,33 +319,29 @@ class SuffixRuns:
             yield np.minimum(common, self.length), batch[:, self.words].astype(np.int64), batch[:, self.words + 1].astype(np.int64)
 
     def close(self) -> None:
-        for file, _ in self.runs:
+        for file in (self.file, *(run for run, _ in self.runs)):
             file.close()
 
 
 def equal_windows(texts: list[bytes], ids: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text, place) of the windows that also are in a text of a smaller id."""
-    runs = SuffixRuns(length)
+    sizes = np.array([len(text) for text in texts])
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    windows = sizes - length + 1
+    upto = np.concatenate([[0], np.cumsum(windows)])
+    runs = SuffixRuns(texts, length)
     try:
         at = 0
         while at < len(texts):
-            last, rows = at, 0
-            while last < len(texts) and rows < RUN_ROWS:
-                rows += len(texts[last]) - length + 1
-                last += 1
-            sizes = np.array([len(t) for t in texts[at:last]])
-            data = np.frombuffer(b"".join(texts[at:last]), np.uint8)
-            first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            owner = np.repeat(np.arange(at, last), sizes - length + 1)
-            place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes - length + 1) - (sizes - length + 1), sizes - length + 1)
-            windows = np.lib.stride_tricks.sliding_window_view(data, length)
-            runs.add(windows[first[owner - at] + place], owner, place)
+            last = max(at + 1, int(np.searchsorted(upto, upto[at] + RUN_ROWS, "right")) - 1)
+            owner = np.repeat(np.arange(at, last), windows[at:last])
+            runs.add(first[owner] + np.arange(upto[at], upto[last]) - upto[owner], owner)
             at = last
-        for common, owner, place in runs.merged():
+        for common, place, owner in runs.merged():
             head = np.flatnonzero(common < length)
             least = np.minimum.reduceat(ids[owner], head)
             gone = ids[owner] > np.repeat(least, np.diff(np.append(head, len(owner))))
-            yield owner[gone], place[gone]
+            yield owner[gone], place[gone] - first[owner[gone]]
     finally:
         runs.close()
 
@@ -327,7 +371,8 @@ def _sort_shards(sent: DataFrame, length: int) -> DataFrame:
 def _cut_texts(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, data, rows in text_chunks(batch.column(1)):
+            for base, (first, last, data, rows) in _chunks(batch.column(1)):
+                first, last = base + first, base + last
                 refs = _text_refs(data, rows)
                 known = [batch.column(2)[first + row].is_valid for row in range(last - first)]
                 start, windows, _, of_bytes = stretches(data, rows, length, gram) if any(known) else [np.zeros(0, np.int64)] * 4
@@ -339,7 +384,7 @@ def _cut_texts(length: int, gram: int):
                         removed.append(0), spans.append(0), kept.append(text.tobytes())
                         continue
                     ref, a, b = int(refs[row]), bounds[row], bounds[row + 1]
-                    gone = np.isin(of_bytes[a:b].astype(np.uint64) & _SHORT, _own(batch.column(2), first + row, ref, "gone", np.uint64))
+                    gone = np.isin(of_bytes[a:b].astype(np.uint64) & _SHORT, _own_hashes(batch.column(2), first + row, ref, "gone"))
                     ranges = _own(batch.column(2), first + row, ref, "ranges", np.int64).reshape(-1, 2)
                     begin = start[a:b][gone] - rows[row]
                     edge = np.zeros(len(text) + 1, np.int64)
@@ -381,13 +426,13 @@ def remove_repeats(
     parts = max(8, -(-2 * size // (length - gram + 2) // PART_STRETCHES))
     flags = materialize(_compare(named, length, gram, parts), "flags")
     sent_bytes = flags.agg(F.sum(F.octet_length("sent"))).first()[0] or 0
-    shards = max(8, -(-sent_bytes // 8 * (2 * length - gram) // SHARD_BYTES))
+    shards = max(8, -(-sent_bytes // 6 * (2 * length - gram) // SHARD_BYTES))
     ranges = _sort_shards(_sent_stretches(named, flags, length, gram, shards), length)
     none = F.lit(None).cast("binary")
     out = flags.where(F.col("gone").isNotNull()).select("id", "ref", "gone", none.alias("ranges")).unionByName(
         ranges.select("id", "ref", none.alias("gone"), "ranges")
     )
     own = out.groupBy("id").agg(F.collect_list(F.struct("ref", "gone", "ranges")).alias("own"))
-    joined = rows.join(own, "id", "left").select("id", "text", "own")
+    joined = _squeezed(rows).join(own, "id", "left").select("id", "text", "own")
     cut = joined.mapInArrow(_cut_texts(length, gram), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     return cut.withColumnRenamed("id", id_column)
