@@ -21,6 +21,7 @@ BUCKETS = 10_000
 #: Target documents that the target model is fitted on, at most: those with the least md5 of the id.
 TARGET_DOCUMENTS = 20_000
 _SMOOTHING = 1.0
+_TWICE = np.uint64(0x7257)
 #: Log weights are told apart between -_RANGE and _RANGE when the cut-off is looked for.
 _RANGE = 2_000
 _IS_WORD_CHAR = np.zeros(256, bool)
@@ -29,7 +30,10 @@ _IS_MARK = IS_WORD & ~_IS_WORD_CHAR
 
 
 def features(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of every 1-gram and 2-gram. Tokens are runs of letters, digits and _, and runs of other marks."""
+    """(row, bucket) of every 1-gram and 2-gram. Tokens are runs of letters, digits and _, and runs of other marks.
+
+    A token twice in a row is one and the same 2-gram, whatever the token.
+    """
     word, mark = runs(_IS_WORD_CHAR[data], rows), runs(_IS_MARK[data], rows)
     starts, ends = np.concatenate([word[0], mark[0]]), np.concatenate([word[1], mark[1]])
     order = np.argsort(starts, kind="stable")
@@ -37,6 +41,7 @@ def features(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     hashes = range_hashes(*prefix_hashes(data), starts, ends)
     row_of = np.searchsorted(rows, starts, "right") - 1
     pairs = mix(hashes[:-1] * np.uint64(3) + hashes[1:]) if len(hashes) else hashes
+    pairs[hashes[:-1] == hashes[1:]] = _TWICE
     same = row_of[:-1] == row_of[1:]
     both = np.concatenate([hashes, pairs[same]])
     return np.concatenate([row_of, row_of[:-1][same]]), (both % np.uint64(BUCKETS)).astype(np.int64)
@@ -119,7 +124,8 @@ def cutoff(scored: DataFrame, targets: DataFrame, keep: float, id_column: str =
 def resample(
     docs: DataFrame,
     targets: DataFrame,
-    keep: float = 0.9995,
+    keep: float = 0.9998,
+    margin: float = 4.0,
     temperature: float = 0.05,
     seed: int = 17,
     id_column: str = "doc_id",
@@ -128,7 +134,7 @@ def resample(
     """(id, log_weight, n_grams, sample_key, rank, selected) of every row of `docs`.
 
     `targets` (id column) names documents of the wanted kind. As many documents are drawn as have a log weight
-    that a share `keep` of the targets reaches; the draw is by Gumbel top-k on log weight + temperature * noise, where the
+    that a share `keep` of the targets reaches, or less by at most `margin`; the draw is by Gumbel top-k on log weight + temperature * noise, where the
     noise is a hash of the id and the seed. Ties go to the smaller id. Null and empty texts have log weight 0; repeated
     rows are ranked each (and drawn or not together, but for the last rank); null ids get the noise of an empty id.
     Without targets, everything is drawn. Other columns are ignored.
@@ -137,7 +143,7 @@ def resample(
     uniform = (F.shiftrightunsigned(F.xxhash64(F.col(id_column).cast("string"), F.lit(seed)), 11) + 0.5) / float(1 << 53)
     key = F.col("log_weight") - temperature * F.log(-F.log(uniform))
     scored = materialize(score(docs, ratios, id_column, text_column).withColumn("sample_key", key), "quality")
-    wanted = scored.where(F.col("log_weight") >= cutoff(scored, targets, keep, id_column)).count()
+    wanted = scored.where(F.col("log_weight") >= cutoff(scored, targets, keep, id_column) - margin).count()
     return number_globally(scored, [F.desc("sample_key"), F.asc(id_column)], "rank").withColumn(
         "selected", F.col("rank") <= wanted
     )
