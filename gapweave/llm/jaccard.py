@@ -28,8 +28,10 @@ PERCENT = 75
 #: Counters of the frequency sketch. More tokens than counters only make the orders less telling.
 COUNTERS = 1 << 20
 ORDERS = 3
-#: Tokens that one task counts at once.
-PART_TOKENS = 3_000_000
+#: Tokens that one task counts at once, and classes whose counts one task adds up.
+PART_TOKENS, HOME_CLASSES = 3_000_000, 100_000
+#: Words of 64 bits in the mask of a set.
+MASK_WORDS = 16
 _SLICES = 64
 
 
@@ -81,10 +83,11 @@ def _classes(docs: DataFrame, words: int, kind: str) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, n bigint, class bigint")
 
 
-def _shared_counts(docs: DataFrame, words: int, parts: int) -> DataFrame:
+def _shared_counts(docs: DataFrame, words: int, parts: int, homes: int) -> DataFrame:
     """(class, shared): how many tokens of a class are in other classes too.
 
-    Tokens go to `parts` stretches of their hash as packed arrays; a class counts once per task.
+    Tokens go to `parts` stretches of their hash as packed arrays; a class counts once per task. The counts of
+    the parts are added up in `homes` groups of classes.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,12 +124,24 @@ def _shared_counts(docs: DataFrame, words: int, parts: int) -> DataFrame:
         shared[1:] |= token[1:] == token[:-1]
         shared[:-1] |= token[1:] == token[:-1]
         counts = np.bincount(owner[shared], minlength=len(owners))
-        some = counts > 0
-        return pd.DataFrame({"class": owners[some], "shared": counts[some]})
+        owners, counts = owners[counts > 0], counts[counts > 0]
+        home = (owners.view(np.uint64) % np.uint64(homes)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        bounds = np.searchsorted(home[order], np.arange(homes + 1))
+        used = np.flatnonzero(np.diff(bounds))
+        pack = lambda values, p: values[order][bounds[p] : bounds[p + 1]].astype(np.int64).tobytes()
+        return pd.DataFrame(
+            {"home": used, "classes": [pack(owners, p) for p in used], "counts": [pack(counts, p) for p in used]}
+        )
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        owner, count = (np.frombuffer(b"".join(frame[name]), np.int64) for name in ("classes", "counts"))
+        owners, at = np.unique(owner, return_inverse=True)
+        return pd.DataFrame({"class": owners, "shared": np.bincount(at, weights=count).astype(np.int64)})
 
     packed = docs.select("text").mapInArrow(spread, "part bigint, tokens binary, classes binary")
-    counted = packed.groupBy("part").applyInPandas(count, "class bigint, shared bigint")
-    return counted.groupBy("class").agg(F.sum("shared").alias("shared"))
+    counted = packed.groupBy("part").applyInPandas(count, "home bigint, classes binary, counts binary")
+    return counted.groupBy("home").applyInPandas(add, "class bigint, shared bigint")
 
 
 def _stored_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -199,6 +214,32 @@ def _possible(a: str, b: str):
     return most * (100 + PERCENT) >= PERCENT * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
+def _masks(sets: DataFrame) -> DataFrame:
+    """(class, m0, m1, ...): the bits that the tokens of a class hash to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((batch.num_rows, MASK_WORDS * 64), np.uint8)
+            for row, each in enumerate(batch.column(1)):
+                bits[row, (mix(np.frombuffer(each.as_buffer(), np.uint64)) % np.uint64(MASK_WORDS * 64)).astype(np.int64)] = 1
+            words = np.packbits(bits, axis=1).view(np.int64)
+            columns = [batch.column(0), *(pa.array(np.ascontiguousarray(words[:, w])) for w in range(MASK_WORDS))]
+            yield pa.RecordBatch.from_arrays(columns, ["class", *(f"m{w}" for w in range(MASK_WORDS))])
+
+    masks = ", ".join(f"m{w} bigint" for w in range(MASK_WORDS))
+    return sets.select("class", "tokens").mapInArrow(run, f"class bigint, {masks}")
+
+
+def _masks_allow(a: str, b: str):
+    """A bit that only one set has stands for a token at least that the other one lacks."""
+
+    def most(one: str, other: str):
+        lone = [F.bit_count(F.col(f"{one}.m{w}").bitwiseAND(F.bitwise_not(F.col(f"{other}.m{w}")))) for w in range(MASK_WORDS)]
+        return F.col(f"{one}.n") - sum(lone[1:], lone[0])
+
+    return F.least(most(a, b), most(b, a)) * (100 + PERCENT) >= PERCENT * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, sketch) -> DataFrame:
     """Those of the pairs (a, b) of classes that pass the other orders and then the exact test."""
 
@@ -270,7 +311,8 @@ def similar_documents(docs: DataFrame, words: int = 5, id_column: str = "doc_id"
     linkable = found.where(F.col("id").isNotNull() & (F.col("class") != 0))
     total = linkable.agg(F.sum("n")).first()[0] or 0
     groups = linkable.groupBy("class").agg(F.min("id").alias("first"), F.first("n").alias("n"))
-    shared = _shared_counts(rows, words, max(8, -(-total // PART_TOKENS)))
+    parts, homes = (max(12, -(-n // most)) for n, most in ((total, PART_TOKENS), (linkable.count(), HOME_CLASSES)))
+    shared = _shared_counts(rows, words, parts, homes)
     # A linked set shares at least PERCENT % of its tokens with another class.
     able = groups.join(shared, "class").where(100 * F.col("shared") >= PERCENT * F.col("n"))
     able = materialize(able.select(F.col("first").alias("id"), "class"), "able")
@@ -293,15 +335,24 @@ def similar_documents(docs: DataFrame, words: int = 5, id_column: str = "doc_id"
     links = materialize(_links(first_pairs, sets, sketch), "links")
     joined = components(links)
     placed = materialize(
-        postings.join(joined, postings["class"] == joined["node"], "left")
-        .join(pivots.select("token"), "token", "left_semi")
+        postings.join(pivots.select("token"), "token", "left_semi")
+        .join(joined, postings["class"] == joined["node"], "left")
         .select("token", "class", "n", "place", F.coalesce("component", "class").alias("component")),
         "postings",
     )
+    # Only tokens that still are in several components.
+    several = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    placed = placed.join(several.where("low <> high").select("token"), "token", "left_semi").join(_masks(sets), "class")
+    placed = materialize(placed, "postings")
     rest = (
         placed.alias("x")
         .join(placed.alias("y"), "token")
-        .where((F.col("x.class") < F.col("y.class")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y"))
+        .where(
+            (F.col("x.class") < F.col("y.class"))
+            & (F.col("x.component") != F.col("y.component"))
+            & _possible("x", "y")
+            & _masks_allow("x", "y")
+        )
         .select(*ordered)
         .distinct()
     )
