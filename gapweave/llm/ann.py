@@ -20,9 +20,9 @@ from gapweave.llm.topk import best_of, finite_vectors, pack, same_width, unpack
 #: Rows of the sample at most, neighbours in its graph, rows of a part per row of the sample that it should have.
 FIT_ROWS, FIT_NEIGHBOURS, FIT_ROWS_PER_PART = 8_192, 16, 48
 #: Share of a sample's true neighbours that its queries must find; sets how many parts are looked into.
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.95
 #: Rows of a block of a part, and queries that meet a block at once.
-BLOCK_ROWS, QUERY_ROWS = 4_096, 1_024
+BLOCK_ROWS, QUERY_ROWS = 16_384, 1_024
 _HIDDEN, _EPOCHS, _BATCH, _RATE = 96, 30, 256, 3e-3
 
 
@@ -200,7 +200,7 @@ def search(
     matrix = np.zeros((len(sample), width))
     for i, vector in enumerate(sample):
         matrix[i, : len(vector)] = vector
-    parts = int(max(1, min(len(sample) // FIT_ROWS_PER_PART, round(total**0.5 / 8))))
+    parts = int(max(1, min(len(sample) // FIT_ROWS_PER_PART, round(total**0.5 / 16))))
     router = fit_router(matrix, parts, k)
 
     def place(count: int):
