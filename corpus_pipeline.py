@@ -51,7 +51,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and digests of every document, in the order in which they come."""
     ship_package(spark)
     ranks = bpe.RankMap(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    encoded = bpe.encode(docs, ranks)
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return encoded.select(
         "doc_id",
         F.size("token_ids").cast("bigint").alias("n_tokens"),

@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding.
 
-Words are cut out by the JVM's regular expressions. The distinct words that most batches of documents hold are
-encoded once and broadcast (a bounded number). Then an Arrow pass numbers the words of many documents at once, so that
+An Arrow pass cuts the words out. The distinct words that most batches of documents hold are
+encoded once and broadcast (a bounded number). Then another pass numbers the words of many documents at once, so that
 every other distinct word is encoded once per batch. To encode, a higher-order function folds the ranked merges over
 the byte array of a word, with the ranks in a literal map. Decoding concatenates the pieces of the ids. Documents
 are not shuffled, and a lost task only repeats its own.
@@ -12,23 +12,20 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.storage import materialize
 
-#: The split pattern of the rank files, for the JVM: `\s` there means ASCII blanks only, hence the property.
-SPLIT = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
-    r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
-)
-#: A batch is closed once it holds so many words or so many bytes of words; this bounds the memory of a task.
-BATCH_WORDS, BATCH_BYTES = 2_000_000, 24 << 20
+#: A batch is closed once it holds so many words or so many distinct ones; this bounds the memory of a task.
+BATCH_WORDS, BATCH_DISTINCT = 2_000_000, 150_000
 #: Words that are encoded once for all batches, at most, and bytes of such a word.
 COMMON_WORDS, COMMON_BYTES = 400_000, 64
 #: Rows that leave the last pass at once hold about so many bytes.
@@ -243,23 +240,27 @@ def decode_words(ids: Column, ranks: RankMap) -> Column:
     )
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _distinct_words(pattern: str):
     """The distinct words of many documents at a time, without those too long to be common."""
 
-    def flush(kept: list[pa.Array]) -> pa.RecordBatch:
-        words = pc.unique(pa.concat_arrays(kept))
-        return pa.RecordBatch.from_arrays([words.filter(pc.less_equal(pc.binary_length(words), COMMON_BYTES))], ["word"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = regex.compile(pattern).findall
+        seen: set[str] = set()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(find(text.as_py() or ""))
+                if len(seen) >= BATCH_DISTINCT:
+                    yield _short_words(seen)
+                    seen = set()
+        if seen:
+            yield _short_words(seen)
 
-    kept, words = [], 0
-    for batch in batches:
-        flat = pc.unique(batch.column(0).flatten())
-        kept.append(flat)
-        words += len(flat)
-        if words >= BATCH_WORDS:
-            yield flush(kept)
-            kept, words = [], 0
-    if kept:
-        yield flush(kept)
+    return run
+
+
+def _short_words(words: set[str]) -> pa.RecordBatch:
+    column = pa.array(words, pa.string())
+    return pa.RecordBatch.from_arrays([column.filter(pc.less_equal(pc.binary_length(column), COMMON_BYTES))], ["word"])
 
 
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,13 +286,16 @@ def _word_structs(words: pa.Array, sizes: np.ndarray, ids: pa.Array) -> pa.Struc
     return pa.StructArray.from_arrays([ids, pa.ListArray.from_arrays(starts, pa.array(data))], ["ids", "bytes"])
 
 
-def common_words(words: DataFrame, ranks: RankMap, limit: int = COMMON_WORDS) -> tuple[pa.Array, pa.Array]:
+def common_words(
+    texts: DataFrame, ranks: RankMap, pattern: str, limit: int = COMMON_WORDS
+) -> tuple[pa.Array, pa.Array]:
     """The words that the most batches of documents hold, at most `limit`, and their ids.
 
     They are encoded once; all other words are encoded where they occur. The result is broadcast: at most `limit`
     words of at most `COMMON_BYTES` bytes.
     """
-    spread = words.select("words").mapInArrow(_distinct_words, "word string").groupBy("word").agg(F.count("*").alias("n"))
+    words = texts.select("text").mapInArrow(_distinct_words(pattern), "word string")
+    spread = words.groupBy("word").agg(F.count("*").alias("n"))
     spread = materialize(spread.where("n > 1").withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "words")
     levels = {row["level"]: row["count"] for row in spread.groupBy("level").count().collect()}  # a few hundred rows
     least, total = None, 0
@@ -310,7 +314,7 @@ def common_words(words: DataFrame, ranks: RankMap, limit: int = COMMON_WORDS) ->
     return texts.flatten().cast(pa.binary()), ids.flatten().cast(pa.list_(pa.int32()))
 
 
-def _number_words(vocabulary: dict[bytes, int], common):
+def _number_words(vocabulary: dict[bytes, int], common, pattern: str):
     """Batches of documents with their words -> one row per batch: the distinct words, and their numbers in each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,41 +325,39 @@ def _number_words(vocabulary: dict[bytes, int], common):
         known = pa.concat_arrays([pa.array(list(vocabulary), pa.binary()), common.value[0]])
         known_ids = pa.concat_arrays([single, common.value[1]])
 
-        def closed(kept: list[pa.RecordBatch]) -> pa.RecordBatch:
-            lists = pa.concat_arrays([b.column(1) for b in kept])
-            counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-            coded = lists.flatten().dictionary_encode()
-            words = coded.dictionary.cast(pa.binary())
+        def closed(ids: list, counts: list[int], codes: array, index: dict[str, int]) -> pa.RecordBatch:
+            words = pa.array(index, pa.string()).cast(pa.binary())
             sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-            ids = known_ids.take(pc.index_in(words, known))
-            long = np.flatnonzero((sizes > FOLD_BYTES) & ids.is_null().to_numpy(zero_copy_only=False))
+            word_ids = known_ids.take(pc.index_in(words, known))
+            long = np.flatnonzero((sizes > FOLD_BYTES) & word_ids.is_null().to_numpy(zero_copy_only=False))
             if len(long):
-                filled = ids.to_pylist()
+                filled = word_ids.to_pylist()
                 for i in long:
                     filled[i] = encode_long_word(words[i].as_py(), vocabulary)
-                ids = pa.array(filled, pa.list_(pa.int32()))
+                word_ids = pa.array(filled, pa.list_(pa.int32()))
             return pa.RecordBatch.from_arrays(
                 [
-                    _one_list(pa.concat_arrays([b.column(0) for b in kept])),
-                    pa.array([counts.tobytes()], pa.binary()),
-                    pa.array([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()),
-                    _one_list(_word_structs(words, sizes, ids)),
+                    _one_list(pa.concat_arrays(ids)),
+                    pa.array([np.array(counts, np.int64).tobytes()], pa.binary()),
+                    pa.array([codes.tobytes()], pa.binary()),
+                    _one_list(_word_structs(words, sizes, word_ids)),
                 ],
                 ["ids", "counts", "codes", "words"],
             )
 
-        kept, words, size = [], 0, 0
+        find = regex.compile(pattern).findall
+        ids, counts, codes, index = [], [], array("i"), {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            kept.append(batch)
-            words += len(batch.column(1).flatten())
-            size += batch.column(1).nbytes
-            if words >= BATCH_WORDS or size >= BATCH_BYTES:
-                yield closed(kept)
-                kept, words, size = [], 0, 0
-        if kept:
-            yield closed(kept)
+            for row, text in enumerate(batch.column(1)):
+                words = find(text.as_py() or "")
+                codes.extend([index.setdefault(word, len(index)) for word in words])
+                counts.append(len(words))
+                ids.append(batch.column(0).slice(row, 1))
+                if len(index) >= BATCH_DISTINCT or len(codes) >= BATCH_WORDS:
+                    yield closed(ids, counts, codes, index)
+                    ids, counts, codes, index = [], [], array("i"), {}
+        if counts:
+            yield closed(ids, counts, codes, index)
 
     return run
 
@@ -389,8 +391,10 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 first = last
 
 
-def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Encodes every whole text and decodes the ids again.
+def encode(
+    docs: DataFrame, ranks: RankMap, pattern: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """Encodes every whole text and decodes the ids again. `pattern` cuts texts into words.
 
     Returns one row per row of `docs`: the id column (repeated or null ids included), `token_ids`
     (array<int>, without special tokens) and `decoded` (the bytes of the ids). A null text counts as empty and
@@ -398,13 +402,10 @@ def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_colu
     beyond that n * log(n).
     """
     id_type = docs.schema[id_column].dataType.simpleString()
-    words = docs.select(
-        F.col(id_column).alias("id"),
-        F.regexp_extract_all(F.coalesce(F.col(text_column), F.lit("")), F.lit(SPLIT), F.lit(0)).alias("words"),
-    )
-    common = docs.sparkSession.sparkContext.broadcast(common_words(words, ranks))
-    numbered = words.mapInArrow(
-        _number_words(ranks.pieces, common),
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    common = docs.sparkSession.sparkContext.broadcast(common_words(texts, ranks, pattern))
+    numbered = texts.mapInArrow(
+        _number_words(ranks.pieces, common, pattern),
         f"ids array<{id_type}>, counts binary, codes binary, words array<struct<ids:array<int>,bytes:array<smallint>>>",
     )
     encoded = numbered.select("ids", "counts", "codes", encode_words(F.col("words"), ranks).alias("tokens"))
