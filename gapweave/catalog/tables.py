@@ -89,7 +89,7 @@ def scan_skip_corrupt(spark, sf):
     paths = [write_parquet(healthy[n], f"{base}/{n}.parquet") for n in ("customer", "part")]
     broken = f"{base}/broken.parquet"
     table(spark, sf, "benchmark").select("text").write.text(broken)
-    return load_files(spark, [broken, *paths], "parquet").df
+    return load_files(spark, [broken, *paths], "parquet", skip_corrupt=True).df
 
 
 def normalize_na_tokens(spark, sf):
@@ -265,7 +265,7 @@ ORACLE = {
         SELECT _source AS source, count(*) AS "rows",
                CASE _source WHEN 'benchmark' THEN 2 WHEN 'conversations' THEN 4
                             WHEN 'documents' THEN 5 ELSE 3 END AS columns,
-               CASE WHEN count(*) = 0 THEN 'empty' ELSE 'ok' END AS verdict
+               0 AS rows_rejected, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'ok' END AS verdict
         FROM loaded GROUP BY _source""",
     "roundtrip_csv": _REGISTER,
     "roundtrip_parquet": _REGISTER,

@@ -44,7 +44,7 @@ DATE_FORMATS = (
     "dd.MM.yyyy",
 )
 
-INDEX_TYPES = ("flat", "cells", "ivfflat", "hnsw")
+INDEX_TYPES = ("flat", "prefix", "cells", "ivfflat", "hnsw")
 OUTPUT_FORMATS = ("csv", "parquet", "json")
 
 
@@ -59,6 +59,10 @@ class ConsolidationConfig:
     narrow_types: bool = True
     save_csv: bool = True
     save_parquet: bool = True
+    # CSV with line breaks in quotes; False lets large files be split.
+    multi_line: bool = True
+    # Leave damaged files out, whole and named in the report, instead of failing.
+    skip_corrupt: bool = False
 
     def __post_init__(self):
         if not self.required_columns:
@@ -82,6 +86,8 @@ class CompletionConfig:
     include_scores: bool = True
     output_format: str = "csv"
     backup_original: bool = True
+    overwrite: bool = False
+    multi_line: bool = True
 
     def __post_init__(self):
         if not 0.0 <= self.threshold <= 1.0:

@@ -93,8 +93,11 @@ def missing_columns_by_source(
     return result
 
 
-def combination_stats(dfs: Sequence[DataFrame], combined: DataFrame) -> DataFrame:
-    """One row: inputs, rows before and after, rows removed, columns kept."""
+def combination_stats(dfs: Sequence[DataFrame], combined: DataFrame, files: int | None = None) -> DataFrame:
+    """One row: inputs, rows before and after, rows removed, columns kept.
+
+    `files` gives the number of inputs where `dfs` holds them as one union already.
+    """
     before = [df.groupBy().agg(F.count("*").alias("n")).withColumn("final", F.lit(False)) for df in dfs]
     counts = combined.groupBy().agg(F.count("*").alias("n")).withColumn("final", F.lit(True))
     for part in before:
@@ -102,7 +105,7 @@ def combination_stats(dfs: Sequence[DataFrame], combined: DataFrame) -> DataFram
     original = F.coalesce(F.sum(F.when(~F.col("final"), F.col("n"))), F.lit(0))
     final = F.sum(F.when(F.col("final"), F.col("n")))
     return counts.groupBy().agg(
-        F.lit(len(dfs)).cast("bigint").alias("files_combined"),
+        F.lit(len(dfs) if files is None else files).cast("bigint").alias("files_combined"),
         original.alias("original_total_rows"),
         final.alias("final_rows"),
         (original - final).alias("rows_removed"),

@@ -44,7 +44,8 @@ def narrow_numbers(
     for i, name in enumerate(doubles):
         c = quoted(name)
         as_float = c.cast("float").cast("double")
-        faithful = (as_float == c) | (F.abs(as_float - c) <= tolerance)
+        # A value other than zero must not become zero, however small it is.
+        faithful = (as_float == c) | ((F.abs(as_float - c) <= tolerance) & ((as_float != 0) | (c == 0)))
         measures.append(F.bool_and(faithful).alias(f"ok{i}"))
     stats = df.agg(*measures).first()
     target = {}

@@ -164,16 +164,24 @@ def cardinality_ratio(
     )
 
 
+def _value_bytes(name: str, kind: str):
+    """Bytes of the values of a column; nested values count as long as their JSON."""
+    if kind in ("string", "binary") or kind.startswith(("char", "varchar")):
+        return F.coalesce(F.sum(F.octet_length(quoted(name))), F.lit(0))
+    if kind.startswith("decimal"):
+        digits = int(kind[len("decimal(") :].split(",")[0])
+        return F.count(quoted(name)) * (8 if digits <= 18 else 16)
+    if kind.startswith(("array", "map", "struct")):
+        return F.coalesce(F.sum(F.octet_length(F.to_json(quoted(name)))), F.lit(0))
+    return F.count(quoted(name)) * TYPE_WIDTHS.get(kind, 8)
+
+
 def footprint(df: DataFrame) -> DataFrame:
     """Bytes of the values of each column: text by its length, other types by their width."""
     wide = df.groupBy().agg(
         F.count("*").alias("rows"),
         *[
-            (
-                F.coalesce(F.sum(F.octet_length(quoted(name))), F.lit(0))
-                if kind == "string"
-                else F.count(quoted(name)) * TYPE_WIDTHS[kind]
-            ).cast("bigint").alias(f"bytes_{i}")
+            _value_bytes(name, kind).cast("bigint").alias(f"bytes_{i}")
             for i, (name, kind) in enumerate(df.dtypes)
         ],
     )

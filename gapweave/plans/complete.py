@@ -26,6 +26,7 @@ from gapweave.operators.validate import drop_unusable, require_valid, rows_needi
 from gapweave.sources.files import load_typed, normalize_na
 from gapweave.sources.sinks import (
     report_document,
+    resolve_output,
     save_completed,
     write_json_document,
 )
@@ -123,6 +124,10 @@ def complete(
     if target_key is None:
         target = _with_key(target, t_key, "target")
     incomplete = rows_needing_fill(target, fields)
+    if incomplete.isEmpty():
+        # Nothing is missing: no search, no score columns.
+        unchanged = target.drop(t_key) if target_key is None else target
+        return order_output_columns(unchanged, config.include_scores, fields)
     text = record_text(fields, labels, config.max_tokens).alias("text")
     neighbours = find_matches(
         master.select(quoted(m_key).alias(MASTER_KEY), text),
@@ -152,8 +157,9 @@ def run_completion(
 ) -> dict:
     """Load both tables, complete the target, save it with its report. Errors are raised."""
     fields = list(COLUMN_ALIASES)
-    master = normalize_na(load_typed(spark, master_path))
-    target = normalize_na(load_typed(spark, target_path))
+    output = resolve_output(spark, target_path, output, config)
+    master = normalize_na(load_typed(spark, master_path, multi_line=config.multi_line))
+    target = normalize_na(load_typed(spark, target_path, multi_line=config.multi_line))
     completed = complete(master, target, config, target_key, master_key, encoder)
     written = save_completed(completed, target_path, output, config)
     saved = normalize_na(load_typed(spark, written))
@@ -163,6 +169,7 @@ def run_completion(
     )
     original = add_missing_columns(resolve_aliases(target), fields)
     report = report_document(completion_report(original, saved, fields))
+    report["records"] = report.get("records", {}) | {"master": {"rows": master.count()}, "target": {"rows": target.count()}}
     report["output_file"] = written
     report["configuration"] = config.describe()
     stem = written.rsplit(".", 1)[0]

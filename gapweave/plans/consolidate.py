@@ -16,7 +16,7 @@ from gapweave.operators.combine import (
     union_by_name,
 )
 from gapweave.operators.narrow import category_columns, narrow_types
-from gapweave.operators.profile import footprint_summary
+from gapweave.operators.profile import footprint, footprint_reduction, footprint_summary, sample_values
 from gapweave.operators.report import processing_report
 from gapweave.operators.validate import validate_null_ratio
 from gapweave.sources.files import (
@@ -29,10 +29,12 @@ from gapweave.sources.files import (
 )
 from gapweave.sources.sinks import (
     report_document,
+    run_timestamp,
     save_multi_format,
     verify_write,
     write_json_document,
 )
+from gapweave.storage import materialize
 
 
 def combine(dfs: Sequence[DataFrame], config: ConsolidationConfig = ConsolidationConfig()) -> DataFrame:
@@ -44,7 +46,10 @@ def combine(dfs: Sequence[DataFrame], config: ConsolidationConfig = Consolidatio
 
 
 def consolidate(dfs: Sequence[DataFrame], config: ConsolidationConfig = ConsolidationConfig()) -> DataFrame:
-    combined = combine(dfs, config)
+    return narrow(combine(dfs, config), config)
+
+
+def narrow(combined: DataFrame, config: ConsolidationConfig = ConsolidationConfig()) -> DataFrame:
     if not config.narrow_types:
         return combined
     return narrow_types(combined, config.date_columns, config.date_formats)
@@ -59,12 +64,15 @@ def run_consolidation(
     config: ConsolidationConfig = ConsolidationConfig(),
 ) -> dict:
     """Load, combine, check, narrow, save and report. Errors are raised, not turned into a status."""
-    load = load_files(spark, discover_files(spark, directory, pattern), format_of(pattern))
+    paths = discover_files(spark, directory, pattern)
+    load = load_files(spark, paths, format_of(pattern), config.multi_line, config.skip_corrupt)
     checks = load_validation(load).collect()
     if any(r["verdict"] == "no_columns" for r in checks):
         raise ValueError("A source has no columns")
     raw = drop_source(load.df)
-    result = consolidate([raw], config)
+    # Stored once: narrowing measures it, casts it, and its size is compared with the result.
+    combined = materialize(combine([raw], config), "combined")
+    result = narrow(combined, config)
     saved = save_multi_format(result, output, prefix, config)
     fmt = "parquet" if "parquet" in saved else "csv"
     written = load_typed(spark, saved[fmt])
@@ -72,13 +80,25 @@ def run_consolidation(
     if not all(r["verified"] for r in verified):
         raise ValueError(f"Written data differs from the result: {verified}")
     report = report_document(
-        processing_report(written, combination_stats([raw], written), footprint_summary(written))
+        processing_report(written, combination_stats([raw], written, len(load.columns)), footprint_summary(written))
     )
     report["null_ratio"] = {r["column"]: r["severity"] for r in validate_null_ratio(written).collect()}
     report["category_columns"] = list(category_columns(written))
     report["missing_columns"] = missing_required(raw.columns, config.required_columns)
-    report["skipped_sources"] = list(load.skipped)
-    report["sources"] = {r["source"]: {"rows": r["rows"], "columns": r["columns"]} for r in checks}
+    report["skipped_sources"] = dict(load.reasons)
+    report["sources"] = {
+        r["source"]: {"rows": r["rows"], "rows_rejected": r["rows_rejected"], "columns": r["columns"]} for r in checks
+    }
+    report["data_types"] = dict(result.dtypes)
+    report["narrowing"] = {
+        r["column"]: {k: r[k] for k in ("bytes_before", "bytes_after", "reduction_percent")}
+        for r in footprint_reduction(footprint(combined), footprint(result)).collect()
+    }
+    samples: dict[str, list] = {}
+    for row in sample_values(written).orderBy("column", "position").collect():
+        samples.setdefault(row["column"], []).append(row["value"])
+    report["sample_values"] = samples
+    report["processing_date"] = run_timestamp()
     report["output_files"] = dict(saved)
     report["configuration"] = config.describe()
     stem = saved[fmt].rsplit(".", 1)[0]

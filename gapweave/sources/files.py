@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import logging
 import os
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json"}
 # Columns the loaders add; they are dropped from the data, not from the lineage.
 SOURCE = "_source"
 CORRUPT = "_corrupt_record"
+REJECTED = "_rejected"
 
 
 def format_of(path: str) -> str:
@@ -34,22 +37,30 @@ def format_of(path: str) -> str:
 
 
 def discover_files(spark: SparkSession, directory: str, pattern: str = "*.csv") -> list[str]:
-    """Sorted paths of the files below `directory` whose name fits `pattern`.
+    """Sorted paths of the files below `directory` whose name fits `pattern`, empty ones included.
 
-    Only the listing is read: the scan's content column is pruned.
+    A folder whose name fits is one table of part files: it is listed as such and not looked into, so the list
+    grows with the tables, not with their parts. Hidden names (`_` or `.` first) are passed over.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-    )
-    try:
-        rows = listing.load(directory).select("path").collect()
-    except PySparkException as error:
-        raise FileNotFoundError(f"Directory not found: {directory}") from error
-    if not rows:
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(directory)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root) or not system.getFileStatus(root).isDirectory():
+        raise FileNotFoundError(f"Directory not found: {directory}")
+    fits = jvm.org.apache.hadoop.fs.GlobFilter(pattern)
+    found, waiting = [], [root]
+    while waiting:
+        for status in system.listStatus(waiting.pop()):
+            path = status.getPath()
+            if path.getName().startswith(("_", ".")):
+                continue
+            if fits.accept(path):
+                found.append(path.toString())
+            elif status.isDirectory():
+                waiting.append(path)
+    if not found:
         raise FileNotFoundError(f"No files like {pattern} in {directory}")
-    return sorted(r["path"] for r in rows)
+    return sorted(found)
 
 
 def _reader(spark: SparkSession, fmt: str, multi_line: bool = True):
@@ -67,63 +78,141 @@ def _reader(spark: SparkSession, fmt: str, multi_line: bool = True):
     return reader
 
 
+# Errors of a job that PySpark does not translate come as Py4JJavaError.
+_SPARK_ERRORS = (PySparkException, Py4JJavaError)
+# What errors say when a file's content cannot be read, and when something else was in the way.
+_DAMAGE = re.compile(
+    "FAILED_READ_FILE|CANNOT_READ_FILE_FOOTER|UNABLE_TO_INFER_SCHEMA|is not a Parquet file|[Cc]ould not read footer"
+    "|Decoding|[Cc]orrupt|[Mm]alformed|EOFException"
+)
+_TROUBLE = re.compile("[Tt]ime(d )?[Oo]ut|SocketException|ConnectException|UnknownHost|FILE_NOT_EXIST|AccessControl|Lost executor")
+
+
 @dataclass(frozen=True)
 class Load:
-    """All-string table with a `_source` column, the columns of each source, and what was skipped."""
+    """All-string table with a `_source` column, the columns of each source, and what was left out.
+
+    `scanned` has all rows that were read, with `_rejected` for those that do not parse; `df` is the rest of them.
+    `skipped` names the sources that could not be read, `reasons` says why.
+    """
 
     df: DataFrame
     columns: dict[str, tuple[str, ...]]
     skipped: tuple[str, ...]
+    scanned: DataFrame
+    reasons: dict[str, str]
 
 
-def load_files(spark: SparkSession, paths: Sequence[str], fmt: str, multi_line: bool = True) -> Load:
+def load_files(
+    spark: SparkSession, paths: Sequence[str], fmt: str, multi_line: bool = True, skip_corrupt: bool = False
+) -> Load:
     """Union of the files by column name, every value as text.
 
     Schemas are looked at on the driver, several at a time. Files with equal columns then share one
-    scan, so the plan grows with the number of layouts, not of files. A file whose schema cannot be
-    read is logged and left out; broken blocks and rows of the others are dropped while scanning.
+    scan, so the plan grows with the number of layouts, not of files. A file that cannot be read fails the load,
+    at once or while scanning. With `skip_corrupt` all files are read through first, and those with damage
+    are left out whole, logged and named in `skipped`; any other error, such as a time-out, still fails. Rows that do
+    not parse are counted by `load_validation`. A file without columns is kept as a source without rows.
     """
+    names = source_names(paths)
+    reasons: dict[str, str] = {}
+
+    def skip(path: str, error: Exception) -> None:
+        if not (skip_corrupt and _is_damage(error)):
+            raise error
+        lines = [line.strip() for line in str(error).splitlines() if line.strip()]
+        reasons[names[path]] = next((line for line in lines if _DAMAGE.search(line)), lines[0])[:500]
+        log.warning("Skipped %s: %s", path, reasons[names[path]])
 
     def layout(path: str):
         try:
             schema = _reader(spark, fmt, multi_line).load(path).schema
-        except Exception as error:
-            log.warning("Skipped %s: %s", path, str(error).splitlines()[0])
+        except _SPARK_ERRORS as error:
+            skip(path, error)
             return None
-        names = tuple(n for n in schema.names if n != CORRUPT)
-        return (names, schema.json()) if names else None
+        return tuple(n for n in schema.names if n != CORRUPT), schema.json()
 
     with ThreadPoolExecutor(16) as pool:
-        layouts = list(pool.map(layout, paths))
+        layouts = dict(zip(paths, pool.map(layout, paths)))
+    columns = {names[path]: found[0] for path, found in layouts.items() if found}
     groups: dict[tuple, list[str]] = {}
-    for path, found in zip(paths, layouts):
-        if found:
-            groups.setdefault(found, []).append(path)
-    if not groups:
-        raise ValueError("No file could be loaded")
+    for path, found in layouts.items():
+        if found and found[0]:
+            # Sources that are named by their folder cannot be told apart by the scan, so they get one each.
+            own = names[path] if names[path] != source_name(path) else None
+            groups.setdefault((*found, own), []).append(path)
     frames = []
-    for (names, schema_json), members in groups.items():
-        frames.append(_scan(_reader(spark, fmt, multi_line), members, fmt, names, schema_json))
-    columns = {source_name(p): found[0] for p, found in zip(paths, layouts) if found}
-    skipped = tuple(source_name(p) for p, found in zip(paths, layouts) if not found)
-    return Load(union_by_name(frames), columns, skipped)
+    for (fields, schema_json, own), members in groups.items():
+        scan = lambda chosen: _scan(_reader(spark, fmt, multi_line), chosen, fmt, fields, schema_json, own)
+        if skip_corrupt:
+            members = _readable(scan, members, skip)
+        if members:
+            frames.append(scan(members))
+    if not frames:
+        raise ValueError("No file could be loaded")
+    for name in reasons:
+        columns.pop(name, None)
+    scanned = union_by_name(frames)
+    return Load(scanned.where(~F.col(REJECTED)).drop(REJECTED), columns, tuple(sorted(reasons)), scanned, reasons)
+
+
+def _is_damage(error: Exception) -> bool:
+    """Whether the content of a file is at fault, rather than the store or the job."""
+    text = str(error)
+    return bool(_DAMAGE.search(text)) and not _TROUBLE.search(text)
+
+
+def _readable(scan, paths: list[str], skip) -> list[str]:
+    """The paths whose data can be read to the end. Damaged ones are found by halving, so few jobs run if few are."""
+    try:
+        _fingerprint(scan(paths)).collect()
+        return paths
+    except _SPARK_ERRORS as error:
+        if len(paths) == 1:
+            skip(paths[0], error)
+            return []
+    half = len(paths) // 2
+    return _readable(scan, paths[:half], skip) + _readable(scan, paths[half:], skip)
 
 
-def _scan(reader, paths, fmt, names, schema_json) -> DataFrame:
+def _fingerprint(df: DataFrame) -> DataFrame:
+    """One row that depends on every value, so that no column of any file stays unread."""
+    return df.groupBy().agg(F.max(F.xxhash64(*[quoted(c) for c in df.columns])).alias("fingerprint"))
+
+
+def _scan(reader, paths, fmt, names, schema_json, own) -> DataFrame:
     schema = T.StructType.fromJson(json.loads(schema_json))
-    reader = reader.option("ignoreCorruptFiles", "true").option("mode", "PERMISSIVE")
-    kept = None
+    reader = reader.option("ignoreCorruptFiles", "false").option("mode", "PERMISSIVE")
+    rejected = F.lit(False)
     if fmt != "parquet":
-        # A row that does not fit the layout is flagged; it is left out if nothing of it could be read.
+        # A row that does not fit the layout is flagged; it is rejected if nothing of it could be read.
         fields = [f for f in schema.fields if f.name != CORRUPT]
         schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        kept = F.col(CORRUPT).isNull() | F.coalesce(*[quoted(c) for c in names]).isNotNull()
+        rejected = F.col(CORRUPT).isNotNull() & F.coalesce(*[quoted(c) for c in names]).isNull()
     df = reader.schema(schema).load(list(paths))
-    if kept is not None:
-        df = df.where(kept)
     columns = [quoted(c).cast("string").alias(c) for c in names]
-    return df.select(*columns, _source_column().alias(SOURCE))
+    source = _source_column() if own is None else F.lit(own)
+    return df.select(*columns, source.alias(SOURCE), rejected.alias(REJECTED))
+
+
+def source_names(paths: Sequence[str]) -> dict[str, str]:
+    """A name for each path: that of the table or file, with its folders if several share it."""
+    short: dict[str, list[str]] = {}
+    for path in paths:
+        short.setdefault(source_name(path), []).append(path)
+    names = {}
+    for name, members in short.items():
+        if len(members) == 1:
+            names[members[0]] = name
+            continue
+        parts = {path: path.rstrip("/").split("/") for path in members}
+        same = len(os.path.commonprefix([p[:-1] for p in parts.values()]))
+        for path, own in parts.items():
+            names[path] = "/".join([*own[same:-1], os.path.splitext(own[-1])[0]])
+    if len(set(names.values())) < len(names):  # equal but for the extension
+        names = {path: path.rstrip("/").split("/")[-1] if len(short[source_name(path)]) > 1 else n for path, n in names.items()}
+    return names
 
 
 def source_name(path: str) -> str:
@@ -172,21 +261,41 @@ def normalize_na(df: DataFrame) -> DataFrame:
     )
 
 
-def load_summary(load: Load) -> DataFrame:
-    """(source, rows, columns) of every source that was loaded, also of those without rows."""
-    counts = load.df.groupBy(F.col(SOURCE).alias("source")).agg(F.count("*").alias("rows"))
+def _source_facts(load: Load) -> DataFrame:
+    """(source, rows, rows_rejected, columns) of every source that was loaded, also of those without rows.
+
+    Rows are counted as they are scanned: all columns are read, so data that cannot be read fails here.
+    """
+    values = [quoted(c) for c in load.scanned.columns]
+    counts = load.scanned.groupBy(F.col(SOURCE).alias("source")).agg(
+        F.sum(F.when(F.col(REJECTED), 0).otherwise(1)).alias("rows"),
+        F.sum(F.when(F.col(REJECTED), 1).otherwise(0)).alias("rows_rejected"),
+        F.max(F.xxhash64(*values)).alias("read"),
+    )
     listing = load.df.sparkSession.createDataFrame(
         [(name, len(columns)) for name, columns in load.columns.items()], "source string, columns bigint"
     )
-    return listing.join(counts, "source", "left").select(
-        "source", F.coalesce("rows", F.lit(0)).alias("rows"), "columns"
-    )
+    read = lambda name: F.when(F.col("read").isNull(), F.lit(0)).otherwise(F.col(name)).alias(name)
+    return listing.join(counts, "source", "left").select("source", read("rows"), read("rows_rejected"), "columns")
+
+
+def load_summary(load: Load) -> DataFrame:
+    """(source, rows, columns) of every source that was loaded, also of those without rows."""
+    return _source_facts(load).select("source", "rows", "columns")
 
 
 def load_validation(load: Load) -> DataFrame:
-    """Load summary with a verdict per source: `ok`, `empty` (a warning) or `no_columns` (a failure)."""
+    """Load summary with the rows that did not parse and a verdict per source.
+
+    `ok`, `empty` (a warning), `no_columns` (a failure) or `skipped` (a source that could not be read).
+    """
     verdict = F.when(F.col("columns") == 0, "no_columns").when(F.col("rows") == 0, "empty").otherwise("ok")
-    return load_summary(load).select("source", "rows", "columns", verdict.alias("verdict"))
+    facts = _source_facts(load).select("source", "rows", "columns", "rows_rejected", verdict.alias("verdict"))
+    if not load.skipped:
+        return facts
+    left_out = load.df.sparkSession.createDataFrame([(name,) for name in load.skipped], "source string")
+    nothing = [F.lit(0).cast("bigint").alias(c) for c in ("rows", "columns", "rows_rejected")]
+    return facts.unionByName(left_out.select("source", *nothing, F.lit("skipped").alias("verdict")))
 
 
 def drop_source(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gapweave.config import CompletionConfig, ConsolidationConfig
 from gapweave.operators.columns import order_output_columns
 from gapweave.sources.files import FORMATS, format_of, load_typed
+from gapweave.storage import remove_scratch
 
 log = logging.getLogger(__name__)
 
@@ -78,12 +79,13 @@ def save_multi_format(
     if config.save_parquet:
         saved["parquet"] = write_parquet(df, paths["parquet"])
         df = df.sparkSession.read.schema(df.schema).parquet(paths["parquet"])
-    if config.save_csv:
-        saved["csv"] = write_csv(df, paths["csv"])
-        if not config.save_parquet:
-            df = load_typed(df.sparkSession, paths["csv"])
+    # The stored table is looked at, so that the plan does not run twice; nothing of an empty one stays.
     if df.isEmpty():
+        for path in saved.values():
+            remove_scratch(df.sparkSession, path)
         raise ValueError("The table to save is empty")
+    if config.save_csv:
+        saved["csv"] = write_csv(df, paths["csv"])
     return saved
 
 
@@ -107,6 +109,28 @@ def backup_snapshot(spark: SparkSession, path: str) -> str | None:
         return None
 
 
+def resolve_output(
+    spark: SparkSession, original: str, output: str | None = None, config: CompletionConfig = CompletionConfig()
+) -> str:
+    """The path that a completed table will get; an unknown extension falls back to CSV.
+
+    To be called before any work: a path that exists is refused unless `config.overwrite` is set, and the
+    original is never written over, since it is read while the result is written.
+    """
+    output = output or completed_path(original, config.output_format)
+    stem, extension = os.path.splitext(output.rstrip("/"))
+    if extension.lower() not in FORMATS:
+        log.warning("Unsupported output format %s, saved as CSV", extension)
+        output = f"{stem}.csv"
+    path = spark._jvm.org.apache.hadoop.fs.Path(output)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.makeQualified(path).equals(system.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(original))):
+        raise ValueError(f"The output is the original: {output}")
+    if not config.overwrite and system.exists(path):
+        raise FileExistsError(f"The output exists: {output}")
+    return output
+
+
 def save_completed(
     df: DataFrame,
     original: str,
@@ -114,18 +138,15 @@ def save_completed(
     config: CompletionConfig = CompletionConfig(),
 ) -> str:
     """Write a completed table by the extension of `output`; an unknown one falls back to CSV."""
-    output = output or completed_path(original, config.output_format)
+    output = resolve_output(df.sparkSession, original, output, config)
     if config.backup_original:
         backup_snapshot(df.sparkSession, original)
     ordered = order_output_columns(df, config.include_scores)
-    stem, extension = os.path.splitext(output.rstrip("/"))
-    if extension.lower() not in FORMATS:
-        log.warning("Unsupported output format %s, saved as CSV", extension)
-        output = f"{stem}.csv"
+    writer = ordered.write.mode("overwrite" if config.overwrite else "errorifexists")
     fmt = format_of(output)
     if fmt == "csv":
-        return write_csv(ordered, output)
-    ordered.write.format(fmt).save(output)
+        writer = writer.option("header", "true").option("escape", '"')
+    writer.format(fmt).save(output)
     return output
 
 

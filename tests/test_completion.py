@@ -211,6 +211,14 @@ def test_consolidation_from_files_to_files(spark, tmp_path):
     assert dict(df.dtypes)["created_on"] == "timestamp_ntz"
     assert {r["Equipment Description"] for r in df.collect()} == {'a "b", c', None}
     report = read_json(spark, result["saved_files"]["report"])
-    assert report["sources"]["c"] == {"rows": 0, "columns": 2}
+    assert report["sources"]["c"] == {"rows": 0, "rows_rejected": 0, "columns": 2}
     assert report["missing_columns"] == ["Chngd On", "Manufacturer of Asset"]
     assert report["processing_statistics"]["total"]["rows_removed"] == 1
+
+
+def test_nothing_missing_leaves_the_target_as_it_is(spark):
+    rows = [("1", "pump", "water pump"), ("2", "fan", "roof fan")]
+    master = spark.createDataFrame(rows, "id string, equipment_type string, equipment_description string")
+    done = complete(master, master, CompletionConfig(), target_key="id", master_key="id")
+    assert sorted(done.columns) == sorted(master.columns)
+    assert sorted(map(tuple, done.select(*master.columns).collect())) == rows
