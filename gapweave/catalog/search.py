@@ -111,6 +111,13 @@ def complete_records(spark, sf):
     return complete(*record_sides(spark, sf), target_key="doc_id", master_key="doc_id")
 
 
+def complete_without_gaps(spark, sf):
+    """Documents that all have a label: nothing is searched and nothing changes."""
+    master, _ = record_sides(spark, sf)
+    whole = master.where("equipment_description is not null")
+    return complete(whole, whole, target_key="doc_id", master_key="doc_id")
+
+
 def _completed(spark, sf):
     return records(spark, sf), materialize(complete_records(spark, sf), "completed")
 
@@ -177,6 +184,7 @@ QUERIES = {
     "vector_stats": stats_of_vectors,
     "vector_validation": checks_of_vectors,
     "complete_records": complete_records,
+    "complete_without_gaps": complete_without_gaps,
 }
 
 _ALL_PAIRS = """
@@ -325,4 +333,8 @@ ORACLE = {
         UNION ALL SELECT 'records_without_vector', count(*) FROM documents
           WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)""",
     "complete_records": f"WITH {MATCHES_SQL} SELECT * FROM completed",
+    "complete_without_gaps": """
+        SELECT doc_id, CAST(quality AS VARCHAR) AS equipment_type, text AS equipment_description
+        FROM documents JOIN labels USING (doc_id)
+        WHERE quality IS NOT NULL AND text IS NOT NULL""",
 }

@@ -49,22 +49,35 @@ class DenseScorer:
         return _DenseIndex(vector_matrix(masters[self.column]))
 
 
+def _copy_ranks(group: np.ndarray) -> np.ndarray:
+    """For each row, how many rows before it are of the same group."""
+    order = np.argsort(group, kind="stable")
+    ordered = group[order]
+    ranks = np.empty(len(group), np.int64)
+    ranks[order] = np.arange(len(group)) - np.searchsorted(ordered, ordered)
+    return ranks
+
+
 class _DenseIndex:
     def __init__(self, matrix: np.ndarray):
         self.matrix = matrix
         self.empty = ~matrix.any(axis=1)
+        rows = np.ascontiguousarray(matrix).view(np.dtype((np.void, max(1, matrix.shape[1]) * 8))).ravel() if matrix.size else np.zeros(len(matrix), "V8")
+        self.copy_rank = _copy_ranks(np.unique(rows, return_inverse=True)[1])
 
     def scores(self, targets: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Masters come in the order of their keys, so of equal vectors only the first k can be among the k best."""
         queries = vector_matrix(targets[DenseScorer.column])
-        width = max(1, min(len(self.matrix), 8192))
+        columns = np.flatnonzero((self.copy_rank < k) & ~self.empty)
+        width = max(1, min(len(columns), 8192))
         height = max(1, _CELLS // width)
         for top in range(0, len(queries), height):
             part = queries[top : top + height]
-            for left in range(0, len(self.matrix), width):
-                found = np.round(part @ self.matrix[left : left + width].T, DECIMALS)
+            for left in range(0, len(columns), width):
+                chosen = columns[left : left + width]
+                found = np.round(part @ self.matrix[chosen].T, DECIMALS)
                 found[~part.any(axis=1)] = -np.inf
-                found[:, self.empty[left : left + width]] = -np.inf
-                yield top, np.arange(left, left + found.shape[1]), found
+                yield top, chosen, found
 
 
 class LexicalScorer:
@@ -147,7 +160,7 @@ class _LexicalIndex:
         order = np.argsort(token, kind="stable")
         self.rows, self.weights = row[order], weight[order]
         self.bounds = np.searchsorted(token[order], np.arange(len(self.vocabulary) + 1))
-        self.first_row = np.unique(self.text_of_row, return_index=True)[1]
+        self.copy_rank = _copy_ranks(self.text_of_row)
         self._densify_frequent()
 
     def _densify_frequent(self):
@@ -196,12 +209,12 @@ class _LexicalIndex:
             yield from self._per_row(found, top, end, rows_by_text, row_bounds, k)
 
     def _per_row(self, found, top, end, rows_by_text, row_bounds, k):
-        """Scores of distinct texts spread to the rows that carry them, copies included.
+        """Scores of distinct texts spread to the first k rows that carry them.
 
-        For the single best match the first row of each master text stands for its copies.
+        Masters come in the order of their keys, so no later copy can be among the k best.
         """
-        columns = self.first_row if k == 1 else np.arange(len(self.text_of_row))
-        wide = found if k == 1 else found[:, self.text_of_row]
+        columns = np.flatnonzero(self.copy_rank < k)
+        wide = found[:, self.text_of_row[columns]]
         rows = rows_by_text[row_bounds[top] : row_bounds[end]]
         text = np.repeat(np.arange(end - top), np.diff(row_bounds[top : end + 1]))
         height = max(1, _CELLS // max(1, wide.shape[1]))

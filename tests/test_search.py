@@ -1,7 +1,10 @@
 import logging
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from gapweave.operators.encode import HashedTokenEncoder, embed_texts, lexical_vectors, mean_pool
@@ -12,7 +15,7 @@ from gapweave.operators.knn import (
     random_hyperplanes,
     train_centroids,
 )
-from gapweave.operators.scoring import LexicalScorer
+from gapweave.operators.scoring import DenseScorer, LexicalScorer, match_block, prepare
 from gapweave.operators.validate import require_searchable
 
 SMALL = BlockLimits(block_rows=16, broadcast_rows=0)
@@ -285,3 +288,21 @@ def test_searchable_vectors(spark):
             require_searchable(records, spark.createDataFrame(bad, "k int, vector array<float>"), "k")
     with pytest.raises(ValueError, match="No vectors"):
         require_searchable(records, good.limit(0), "k")
+
+
+def test_copies_are_not_listed_beyond_the_first_k():
+    """250,000 masters of 50 texts: what is compared grows with the texts, not with their copies."""
+    keys = pa.array(range(250_000), pa.int64())
+    masters = pa.table({"master_key": keys, "text": pa.array([f"text number {i % 50} of fifty" for i in range(250_000)])})
+    targets = pa.table({"target_key": pa.array(range(2_000), pa.int64()), "text": pa.array([f"text number {i % 50} of fifty" for i in range(2_000)])})
+    prepared = prepare(masters, LexicalScorer())
+    start = time.perf_counter()
+    found = match_block(targets, prepared, 5, 0.5)
+    assert time.perf_counter() - start < 20
+    first = found.filter(pc.equal(found["target_key"], 7)).to_pydict()
+    assert first["master_key"] == [7, 57, 107, 157, 207] and first["rank"] == [1, 2, 3, 4, 5]
+    vectors = np.tile(np.eye(4), (30, 1))
+    dense = pa.table({"master_key": pa.array(range(120), pa.int64()), "vector": pa.array(list(vectors))})
+    one = pa.table({"target_key": pa.array([0], pa.int64()), "vector": pa.array([[1.0, 0.5, 0.0, 0.0]])})
+    best = match_block(one, prepare(dense, DenseScorer()), 3, 0.1).to_pydict()
+    assert best["master_key"] == [0, 4, 8]
