@@ -4,7 +4,7 @@ An Arrow pass cuts the words out. The distinct words that most batches of docume
 encoded once and broadcast (a bounded number). Then another pass numbers the words of many documents at once, so that
 every other distinct word is encoded once per batch. To encode, a higher-order function folds the ranked merges over
 the byte array of a word, with the ranks in a literal map. Decoding concatenates the pieces of the ids. Documents
-are not shuffled, and a lost task only repeats its own.
+are not shuffled, and a lost task only repeats its own. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +21,19 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.llm.text import prefix_hashes, range_hashes
 from gapweave.storage import materialize
 
 #: A batch is closed once it holds so many words or so many distinct ones; this bounds the memory of a task.
-BATCH_WORDS, BATCH_DISTINCT = 2_000_000, 150_000
+BATCH_WORDS, BATCH_DISTINCT = 2_000_000, 100_000
+#: Characters that are cut at once; a longer text is cut alone.
+CUT_CHARACTERS = 500_000
+#: The pattern that cuts texts, as for the public rank files; `cut_words` follows it.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_CLASS_PATTERNS = [regex.compile(p, regex.DOTALL) for p in (r"\p{L}", r"\p{N}", r"\s", ".")]
+_LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 4
 #: Words that are encoded once for all batches, at most, and bytes of such a word.
-COMMON_WORDS, COMMON_BYTES = 400_000, 64
+COMMON_WORDS, COMMON_BYTES = 1_000_000, 64
 #: Rows that leave the last pass at once hold about so many bytes.
 OUTPUT_BYTES = 8 << 20
 #: Longer words are merged by a heap in the numbering pass.
@@ -240,38 +246,115 @@ def decode_words(ids: Column, ranks: RankMap) -> Column:
     )
 
 
-def _distinct_words(pattern: str):
-    """The distinct words of many documents at a time, without those too long to be common."""
+def _classes(codes: np.ndarray, known: dict) -> np.ndarray:
+    """L, N, S (white space) or O for every code point; `known` keeps what has been looked up."""
+    if "table" not in known:
+        known["table"] = np.zeros(0x110000, np.uint8)
+    table = known["table"]
+    new = np.unique(codes[table[codes] == 0])
+    for code in new:
+        char = chr(code)
+        table[code] = next(n for n, (pattern) in enumerate(_CLASS_PATTERNS, 1) if pattern.fullmatch(char))
+    return table[codes]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
-        seen: set[str] = set()
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(find(text.as_py() or ""))
-                if len(seen) >= BATCH_DISTINCT:
-                    yield _short_words(seen)
-                    seen = set()
-        if seen:
-            yield _short_words(seen)
 
-    return run
+def cut_words(texts: list[str], known: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code points of all texts, start, end, text number) of the words that `PATTERN` cuts texts into, in order.
 
+    Runs of letters, of numbers, of other marks and of white space are found for all texts at once. A run takes the
+    blank before it along; of other white space before a run the last character stands alone; an apostrophe alone
+    takes the ending of a contraction along.
+    """
+    sizes = np.array([len(text) for text in texts], np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    rows = np.concatenate([[0], np.cumsum(sizes)])
+    if not len(codes):
+        none = np.zeros(0, np.int64)
+        return codes, none, none, none
+    kind = _classes(codes, known)
+    edge = np.concatenate([[True], kind[1:] != kind[:-1]])
+    edge[rows[:-1][sizes > 0]] = True
+    start = np.flatnonzero(edge)
+    end = np.append(start[1:], len(codes))
+    of_run = kind[start]
+    text = np.searchsorted(rows, start, "right") - 1
+    last = np.append(text[1:] != text[:-1], True)  # the last run of its text
+    space = of_run == _SPACE
+    # White space before another run: all but its last character, then that character, unless it is a blank taken along.
+    broken = space & ~last
+    taken = broken & (codes[end - 1] == 32)
+    start_of = start.copy()
+    start_of[1:][taken[:-1]] -= 1
+    head = start[broken & (end - start > 1)]
+    alone = end[broken & ~taken] - 1
+    # Contractions: an apostrophe that is a run of its own and a word of its own, and what follows it.
+    single = np.flatnonzero((of_run == _OTHER) & (end - start == 1) & (start_of == start) & (codes[start] == 39) & ~last)
+    single = single[of_run[single + 1] == _LETTER]
+    first = codes[start[single + 1]]
+    long = end[single + 1] - start[single + 1] > 1
+    second = np.where(long, codes[np.minimum(start[single + 1] + 1, len(codes) - 1)], 0)
+    one = np.isin(first, [ord(c) for c in "stmd"])
+    two = ((first == ord("r")) | (first == ord("v"))) & (second == ord("e")) | (first == ord("l")) & (second == ord("l"))
+    more = np.where(one, 1, np.where(two, 2, 0))
+    taking = single[more > 0]
+    rest = start[taking + 1] + more[more > 0]
+    keep = ~(broken | np.isin(np.arange(len(start)), taking + 1))
+    begins = np.sort(np.concatenate([start_of[keep], head, alone, rest[rest < end[taking + 1]]]))
+    ends = np.append(begins[1:], len(codes))
+    return codes, begins, ends, np.searchsorted(rows, begins, "right") - 1
+
+
+def _numbered(column: pa.Array, known: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
+    """(first row, words per row, word hash of every word, places of the first of each hash, their texts) by stretches."""
+    at = 0
+    while at < len(column):
+        texts, size = [], 0
+        while at + len(texts) < len(column) and (not texts or size < CUT_CHARACTERS):
+            texts.append(column[at + len(texts)].as_py() or "")
+            size += len(texts[-1])
+        codes, start, end, row = cut_words(texts, known)
+        hashes = range_hashes(*prefix_hashes(codes), start, end)
+        distinct, first = np.unique(hashes, return_index=True)
+        joined = "".join(texts)
+        words = [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        yield at, np.bincount(row, minlength=len(texts)), hashes, distinct, words
+        at += len(texts)
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of many documents at a time, without those too long to be common."""
+    seen: dict[int, str] = {}
+    known: dict = {}
 
-def _short_words(words: set[str]) -> pa.RecordBatch:
-    column = pa.array(words, pa.string())
-    return pa.RecordBatch.from_arrays([column.filter(pc.less_equal(pc.binary_length(column), COMMON_BYTES))], ["word"])
+    def flush() -> pa.RecordBatch:
+        column = pa.array(seen.values(), pa.string())
+        hashes = np.fromiter(seen.keys(), np.uint64, len(seen)).view(np.int64)
+        short = pc.less_equal(pc.binary_length(column), COMMON_BYTES)
+        return pa.RecordBatch.from_arrays([pa.array(hashes).filter(short), column.filter(short)], ["hash", "word"])
+
+    for batch in batches:
+        for _, _, _, distinct, words in _numbered(batch.column(0), known):
+            seen.update(zip(distinct.tolist(), words))
+            if len(seen) >= BATCH_DISTINCT:
+                yield flush()
+                seen = {}
+    if seen:
+        yield flush()
 
 
-def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_lists(vocabulary: dict[bytes, int]):
     """Words as lists of structs that `encode_words` takes."""
-    for batch in batches:
-        texts = batch.column(0).cast(pa.binary())
-        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-        structs = _word_structs(texts, sizes, pa.nulls(len(texts), pa.list_(pa.int32())))
-        yield pa.RecordBatch.from_arrays(
-            [_one_list(texts), pa.ListArray.from_arrays(np.array([0, len(texts)], np.int32), structs)], ["texts", "words"]
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary())
+            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+            # A word that is a piece itself is never cut.
+            whole = [[vocabulary[w]] if w in vocabulary else None for w in texts.to_pylist()]
+            structs = _word_structs(texts, sizes, pa.array(whole, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([_one_list(batch.column(0)), _one_list(structs)], ["hashes", "words"])
+
+    return run
 
 
 def _one_list(values: pa.Array) -> pa.Array:
@@ -286,78 +369,87 @@ def _word_structs(words: pa.Array, sizes: np.ndarray, ids: pa.Array) -> pa.Struc
     return pa.StructArray.from_arrays([ids, pa.ListArray.from_arrays(starts, pa.array(data))], ["ids", "bytes"])
 
 
-def common_words(
-    texts: DataFrame, ranks: RankMap, pattern: str, limit: int = COMMON_WORDS
-) -> tuple[pa.Array, pa.Array]:
-    """The words that the most batches of documents hold, at most `limit`, and their ids.
+def common_words(texts: DataFrame, ranks: RankMap, limit: int | None = None) -> tuple[np.ndarray, pa.Array]:
+    """The hashes of the words that the most batches of documents hold, in order, and their ids.
 
     They are encoded once; all other words are encoded where they occur. The result is broadcast: at most `limit`
-    words of at most `COMMON_BYTES` bytes.
+    (`COMMON_WORDS`) words of at most `COMMON_BYTES` bytes.
     """
-    words = texts.select("text").mapInArrow(_distinct_words(pattern), "word string")
-    spread = words.groupBy("word").agg(F.count("*").alias("n"))
+    words = texts.select("text").mapInArrow(_distinct_words, "hash bigint, word string")
+    spread = words.groupBy("hash", "word").agg(F.count("*").alias("n"))
     spread = materialize(spread.where("n > 1").withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "words")
     levels = {row["level"]: row["count"] for row in spread.groupBy("level").count().collect()}  # a few hundred rows
     least, total = None, 0
     for level in sorted(levels, reverse=True):
         total += levels[level]
-        if total > limit:
+        if total > (COMMON_WORDS if limit is None else limit):
             break
         least = level
     if least is None:
-        return pa.array([], pa.binary()), pa.array([], pa.list_(pa.int32()))
-    lists = spread.where(F.col("level") >= least).select("word").mapInArrow(
-        _word_lists, "texts array<binary>, words array<struct<ids:array<int>,bytes:array<smallint>>>"
+        return np.zeros(0, np.uint64), pa.array([], pa.list_(pa.int32()))
+    lists = spread.where(F.col("level") >= least).select("hash", "word").mapInArrow(
+        _word_lists(ranks.pieces), "hashes array<bigint>, words array<struct<ids:array<int>,bytes:array<smallint>>>"
     )
-    table = lists.select("texts", encode_words(F.col("words"), ranks).alias("ids")).toArrow()
-    texts, ids = table.column("texts").combine_chunks(), table.column("ids").combine_chunks()
-    return texts.flatten().cast(pa.binary()), ids.flatten().cast(pa.list_(pa.int32()))
-
-
-def _number_words(vocabulary: dict[bytes, int], common, pattern: str):
-    """Batches of documents with their words -> one row per batch: the distinct words, and their numbers in each document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A word that is a piece itself is never cut; common words have been encoded before.
-        single = pa.ListArray.from_arrays(
-            np.arange(len(vocabulary) + 1, dtype=np.int32), pa.array(list(vocabulary.values()), pa.int32())
+    table = lists.select("hashes", encode_words(F.col("words"), ranks).alias("ids")).toArrow()
+    hashes = table.column("hashes").combine_chunks().flatten().to_numpy().view(np.uint64)
+    ids = table.column("ids").combine_chunks().flatten().cast(pa.list_(pa.int32()))
+    order = np.argsort(hashes)
+    return hashes[order], ids.take(pa.array(order))
+
+
+def _number_words(vocabulary: dict[bytes, int], common):
+    """Batches of documents -> one row per batch: its distinct words, and their numbers in each document."""
+
+    def closed(ids: list, counts: list, codes: list, index: dict[int, int], words: list[str]) -> pa.RecordBatch:
+        known, known_ids = common.value
+        hashes = np.fromiter(index.keys(), np.uint64, len(index))
+        at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
+        hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+        word_ids = known_ids.take(pa.array(at, mask=~hit))
+        raw = pa.array(words, pa.string()).cast(pa.binary())
+        sizes = pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64)
+        # A word that is a piece itself is never cut; long words go by the heap.
+        special = {}
+        for i in np.flatnonzero(~hit).tolist():
+            word = words[i].encode()
+            if word in vocabulary:
+                special[i] = [vocabulary[word]]
+            elif len(word) > FOLD_BYTES:
+                special[i] = encode_long_word(word, vocabulary)
+        if special:
+            filled = word_ids.to_pylist()
+            for i, value in special.items():
+                filled[i] = value
+            word_ids = pa.array(filled, pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [
+                _one_list(pa.concat_arrays(ids)),
+                pa.array([np.concatenate(counts).astype(np.int64).tobytes()], pa.binary()),
+                pa.array([np.concatenate(codes).astype(np.int32).tobytes()], pa.binary()),
+                _one_list(_word_structs(raw, sizes, word_ids)),
+            ],
+            ["ids", "counts", "codes", "words"],
         )
-        known = pa.concat_arrays([pa.array(list(vocabulary), pa.binary()), common.value[0]])
-        known_ids = pa.concat_arrays([single, common.value[1]])
-
-        def closed(ids: list, counts: list[int], codes: array, index: dict[str, int]) -> pa.RecordBatch:
-            words = pa.array(index, pa.string()).cast(pa.binary())
-            sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-            word_ids = known_ids.take(pc.index_in(words, known))
-            long = np.flatnonzero((sizes > FOLD_BYTES) & word_ids.is_null().to_numpy(zero_copy_only=False))
-            if len(long):
-                filled = word_ids.to_pylist()
-                for i in long:
-                    filled[i] = encode_long_word(words[i].as_py(), vocabulary)
-                word_ids = pa.array(filled, pa.list_(pa.int32()))
-            return pa.RecordBatch.from_arrays(
-                [
-                    _one_list(pa.concat_arrays(ids)),
-                    pa.array([np.array(counts, np.int64).tobytes()], pa.binary()),
-                    pa.array([codes.tobytes()], pa.binary()),
-                    _one_list(_word_structs(words, sizes, word_ids)),
-                ],
-                ["ids", "counts", "codes", "words"],
-            )
 
-        find = regex.compile(pattern).findall
-        ids, counts, codes, index = [], [], array("i"), {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, counts, codes, index, words, total, classes = [], [], [], {}, [], 0, {}
         for batch in batches:
-            for row, text in enumerate(batch.column(1)):
-                words = find(text.as_py() or "")
-                codes.extend([index.setdefault(word, len(index)) for word in words])
-                counts.append(len(words))
-                ids.append(batch.column(0).slice(row, 1))
-                if len(index) >= BATCH_DISTINCT or len(codes) >= BATCH_WORDS:
-                    yield closed(ids, counts, codes, index)
-                    ids, counts, codes, index = [], [], array("i"), {}
+            for first, per_row, hashes, distinct, texts in _numbered(batch.column(1), classes):
+                number = np.empty(len(distinct), np.int32)
+                for i, (value, text) in enumerate(zip(distinct.tolist(), texts)):
+                    place = index.setdefault(value, len(index))
+                    if place == len(words):
+                        words.append(text)
+                    number[i] = place
+                codes.append(number[np.searchsorted(distinct, hashes)])
+                counts.append(per_row)
+                ids.append(batch.column(0).slice(first, len(per_row)))
+                total += len(hashes)
+                if len(index) >= BATCH_DISTINCT or total >= BATCH_WORDS:
+                    yield closed(ids, counts, codes, index, words)
+                    ids, counts, codes, index, words, total = [], [], [], {}, [], 0
         if counts:
-            yield closed(ids, counts, codes, index)
+            yield closed(ids, counts, codes, index, words)
 
     return run
 
@@ -391,10 +483,8 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 first = last
 
 
-def encode(
-    docs: DataFrame, ranks: RankMap, pattern: str, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """Encodes every whole text and decodes the ids again. `pattern` cuts texts into words.
+def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Encodes every whole text and decodes the ids again.
 
     Returns one row per row of `docs`: the id column (repeated or null ids included), `token_ids`
     (array<int>, without special tokens) and `decoded` (the bytes of the ids). A null text counts as empty and
@@ -403,9 +493,9 @@ def encode(
     """
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    common = docs.sparkSession.sparkContext.broadcast(common_words(texts, ranks, pattern))
+    common = docs.sparkSession.sparkContext.broadcast(common_words(texts, ranks))
     numbered = texts.mapInArrow(
-        _number_words(ranks.pieces, common, pattern),
+        _number_words(ranks.pieces, common),
         f"ids array<{id_type}>, counts binary, codes binary, words array<struct<ids:array<int>,bytes:array<smallint>>>",
     )
     encoded = numbered.select("ids", "counts", "codes", encode_words(F.col("words"), ranks).alias("tokens"))

@@ -28,7 +28,7 @@ def test_equals_the_library_and_round_trips(spark, ranks, library):
     texts += ["", None, " ", "   x", "x   ", "  y", "<|endoftext|>", "a" * 3_000 + " b", "it's 'twas 'LL", texts[0], texts[0]]
     rows = [(i, t, "clash") for i, t in enumerate(texts)] + [(None, "null id", "clash"), (3, "again", "clash")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, token_ids string").repartition(3)
-    got = bpe.encode(docs, bpe.RankMap(ranks), public_tokenizers.PATTERN).collect()
+    got = bpe.encode(docs, bpe.RankMap(ranks)).collect()
     plain = lambda t: t or ""
     want = sorted((i if i is not None else -1, library.encode_ordinary(plain(t)), plain(t).encode()) for i, t, _ in rows)
     assert sorted((r[0] if r[0] is not None else -1, list(r.token_ids), bytes(r.decoded)) for r in got) == want
@@ -36,7 +36,7 @@ def test_equals_the_library_and_round_trips(spark, ranks, library):
 
 def test_empty_table(spark, ranks):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
-    assert bpe.encode(docs, bpe.RankMap(ranks), public_tokenizers.PATTERN).collect() == []
+    assert bpe.encode(docs, bpe.RankMap(ranks)).collect() == []
 
 
 def test_long_words_by_the_heap(ranks, library):
@@ -46,12 +46,14 @@ def test_long_words_by_the_heap(ranks, library):
         assert bpe.encode_long_word(word, ranks) == library._encode_single_piece(word)
 
 
-def test_common_words_do_not_change_ids(spark, ranks, monkeypatch):
+def test_common_words_do_not_change_ids(spark, ranks, library, monkeypatch):
     monkeypatch.setattr(bpe, "BATCH_DISTINCT", 6)
     texts = [f"alpha beta gamma delta{i % 3} epsilon" for i in range(40)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
-    known, ids = bpe.common_words(docs, bpe.RankMap(ranks), "[a-z]+")
-    assert b"alpha" in known.to_pylist() and len(known) == len(ids)
+    known, ids = bpe.common_words(docs, bpe.RankMap(ranks))
+    assert len(known) == len(ids) >= 3 and (known[1:] > known[:-1]).all()
+    got = {r.doc_id: list(r.token_ids) for r in bpe.encode(docs, bpe.RankMap(ranks)).collect()}
+    assert got == {i: library.encode_ordinary(text) for i, text in enumerate(texts)}
 
 
 def test_incomplete_ranks_are_refused():
@@ -59,10 +61,26 @@ def test_incomplete_ranks_are_refused():
         bpe.RankMap({b"a": 0})
 
 
+def words_of(texts):
+    codes, start, end, row = bpe.cut_words(texts, {})
+    out = [[] for _ in texts]
+    for a, b, r in zip(start, end, row):
+        out[r].append("".join(map(chr, codes[a:b])))
+    return out
+
+
+def test_texts_are_cut_as_by_the_pattern():
+    assert bpe.PATTERN == public_tokenizers.PATTERN
+    find = regex.compile(bpe.PATTERN).findall
+    rng = random.Random(4)
+    marks = ["'", "'s", "'re", "'ll", "'ve", "s", "t", "re", "l", "ab", "1", "22", "!", " ", "  ", "\n", "\t", "\u00a0", "é", "_", "'m", "'D"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(12))) for _ in range(4_000)]
+    assert words_of(texts) == [find(text) for text in texts]
+
+
 def test_every_character_is_cut_as_the_library_does(ranks, library):
-    cut = regex.compile(public_tokenizers.PATTERN).findall
     for start in range(0, 0x110000, 64):
         chars = [chr(c) for c in range(start, start + 64) if not 0xD800 <= c < 0xE000]
         text = "".join(f"a{c}1 {c}b" for c in chars)
-        own = [i for word in cut(text) for i in library._encode_single_piece(word.encode())]
+        own = [i for word in words_of([text])[0] for i in library._encode_single_piece(word.encode())]
         assert own == library.encode_ordinary(text), hex(start)
