@@ -79,7 +79,8 @@ class CompletionConfig:
     threshold: float = 0.75
     top_k: int = 1
     index_type: str = "flat"
-    nlist: int = 100
+    # Cells of the cell index; None lets them grow with the root of the rows.
+    nlist: int | None = None
     nprobe: int = 8
     batch_size: int = 16
     max_tokens: int | None = None
@@ -93,7 +94,7 @@ class CompletionConfig:
         if not 0.0 <= self.threshold <= 1.0:
             raise ValueError(f"threshold must lie in [0, 1], got {self.threshold}")
         for name in ("top_k", "nlist", "nprobe", "batch_size"):
-            if getattr(self, name) <= 0:
+            if getattr(self, name) is not None and getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive, got {getattr(self, name)}")
         if self.max_tokens is not None and self.max_tokens <= 0:
             raise ValueError(f"max_tokens must be positive, got {self.max_tokens}")

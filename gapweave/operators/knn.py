@@ -265,12 +265,23 @@ def hash_knn(target, master, hyperplanes: np.ndarray, k, threshold, limits=Block
     )
 
 
-def cell_count(rows: int, nlist: int = 100) -> int:
-    """Number of cells for `rows` masters: one per ten, within 1 and `nlist`."""
-    return max(1, min(nlist, rows // 10))
+def cell_count(rows: int, nlist: int | None = None) -> int:
+    """Number of cells for `rows` masters: one per ten, at most `nlist`.
+
+    Without `nlist` at most 100 or, if that is more, the root of the rows: then the rows of a cell, and the pairs that
+    a probe compares, grow with the root of the rows only.
+    """
+    most = max(100, math.isqrt(max(0, rows))) if nlist is None else nlist
+    return max(1, min(most, rows // 10, MAX_CELLS))
+
+
+def hash_bits(rows: int, tables: int = 6) -> int:
+    """Bits per hash table for `rows` masters: about a thousand of them per cell, within what the cells allow."""
+    most = int(math.log2(MAX_CELLS // tables))
+    return max(4, min(most, round(math.log2(max(1, rows) / 1_000))))
 
 
-def train_centroids(master: DataFrame, rows: int, nlist: int = 100, seed: int = 7) -> DataFrame:
+def train_centroids(master: DataFrame, rows: int, nlist: int | None = None, seed: int = 7) -> DataFrame:
     """(cell, centroid) by k-means on about 256 vectors per cell; search itself uses all rows.
 
     The training vectors are stored, since every iteration reads them again.
@@ -412,10 +423,11 @@ def _compare_blocks(targets, masters, on, pairs, k, threshold, scorer) -> DataFr
     """Cogroup bounded blocks.
 
     The explicit partition count keeps AQE from merging light but compute-heavy blocks into one task,
-    and is shared by both sides, so that each is shuffled once.
+    and is shared by both sides, so that each is shuffled once. It follows the number of block pairs, so that
+    a task gets a few of them whatever the session's setting.
     """
     parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(parts, 2 * pairs))
+    parts = max(1, min(2 * pairs, max(parts, pairs // 4)))
     schema = _match_schema(targets, masters)
     nothing = targets.sparkSession.createDataFrame([], schema).toArrow()
 

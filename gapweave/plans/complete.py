@@ -14,6 +14,7 @@ from gapweave.operators.encode import Encoder, embed_texts
 from gapweave.operators.knn import (
     BlockLimits,
     cell_count,
+    hash_bits,
     nearest,
     random_hyperplanes,
     spread_small,
@@ -94,7 +95,7 @@ def find_matches(
         extra["centroids"] = train_centroids(m, rows, cell_count(rows, config.nlist))
     elif kind == "hnsw":
         first = m.select(F.size("vector").alias("n")).first()
-        extra["hyperplanes"] = random_hyperplanes(first["n"] if first else 1)
+        extra["hyperplanes"] = random_hyperplanes(first["n"] if first else 1, bits=hash_bits(m.count()))
     return nearest(t, m, config.top_k, config.threshold, kind, **extra)
 
 

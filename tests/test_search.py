@@ -11,6 +11,7 @@ from gapweave.operators.encode import HashedTokenEncoder, embed_texts, lexical_v
 from gapweave.operators.knn import (
     BlockLimits,
     cell_count,
+    hash_bits,
     nearest,
     random_hyperplanes,
     train_centroids,
@@ -239,7 +240,9 @@ def test_trained_centroids_serve_the_exact_search(spark, clustered):
 
 
 def test_cell_count():
-    assert [cell_count(n) for n in (0, 5, 95, 100_000)] == [1, 1, 9, 100]
+    assert [cell_count(n) for n in (0, 5, 95, 5_000, 100_000)] == [1, 1, 9, 100, 316]
+    assert cell_count(100_000, 50) == 50
+    assert [hash_bits(n) for n in (10, 100_000, 10**9)] == [4, 7, 13]
 
 
 def test_cell_search_needs_centroids_and_few_cells(spark, vectors):
