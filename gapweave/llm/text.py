@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts that are worked on together hold about so many bytes; a longer text is worked on alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ONE = np.uint64(1)
