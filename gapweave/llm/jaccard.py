@@ -31,7 +31,7 @@ ORDERS = 3
 #: Tokens that one task counts at once, and classes whose counts one task adds up.
 PART_TOKENS, HOME_CLASSES = 3_000_000, 100_000
 #: Words of 64 bits in the mask of a set.
-MASK_WORDS = 16
+MASK_WORDS = 32
 _SLICES = 64
 
 
