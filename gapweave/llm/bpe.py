@@ -25,7 +25,7 @@ from gapweave.llm.text import prefix_hashes, range_hashes
 from gapweave.storage import materialize
 
 #: A batch is closed once it holds so many words or so many distinct ones; this bounds the memory of a task.
-BATCH_WORDS, BATCH_DISTINCT = 2_000_000, 100_000
+BATCH_WORDS, BATCH_DISTINCT = 1_000_000, 50_000
 #: Characters that are cut at once; a longer text is cut alone.
 CUT_CHARACTERS = 500_000
 #: The pattern that cuts texts, as for the public rank files; `cut_words` follows it.
@@ -33,7 +33,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _CLASS_PATTERNS = [regex.compile(p, regex.DOTALL) for p in (r"\p{L}", r"\p{N}", r"\s", ".")]
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 4
 #: Words that are encoded once for all batches, at most, and bytes of such a word.
-COMMON_WORDS, COMMON_BYTES = 1_000_000, 64
+COMMON_WORDS, COMMON_BYTES = 500_000, 64
 #: Rows that leave the last pass at once hold about so many bytes.
 OUTPUT_BYTES = 8 << 20
 #: Longer words are merged by a heap in the numbering pass.
