@@ -3,8 +3,8 @@
 1. quality: documents that importance resampling does not draw go.
 2. near duplicates: of the documents that n-gram Jaccard links connect, the one with the smallest id stays.
 3. secrets: every span that the secret scan finds is replaced by a mark; n_chars follows.
-4. mix: documents are put in the order of the mix of their sources.
-5. bpe: the texts are encoded.
+4. mix: the files are put in the order of the mix of their sources.
+5. bpe: the texts are encoded; every row has its place in the mix, and sorting by `mix_position` gives the mix.
 """
 
 from __future__ import annotations
@@ -42,18 +42,24 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the files in the order of the mix."""
-    mixed = mixing.mix(docs, queries.MIX_WEIGHTS, queries.MIX_BLOCK_ROWS)
-    return mixing.in_mix_order(mixed).select(*docs.columns)
+    """All documents, with the files in the order of the mix. A reader may lose that order; `bpe_stage` does not rely on it."""
+    return mixing.in_mix_order(mix_places(docs)).select(*docs.columns)
+
+
+def mix_places(docs: DataFrame) -> DataFrame:
+    """All documents with their places in the mix, which depend on the rows alone, not on their order."""
+    return mixing.mix(docs, queries.MIX_WEIGHTS, queries.MIX_BLOCK_ROWS)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and digests of every document, in the order in which they come."""
+    """Ids and digests of every document, with its slot and position in the mix."""
     ship_package(spark)
     ranks = bpe.RankMap(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    encoded = bpe.encode(docs, ranks)
+    # The place goes through the encoder with the id, so repeated and null ids keep their own; texts are read twice.
+    placed = mix_places(docs).select(F.struct("doc_id", "mix_slot", "mix_position").alias("place"), "text")
+    encoded = bpe.encode(materialize(placed, "places"), ranks, "place")
     return encoded.select(
-        "doc_id",
+        "place.*",
         F.size("token_ids").cast("bigint").alias("n_tokens"),
         "token_ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -51,3 +51,26 @@ def test_run_equals_its_stages(spark):
     rows = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, SF_DIR).collect()}
     again = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, SF_DIR).collect()}
     assert rows == again and rows
+
+
+def test_mix_reaches_the_rows(spark):
+    docs = spark.createDataFrame(
+        [(i, "src0" if i % 20 < 5 else "src1" if i % 20 < 8 else None, f"text {i}") for i in range(640)]
+        + [(None, None, "without id"), (None, "src0", "without id")],
+        "doc_id bigint, source string, text string",
+    )
+    mixed = materialize(corpus_pipeline.mix_stage(spark, docs, SF_DIR), "mix")
+    rows = corpus_pipeline.bpe_stage(spark, mixed, SF_DIR).orderBy("mix_position").collect()
+    assert len({r.mix_position for r in rows}) == len(rows) == 642
+    weights = {"src0": 5, "src1": 3, None: 12}
+    source = {r.doc_id: r.source for r in docs.where("doc_id IS NOT NULL").collect()}
+    slots = {r.mix_slot: source[r.doc_id] for r in rows if r.doc_id is not None}
+    seen = dict.fromkeys(weights, 0)
+    for slot in range(40):
+        seen[slots[slot]] += 1
+        assert all(abs(seen[s] - (slot + 1) * w / 20) < 1 for s, w in weights.items())
+
+
+def test_run_gives_every_row_its_place(spark):
+    rows = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert rows and len({r.mix_position for r in rows}) == len(rows)
