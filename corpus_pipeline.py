@@ -47,8 +47,11 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_places(docs: DataFrame) -> DataFrame:
-    """All documents with their places in the mix, which depend on the rows alone, not on their order."""
-    return mixing.mix(docs, queries.MIX_WEIGHTS, queries.MIX_BLOCK_ROWS)
+    """All documents with their places in the mix, which depend on the rows alone, not on their order.
+
+    Every source has a weight of its own; those that `MIX_WEIGHTS` does not list share the weight of `"*"` evenly.
+    """
+    return mixing.mix(docs, mixing.each_source(docs, queries.MIX_WEIGHTS), queries.MIX_BLOCK_ROWS)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,15 +12,36 @@ by row. When a source runs out, the periods go on among the others, which keep t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Weight of all sources that are not listed; they are mixed as one.
 REST = "*"
+#: Sources that `each_source` gives weights of their own at most; the fold of `mix` grows with them.
+MOST_SOURCES = 200
 _HEX_DIGITS = 3
 
 
+def each_source(docs: DataFrame, weights: dict[str, int], source_column: str = "source") -> dict[str, int]:
+    """`weights` with one for every source of `docs`: those not listed share the weight of `"*"` evenly.
+
+    All weights are scaled to stay integers, so listed sources keep their shares. `"*"` is left to a null source (and
+    one of that name), which counts as one of those that share. More than `MOST_SOURCES` sources are refused rather than
+    pooled. The driver gets one row per source.
+    """
+    seen = [row[0] for row in docs.select(source_column).distinct().limit(MOST_SOURCES + 1).collect()]
+    if len(seen) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    unlisted = {REST if name is None else name for name in seen} - (weights.keys() - {REST})
+    scaled = {name: weight * max(1, len(unlisted)) for name, weight in weights.items() if name != REST}
+    scaled |= dict.fromkeys([*sorted(unlisted), REST], weights[REST])
+    divisor = math.gcd(*scaled.values())
+    return {name: weight // divisor for name, weight in scaled.items()}
+
+
 def _period(sources: Column) -> Column:
     """Earliest deadline first over one period.
 

@@ -55,3 +55,30 @@ def test_files_follow_the_mix(spark):
     parts = ordered.rdd.glom().collect()
     positions = [row.mix_position for part in parts for row in part]
     assert positions == sorted(positions)
+
+
+def test_every_source_has_a_weight_of_its_own(spark):
+    names = ["a", "b"] + [f"s{i:02}" for i in range(17)] + [None]
+    rows = [(i, name, "t") for i, name in enumerate(name for name in names for _ in range(240))]
+    rows += [(10_000 + i, "s03", "hot") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    weights = mixing.each_source(docs, WEIGHTS)
+    assert set(weights) == {n or mixing.REST for n in names}
+    total = sum(weights.values())
+    assert weights["a"] * 10 == 3 * total and weights["b"] * 10 == 2 * total
+    assert all(weights[n or mixing.REST] * 36 == total for n in names[2:])
+    got = mixing.mix(docs, weights, 4).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    slots = {r.mix_slot: r.mix_source for r in got}
+    seen = Counter()
+    for slot in range(60 * 3):  # until the first source runs out
+        seen[slots[slot]] += 1
+        assert all(abs(seen[s] - (slot + 1) * w / total) < 1 for s, w in weights.items())
+
+
+def test_too_many_sources_are_refused_and_none_are_fine(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+    docs = spark.createDataFrame([(i, f"s{i}") for i in range(3)], "doc_id bigint, source string")
+    with pytest.raises(ValueError, match="sources"):
+        mixing.each_source(docs, WEIGHTS)
+    assert mixing.each_source(docs.limit(0), WEIGHTS) == WEIGHTS

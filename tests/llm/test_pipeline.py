@@ -74,3 +74,8 @@ def test_mix_reaches_the_rows(spark):
 def test_run_gives_every_row_its_place(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert rows and len({r.mix_position for r in rows}) == len(rows)
+
+
+def test_pipeline_mixes_each_source(spark):
+    docs = spark.createDataFrame([(i, f"src{i % 5}", "t") for i in range(400)], "doc_id bigint, source string, text string")
+    assert {r.mix_source for r in corpus_pipeline.mix_places(docs).collect()} == {f"src{i}" for i in range(5)}
