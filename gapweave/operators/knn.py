@@ -16,8 +16,10 @@ Routes:
              pairs for short texts.
 * cells:     masters lie in cells around centroids; a target visits the cells that can hold a match by
              the angle bound. Exact, and skips cells when the threshold is high.
-* ivfflat:   like cells, but a target visits its `nprobe` nearest cells. May miss matches.
-* hnsw:      no graph is built; random hyperplanes hash both sides into cells. May miss matches.
+* ivfflat:   like cells, but a target visits its `nprobe` nearest cells. May miss matches; `probes_for` measures
+             how many cells a recall takes.
+* hnsw:      no graph is built; random hyperplanes hash both sides into cells, and a target visits further cells of
+             a table if it has many bits (`hash_patterns`). May miss matches.
 
 A cell that holds too many rows is split into several blocks, so no task gets a hot cell whole.
 """
@@ -58,6 +60,15 @@ log = logging.getLogger(__name__)
 MAX_CELLS = 65_536
 MAX_CENTROID_BYTES = 256 * 2**20
 
+# Share of the pairs at the threshold that the approximate routes of a completion find, whatever the number of rows.
+TARGET_RECALL = 0.9
+
+# Targets and masters on which probes are measured, and targets needed with a match among those masters.
+_PROBE_TARGETS, _PROBE_MASTERS, _PROBE_LEAST, _PROBE_BYTES = 1_024, 8_192, 100, 64 * 2**20
+
+# Copies of targets made at once.
+_COPIES_AT_ONCE = 1_000_000
+
 # Below this cosine nearly all tokens of a text would be prefix; at 0 even texts without a common
 # token would match.
 _LEAST_PREFIX_THRESHOLD = 0.1
@@ -91,6 +102,7 @@ def nearest(
     nprobe: int = 8,
     hyperplanes: np.ndarray | None = None,
     limits: BlockLimits = BlockLimits(),
+    patterns: np.ndarray | None = None,
 ) -> DataFrame:
     """Similarity join by index type; an unknown type is reported and searched exactly."""
     kind = index_type.lower()
@@ -102,7 +114,7 @@ def nearest(
     if kind == "cells":
         return cell_knn(target, master, centroids, k, threshold, limits)
     if kind == "hnsw":
-        return hash_knn(target, master, hyperplanes, k, threshold, limits)
+        return hash_knn(target, master, hyperplanes, k, threshold, limits, patterns)
     if kind == "prefix":
         return prefix_knn(target, master, k, threshold, scorer, limits)
     if kind != "flat":
@@ -244,20 +256,54 @@ def random_hyperplanes(dimension: int, tables: int = 6, bits: int = 4, seed: int
     return np.random.default_rng(seed).standard_normal((tables, bits, dimension))
 
 
-def hash_knn(target, master, hyperplanes: np.ndarray, k, threshold, limits=BlockLimits()) -> DataFrame:
-    """Approximate search among vectors on the same side of all hyperplanes of some table."""
+def hash_patterns(bits: int, threshold: float, tables: int = 6, recall: float = TARGET_RECALL) -> np.ndarray:
+    """Which cells of a table a target visits, as rows of flipped bits in the order of their margins, smallest first.
+
+    The first row flips none. There are as many as let two vectors whose cosine is `threshold` meet in some table with
+    the probability `recall`. That depends on the cosine and the bits alone, so it is computed on drawn margins: those
+    of two vectors are normal, with the cosine as correlation.
+    """
+    rng = np.random.default_rng(7)
+    own, other = rng.standard_normal((2, 50_000, bits))
+    other = threshold * own + math.sqrt(max(0.0, 1 - threshold**2)) * other
+    order = np.argsort(np.abs(own), axis=1)
+    margins = np.take_along_axis(np.abs(own), order, axis=1)
+    flipped = np.take_along_axis((own >= 0) != (other >= 0), order, axis=1)
+    every = (np.arange(2**bits)[:, None] >> np.arange(bits)) & 1
+    by_cost = np.argsort(every @ (margins**2).mean(axis=0), kind="stable")
+    seen = np.bincount(flipped @ 2 ** np.arange(bits), minlength=2**bits)[by_cost]
+    met = np.cumsum(seen) / len(own)
+    needed = 1 - (1 - recall) ** (1 / tables)
+    return every[by_cost[: int(np.searchsorted(met, needed)) + 1]].astype(np.int32)
+
+
+def hash_knn(
+    target, master, hyperplanes: np.ndarray, k, threshold, limits=BlockLimits(), patterns: np.ndarray | None = None
+) -> DataFrame:
+    """Approximate search among vectors on the same side of all hyperplanes of some table.
+
+    With `patterns` a target also visits the cells that differ in those of its bits; see `hash_patterns`.
+    """
     tables, bits, dimension = hyperplanes.shape
     normals = hyperplanes.reshape(tables * bits, dimension)
     places = 2 ** np.arange(bits)
+    patterns = np.zeros((1, bits), np.int32) if patterns is None else patterns
 
-    def visited(batch) -> tuple[np.ndarray, np.ndarray]:
-        sides = vector_matrix(batch.column("vector")) @ normals.T >= 0
-        cells = sides.reshape(-1, tables, bits) @ places + np.arange(tables) * 2**bits
-        return np.repeat(np.arange(batch.num_rows), tables), cells.ravel()
+    def visiting(flips: np.ndarray):
+        def visited(batch) -> tuple[np.ndarray, np.ndarray]:
+            sides = (vector_matrix(batch.column("vector")) @ normals.T).reshape(-1, tables, bits)
+            cells = ((sides >= 0) @ places)[:, :, None]
+            if len(flips) > 1:
+                cells = cells ^ (places[np.argsort(np.abs(sides), axis=2, kind="stable")] @ flips.T)
+            cells = cells + (np.arange(tables) * 2**bits)[:, None]
+            return np.repeat(np.arange(batch.num_rows), tables * len(flips)), cells.ravel()
 
+        return visited
+
+    at_once = max(1, _COPIES_AT_ONCE // (tables * len(patterns)))
     return _search_cells(
-        _route(target, TARGET_KEY, "vector", visited),
-        _route(master, MASTER_KEY, "vector", visited),
+        _route(target, TARGET_KEY, "vector", visiting(patterns), at_once=at_once),
+        _route(master, MASTER_KEY, "vector", visiting(patterns[:1])),
         k,
         threshold,
         limits,
@@ -281,6 +327,42 @@ def hash_bits(rows: int, tables: int = 6) -> int:
     return max(4, min(most, round(math.log2(max(1, rows) / 1_000))))
 
 
+def probes_for(
+    target: DataFrame, master: DataFrame, matrix: np.ndarray, threshold: float, least: int = 8, recall: float = TARGET_RECALL
+) -> int:
+    """Cells that a target visits in `ivf_knn`, `least` or more, so that the share `recall` finds the cell of a match.
+
+    Measured on a bounded sample: for each drawn target, the place of the cell of its best drawn master that reaches the
+    threshold. The best of all masters is closer than that, so its cell comes earlier. If too few drawn targets have a
+    match, the share of the cells visited is what `least` is of a hundred cells.
+    """
+    cells = len(matrix)
+    share = max(least, math.ceil(least * cells / 100))
+
+    def drawn(df: DataFrame, most: int) -> np.ndarray:
+        most = max(1, min(most, _PROBE_BYTES // (8 * max(1, matrix.shape[1]))))
+        rows = df.count()
+        some = df.select("vector").where(F.exists("vector", lambda x: x != 0))
+        some = some.sample(min(1.0, 1.2 * most / max(1, rows)), 7).limit(most).toArrow()
+        vectors = vector_matrix(some["vector"]) if len(some) else np.zeros((0, matrix.shape[1]))
+        return np.unique(vectors, axis=0)  # copies are one case
+
+    targets, masters = drawn(target, _PROBE_TARGETS), drawn(master, _PROBE_MASTERS)
+    if not len(targets) or not len(masters):
+        return min(cells, share)
+    scores = targets @ masters.T
+    # A vector that is on both sides is no example of a match at the threshold.
+    scores[scores > 1 - 1e-6] = -1.0
+    best = scores.argmax(axis=1)
+    matched = np.flatnonzero(scores[np.arange(len(targets)), best] >= threshold)
+    if len(matched) < _PROBE_LEAST:
+        return min(cells, share)
+    homes = (masters[best[matched]] @ matrix.T).argmax(axis=1)
+    closeness = targets[matched] @ matrix.T
+    places = (closeness > closeness[np.arange(len(matched)), homes][:, None]).sum(axis=1)
+    return min(cells, max(least, int(np.quantile(places, recall, method="higher")) + 1))
+
+
 def train_centroids(master: DataFrame, rows: int, nlist: int | None = None, seed: int = 7) -> DataFrame:
     """(cell, centroid) by k-means on about 256 vectors per cell; search itself uses all rows.
 
@@ -329,16 +411,17 @@ def assign_cells(master: DataFrame, matrix: np.ndarray) -> DataFrame:
     return _route(master, MASTER_KEY, "vector", visited, closeness)
 
 
-def _route(df: DataFrame, key: str, column: str, visited, closeness=None) -> DataFrame:
-    """One row per row of `df` and cell that `visited` names for it; the row itself is unchanged."""
+def _route(df: DataFrame, key: str, column: str, visited, closeness=None, at_once: int | None = None) -> DataFrame:
+    """One row per row of `df` and cell that `visited` names for it; the row itself is unchanged.
+
+    `visited` is given at most `at_once` rows, if that is set.
+    """
     fields = [df.schema[key], df.schema[column], T.StructField("cell", T.IntegerType())]
     if closeness:
         fields.append(T.StructField("cell_score", T.DoubleType()))
 
     def route(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(at, at_once) for b in batches for at in range(0, b.num_rows, at_once or b.num_rows)):
             rows, cells = visited(batch)
             # Copies are handed on in pieces, so that a batch does not multiply in memory.
             for start in range(0, len(rows), batch.num_rows):

@@ -14,8 +14,11 @@ from gapweave.operators.encode import Encoder, embed_texts
 from gapweave.operators.knn import (
     BlockLimits,
     cell_count,
+    centroid_matrix,
     hash_bits,
+    hash_patterns,
     nearest,
+    probes_for,
     random_hyperplanes,
     spread_small,
     train_centroids,
@@ -93,9 +96,16 @@ def find_matches(
     if kind in ("cells", "ivfflat"):
         rows = m.count()
         extra["centroids"] = train_centroids(m, rows, cell_count(rows, config.nlist))
+        if kind == "ivfflat":
+            extra["nprobe"] = probes_for(t, m, centroid_matrix(extra["centroids"]), config.threshold, config.nprobe)
     elif kind == "hnsw":
         first = m.select(F.size("vector").alias("n")).first()
-        extra["hyperplanes"] = random_hyperplanes(first["n"] if first else 1, bits=hash_bits(m.count()))
+        bits = hash_bits(m.count())
+        planes, patterns = random_hyperplanes(first["n"] if first else 1, bits=bits), hash_patterns(bits, config.threshold)
+        if len(planes) * len(patterns) < 2**bits:
+            extra |= {"hyperplanes": planes, "patterns": patterns}
+        else:
+            kind = "flat"  # so many probes would compare more pairs than the exact search
     return nearest(t, m, config.top_k, config.threshold, kind, **extra)
 
 

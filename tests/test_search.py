@@ -12,7 +12,9 @@ from gapweave.operators.knn import (
     BlockLimits,
     cell_count,
     hash_bits,
+    hash_patterns,
     nearest,
+    probes_for,
     random_hyperplanes,
     train_centroids,
 )
@@ -245,6 +247,38 @@ def test_cell_count():
     assert [hash_bits(n) for n in (10, 100_000, 10**9)] == [4, 7, 13]
 
 
+@pytest.mark.parametrize("rows", [1_000, 100_000, 1_000_000, 10**9])
+def test_hashed_recall_holds_at_every_size(spark, rows):
+    bits, rng = hash_bits(rows), np.random.default_rng(rows)
+    planes, patterns = random_hyperplanes(24, bits=bits), hash_patterns(bits, 0.75)
+    assert 6 * len(patterns) < 2**bits
+    a, u = rng.standard_normal((2, 400, 24))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    u -= (u * a).sum(axis=1, keepdims=True) * a
+    b = 0.7501 * a + np.sqrt(1 - 0.7501**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    t, m = (frame(spark, side, "vector", list(enumerate(x.tolist()))) for side, x in (("target", a), ("master", b)))
+    found = nearest(t, m, 400, 0.75, "hnsw", hyperplanes=planes, patterns=patterns).collect()
+    assert sum(r["target_key"] == r["master_key"] for r in found) / 400 >= 0.85
+
+
+@pytest.mark.parametrize("cells", [20, 100, 400])
+def test_probes_follow_the_cells(spark, cells):
+    rng = np.random.default_rng(cells)
+    masters = rng.standard_normal((5_000, 8))
+    masters /= np.linalg.norm(masters, axis=1, keepdims=True)
+    targets = masters[:600] + 0.2 * rng.standard_normal((600, 8))
+    targets /= np.linalg.norm(targets, axis=1, keepdims=True)
+    matrix = masters[rng.choice(5_000, cells, replace=False)]
+    t, m = (frame(spark, side, "vector", list(enumerate(x.tolist()))) for side, x in (("target", targets), ("master", masters)))
+    probes = probes_for(t, m, matrix, 0.75, least=2)
+    homes = (masters @ matrix.T).argmax(axis=1)
+    visited = np.argsort(-(targets @ matrix.T), axis=1)[:, :probes]
+    scores = targets @ masters.T
+    best = scores.argmax(axis=1)
+    hit = (visited == homes[best][:, None]).any(axis=1)[scores.max(axis=1) >= 0.75]
+    assert hit.mean() >= 0.9 and 2 <= probes < cells
+
+
 def test_cell_search_needs_centroids_and_few_cells(spark, vectors):
     targets, masters = vectors
     with pytest.raises(ValueError, match="centroids"):
