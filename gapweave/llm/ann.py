@@ -20,7 +20,7 @@ from gapweave.llm.topk import best_of, finite_vectors, pack, same_width, unpack
 #: Rows of the sample at most, neighbours in its graph, rows of a part per row of the sample that it should have.
 FIT_ROWS, FIT_NEIGHBOURS, FIT_ROWS_PER_PART = 8_192, 16, 48
 #: Share of a sample's true neighbours that its queries must find; sets how many parts are looked into.
-TARGET_RECALL = 0.95
+TARGET_RECALL = 0.97
 #: Rows of a block of a part, and queries that meet a block at once.
 BLOCK_ROWS, QUERY_ROWS = 16_384, 1_024
 _HIDDEN, _EPOCHS, _BATCH, _RATE = 96, 30, 256, 3e-3
@@ -102,6 +102,12 @@ class Router:
     def best(self, vectors: np.ndarray, count: int) -> np.ndarray:
         return np.argsort(-self.logits(vectors), axis=1, kind="stable")[:, :count]
 
+    def looked_into(self, vectors: np.ndarray, sizes: np.ndarray, rows: int) -> list[np.ndarray]:
+        """The best parts of each vector: `probes`, or more where these do not hold more than `rows` rows."""
+        order = self.best(vectors, self.parts)
+        short = (np.cumsum(sizes[order], axis=1) <= rows).sum(axis=1)
+        return [line[:count] for line, count in zip(order, np.maximum(self.probes, short + 1))]
+
 
 def train_router(vectors: np.ndarray, targets: np.ndarray, rng: np.random.Generator) -> Router:
     """Fits the network to the share that each part has of the neighbours of a row (Adam on the cross-entropy)."""
@@ -185,7 +191,7 @@ def search(
 
     Nearness is the inner product in double precision; ties go to the smaller id. Vectors that are null, zero, or
     hold null or non-finite components, and rows without an id, take no part; shorter vectors count as padded with
-    zeros. If the parts looked into hold fewer than k rows, the query looks into all others too. Ids are integers;
+    zeros. Where the parts looked into do not hold more than k rows, the query looks into further ones. Ids are integers;
     repeated rows count each. Other columns are ignored; an empty table gives an empty result.
     """
     nonzero = lambda df: df.where(F.exists("vector", lambda x: x != 0))
@@ -203,20 +209,20 @@ def search(
     parts = int(max(1, min(len(sample) // FIT_ROWS_PER_PART, round(total**0.5 / 16))))
     router = fit_router(matrix, parts, k)
 
-    def place(count: int):
+    def place(pick):
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 dim = max(map(len, frame["vector"]), default=0)
                 vectors = np.zeros((len(frame), dim))
                 for i, vector in enumerate(frame["vector"]):
                     vectors[i, : len(vector)] = vector
-                yield frame.assign(parts=list(router.best(vectors, count)) if len(frame) else [])
+                yield frame.assign(parts=list(pick(vectors)) if len(frame) else [])
 
         return run
 
     schema = "id bigint, vector array<double>, parts array<int>"
     typed = lambda df: df.select(F.col("id").cast("bigint").alias("id"), "vector")
-    placed = typed(stored).mapInPandas(place(1), schema).select("id", "vector", F.col("parts")[0].alias("part"))
+    placed = typed(stored).mapInPandas(place(lambda v: router.best(v, 1)), schema).select("id", "vector", F.col("parts")[0].alias("part"))
     sizes = {row["part"]: row["count"] for row in placed.groupBy("part").count().collect()}  # one row per part
     if not sizes:
         return stored.select(
@@ -229,9 +235,8 @@ def search(
     keyed = placed.select(
         "id", "vector", (first[F.col("part")] + F.pmod(F.xxhash64("id"), blocks_of[F.col("part")])).cast("bigint").alias("block")
     )
-    few = min(sum(sorted(sizes.values())[: router.probes]), total) <= k
-    probes = parts if few else router.probes
-    routed = typed(asked).mapInPandas(place(probes), schema)
+    held = np.array([sizes.get(part, 0) for part in range(parts)])
+    routed = typed(asked).mapInPandas(place(lambda v: router.looked_into(v, held, k)), schema)
     to_blocks = F.flatten(
         F.transform(
             "parts",

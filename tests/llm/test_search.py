@@ -100,3 +100,24 @@ def test_parts_are_balanced_and_cut_few_edges():
     assert np.bincount(label, minlength=8).max() <= 1.1 * 800 / 8 + 1
     inside = (label[graph] == label[:, None]).mean()
     assert inside > 0.6
+
+
+def test_ann_recall_of_twenty_with_tens_of_parts():
+    points = np.array([v for _, v in vectors(20_000)])
+    sample = points[np.random.default_rng(5).permutation(len(points))[: ann.FIT_ROWS]]
+    router = ann.fit_router(sample, 24, 20)
+    place = router.best(points, 1)[:, 0]
+    asked = np.arange(0, len(points), 40)
+    sizes = np.bincount(place, minlength=24)
+    looked = router.looked_into(points[asked], sizes, 20)
+    near = ann.neighbours(points, 20, asked)
+    found = np.mean([np.isin(place[near[i]], looked[i]).mean() for i in range(len(asked))])
+    assert found >= 0.96
+    assert np.mean([sizes[parts].sum() for parts in looked]) < len(points) / 2
+
+
+def test_ann_looks_beyond_empty_parts():
+    router = ann.Router([np.zeros((2, 1)), np.zeros(1), np.zeros((1, 4)), np.array([3.0, 2.0, 1.0, 0.0])], 2)
+    looked = router.looked_into(np.ones((1, 2)), np.array([0, 3, 50, 50]), 20)
+    assert [list(parts) for parts in looked] == [[0, 1, 2]]
+    assert list(router.looked_into(np.ones((1, 2)), np.array([9, 30, 5, 5]), 20)[0]) == [0, 1]
