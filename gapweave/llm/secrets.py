@@ -59,8 +59,15 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]+", least=20, hints=("akia",), base=True),
     Rule("hex", "[0-9a-f]{24,}", base=True),
 )
+# A key is found up to its END line; without one, to the end of the header lines and base64 lines that follow.
+_PRIVATE_KEY = (
+    r"-----BEGIN ((?:[A-Z0-9]+ )*)PRIVATE KEY((?: BLOCK)?)-----"
+    r"(?:(?:[^-]|-(?!----(?:BEGIN|END) ))*-----END \1PRIVATE KEY\2-----"
+    r"|(?:\s*[A-Za-z][A-Za-z-]*:[^\r\n]*(?:\r?\n|$))*"
+    r"(?:(?:(?:\s|\\[rn])*[A-Za-z0-9+/=]{40,})+(?:[ \t]*(?:\r?\n|\\n)[A-Za-z0-9+/=]+[ \t]*(?=\r?\n|\\n|$))*)?)"
+)
 EXTRA_RULES = (
-    Rule("private_key", "-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", hints=("private key-----",)),
+    Rule("private_key", _PRIVATE_KEY, hints=("private key",)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hints=("eyj",)),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
 )

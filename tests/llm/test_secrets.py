@@ -86,3 +86,24 @@ def test_overlapping_spans_become_one_mark(spark):
     spans = "array(named_struct('start', 2L, 'kind_order', 0, 'kind', 'a', 'end', 5L), named_struct('start', 3L, 'kind_order', 1, 'kind', 'b', 'end', 4L))"
     row = spark.sql(f"SELECT 'abcdefg' AS text, {spans} AS spans").select(secrets.redact(F.col("text"), F.col("spans")))
     assert row.first()[0] == "ab[secret]fg"
+
+
+def test_a_private_key_goes_with_its_body(spark, tmp_path):
+    line = "MIIEpAIBAAKCAQEA7bq+" * 3 + "abcd"
+    body = f"{line}\n{line}\nAb3/x=="
+    pem = lambda kind, inner: f"-----BEGIN {kind}-----\n{inner}\n-----END {kind}-----"
+    texts = [
+        (pem("RSA PRIVATE KEY", f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n{body}"), "[secret]"),
+        (pem("PGP PRIVATE KEY BLOCK", f"Version: 1 - x\n\n{body}\n=aBcD"), "[secret]"),
+        (f"-----BEGIN PRIVATE KEY-----\n{body}", "[secret]"),
+        (pem("PRIVATE KEY", body).replace("\n", "\\n"), "[secret]"),
+        (pem("EC PRIVATE KEY", body) + "\nand " + pem("PRIVATE KEY", body), "[secret]\nand [secret]"),
+        ("-----BEGIN PRIVATE KEY-----", "[secret]"),
+    ]
+    docs = spark.createDataFrame([(i, f"before {text}\nafter that") for i, (text, _) in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in secrets.redact_documents(docs, str(tmp_path)).collect()}
+    assert got == {i: f"before {clean}\nafter that" for i, (_, clean) in enumerate(texts)}
+
+
+def test_many_open_keys_take_linear_time():
+    assert len(secrets.find_spans("-----BEGIN PRIVATE KEY-----\nno key - here\n" * 20_000)) == 20_000
