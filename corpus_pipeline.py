@@ -25,10 +25,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose id is that of their component; rows with a null id link with nothing and stay."""
+    """Keeps one row of each component: that of the smallest id and, of rows with that id, the smallest text hash.
+
+    Rows are judged by their own texts, whether or not their ids repeat. Rows with a null id, and rows whose text has no
+    words, link with nothing and stay.
+    """
     ship_package(spark)
-    kept = jaccard.similar_documents(docs).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.where("doc_id IS NULL").unionByName(docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi"))
+    # Written, so that the numbers stay with their rows.
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    named = rows.where("doc_id IS NOT NULL")
+    order = named.select("_row", F.struct("doc_id", F.xxhash64("text").alias("hash"), "_row").alias("order"))
+    found = jaccard.similar_documents(named.select("_row", "text"), id_column="_row").select("_row", "component_id")
+    first = found.join(order, "_row").groupBy("component_id").agg(F.min("order").alias("order"))
+    kept = named.join(first.select("order._row"), "_row", "left_semi")
+    return rows.where("doc_id IS NULL").unionByName(kept).select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,3 +79,11 @@ def test_run_gives_every_row_its_place(spark):
 def test_pipeline_mixes_each_source(spark):
     docs = spark.createDataFrame([(i, f"src{i % 5}", "t") for i in range(400)], "doc_id bigint, source string, text string")
     assert {r.mix_source for r in corpus_pipeline.mix_places(docs).collect()} == {f"src{i}" for i in range(5)}
+
+
+def test_one_row_of_each_component(spark):
+    one, two, other = (" ".join(f"{word}{i}" for i in range(60)) for word in ("one", "two", "other"))
+    rows = [(1, one), (1, one), (2, one), (2, two), (3, two + " end"), (3, two), (4, other), (4, other), (None, one), (None, one), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF_DIR).collect()]
+    assert sorted(got, key=str) == sorted([(1, one), (2, two), (4, other), (None, one), (None, one), (5, "")], key=str)
