@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import ann, bpe, jaccard, mixing, pii, quality, secrets, suffix, topk, urls
+from gapweave.llm import ann, bpe, conversations, jaccard, mixing, pii, quality, secrets, suffix, topk, urls
 from gapweave.storage import scratch_path
 
 
@@ -208,5 +208,5 @@ QUERIES = {"op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
     "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op6_ann": op6_ann,
     "op7_pii": op7_pii, "op8_suffix": op8_suffix,
-    "op9_topk": op9_topk, "op10_quality": op10_quality}
-ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql(), "op9_topk": _TOPK_SQL}
+    "op9_topk": op9_topk, "op10_quality": op10_quality} | conversations.QUERIES
+ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql(), "op9_topk": _TOPK_SQL} | conversations.ORACLE
