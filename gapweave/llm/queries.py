@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import ann, bpe, conversations, jaccard, mixing, pii, quality, secrets, suffix, topk, urls
+from gapweave.llm import ann, bpe, conversations, extract, jaccard, mixing, pii, quality, secrets, suffix, topk, urls
 from gapweave.storage import scratch_path
 
 
@@ -204,9 +204,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(_table(spark, sf_dir, "documents"), good_documents(spark, sf_dir))
 
 
+def op13_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {"op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
     "op3_mix": op3_mix, "op4_secrets": op4_secrets, "op5_urls": op5_urls, "op6_ann": op6_ann,
     "op7_pii": op7_pii, "op8_suffix": op8_suffix,
-    "op9_topk": op9_topk, "op10_quality": op10_quality} | conversations.QUERIES
+    "op9_topk": op9_topk, "op10_quality": op10_quality, "op13_extract": op13_extract} | conversations.QUERIES
 ORACLE = {"op3_mix": _MIX_SQL, "op5_urls": _urls_sql(), "op9_topk": _TOPK_SQL} | conversations.ORACLE
