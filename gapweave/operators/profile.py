@@ -26,7 +26,7 @@ TYPE_WIDTHS = {
 }
 
 
-def _tall(wide: DataFrame, columns: Sequence[str], metrics: Sequence[str], shared: Sequence[str] = ()):
+def tall(wide: DataFrame, columns: Sequence[str], metrics: Sequence[str], shared: Sequence[str] = ()):
     """One-row aggregate with columns `<metric>_<i>` -> one row per profiled column."""
     rows = F.array(
         *[
@@ -44,7 +44,7 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         F.count("*").alias("rows"),
         *[F.count(quoted(c)).alias(f"non_null_count_{i}") for i, c in enumerate(columns)],
     )
-    return _tall(wide, columns, ["non_null_count"], ["rows"]).select(
+    return tall(wide, columns, ["non_null_count"], ["rows"]).select(
         "column", "rows", "non_null_count", (F.col("rows") - F.col("non_null_count")).alias("null_count")
     )
 
@@ -60,7 +60,12 @@ def missing_field_census(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def completeness(df: DataFrame) -> DataFrame:
-    return null_counts(df).select(
+    return completeness_of(null_counts(df))
+
+
+def completeness_of(counts: DataFrame) -> DataFrame:
+    """From the result of `null_counts`."""
+    return counts.select(
         "column",
         "non_null_count",
         "null_count",
@@ -113,14 +118,24 @@ def column_info(df: DataFrame, approximate: bool = False) -> DataFrame:
             *[F.count(quoted(c)).alias(f"non_null_count_{i}") for i, c in enumerate(df.columns)],
             *[F.approx_count_distinct(quoted(c)).alias(f"unique_values_{i}") for i, c in enumerate(df.columns)],
         )
-        facts = _tall(wide, df.columns, ["non_null_count", "unique_values"], ["rows"])
+        facts = tall(wide, df.columns, ["non_null_count", "unique_values"], ["rows"])
     else:
-        facts = value_counts(df).groupBy("column").agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("filled"), F.col("n"))), F.lit(0)).alias("non_null_count"),
-            F.count_if("filled").alias("unique_values"),
-        )
-    types = F.create_map(*[F.lit(x) for name, kind in df.dtypes for x in (name, kind)])
+        return column_info_of(value_counts(df), df.dtypes)
+    return _column_info(facts, df.dtypes)
+
+
+def column_info_of(counts: DataFrame, dtypes: Sequence[tuple[str, str]]) -> DataFrame:
+    """From the result of `value_counts`."""
+    facts = counts.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("filled"), F.col("n"))), F.lit(0)).alias("non_null_count"),
+        F.count_if("filled").alias("unique_values"),
+    )
+    return _column_info(facts, dtypes)
+
+
+def _column_info(facts: DataFrame, dtypes: Sequence[tuple[str, str]]) -> DataFrame:
+    types = F.create_map(*[F.lit(x) for name, kind in dtypes for x in (name, kind)])
     return facts.select(
         "column",
         types[F.col("column")].alias("data_type"),
@@ -137,7 +152,12 @@ def sample_values(df: DataFrame, limit: int = 5) -> DataFrame:
     before anything is shuffled to the final rank.
     """
     texts = [name for name, kind in df.dtypes if kind == "string"]
-    values = value_counts(df, texts).where("value is not null")
+    return sample_values_of(value_counts(df, texts), texts, limit)
+
+
+def sample_values_of(counts: DataFrame, texts: Sequence[str], limit: int = 5) -> DataFrame:
+    """From the result of `value_counts`, for the columns `texts`."""
+    values = counts.where(F.col("column").isin(*texts) & F.col("value").isNotNull())
     order = Window.partitionBy("column").orderBy("value")
     return (
         values.select("column", "value", F.row_number().over(order).alias("position"))
@@ -150,9 +170,12 @@ def cardinality_ratio(
     df: DataFrame, columns: Sequence[str] | None = None, first: float = 0.5, second: float = 0.3
 ) -> DataFrame:
     """Distinct values per row of each column, against the two thresholds for categories."""
-    facts = value_counts(df, columns).groupBy("column").agg(
-        F.sum("n").alias("rows"), F.count_if("filled").alias("unique_values")
-    )
+    return cardinality_ratio_of(value_counts(df, columns), first, second)
+
+
+def cardinality_ratio_of(counts: DataFrame, first: float = 0.5, second: float = 0.3) -> DataFrame:
+    """From the result of `value_counts`."""
+    facts = counts.groupBy("column").agg(F.sum("n").alias("rows"), F.count_if("filled").alias("unique_values"))
     share = F.col("unique_values") / F.col("rows")
     return facts.select(
         "column",
@@ -164,7 +187,7 @@ def cardinality_ratio(
     )
 
 
-def _value_bytes(name: str, kind: str):
+def value_bytes(name: str, kind: str):
     """Bytes of the values of a column; nested values count as long as their JSON."""
     if kind in ("string", "binary") or kind.startswith(("char", "varchar")):
         return F.coalesce(F.sum(F.octet_length(quoted(name))), F.lit(0))
@@ -181,21 +204,26 @@ def footprint(df: DataFrame) -> DataFrame:
     wide = df.groupBy().agg(
         F.count("*").alias("rows"),
         *[
-            _value_bytes(name, kind).cast("bigint").alias(f"bytes_{i}")
+            value_bytes(name, kind).cast("bigint").alias(f"bytes_{i}")
             for i, (name, kind) in enumerate(df.dtypes)
         ],
     )
-    return _tall(wide, df.columns, ["bytes"], ["rows"]).select("column", "rows", "bytes")
+    return tall(wide, df.columns, ["bytes"], ["rows"]).select("column", "rows", "bytes")
 
 
 def footprint_summary(df: DataFrame) -> DataFrame:
     """One row: total MB, KB per row, rows, columns."""
-    total = footprint(df).groupBy().agg(F.sum("bytes").alias("bytes"), F.max("rows").alias("rows"))
+    return footprint_total(footprint(df), len(df.columns))
+
+
+def footprint_total(sizes: DataFrame, columns: int) -> DataFrame:
+    """From the result of `footprint`."""
+    total = sizes.groupBy().agg(F.sum("bytes").alias("bytes"), F.max("rows").alias("rows"))
     return total.select(
         F.round(F.col("bytes") / (1024.0 * 1024.0), 2).alias("total_mb"),
         F.coalesce(F.round(F.try_divide(F.col("bytes") / 1024.0, F.col("rows")), 3), F.lit(0.0)).alias("kb_per_row"),
         "rows",
-        F.lit(len(df.columns)).cast("bigint").alias("columns"),
+        F.lit(columns).cast("bigint").alias("columns"),
     )
 
 

@@ -5,33 +5,41 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from gapweave.config import ConsolidationConfig
 from gapweave.operators.combine import (
     clean,
-    combination_stats,
     missing_required,
     project_required,
     rename_columns,
     union_by_name,
 )
-from gapweave.operators.narrow import category_columns, narrow_types
-from gapweave.operators.profile import footprint, footprint_reduction, footprint_summary, sample_values
-from gapweave.operators.report import processing_report
-from gapweave.operators.validate import validate_null_ratio
+from gapweave.operators.fingerprint import TableFacts, compare_content, content_facts
+from gapweave.operators.narrow import narrow_types
+from gapweave.operators.profile import (
+    cardinality_ratio_of,
+    column_info_of,
+    completeness_of,
+    footprint_reduction,
+    footprint_total,
+    sample_values_of,
+    value_counts,
+)
+from gapweave.operators.report import processing_report_of
+from gapweave.operators.validate import null_ratio_of
 from gapweave.sources.files import (
     discover_files,
     drop_source,
     format_of,
     load_files,
-    load_typed,
     load_validation,
 )
 from gapweave.sources.sinks import (
+    read_saved,
     report_document,
     run_timestamp,
-    save_multi_format,
-    verify_write,
+    save_with_facts,
     write_json_document,
 )
 from gapweave.storage import materialize
@@ -55,6 +63,20 @@ def narrow(combined: DataFrame, config: ConsolidationConfig = ConsolidationConfi
     return narrow_types(combined, config.date_columns, config.date_formats)
 
 
+def verify_saved(
+    spark: SparkSession, saved: dict[str, str], facts: dict[str, TableFacts], seen: dict[str, TableFacts], schema: StructType
+) -> None:
+    """Raise unless every output holds what was written. Those `seen` were read already, the others get a pass of their own."""
+    for fmt, path in saved.items():
+        if fmt in seen:
+            found = seen[fmt].content(spark)
+        else:
+            found = content_facts(read_saved(spark, path, schema), blank_is_null=fmt == "csv")
+        differing = compare_content(found, facts[fmt].content(spark)).where("NOT same").collect()
+        if differing:
+            raise ValueError(f"Written {fmt} data differs from the result: {[tuple(r) for r in differing]}")
+
+
 def run_consolidation(
     spark: SparkSession,
     directory: str,
@@ -70,20 +92,33 @@ def run_consolidation(
     if any(r["verdict"] == "no_columns" for r in checks):
         raise ValueError("A source has no columns")
     raw = drop_source(load.df)
-    # Stored once: narrowing measures it, casts it, and its size is compared with the result.
-    combined = materialize(combine([raw], config), "combined")
-    result = narrow(combined, config)
-    saved = save_multi_format(result, output, prefix, config)
+    # Stored once: narrowing measures it and casts it. Its size, and all facts of the result, are taken while writing.
+    before = TableFacts(combine([raw], config))
+    result = narrow(materialize(before.df, "combined"), config)
+    saved, all_facts = save_with_facts(result, output, prefix, config)
     fmt = "parquet" if "parquet" in saved else "csv"
-    written = load_typed(spark, saved[fmt])
-    verified = verify_write(spark, saved, written).collect()
-    if not all(r["verified"] for r in verified):
-        raise ValueError(f"Written data differs from the result: {verified}")
+    # The one pass over the written table: its values are counted, and its content is checked on the way.
+    written = TableFacts(read_saved(spark, saved[fmt], result.schema), blank_is_null=fmt == "csv")
+    counts = materialize(value_counts(written.df), "values")
+    verify_saved(spark, saved, all_facts, {fmt: written}, result.schema)
+    facts = all_facts[fmt]
+    rows_read = sum(r["rows"] for r in checks)
+    steps = spark.createDataFrame(
+        [(len(load.columns), rows_read, facts.rows, rows_read - facts.rows, len(result.columns))],
+        "files_combined bigint, original_total_rows bigint, final_rows bigint, rows_removed bigint, final_columns bigint",
+    )
+    size = footprint_total(facts.footprint(spark), len(result.columns))
+    nulls = facts.null_counts(spark)
     report = report_document(
-        processing_report(written, combination_stats([raw], written, len(load.columns)), footprint_summary(written))
+        processing_report_of(size, completeness_of(nulls), column_info_of(counts, result.dtypes), steps, size)
+    )
+    report["null_ratio"] = {r["column"]: r["severity"] for r in null_ratio_of(nulls).collect()}
+    texts = [name for name, kind in result.dtypes if kind == "string"]
+    report["category_columns"] = sorted(
+        r["column"]
+        for r in cardinality_ratio_of(counts).where("category_first_pass OR category_second_pass").collect()
+        if r["column"] in texts
     )
-    report["null_ratio"] = {r["column"]: r["severity"] for r in validate_null_ratio(written).collect()}
-    report["category_columns"] = list(category_columns(written))
     report["missing_columns"] = missing_required(raw.columns, config.required_columns)
     report["skipped_sources"] = dict(load.reasons)
     report["sources"] = {
@@ -92,10 +127,10 @@ def run_consolidation(
     report["data_types"] = dict(result.dtypes)
     report["narrowing"] = {
         r["column"]: {k: r[k] for k in ("bytes_before", "bytes_after", "reduction_percent")}
-        for r in footprint_reduction(footprint(combined), footprint(result)).collect()
+        for r in footprint_reduction(before.footprint(spark), facts.footprint(spark)).collect()
     }
     samples: dict[str, list] = {}
-    for row in sample_values(written).orderBy("column", "position").collect():
+    for row in sample_values_of(counts, texts).orderBy("column", "position").collect():
         samples.setdefault(row["column"], []).append(row["value"])
     report["sample_values"] = samples
     report["processing_date"] = run_timestamp()

@@ -5,22 +5,29 @@ from __future__ import annotations
 import json
 import logging
 import os
+import uuid
 from datetime import datetime
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gapweave.config import CompletionConfig, ConsolidationConfig
 from gapweave.operators.columns import order_output_columns
+from gapweave.operators.fingerprint import TableFacts, compare_content, content_facts
 from gapweave.sources.files import FORMATS, format_of, load_typed
-from gapweave.storage import remove_scratch
+from gapweave.storage import remove_scratch, rename
 
 log = logging.getLogger(__name__)
 
 
+#: Options with which a CSV file gives back what was written, but for empty texts that were null.
+_CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.option("header", "true").option("escape", '"').csv(path)
+    df.write.options(**_CSV).csv(path)
     return path
 
 
@@ -72,21 +79,43 @@ def save_multi_format(
 
     The first format is computed, the second is copied from it, so the plan runs once.
     """
+    return save_with_facts(df, base, prefix, config)[0]
+
+
+def save_with_facts(
+    df: DataFrame, base: str, prefix: str, config: ConsolidationConfig = ConsolidationConfig()
+) -> tuple[dict[str, str], dict[str, TableFacts]]:
+    """`save_multi_format` with facts of each output, taken while it is written. For CSV empty texts count as null."""
     if not (config.save_parquet or config.save_csv):
         raise ValueError("No output format is switched on")
     paths = output_paths(base, prefix)
-    saved = {}
+    spark = df.sparkSession
+    saved, facts = {}, {}
+
+    def write(fmt: str, table: DataFrame, writer) -> None:
+        facts[fmt] = TableFacts(table, blank_is_null=fmt == "csv")
+        saved[fmt] = writer(facts[fmt].df, paths[fmt])
+
     if config.save_parquet:
-        saved["parquet"] = write_parquet(df, paths["parquet"])
-        df = df.sparkSession.read.schema(df.schema).parquet(paths["parquet"])
-    # The stored table is looked at, so that the plan does not run twice; nothing of an empty one stays.
-    if df.isEmpty():
+        write("parquet", df, write_parquet)
+    else:
+        write("csv", df, write_csv)
+    if next(iter(facts.values())).rows == 0:
         for path in saved.values():
-            remove_scratch(df.sparkSession, path)
+            remove_scratch(spark, path)
         raise ValueError("The table to save is empty")
-    if config.save_csv:
-        saved["csv"] = write_csv(df, paths["csv"])
-    return saved
+    if config.save_parquet and config.save_csv:
+        write("csv", read_saved(spark, paths["parquet"], df.schema), write_csv)
+    return saved, facts
+
+
+def read_saved(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that was written by this module, with the types it had."""
+    fmt = format_of(path)
+    reader = spark.read.schema(schema)
+    if fmt == "csv":
+        reader = reader.options(**_CSV).option("multiLine", "true")
+    return reader.format(fmt).load(path)
 
 
 def completed_path(original: str, fmt: str, suffix: str = "completed") -> str:
@@ -95,16 +124,21 @@ def completed_path(original: str, fmt: str, suffix: str = "completed") -> str:
 
 
 def backup_snapshot(spark: SparkSession, path: str) -> str | None:
-    """Copy a dataset next to itself; a failure is only reported."""
+    """Copy a dataset next to itself; a failure is only reported.
+
+    An earlier copy is replaced when the new one is complete, by a change of names.
+    """
     stem, extension = os.path.splitext(path.rstrip("/"))
-    copy = f"{stem}_backup{extension}"
+    copy, fresh = f"{stem}_backup{extension}", f"{stem}_backup_{uuid.uuid4().hex}{extension}"
     try:
         fmt = format_of(path)
         rows = spark.read.text(path) if fmt != "parquet" else spark.read.parquet(path)
-        writer = rows.write.mode("overwrite")
-        writer.text(copy) if fmt != "parquet" else writer.parquet(copy)
+        rows.write.text(fresh) if fmt != "parquet" else rows.write.parquet(fresh)
+        remove_scratch(spark, copy)
+        rename(spark, fresh, copy)
         return copy
-    except (PySparkException, ValueError) as error:
+    except (PySparkException, ValueError, OSError) as error:
+        remove_scratch(spark, fresh)
         log.warning("No backup of %s: %s", path, str(error).splitlines()[0])
         return None
 
@@ -145,24 +179,27 @@ def save_completed(
     writer = ordered.write.mode("overwrite" if config.overwrite else "errorifexists")
     fmt = format_of(output)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("escape", '"')
+        writer = writer.options(**_CSV)
     writer.format(fmt).save(output)
     return output
 
 
 def verify_write(spark: SparkSession, saved: dict[str, str], expected: DataFrame) -> DataFrame:
-    """Per output: rows and columns read back, and whether both agree with `expected`."""
-    wanted = expected.groupBy().agg(F.count("*").alias("expected_rows")).withColumn("one", F.lit(1))
+    """Per output: rows and columns read back, and whether names, rows and values all agree with `expected`."""
+    wanted = content_facts(expected), content_facts(expected, blank_is_null=True)
     found = None
     for fmt, path in sorted(saved.items()):
-        df = load_typed(spark, path)
-        row = df.groupBy().agg(
+        names = load_typed(spark, path).columns
+        # Every value is compared through the check sums, so a file with other columns is not read by the names of these.
+        same = names == expected.columns
+        df = read_saved(spark, path, expected.schema) if same else load_typed(spark, path)
+        blank = fmt != "parquet"
+        compared = compare_content(content_facts(df, blank), wanted[blank]).groupBy().agg(F.every("same").alias("same"))
+        row = df.groupBy().agg(F.count("*").alias("rows")).crossJoin(F.broadcast(compared)).select(
             F.lit(fmt).alias("format"),
-            F.count("*").alias("rows"),
-            F.lit(len(df.columns)).cast("bigint").alias("columns"),
-            F.lit(df.columns == expected.columns).alias("same_columns"),
+            "rows",
+            F.lit(len(names)).cast("bigint").alias("columns"),
+            (F.lit(same) & F.col("same") & (F.col("rows") > 0)).alias("verified"),
         )
         found = row if found is None else found.unionByName(row)
-    checked = found.withColumn("one", F.lit(1)).join(F.broadcast(wanted), "one")
-    passed = (F.col("rows") > 0) & (F.col("rows") == F.col("expected_rows")) & F.col("same_columns")
-    return checked.select("format", "rows", "columns", passed.alias("verified"))
+    return found

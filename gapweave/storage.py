@@ -44,6 +44,13 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def rename(spark: SparkSession, path: str, name: str) -> None:
+    source = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.rename(source, spark._jvm.org.apache.hadoop.fs.Path(name)):
+        raise OSError(f"Cannot rename {path} to {name}")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, as `spark-submit --py-files` would."""
     context = spark.sparkContext
