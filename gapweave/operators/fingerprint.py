@@ -7,6 +7,7 @@ can be combined, and a lost copy of a repeated row shows, which it would not in
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -63,8 +64,8 @@ def _check(label: int | str, seed: int) -> Column:
     return ((big[0] + big[1] + big[2]) % F.lit(_MODULUS)).cast("decimal(20,0)")
 
 
-def content_rows(wide: DataFrame, columns: list[str]) -> DataFrame:
-    """One row of `content_aggregates` as (level, column, rows, non_null_count, check_a, check_b)."""
+def content_rows(wide: DataFrame, columns: list[str], keep: Sequence[str] = ()) -> DataFrame:
+    """`content_aggregates` as rows (*keep, level, column, rows, non_null_count, check_a, check_b)."""
     cells = [
         F.struct(
             F.lit(level).alias("level"), F.lit(name).alias("column"), count.alias("non_null_count"),
@@ -75,7 +76,7 @@ def content_rows(wide: DataFrame, columns: list[str]) -> DataFrame:
             ("row", "", F.col("rows"), "row"),
         )
     ]
-    return wide.select("rows", F.inline(F.array(*cells))).select("level", "column", "rows", "non_null_count", *CHECKS)
+    return wide.select(*keep, "rows", F.inline(F.array(*cells))).select(*keep, "level", "column", "rows", "non_null_count", *CHECKS)
 
 
 def content_facts(df: DataFrame, blank_is_null: bool = False) -> DataFrame:

@@ -104,7 +104,12 @@ class Load:
 
 
 def load_files(
-    spark: SparkSession, paths: Sequence[str], fmt: str, multi_line: bool = True, skip_corrupt: bool = False
+    spark: SparkSession,
+    paths: Sequence[str],
+    fmt: str,
+    multi_line: bool = True,
+    skip_corrupt: bool = False,
+    by_path: bool = False,
 ) -> Load:
     """Union of the files by column name, every value as text.
 
@@ -112,9 +117,10 @@ def load_files(
     scan, so the plan grows with the number of layouts, not of files. A file that cannot be read fails the load,
     at once or while scanning. With `skip_corrupt` all files are read through first, and those with damage
     are left out whole, logged and named in `skipped`; any other error, such as a time-out, still fails. Rows that do
-    not parse are counted by `load_validation`. A file without columns is kept as a source without rows.
+    not parse are counted by `load_validation`. A file without columns is kept as a source without rows. With `by_path`
+    a source is named by its path (`plain_path`), whatever other files there are.
     """
-    names = source_names(paths)
+    names = {path: plain_path(path) for path in paths} if by_path else source_names(paths)
     reasons: dict[str, str] = {}
 
     def skip(path: str, error: Exception) -> None:
@@ -139,11 +145,11 @@ def load_files(
     for path, found in layouts.items():
         if found and found[0]:
             # Sources that are named by their folder cannot be told apart by the scan, so they get one each.
-            own = names[path] if names[path] != source_name(path) else None
+            own = names[path] if not by_path and names[path] != source_name(path) else None
             groups.setdefault((*found, own), []).append(path)
     frames = []
     for (fields, schema_json, own), members in groups.items():
-        scan = lambda chosen: _scan(_reader(spark, fmt, multi_line), chosen, fmt, fields, schema_json, own)
+        scan = lambda chosen: _scan(_reader(spark, fmt, multi_line), chosen, fmt, fields, schema_json, own, by_path)
         if skip_corrupt:
             members = _readable(scan, members, skip)
         if members:
@@ -180,7 +186,7 @@ def _fingerprint(df: DataFrame) -> DataFrame:
     return df.groupBy().agg(F.max(F.xxhash64(*[quoted(c) for c in df.columns])).alias("fingerprint"))
 
 
-def _scan(reader, paths, fmt, names, schema_json, own) -> DataFrame:
+def _scan(reader, paths, fmt, names, schema_json, own, by_path) -> DataFrame:
     schema = T.StructType.fromJson(json.loads(schema_json))
     reader = reader.option("ignoreCorruptFiles", "false").option("mode", "PERMISSIVE")
     rejected = F.lit(False)
@@ -192,7 +198,7 @@ def _scan(reader, paths, fmt, names, schema_json, own) -> DataFrame:
         rejected = F.col(CORRUPT).isNotNull() & F.coalesce(*[quoted(c) for c in names]).isNull()
     df = reader.schema(schema).load(list(paths))
     columns = [quoted(c).cast("string").alias(c) for c in names]
-    source = _source_column() if own is None else F.lit(own)
+    source = _path_column() if by_path else _source_column() if own is None else F.lit(own)
     return df.select(*columns, source.alias(SOURCE), rejected.alias(REJECTED))
 
 
@@ -223,10 +229,25 @@ def source_name(path: str) -> str:
     return os.path.splitext(parts[-1])[0]
 
 
+def plain_path(path: str) -> str:
+    """The path of a table without the ways in which the scheme of local files is written."""
+    return re.sub("^file:/+", "/", path.rstrip("/"))
+
+
+def _file_path():
+    # The path is given as a URL, in which a plus sign stands for itself.
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _path_column():
+    """`plain_path` of the row's table, as an expression."""
+    table = F.regexp_replace(_file_path(), r"(\.(?i:csv|parquet|json))/[^/]+$", "$1")
+    return F.regexp_replace(table, "^file:/+", "/")
+
+
 def _source_column():
     """`source_name` of the row's file, as an expression."""
-    # The path is given as a URL, in which a plus sign stands for itself.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = _file_path()
     folder = F.regexp_extract(path, r"([^/]+)\.(?i:csv|parquet|json)/[^/]+$", 1)
     leaf = F.regexp_extract(path, r"([^/]+?)(?:\.[^./]+)?$", 1)
     return F.when(folder != "", folder).otherwise(leaf)
