@@ -2,9 +2,9 @@
 
 An Arrow pass cuts the words out. The distinct words that most batches of documents hold are
 encoded once and broadcast (a bounded number). Then another pass numbers the words of many documents at once, so that
-every other distinct word is encoded once per batch. To encode, a higher-order function folds the ranked merges over
-the byte array of a word, with the ranks in a literal map. Decoding concatenates the pieces of the ids. Documents
-are not shuffled, and a lost task only repeats its own. Words are told apart by 64-bit hashes.
+every other distinct word is encoded once per batch; what it finds, one row per batch, is handed over by a shuffle. To
+encode, a higher-order function folds the ranked merges over the byte array of a word, with the ranks in a literal map.
+Decoding concatenates the pieces of the ids. Words are told apart by their texts.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.llm.text import prefix_hashes, range_hashes
+from gapweave.llm.text import mix, word_hashes
 from gapweave.storage import materialize
 
 #: A batch is closed once it holds so many words or so many distinct ones; this bounds the memory of a task.
@@ -38,11 +38,10 @@ COMMON_WORDS, COMMON_BYTES = 500_000, 64
 OUTPUT_BYTES = 8 << 20
 #: Longer words are merged by a heap in the numbering pass.
 FOLD_BYTES = 1_000
-#: A prime, so that pairs spread evenly; and fields of 20 bits in one number.
-_BUCKETS, _FIELD = 131_071, 1 << 20
-#: The rank of a pair that has none, and the number of a byte at which no part starts.
+#: A prime, so that pairs spread evenly; and what two ids are packed with.
+_BUCKETS, _FIELD = 131_071, 1 << 21
+#: The rank of a pair that has none.
 _NONE = 1 << 21
-_GONE = (_NONE + 1) * _FIELD * _FIELD
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -59,8 +58,8 @@ def _let(value: Column, body) -> Column:
 class RankMap:
     """The ranks as one literal, whose size is that of the rank file.
 
-    A merge is looked up by its two parts: every cut of a piece into two pieces is an entry. A look-up in a map
-    is a linear search in Spark, so entries are hashed to buckets of about two.
+    A merge is looked up by its two parts: every cut of a piece into two pieces is an entry. A look-up in an array
+    is a linear search, so entries are hashed to buckets of about two; nothing is built from the literal per row.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -85,23 +84,17 @@ class RankMap:
         table = {
             "pairs": pairs,
             "merged": merged,
-            "sizes": [len(piece) // 2 for piece in pieces],
             "bytes": [ranks[bytes([b])] for b in range(256)],
         }
         self._literal = F.from_json(
             F.lit(json.dumps(table, separators=(",", ":"))),
-            "pairs array<array<bigint>>, merged array<array<bigint>>, sizes array<int>, bytes array<bigint>",
+            "pairs array<array<bigint>>, merged array<array<bigint>>, bytes array<bigint>",
         )
         self._pieces = F.split(F.lit(",".join(pieces)), ",")
 
     def bound(self, body) -> Column:
         """`body` of the tables as a variable, so that the plan holds the literal once."""
-
-        def maps(lists: Column) -> Column:
-            merges = F.zip_with(lists["pairs"], lists["merged"], F.map_from_arrays).alias("merges")
-            return F.struct(merges, *(lists[name].alias(name) for name in ("sizes", "bytes")))
-
-        return _let(_let(self._literal, maps), lambda table: body(_Tables(table)))
+        return _let(self._literal, lambda table: body(_Tables(table)))
 
     def bound_pieces(self, body) -> Column:
         """`body` of the list of the pieces, by rank."""
@@ -110,89 +103,61 @@ class RankMap:
 
 class _Tables:
     def __init__(self, table: Column):
-        self._merges, self._sizes, self._bytes = table["merges"], table["sizes"], table["bytes"]
+        self._pairs, self._merged, self._bytes = table["pairs"], table["merged"], table["bytes"]
 
     def of_byte(self, byte: Column) -> Column:
         return F.get(self._bytes, byte)
 
     def of_pair(self, left: Column, right: Column) -> Column:
-        """The rank of two parts put together; a large number if there is none."""
+        """The rank of two parts put together; a large number if there is none, or no part on the right."""
         pair = left * _FIELD + right
-        found = F.try_element_at(F.get(self._merges, (pair % _BUCKETS).cast("int")), pair)
-        return F.coalesce(found, F.lit(_NONE))
+        bucket = (pair % _BUCKETS).cast("int")
 
-    def size(self, token: Column) -> Column:
-        return F.get(self._sizes, token.cast("int"))
+        def look_up(place: Column) -> Column:
+            found = F.get(F.get(self._merged, bucket), place - 1)
+            return F.when(place > 0, found).otherwise(F.lit(_NONE).cast("bigint"))
+
+        return _let(F.array_position(F.get(self._pairs, bucket), pair).cast("int"), look_up)
 
 
 def _encode_word(byte_array: Column, tables: _Tables) -> Column:
     """The ids of a word: of its bytes, the leftmost pair of least rank is merged until none is left.
 
-    The fold keeps one number per byte. At the first byte of a part it packs the rank of this part with the next
-    one, the place, and the id of the part, so the least number is the next merge. Other bytes hold `_GONE`; the
-    last byte of a part holds its id too, so that both neighbours of a place can be found.
+    The fold keeps the ids of the parts and the rank of each with the next one. A merge replaces two parts by one, whose
+    id is the rank, and looks up the ranks of the two pairs that it is in.
     """
-    token = lambda number: number.bitwiseAND(F.lit(_FIELD - 1).cast("bigint"))
-    packed = lambda rank, place, part: (rank * _FIELD + place) * _FIELD + part
-
-    def merge(cells: Column, least: Column) -> Column:
-        here = F.struct(
-            token(F.shiftright(least, 20)).cast("int").alias("at"),
-            F.shiftright(least, 40).alias("merged"),
-            token(least).alias("part"),
-        )
-
-        def with_next(h: Column) -> Column:
-            after = h["at"] + tables.size(h["part"])
-            return _let(
-                F.struct(
-                    h["at"].alias("at"),
-                    h["merged"].alias("merged"),
-                    after.alias("next"),
-                    (after + tables.size(token(F.get(cells, after)))).alias("end"),
-                    F.when(h["at"] > 0, token(F.get(cells, h["at"] - 1))).alias("left"),
-                ),
-                with_values,
-            )
-
-        def with_values(h: Column) -> Column:
-            return _let(
-                F.struct(
-                    h["at"].alias("at"),
-                    packed(tables.of_pair(h["merged"], token(F.get(cells, h["end"]))), h["at"], h["merged"]).alias("cell"),
-                    (h["end"] - 1).alias("last"),
-                    (h["merged"] + _GONE).alias("last_cell"),
-                    h["next"].alias("next"),
-                    (h["at"] - tables.size(h["left"])).alias("before"),
-                    packed(
-                        tables.of_pair(h["left"], h["merged"]), h["at"] - tables.size(h["left"]), h["left"]
-                    ).alias("before_cell"),
-                ),
-                lambda v: F.transform(
-                    cells,
-                    lambda cell, i: F.when(i > v["last"], cell)
-                    .when(i == v["last"], v["last_cell"])
-                    .when(i == v["at"], v["cell"])
-                    .when(i == v["next"], F.lit(_GONE))
-                    .when(i == v["before"], v["before_cell"])
-                    .otherwise(cell),
-                ),
+    ranks_of = lambda parts: F.transform(parts, lambda part, i: tables.of_pair(part, F.get(parts, i + 1)))
+
+    def merge(state: Column, least: Column) -> Column:
+        ids, ranks = state["ids"], state["ranks"]
+
+        def at(place: Column) -> Column:  # of the left part, from 1
+            rest = F.size(ids)
+            after = tables.of_pair(least, F.get(ids, place + 1))
+            before = F.array(tables.of_pair(F.get(ids, place - 2), least), after)
+            return F.struct(
+                F.concat(F.slice(ids, F.lit(1), place - 1), F.array(least), F.slice(ids, place + 2, rest)).alias("ids"),
+                F.concat(
+                    F.slice(ranks, F.lit(1), F.greatest(place - 2, F.lit(0))),
+                    F.when(place > 1, before).otherwise(F.array(after)),
+                    F.slice(ranks, place + 2, rest),
+                ).alias("ranks"),
             )
 
-        return _let(here, with_next)
+        return _let(F.array_position(ranks, least).cast("int"), at)
 
     first = _let(
         F.transform(byte_array, tables.of_byte),
-        lambda parts: F.transform(parts, lambda part, i: packed(tables.of_pair(part, F.get(parts, i + 1)), i, part)),
+        lambda parts: F.struct(parts.alias("ids"), ranks_of(parts).alias("ranks")),
     )
     return F.aggregate(
         F.sequence(F.lit(2), F.size(byte_array)),  # no more merges than that
         first,
-        lambda cells, _: _let(
-            F.array_min(cells),
-            lambda least: F.when(least < _NONE * _FIELD * _FIELD, merge(cells, least)).otherwise(cells),
+        lambda state, _: _let(
+            F.array_min(state["ranks"]),
+            lambda least: F.when(least < _NONE, merge(state, least)).otherwise(state),
         ),
-        lambda cells: F.transform(F.filter(cells, lambda cell: cell < _GONE), lambda cell: token(cell).cast("int")),
+        lambda state: F.transform(state["ids"], lambda token: token.cast("int")),
     )
 
 
@@ -305,7 +270,7 @@ def cut_words(texts: list[str], known: dict) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _numbered(column: pa.Array, known: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
-    """(first row, words per row, word hash of every word, places of the first of each hash, their texts) by stretches."""
+    """(first row, words per row, place of every word among the distinct ones, their hashes, their texts) by stretches."""
     at = 0
     while at < len(column):
         texts, size = [], 0
@@ -313,11 +278,18 @@ def _numbered(column: pa.Array, known: dict) -> Iterator[tuple[int, np.ndarray,
             texts.append(column[at + len(texts)].as_py() or "")
             size += len(texts[-1])
         codes, start, end, row = cut_words(texts, known)
-        hashes = range_hashes(*prefix_hashes(codes), start, end)
-        distinct, first = np.unique(hashes, return_index=True)
+        hashes = word_hashes(codes, start, end)
+        distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+        # A second hash settles whether equal hashes are equal words; if not, which is not to be expected, texts do.
+        second = word_hashes(codes, start, end, 1)
         joined = "".join(texts)
+        if (second != second[first][place]).any():
+            known_texts: dict[str, int] = {}
+            whole = [joined[a:b] for a, b in zip(start.tolist(), end.tolist())]
+            hashes = mix(np.array([known_texts.setdefault(w, len(known_texts)) for w in whole], np.uint64))
+            distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         words = [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
-        yield at, np.bincount(row, minlength=len(texts)), hashes, distinct, words
+        yield at, np.bincount(row, minlength=len(texts)), place, distinct, words
         at += len(texts)
 
 
@@ -400,9 +372,9 @@ def common_words(texts: DataFrame, ranks: RankMap, limit: int | None = None) ->
 def _number_words(vocabulary: dict[bytes, int], common):
     """Batches of documents -> one row per batch: its distinct words, and their numbers in each document."""
 
-    def closed(ids: list, counts: list, codes: list, index: dict[int, int], words: list[str]) -> pa.RecordBatch:
+    def closed(ids: list, counts: list, codes: list, words: list[str], word_hash: list[int]) -> pa.RecordBatch:
         known, known_ids = common.value
-        hashes = np.fromiter(index.keys(), np.uint64, len(index))
+        hashes = np.array(word_hash, np.uint64)
         at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
         hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
         word_ids = known_ids.take(pa.array(at, mask=~hit))
@@ -427,29 +399,30 @@ def _number_words(vocabulary: dict[bytes, int], common):
                 pa.array([np.concatenate(counts).astype(np.int64).tobytes()], pa.binary()),
                 pa.array([np.concatenate(codes).astype(np.int32).tobytes()], pa.binary()),
                 _one_list(_word_structs(raw, sizes, word_ids)),
+                pa.array([int(hashes.sum(dtype=np.uint64)) >> 1], pa.int64()),
             ],
-            ["ids", "counts", "codes", "words"],
+            ["ids", "counts", "codes", "words", "spread"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts, codes, index, words, total, classes = [], [], [], {}, [], 0, {}
+        ids, counts, codes, index, hashes, total, classes = [], [], [], {}, [], 0, {}
         for batch in batches:
-            for first, per_row, hashes, distinct, texts in _numbered(batch.column(1), classes):
+            for first, per_row, places, distinct, texts in _numbered(batch.column(1), classes):
                 number = np.empty(len(distinct), np.int32)
                 for i, (value, text) in enumerate(zip(distinct.tolist(), texts)):
-                    place = index.setdefault(value, len(index))
-                    if place == len(words):
-                        words.append(text)
+                    place = index.setdefault(text, len(index))
+                    if place == len(hashes):
+                        hashes.append(value)
                     number[i] = place
-                codes.append(number[np.searchsorted(distinct, hashes)])
+                codes.append(number[places])
                 counts.append(per_row)
                 ids.append(batch.column(0).slice(first, len(per_row)))
-                total += len(hashes)
+                total += len(places)
                 if len(index) >= BATCH_DISTINCT or total >= BATCH_WORDS:
-                    yield closed(ids, counts, codes, index, words)
-                    ids, counts, codes, index, words, total = [], [], [], {}, [], 0
+                    yield closed(ids, counts, codes, list(index), hashes)
+                    ids, counts, codes, index, hashes, total = [], [], [], {}, [], 0
         if counts:
-            yield closed(ids, counts, codes, index, words)
+            yield closed(ids, counts, codes, list(index), hashes)
 
     return run
 
@@ -496,8 +469,11 @@ def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_colu
     common = docs.sparkSession.sparkContext.broadcast(common_words(texts, ranks))
     numbered = texts.mapInArrow(
         _number_words(ranks.pieces, common),
-        f"ids array<{id_type}>, counts binary, codes binary, words array<struct<ids:array<int>,bytes:array<smallint>>>",
+        f"ids array<{id_type}>, counts binary, codes binary, words array<struct<ids:array<int>,bytes:array<smallint>>>, "
+        "spread bigint",
     )
+    # Between the two Python passes stands a shuffle, so that a task never runs workers of both.
+    numbered = numbered.repartition("spread")
     encoded = numbered.select("ids", "counts", "codes", encode_words(F.col("words"), ranks).alias("tokens"))
     decoded = encoded.select("*", decode_words(F.col("tokens"), ranks).alias("pieces"))
     return decoded.mapInArrow(_per_document, f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed(

@@ -1,11 +1,14 @@
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
 
 from gapweave.llm import bpe
+from gapweave.llm.text import word_hashes
 
 WORDS = ["the", "The", " ", "don't", "naïve", "été", "123", "4567890", "ñandú", "\n\n", "a_b", "🙂", "日本語", "$$$", "x" * 90]
 
@@ -84,3 +87,30 @@ def test_every_character_is_cut_as_the_library_does(ranks, library):
         text = "".join(f"a{c}1 {c}b" for c in chars)
         own = [i for word in words_of([text])[0] for i in library._encode_single_piece(word.encode())]
         assert own == library.encode_ordinary(text), hex(start)
+
+
+def thue_morse(size):
+    """Two words that any polynomial hash modulo a power of two takes for one."""
+    word = "a"
+    while len(word) < size:
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
+def test_words_of_repeating_patterns_stay_apart(spark, ranks, library):
+    texts = [word for size in (1_024, 2_048, 4_096) for word in thue_morse(size)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: (list(r.token_ids), bytes(r.decoded)) for r in bpe.encode(docs, bpe.RankMap(ranks)).collect()}
+    assert got == {i: (library.encode_ordinary(t), t.encode()) for i, t in enumerate(texts)}
+
+
+def test_equal_hashes_are_settled_by_the_text(spark, ranks, library, monkeypatch):
+    """Words of one length have one hash here, and the second hash tells."""
+    def weak(codes, start, end, seed=0):
+        real = word_hashes(codes, start, end, seed)
+        return real if seed else (end - start).astype(np.uint64)
+
+    monkeypatch.setattr(bpe, "word_hashes", weak)
+    texts = pa.array(["ab cd ab", "xy zw", ""])
+    rows = [[places, words] for _, _, places, _, words in bpe._numbered(texts, {})]
+    assert [rows[0][1][p] for p in rows[0][0]] == ["ab", " cd", " ab", "xy", " zw"]

@@ -89,3 +89,14 @@ def test_prefix_filter_keeps_every_link():
 def test_components(spark, links, want):
     found = jaccard.components(spark.createDataFrame(links, "a bigint, b bigint"))
     assert {r.node: r.component for r in found.collect()} == want
+
+
+def test_words_of_repeating_patterns_are_different_words(spark):
+    """A polynomial modulo a power of two takes these words for one."""
+    word = "a"
+    while len(word) < 2_048:
+        word += word.translate({97: "b", 98: "a"})
+    texts = [f"{word} one two three four five", f"{word.translate({97: 'b', 98: 'a'})} one two three four five"]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)] + [(2, texts[1])], "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect()}
+    assert got == {0: (2, 0), 1: (2, 1), 2: (2, 1)}
