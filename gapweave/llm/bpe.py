@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,9 +79,6 @@ class RankMap:
                     pair = left * _FIELD + right
                     pairs[pair % _BUCKETS].append(pair)
                     merged[pair % _BUCKETS].append(rank)
-        pieces = [""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece.hex()
         table = {
             "pairs": pairs,
             "merged": merged,
@@ -90,16 +88,11 @@ class RankMap:
             F.lit(json.dumps(table, separators=(",", ":"))),
             "pairs array<array<bigint>>, merged array<array<bigint>>, bytes array<bigint>",
         )
-        self._pieces = F.split(F.lit(",".join(pieces)), ",")
 
     def bound(self, body) -> Column:
         """`body` of the tables as a variable, so that the plan holds the literal once."""
         return _let(self._literal, lambda table: body(_Tables(table)))
 
-    def bound_pieces(self, body) -> Column:
-        """`body` of the list of the pieces, by rank."""
-        return _let(self._pieces, body)
-
 
 class _Tables:
     def __init__(self, table: Column):
@@ -113,11 +106,8 @@ class _Tables:
         pair = left * _FIELD + right
         bucket = (pair % _BUCKETS).cast("int")
 
-        def look_up(place: Column) -> Column:
-            found = F.get(F.get(self._merged, bucket), place - 1)
-            return F.when(place > 0, found).otherwise(F.lit(_NONE).cast("bigint"))
-
-        return _let(F.array_position(F.get(self._pairs, bucket), pair).cast("int"), look_up)
+        place = F.nullif(F.array_position(F.get(self._pairs, bucket), pair), F.lit(0))
+        return F.coalesce(F.get(F.get(self._merged, bucket), place.cast("int") - 1), F.lit(_NONE).cast("bigint"))
 
 
 def _encode_word(byte_array: Column, tables: _Tables) -> Column:
@@ -193,22 +183,8 @@ def encode_long_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def encode_words(words: Column, ranks: RankMap) -> Column:
-    """Ids of each of a list of words, given as structs of `ids` (if known already, else null) and `bytes`."""
-    return ranks.bound(
-        lambda tables: F.transform(
-            words,
-            lambda word: F.coalesce(word["ids"], _encode_word(word["bytes"], tables)),
-        )
-    )
-
-
-def decode_words(ids: Column, ranks: RankMap) -> Column:
-    """The bytes of each of a list of lists of ids."""
-    return ranks.bound_pieces(
-        lambda pieces: F.transform(
-            ids, lambda each: F.unhex(F.array_join(F.transform(each, lambda token: F.get(pieces, token)), ""))
-        )
-    )
+    """Ids of each of a list of words, given as lists of bytes."""
+    return ranks.bound(lambda tables: F.transform(words, lambda word: _encode_word(word, tables)))
 
 
 def _classes(codes: np.ndarray, known: dict) -> np.ndarray:
@@ -314,31 +290,31 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield flush()
 
 
-def _word_lists(vocabulary: dict[bytes, int]):
-    """Words as lists of structs that `encode_words` takes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-            # A word that is a piece itself is never cut.
-            whole = [[vocabulary[w]] if w in vocabulary else None for w in texts.to_pylist()]
-            structs = _word_structs(texts, sizes, pa.array(whole, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([_one_list(batch.column(0)), _one_list(structs)], ["hashes", "words"])
-
-    return run
+def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words as lists that `encode_words` takes."""
+    for batch in batches:
+        words = _byte_lists(batch.column(1).cast(pa.binary()).to_pylist())
+        yield pa.RecordBatch.from_arrays([_one_list(batch.column(0)), _one_list(words)], ["hashes", "words"])
 
 
 def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(np.array([0, len(values)], np.int32), values)
 
 
-def _word_structs(words: pa.Array, sizes: np.ndarray, ids: pa.Array) -> pa.StructArray:
-    """(ids, bytes): the bytes are left out where the ids are known."""
-    known = pc.is_valid(ids).to_numpy(zero_copy_only=False)
-    data = np.frombuffer(b"".join(words.filter(pa.array(~known)).to_pylist()), np.uint8).astype(np.int16)
-    starts = np.concatenate([[0], np.cumsum(np.where(known, 0, sizes))]).astype(np.int32)
-    return pa.StructArray.from_arrays([ids, pa.ListArray.from_arrays(starts, pa.array(data))], ["ids", "bytes"])
+def _byte_lists(words: list[bytes]) -> pa.ListArray:
+    starts = np.concatenate([[0], np.cumsum([len(word) for word in words], dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(starts, pa.array(np.frombuffer(b"".join(words), np.uint8).astype(np.int16)))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers in as few bytes as they need, compressed."""
+    most = int(values.max(initial=0))
+    kind = np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64
+    return bytes([np.dtype(kind).itemsize]) + zlib.compress(values.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), f"u{data[0]}").astype(np.int64)
 
 
 def common_words(texts: DataFrame, ranks: RankMap, limit: int | None = None) -> tuple[np.ndarray, pa.Array]:
@@ -360,7 +336,7 @@ def common_words(texts: DataFrame, ranks: RankMap, limit: int | None = None) ->
     if least is None:
         return np.zeros(0, np.uint64), pa.array([], pa.list_(pa.int32()))
     lists = spread.where(F.col("level") >= least).select("hash", "word").mapInArrow(
-        _word_lists(ranks.pieces), "hashes array<bigint>, words array<struct<ids:array<int>,bytes:array<smallint>>>"
+        _word_lists, "hashes array<bigint>, words array<array<smallint>>"
     )
     table = lists.select("hashes", encode_words(F.col("words"), ranks).alias("ids")).toArrow()
     hashes = table.column("hashes").combine_chunks().flatten().to_numpy().view(np.uint64)
@@ -373,35 +349,35 @@ def _number_words(vocabulary: dict[bytes, int], common):
     """Batches of documents -> one row per batch: its distinct words, and their numbers in each document."""
 
     def closed(ids: list, counts: list, codes: list, words: list[str], word_hash: list[int]) -> pa.RecordBatch:
+        """The row of a batch: its documents' ids, and packed the words of each, the words by number, the sizes of the
+        words' ids where these are known and these ids; and the words that are left to fold."""
         known, known_ids = common.value
         hashes = np.array(word_hash, np.uint64)
         at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
         hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-        word_ids = known_ids.take(pa.array(at, mask=~hit))
-        raw = pa.array(words, pa.string()).cast(pa.binary())
-        sizes = pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64)
-        # A word that is a piece itself is never cut; long words go by the heap.
-        special = {}
+        # Ids of the common words; then of words that are a piece themselves, never cut, and of long ones, by the heap.
+        given = dict(zip(np.flatnonzero(hit).tolist(), known_ids.take(pa.array(at[hit])).to_pylist()))
+        open_words = []
         for i in np.flatnonzero(~hit).tolist():
             word = words[i].encode()
             if word in vocabulary:
-                special[i] = [vocabulary[word]]
+                given[i] = [vocabulary[word]]
             elif len(word) > FOLD_BYTES:
-                special[i] = encode_long_word(word, vocabulary)
-        if special:
-            filled = word_ids.to_pylist()
-            for i, value in special.items():
-                filled[i] = value
-            word_ids = pa.array(filled, pa.list_(pa.int32()))
+                given[i] = encode_long_word(word, vocabulary)
+            else:
+                open_words.append(word)
+        sizes = np.zeros(len(words), np.int64)  # 0: to be folded
+        for i, value in given.items():
+            sizes[i] = len(value)
+        flat = np.array([token for i in sorted(given) for token in given[i]], np.int64)
         return pa.RecordBatch.from_arrays(
             [
                 _one_list(pa.concat_arrays(ids)),
-                pa.array([np.concatenate(counts).astype(np.int64).tobytes()], pa.binary()),
-                pa.array([np.concatenate(codes).astype(np.int32).tobytes()], pa.binary()),
-                _one_list(_word_structs(raw, sizes, word_ids)),
+                *(pa.array([_packed(np.asarray(v, np.int64))], pa.binary()) for v in (np.concatenate(counts), np.concatenate(codes), sizes, flat)),
+                _one_list(_byte_lists(open_words)),
                 pa.array([int(hashes.sum(dtype=np.uint64)) >> 1], pa.int64()),
             ],
-            ["ids", "counts", "codes", "words", "spread"],
+            ["ids", "counts", "codes", "sizes", "given", "words", "spread"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,15 +403,27 @@ def _number_words(vocabulary: dict[bytes, int], common):
     return run
 
 
-def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge_lists(known: np.ndarray, given: np.ndarray, folded: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Ids of all words of a batch, and how many each has, from the known ones and the folded ones."""
+    is_known = known > 0
+    starts = np.concatenate([[0], np.cumsum(known[is_known])]).astype(np.int32)
+    both = pa.concat_arrays([pa.ListArray.from_arrays(starts, pa.array(given.astype(np.int32))), folded.cast(pa.list_(pa.int32()))])
+    order = np.empty(len(known), np.int64)
+    order[is_known] = np.arange(is_known.sum())
+    order[~is_known] = is_known.sum() + np.arange((~is_known).sum())
+    merged = both.take(pa.array(order))
+    return merged, pc.list_value_length(merged).to_numpy(zero_copy_only=False)
+
+
+def _per_document(batches: Iterator[pa.RecordBatch], pieces: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Ids of every document from the rows of batches, decoded by joining their `pieces`."""
     for batch in batches:
         for row in range(batch.num_rows):
             ids = batch.column("ids").slice(row, 1).flatten()
-            counts = np.frombuffer(batch.column("counts")[row].as_buffer(), np.int64)
-            codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
-            tokens = batch.column("tokens").slice(row, 1).flatten()
-            pieces = batch.column("pieces").slice(row, 1).flatten()
-            sizes = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+            counts, codes, known, given = (
+                _unpacked(batch.column(name)[row].as_py()) for name in ("counts", "codes", "sizes", "given")
+            )
+            tokens, sizes = _merge_lists(known, given, batch.column("tokens").slice(row, 1).flatten())
             ends = np.concatenate([[0], np.cumsum(counts)])
             cost = np.concatenate([[0], np.cumsum(sizes[codes], dtype=np.int64)])[ends] * 4
             first = 0
@@ -444,12 +432,13 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 own = codes[ends[first] : ends[last]]
                 picked = pa.array(own)
                 starts = np.concatenate([[0], np.cumsum(sizes[own], dtype=np.int64)])[ends[first : last + 1] - ends[first]]
-                bounds = pa.array((ends[first : last + 1] - ends[first]).astype(np.int32))
+                starts = pa.array(starts.astype(np.int32))
+                found = tokens.take(picked).flatten()
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, last - first),
-                        pa.ListArray.from_arrays(starts.astype(np.int32), tokens.take(picked).flatten()),
-                        pc.binary_join(pa.ListArray.from_arrays(bounds, pieces.take(picked)), b""),
+                        pa.ListArray.from_arrays(starts, found),
+                        pc.binary_join(pa.ListArray.from_arrays(starts, pieces.take(found)), b""),
                     ],
                     ["id", "token_ids", "decoded"],
                 )
@@ -467,15 +456,19 @@ def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_colu
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     common = docs.sparkSession.sparkContext.broadcast(common_words(texts, ranks))
+    # Between the two Python passes stands a shuffle, so that a task never runs workers of both.
     numbered = texts.mapInArrow(
         _number_words(ranks.pieces, common),
-        f"ids array<{id_type}>, counts binary, codes binary, words array<struct<ids:array<int>,bytes:array<smallint>>>, "
+        f"ids array<{id_type}>, counts binary, codes binary, sizes binary, given binary, words array<array<smallint>>, "
         "spread bigint",
-    )
-    # Between the two Python passes stands a shuffle, so that a task never runs workers of both.
-    numbered = numbered.repartition("spread")
-    encoded = numbered.select("ids", "counts", "codes", encode_words(F.col("words"), ranks).alias("tokens"))
-    decoded = encoded.select("*", decode_words(F.col("tokens"), ranks).alias("pieces"))
-    return decoded.mapInArrow(_per_document, f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed(
+    ).repartition("spread")
+    encoded = numbered.select("ids", "counts", "codes", "sizes", "given", encode_words(F.col("words"), ranks).alias("tokens"))
+    by_rank = {rank: piece for piece, rank in ranks.pieces.items()}
+    pieces = pa.array([by_rank.get(rank) for rank in range(max(by_rank) + 1)], pa.binary())
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _per_document(batches, pieces)
+
+    return encoded.mapInArrow(assemble, f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed(
         "id", id_column
     )
