@@ -25,6 +25,10 @@ MOST_SOURCES = 200
 _HEX_DIGITS = 3
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def each_source(docs: DataFrame, weights: dict[str, int], source_column: str = "source") -> dict[str, int]:
     """`weights` with one for every source of `docs`: those not listed share the weight of `"*"` evenly.
 
@@ -105,7 +109,7 @@ def mix(
     `weights` names sources and must have `"*"` for all others, a null source included, which are mixed as
     one. Rows are ordered in their source by the md5 of the id, then by the id and the other columns; fully equal
     rows may swap. No row is dropped. A period in which a source runs out skips its missing blocks.
-    Columns named like the added ones are refused, whatever their case. An empty table gives an empty result.
+    Columns named like the added ones are refused, whatever their case; any others come back as they are. An empty table gives an empty result.
     """
     if REST not in weights or any(int(w) != w or w < 1 for w in weights.values()):
         raise ValueError(f"weights are integers of 1 or more, with one for {REST!r}")
@@ -117,8 +121,10 @@ def mix(
     source = F.when(F.col(source_column).isin(listed), F.col(source_column)).otherwise(F.lit(REST))
     order = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")))
     # A source is dealt to many partitions by the first digits of the order, whose row counts give the offsets.
+    # The row itself travels as one value, so none of its names can meet those used here.
     keyed = docs.select(
-        "*", F.coalesce(source, F.lit(REST)).alias("mix_source"), order.alias("_order"),
+        F.struct("*").alias("_row"), F.col(id_column).alias("_id"),
+        F.coalesce(source, F.lit(REST)).alias("mix_source"), order.alias("_order"),
     ).withColumn("_part", F.substring("_order", 1, _HEX_DIGITS))
     counts = keyed.groupBy("mix_source", "_part").agg(F.count("*").alias("_rows"))
     offsets = counts.select(
@@ -157,12 +163,12 @@ def mix(
     slots = timed.select("since", "until", "length", "before", F.inline(_period(F.col("sources")))).withColumnRenamed(
         "source", "mix_source"
     )
-    sortable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    sortable = [F.col(f"_row.{_quoted(c)}") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     numbered = (
         keyed.withColumn(
             "_number",
             F.row_number().over(
-                W.partitionBy("mix_source", "_part").orderBy("_order", id_column, F.xxhash64(*sortable))
+                W.partitionBy("mix_source", "_part").orderBy("_order", "_id", F.xxhash64(*sortable))
             ),
         )
         # At most (number of weights) * 4,096 rows.
@@ -183,7 +189,7 @@ def mix(
     )
     slot = F.col("s.before") + (F.col("n._at") - F.col("s.since")) * F.col("s.length") + F.col("s.slot")
     return placed.select(
-        *(F.col(f"n.`{c}`") for c in docs.columns),
+        *(F.col(f"n._row.{_quoted(c)}").alias(c) for c in docs.columns),
         F.col("n.mix_source"),
         F.col("n.mix_block"),
         slot.alias("mix_slot"),

@@ -82,3 +82,12 @@ def test_too_many_sources_are_refused_and_none_are_fine(spark, monkeypatch):
     with pytest.raises(ValueError, match="sources"):
         mixing.each_source(docs, WEIGHTS)
     assert mixing.each_source(docs.limit(0), WEIGHTS) == WEIGHTS
+
+
+def test_columns_of_any_other_name_come_back(spark):
+    names = "_row _id _order _part _rows _offset _number _rank _at turn weight since until length sources before slot source_x a`b".split()
+    columns = ["doc_id", "source", *names]
+    docs = spark.createDataFrame([(n, "ab"[n % 2], *range(len(names))) for n in range(40)], columns)
+    got = mixing.mix(docs, WEIGHTS, 4)
+    assert got.columns[: len(columns)] == columns
+    assert sorted(map(tuple, got.select(*(f"`{c.replace('`', '``')}`" for c in columns)).collect())) == sorted(map(tuple, docs.collect()))

@@ -41,9 +41,9 @@ def test_every_stage_on_what_its_predecessor_kept(spark):
     assert {i: list(r.token_ids) for i, r in encoded.items()} == {i: library.encode_ordinary(r.text) for i, r in mixed.items()}
 
 
-def test_registered_queries_are_the_ten_and_the_pipeline():
+def test_registered_queries_are_the_operators_and_the_pipeline():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
@@ -87,3 +87,25 @@ def test_one_row_of_each_component(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF_DIR).collect()]
     assert sorted(got, key=str) == sorted([(1, one), (2, two), (4, other), (None, one), (None, one), (5, "")], key=str)
+
+
+def test_stages_give_clashing_columns_back(spark):
+    """Names that the stages use themselves."""
+    names = "_row row doc order hash component_id _chars _blob _spans _id _found blob spans path content turn weight rank".split()
+    text = "one two three four five six token = abcdef123456"
+    rows = [(n, text if n < 2 else f"text {n} of its own words", "en", "src0", 5, *range(len(names))) for n in range(4)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names])
+    once = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert once.columns == docs.columns
+    assert sorted(map(tuple, once.collect())) == [tuple(r) for r in rows if r[0] != 1]
+    clean = corpus_pipeline.secrets_stage(spark, docs, "")
+    assert clean.columns == docs.columns
+    want = text[: text.index("token")] + "[secret]"
+    assert sorted(map(tuple, clean.collect())) == [
+        (r[0], want, "en", "src0", len(want), *r[5:]) if r[0] < 2 else r for r in rows
+    ]
+    mixed = corpus_pipeline.mix_stage(spark, docs, "")
+    assert mixed.columns == docs.columns and sorted(map(tuple, mixed.collect())) == rows
+    empty = docs.limit(0)
+    for stage in (corpus_pipeline.near_duplicate_stage, corpus_pipeline.secrets_stage, corpus_pipeline.mix_stage):
+        assert stage(spark, empty, "").columns == docs.columns
