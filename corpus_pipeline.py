@@ -18,7 +18,10 @@ from gapweave.storage import materialize, scratch_path, ship_package
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that are drawn; those with a null id are judged like an empty id."""
+    """Keeps the documents that are drawn; those with a null id are judged like an empty id.
+
+    All columns stay as they are, whatever their names. An empty table stays empty.
+    """
     ship_package(spark)
     drawn = quality.resample(docs, queries.good_documents(spark, sf_dir)).where("selected").select("doc_id").distinct()
     return docs.alias("d").join(drawn.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
@@ -28,31 +31,41 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps one row of each component: that of the smallest id and, of rows with that id, the smallest text hash.
 
     Rows are judged by their own texts, whether or not their ids repeat. Rows with a null id, and rows whose text has no
-    words, link with nothing and stay.
+    words, link with nothing and stay. All columns stay as they are, whatever their names. An empty table stays empty.
     """
     ship_package(spark)
-    # Written, so that the numbers stay with their rows.
-    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    # Written, so that the numbers stay with their rows. A row travels as one value: its other names meet none of these.
+    packed = docs.select(F.struct("*").alias("doc"), "doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    rows = materialize(packed, "rows")
     named = rows.where("doc_id IS NOT NULL")
-    order = named.select("_row", F.struct("doc_id", F.xxhash64("text").alias("hash"), "_row").alias("order"))
-    found = jaccard.similar_documents(named.select("_row", "text"), id_column="_row").select("_row", "component_id")
-    first = found.join(order, "_row").groupBy("component_id").agg(F.min("order").alias("order"))
-    kept = named.join(first.select("order._row"), "_row", "left_semi")
-    return rows.where("doc_id IS NULL").unionByName(kept).select(*docs.columns)
+    order = named.select("row", F.struct("doc_id", F.xxhash64("text").alias("hash"), "row").alias("order"))
+    found = jaccard.similar_documents(named.select("row", "text"), id_column="row").select("row", "component_id")
+    first = found.join(order, "row").groupBy("component_id").agg(F.min("order").alias("order"))
+    kept = named.join(first.select("order.row"), "row", "left_semi")
+    return rows.where("doc_id IS NULL").unionByName(kept).select("doc.*")
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets by a mark; n_chars of a changed text is its new length."""
+    """Replaces secrets by a mark; n_chars of a changed text is its new length.
+
+    Null texts stay null, other columns stay as they are, whatever their names. An empty table stays empty.
+    """
     ship_package(spark)
-    length = F.length("text").cast("bigint")
-    before = docs.withColumn("_chars", length)
-    clean = secrets.redact_documents(before, scratch_path(spark, "ledger"))
-    changed = ~F.col("_chars").eqNullSafe(length)
-    return clean.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars"))).select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("doc"), "doc_id", "text")
+    clean = secrets.redact_documents(packed, scratch_path(spark, "ledger"))
+    changed = ~F.col("text").eqNullSafe(F.col("doc.text"))
+    new = {
+        "text": F.col("text"),
+        "n_chars": F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("doc.n_chars")),
+    }
+    return clean.select(*(new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the files in the order of the mix. A reader may lose that order; `bpe_stage` does not rely on it."""
+    """All documents, with the files in the order of the mix. A reader may lose that order; `bpe_stage` does not rely on it.
+
+    Columns stay as they are; names that begin with `mix_` may clash with those of the mix and are then refused.
+    """
     return mixing.in_mix_order(mix_places(docs)).select(*docs.columns)
 
 
@@ -65,7 +78,11 @@ def mix_places(docs: DataFrame) -> DataFrame:
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and digests of every document, with its slot and position in the mix."""
+    """Ids and digests of every document, with its slot and position in the mix.
+
+    Other columns go, but those named like the ones of the mix are refused. A null text counts as empty; an empty table
+    stays empty.
+    """
     ship_package(spark)
     ranks = bpe.RankMap(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
     # The place goes through the encoder with the id, so repeated and null ids keep their own; texts are read twice.
