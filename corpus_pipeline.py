@@ -17,6 +17,17 @@ from gapweave.llm import bpe, jaccard, mixing, quality, queries, secrets
 from gapweave.storage import materialize, scratch_path, ship_package
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, text): the other columns as one value, whose names then meet none of a stage's own; the text once."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select((F.struct(*others) if others else F.lit(0)).alias("doc"), "doc_id", "text")
+
+
+def _unpacked(rows: DataFrame, columns: list[str], changed: dict | None = None) -> DataFrame:
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text")} | (changed or {})
+    return rows.select(*(own.get(c, F.col(f"doc.`{c}`")).alias(c) for c in columns))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that are drawn; those with a null id are judged like an empty id.
 
@@ -34,15 +45,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     words, link with nothing and stay. All columns stay as they are, whatever their names. An empty table stays empty.
     """
     ship_package(spark)
-    # Written, so that the numbers stay with their rows. A row travels as one value: its other names meet none of these.
-    packed = docs.select(F.struct("*").alias("doc"), "doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    rows = materialize(packed, "rows")
+    # Written, so that the numbers stay with their rows.
+    rows = materialize(_packed(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
     named = rows.where("doc_id IS NOT NULL")
     order = named.select("row", F.struct("doc_id", F.xxhash64("text").alias("hash"), "row").alias("order"))
     found = jaccard.similar_documents(named.select("row", "text"), id_column="row").select("row", "component_id")
     first = found.join(order, "row").groupBy("component_id").agg(F.min("order").alias("order"))
     kept = named.join(first.select("order.row"), "row", "left_semi")
-    return rows.where("doc_id IS NULL").unionByName(kept).select("doc.*")
+    return _unpacked(rows.where("doc_id IS NULL").unionByName(kept), docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,14 +61,11 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null texts stay null, other columns stay as they are, whatever their names. An empty table stays empty.
     """
     ship_package(spark)
-    packed = docs.select(F.struct("*").alias("doc"), "doc_id", "text")
-    clean = secrets.redact_documents(packed, scratch_path(spark, "ledger"))
-    changed = ~F.col("text").eqNullSafe(F.col("doc.text"))
-    new = {
-        "text": F.col("text"),
-        "n_chars": F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("doc.n_chars")),
-    }
-    return clean.select(*(new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
+    before = _packed(docs).withColumn("doc", F.struct("doc", F.xxhash64("text").alias("text_hash")))
+    clean = secrets.redact_documents(before, scratch_path(spark, "ledger"))
+    changed = F.col("doc.text_hash") != F.xxhash64("text")
+    length = F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("doc.doc.n_chars"))
+    return _unpacked(clean.select("doc.doc", "doc_id", "text", length.alias("length")), docs.columns, {"n_chars": F.col("length")})
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
