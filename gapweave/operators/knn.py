@@ -11,7 +11,8 @@ only the k best per target leave the task.
 Routes:
 
 * broadcast: the masters fit the checked limit; targets stay in the partitions they were read in.
-* blocks:    both sides are cut by key hash, every target block meets every master block. Exact.
+* blocks:    both sides are cut by key hash, every target block meets every master block. Exact. With many blocks of
+             masters a target first looks into one cell; blocks then keep only what reaches its k-th score there.
 * prefix:    texts meet in the buckets of their rarest tokens. Exact for the threshold, and far below all
              pairs for short texts.
 * cells:     masters lie in cells around centroids; a target visits the cells that can hold a match by
@@ -33,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
@@ -41,6 +43,7 @@ from pyspark.sql import types as T
 
 from gapweave.operators.encode import mean_pool
 from gapweave.operators.scoring import (
+    FLOOR,
     MASTER_KEY,
     RANK,
     SCORE,
@@ -69,6 +72,12 @@ _PROBE_TARGETS, _PROBE_MASTERS, _PROBE_LEAST, _PROBE_BYTES = 1_024, 8_192, 100,
 # Copies of targets made at once.
 _COPIES_AT_ONCE = 1_000_000
 
+# Most centres of the cells in which targets look for a first bound.
+_SEED_CELLS = 4_096
+
+# Scores are rounded on both ways, so a bound is lowered by what that may make of one score.
+_ROUNDING = 2e-6
+
 # Below this cosine nearly all tokens of a text would be prefix; at 0 even texts without a common
 # token would match.
 _LEAST_PREFIX_THRESHOLD = 0.1
@@ -82,13 +91,17 @@ _FREQUENT_TOKENS = 200_000
 
 @dataclass(frozen=True)
 class BlockLimits:
-    """How much of each side one task compares, and up to where masters are broadcast."""
+    """How much of each side one task compares, and up to where masters are broadcast.
+
+    From `seeded_blocks` blocks of masters on, vectors get a first bound; see `with_floors`.
+    """
 
     block_rows: int = 250_000
     block_bytes: int = 64 * 2**20
     broadcast_bytes: int = 64 * 2**20
     broadcast_rows: int = 500_000
     bucket_rows: int = 10_000
+    seeded_blocks: int = 8
 
 
 def nearest(
@@ -144,6 +157,8 @@ def exact_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> Dat
             return _routed(*routes, sizes, k, threshold, scorer, limits, repeated=True)
     t_blocks = max(_spread(target, t_rows, 4), _block_count(t_rows, t_bytes, limits))
     m_blocks = _block_count(m_rows, m_bytes, limits)
+    if scorer.column == "vector" and m_blocks >= limits.seeded_blocks:
+        target = with_floors(target, master, m_rows, k, threshold, limits)
     return block_knn(target, master, k, threshold, scorer, t_blocks, m_blocks)
 
 
@@ -165,10 +180,14 @@ def broadcast_knn(target, master, k, threshold, scorer, t_rows, limits) -> DataF
 
 
 def block_knn(target, master, k, threshold, scorer, t_blocks: int, m_blocks: int) -> DataFrame:
-    """Every target block meets every master block; blocks are cut by key hash, so none is hot."""
+    """Every target block meets every master block; blocks are cut by key hash, so none is hot.
+
+    A column FLOOR of the targets holds a score that their k-th match reaches; less is not handed on.
+    """
     targets = target.select(
         TARGET_KEY,
         scorer.column,
+        *[c for c in target.columns if c == FLOOR],
         _block_of(TARGET_KEY, F.lit(t_blocks)).alias("t_block"),
         F.explode(F.sequence(F.lit(0), F.lit(m_blocks - 1))).alias("m_block"),
     )
@@ -185,6 +204,61 @@ def block_knn(target, master, k, threshold, scorer, t_blocks: int, m_blocks: int
     return _rank(found, k)
 
 
+def with_floors(target, master, m_rows, k, threshold, limits=BlockLimits()) -> DataFrame:
+    """(target_key, vector, FLOOR): a lower bound of the k-th score of each target, at least the threshold.
+
+    Masters lie in cells around a bounded number of them. A target is compared with one block of its nearest cell, and
+    its k-th score there is the bound: any k masters give one, so neither the centres nor which part of a cell is looked
+    at can change the result of the search. It moves each side at most once and saves the blocks from handing on
+    k rows each for every target. Cells are cut on both sides, so a group of copies is spread.
+    """
+    width = master.select(F.size("vector").alias("n")).first()
+    if width is None or not width["n"]:
+        return target
+    centres = max(1, min(_SEED_CELLS, math.isqrt(m_rows), _PROBE_BYTES // (8 * width["n"])))
+    drawn = master.select("vector").orderBy(F.xxhash64(MASTER_KEY)).limit(centres).toArrow()
+    matrix = np.unique(vector_matrix(drawn["vector"]), axis=0)  # copies are one centre
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix = matrix / np.where(norms > 0, norms, 1.0)
+
+    def nearest_cell(batch) -> tuple[np.ndarray, np.ndarray]:
+        return np.arange(batch.num_rows), (vector_matrix(batch.column("vector")) @ matrix.T).argmax(axis=1)
+
+    scorer = DenseScorer()
+    routed = _route(target, TARGET_KEY, "vector", nearest_cell)
+    placed = _route(master, MASTER_KEY, "vector", nearest_cell)
+    blocks = F.broadcast(_cell_blocks(master.sparkSession, _cell_sizes(routed, placed, scorer), limits))
+    on = ["cell", "t_block"]
+    t = routed.join(blocks, "cell", "left").select(
+        TARGET_KEY,
+        "vector",
+        "cell",
+        _block_of(TARGET_KEY, F.coalesce("t_blocks", F.lit(_spread(target, m_rows)))).alias("t_block"),
+    )
+    m = (
+        placed.join(blocks, "cell")
+        .where(_block_of(MASTER_KEY, F.col("m_blocks")) == 0)
+        .select(MASTER_KEY, "vector", "cell", F.explode(F.sequence(F.lit(0), F.col("t_blocks") - 1)).alias("t_block"))
+    )
+    schema = T.StructType([t.schema[TARGET_KEY], t.schema["vector"], T.StructField(FLOOR, T.DoubleType())])
+    nothing = t.sparkSession.createDataFrame([], schema).toArrow()
+
+    def bound(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left):
+            return nothing
+        floors = np.full(len(left), float(threshold))
+        if len(right):
+            found = match_block(left, prepare(right, scorer), k, threshold)
+            last = found.filter(pc.equal(found[RANK], k))
+            at = pc.index_in(left[TARGET_KEY], value_set=last[TARGET_KEY]).fill_null(-1).to_numpy()
+            if len(last):
+                reached = last[SCORE].to_numpy()[at] - _ROUNDING
+                floors = np.where(at >= 0, np.maximum(floors, reached), floors)
+        return left.select([TARGET_KEY, "vector"]).append_column(FLOOR, pa.array(floors))
+
+    return t.groupBy(*on).cogroup(m.groupBy(*on)).applyInArrow(bound, schema)
+
+
 def prefix_knn(target, master, k, threshold, scorer, limits=BlockLimits()) -> DataFrame:
     """Exact search by the rarest tokens of the texts; a hot bucket is split like a hot cell."""
     if scorer.column != "text" or threshold < _LEAST_PREFIX_THRESHOLD:
@@ -470,10 +544,8 @@ def _cell_sizes(targets, masters, scorer) -> list[dict]:
     return _shared_cells(_sizes(targets, scorer), _sizes(masters, scorer))
 
 
-def _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated=False) -> DataFrame:
-    """Equi-join on the cell, cells cut into blocks of bounded size on both sides."""
-    column = scorer.column
-    counts = [
+def _counted_blocks(sizes, limits) -> list[tuple[int, int, int]]:
+    return [
         (
             r["cell"],
             _block_count(r["t_rows"], r["t_bytes"], limits),
@@ -481,8 +553,17 @@ def _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated=Fals
         )
         for r in sizes
     ]
-    schema = "cell int, t_blocks int, m_blocks int"
-    blocks = F.broadcast(masters.sparkSession.createDataFrame(counts, schema))
+
+
+def _cell_blocks(spark, sizes, limits) -> DataFrame:
+    """Into how many blocks the rows of a cell are cut on either side."""
+    return spark.createDataFrame(_counted_blocks(sizes, limits), "cell int, t_blocks int, m_blocks int")
+
+
+def _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated=False) -> DataFrame:
+    """Equi-join on the cell, cells cut into blocks of bounded size on both sides."""
+    column = scorer.column
+    blocks = F.broadcast(_cell_blocks(masters.sparkSession, sizes, limits))
     t = targets.join(blocks, "cell").select(
         TARGET_KEY,
         column,
@@ -497,7 +578,7 @@ def _routed(targets, masters, sizes, k, threshold, scorer, limits, repeated=Fals
         _block_of(MASTER_KEY, F.col("m_blocks")).alias("m_block"),
         F.explode(F.sequence(F.lit(0), F.col("t_blocks") - 1)).alias("t_block"),
     )
-    pairs = sum(t_blocks * m_blocks for _, t_blocks, m_blocks in counts)
+    pairs = sum(t_blocks * m_blocks for _, t_blocks, m_blocks in _counted_blocks(sizes, limits))
     found = _compare_blocks(t, m, ["cell", "t_block", "m_block"], pairs, k, threshold, scorer)
     return _rank(found, k, repeated)
 

@@ -21,6 +21,8 @@ TARGET_KEY = "target_key"
 MASTER_KEY = "master_key"
 SCORE = "score"
 RANK = "rank"
+# Targets may carry a score that their k-th match is known to reach.
+FLOOR = "_floor"
 DECIMALS = 6
 
 # Bytes of targets compared at a time, and the bound of the matrices held for that, in cells.
@@ -283,12 +285,16 @@ def match_block(targets: pa.Table, prepared, k: int, threshold: float) -> pa.Tab
 
 def _match_slice(targets: pa.Table, prepared, k: int, threshold: float) -> pa.Table:
     keys, index = prepared
+    floors = targets[FLOOR].to_numpy() if FLOOR in targets.column_names else None
     none = np.zeros(0, np.int64)
     rows, columns, scores = [none], [none], [np.zeros(0)]
     for top, column_ids, found in index.scores(targets, k):
         if not found.size:
             continue
         row, column, score = _best(found, k, threshold)
+        if floors is not None:
+            reached = score >= floors[top[row] if isinstance(top, np.ndarray) else top + row]
+            row, column, score = row[reached], column[reached], score[reached]
         rows.append(top[row] if isinstance(top, np.ndarray) else top + row)
         columns.append(column_ids[column])
         scores.append(score)

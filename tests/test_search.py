@@ -7,6 +7,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
+from gapweave.catalog.search import knn_exact, knn_ivf, knn_lsh
+from gapweave.operators import knn
 from gapweave.operators.encode import HashedTokenEncoder, embed_texts, lexical_vectors, mean_pool
 from gapweave.operators.knn import (
     BlockLimits,
@@ -232,6 +234,48 @@ def test_hashed_search_gives_true_scores_and_no_pair_twice(spark, clustered):
     assert len(pairs) > 0.9 * len(exact)
 
 
+@pytest.mark.parametrize("threshold", [-1.0, 0.3, 0.9])
+def test_first_bounds_do_not_change_the_result(spark, clustered, threshold):
+    """Also with targets that have fewer than k matches, copies, and vectors of zero."""
+    rows = clustered[0] + [(1_000 + i, clustered[0][0][1]) for i in range(40)] + [(2_000, np.zeros(16))]
+    target, master = frame(spark, "target", "vector", rows), frame(spark, "master", "vector", rows)
+    seeded = BlockLimits(block_rows=16, broadcast_rows=0, seeded_blocks=2)
+    assert result(nearest(target, master, 4, threshold, limits=seeded)) == brute_force(rows, rows, 4, threshold, dense_score)
+    few = BlockLimits(block_rows=1, broadcast_rows=0, seeded_blocks=2)
+    found = nearest(target, frame(spark, "master", "vector", rows[:3]), 4, threshold, limits=few)
+    assert result(found) == brute_force(rows, rows[:3], 4, threshold, dense_score)
+
+
+def test_first_bounds_leave_about_k_rows_per_target(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((40, 16))
+    points = np.vstack([c + 0.2 * rng.standard_normal((40, 16)) for c in centres])
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    rows = list(enumerate(points.tolist()))
+    target, master = frame(spark, "target", "vector", rows), frame(spark, "master", "vector", rows)
+    emitted, k, rank = {}, 3, knn._rank
+
+    for label, blocks in (("without", 1_000), ("with", 2)):
+        def counted(found, *more, label=label):
+            emitted[label] = found.count()
+            return rank(found, *more)
+
+        monkeypatch.setattr(knn, "_rank", counted)
+        limits = BlockLimits(block_rows=80, broadcast_rows=0, seeded_blocks=blocks)
+        found = result(nearest(target, master, k, 0.3, limits=limits))
+        assert found == emitted.setdefault("result", found)
+    assert emitted["with"] <= 2 * k * len(rows)
+    assert emitted["without"] >= 4 * emitted["with"]
+
+
+@pytest.mark.parametrize("query", [knn_ivf, knn_lsh])
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_registered_approximate_searches_find_nine_of_ten_others(spark, query, size):
+    pairs = lambda df: {(r["target_key"], r["master_key"]) for r in df.collect() if r["target_key"] != r["master_key"]}
+    wanted = pairs(knn_exact(spark, f"/root/testdata/{size}"))
+    assert wanted and len(wanted & pairs(query(spark, f"/root/testdata/{size}"))) >= 0.9 * len(wanted)
+
+
 def test_trained_centroids_serve_the_exact_search(spark, clustered):
     targets, masters, _ = clustered
     t, m = frame(spark, "target", "vector", targets), frame(spark, "master", "vector", masters)
