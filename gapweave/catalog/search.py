@@ -65,18 +65,22 @@ def knn_prefix(spark, sf):
     return _neighbours(nearest(target, master, 3, 0.8, "prefix", LexicalScorer()))
 
 
-def knn_ivf(spark, sf):
+def knn_ivf(spark, sf, index_type="ivfflat"):
     found = nearest(
         *vector_sides(spark, sf),
         k=3,
         threshold=_THRESHOLD,
-        index_type="ivfflat",
+        index_type=index_type,
         centroids=centroids(spark, sf),
         nprobe=_PROBED_CELLS,
     )
     return _neighbours(found)
 
 
+def knn_ivf_coded(spark, sf):
+    return knn_ivf(spark, sf, "coded")
+
+
 def _patterns():
     return hash_patterns(_HYPERPLANES["bits"], _THRESHOLD, _HYPERPLANES["tables"])
 
@@ -185,6 +189,7 @@ QUERIES = {
     "knn_exact_cells": knn_exact_cells,
     "knn_prefix": knn_prefix,
     "knn_ivf": knn_ivf,
+    "knn_ivf_coded": knn_ivf_coded,
     "knn_lsh": knn_lsh,
     "match_lookup": match_lookup,
     "best_match": best_match,
@@ -252,6 +257,14 @@ score_stats AS (
   FROM (SELECT equipment_type_similarity_score AS s FROM completed) WHERE s IS NOT NULL)
 """
 
+_IVF_SQL = f"""
+    WITH {VECTORS_SQL}, {_PLACED}, probes AS (
+      SELECT * FROM closeness QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cell) <= {_PROBED_CELLS}),
+    found AS (
+      SELECT t.vec_id AS target_key, m.vec_id AS master_key, round(list_inner_product(t.v, m.v), 6) AS score
+      FROM probes t JOIN placed m USING (cell))
+    {_top('found', 3)}"""
+
 ORACLE = {
     "knn_topk": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 5)}",
     "knn_exact": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 3)}",
@@ -268,14 +281,8 @@ ORACLE = {
           SELECT t.p_partkey AS target_key, m.p_partkey AS master_key, round(sum(t.w * m.w), 6) AS score
           FROM weights t JOIN weights m USING (token) GROUP BY ALL)
         {_top('scores', 3, 0.8)}""",
-    "knn_ivf": f"""
-        WITH {VECTORS_SQL}, {_PLACED}, probes AS (
-          SELECT * FROM closeness QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cell) <= {_PROBED_CELLS}),
-        found AS (
-          SELECT t.vec_id AS target_key, m.vec_id AS master_key,
-                 round(list_inner_product(t.v, m.v), 6) AS score
-          FROM probes t JOIN placed m USING (cell))
-        {_top('found', 3)}""",
+    "knn_ivf": _IVF_SQL,
+    "knn_ivf_coded": _IVF_SQL,
     "knn_lsh": f"""
         WITH {VECTORS_SQL}, planes AS (
           SELECT * FROM (VALUES {_hyperplane_rows()}) AS p(t, b, normal)),

@@ -68,8 +68,10 @@ class _DenseIndex:
         self.copy_rank = _copy_ranks(np.unique(rows, return_inverse=True)[1])
 
     def scores(self, targets: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        return self.compare(vector_matrix(targets[DenseScorer.column]), k)
+
+    def compare(self, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Masters come in the order of their keys, so of equal vectors only the first k can be among the k best."""
-        queries = vector_matrix(targets[DenseScorer.column])
         columns = np.flatnonzero((self.copy_rank < k) & ~self.empty)
         width = max(1, min(len(columns), 8192))
         height = max(1, _CELLS // width)
@@ -82,6 +84,53 @@ class _DenseIndex:
                 yield top, chosen, found
 
 
+def encode_vectors(matrix: np.ndarray) -> list[bytes]:
+    """One byte per component, after the step between two codes and the length of what the code leaves out."""
+    steps = np.abs(matrix).max(axis=1, initial=0.0) / 127
+    steps[steps == 0] = 1.0
+    codes = np.rint(matrix / steps[:, None]).astype(np.int8)
+    lost = np.linalg.norm(matrix - codes * steps[:, None], axis=1)
+    heads = np.column_stack([steps, lost]).astype("<f8")
+    return [head.tobytes() + code.tobytes() for head, code in zip(heads, codes)]
+
+
+def decode_vectors(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors that the codes stand for, and the length of what is lost of each."""
+    if not len(column):
+        return np.zeros((0, 0)), np.zeros(0)
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    heads = np.ascontiguousarray(raw[:, :16]).view("<f8")
+    return np.ascontiguousarray(raw[:, 16:]).view(np.int8) * heads[:, :1], heads[:, 1]
+
+
+class CodeScorer:
+    """Upper bound of the inner product of two vectors of which the codes are known."""
+
+    column = "code"
+
+    def ready(self, df: DataFrame) -> DataFrame:
+        return df
+
+    def index(self, masters: pa.Table) -> "_CodeIndex":
+        return _CodeIndex(masters[self.column])
+
+
+class _CodeIndex(_DenseIndex):
+    def __init__(self, column: pa.ChunkedArray | pa.Array):
+        matrix, self.lost = decode_vectors(column)
+        super().__init__(matrix)
+        self.norms = np.linalg.norm(matrix, axis=1)
+
+    def scores(self, targets: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """With q = q' + e and m = m' + f, qm exceeds q'm' by at most |e| (|m'| + |f|) + |q'| |f|."""
+        queries, lost = decode_vectors(targets[CodeScorer.column])
+        norms = np.linalg.norm(queries, axis=1)
+        for top, chosen, found in self.compare(queries, k):
+            rows = slice(top, top + len(found))
+            found += np.outer(lost[rows], self.norms[chosen] + self.lost[chosen]) + np.outer(norms[rows], self.lost[chosen])
+            yield top, chosen, found
+
+
 class LexicalScorer:
     """Cosine of the counts of lower-cased, blank-separated tokens; an empty text matches nothing."""
 

@@ -20,7 +20,15 @@ from gapweave.operators.knn import (
     random_hyperplanes,
     train_centroids,
 )
-from gapweave.operators.scoring import DenseScorer, LexicalScorer, match_block, prepare
+from gapweave.operators.scoring import (
+    CodeScorer,
+    DenseScorer,
+    LexicalScorer,
+    decode_vectors,
+    encode_vectors,
+    match_block,
+    prepare,
+)
 from gapweave.operators.validate import require_searchable
 
 SMALL = BlockLimits(block_rows=16, broadcast_rows=0)
@@ -234,6 +242,32 @@ def test_hashed_search_gives_true_scores_and_no_pair_twice(spark, clustered):
     assert len(pairs) > 0.9 * len(exact)
 
 
+def test_codes_give_upper_bounds_close_to_the_scores():
+    rng = np.random.default_rng(11)
+    queries, masters = rng.standard_normal((40, 64)), rng.standard_normal((60, 64)) * rng.uniform(0.1, 9, (60, 1))
+    masters[7] = 0.0
+    coded = lambda m: pa.table({"code": pa.array(encode_vectors(m), pa.binary())})
+    assert np.allclose(decode_vectors(coded(masters)["code"])[0], masters, atol=0.2)
+    assert {len(c.as_py()) for c in coded(masters)["code"]} == {64 + 16}
+    true = queries @ masters.T
+    scale = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(masters, axis=1)
+    for top, columns, found in CodeScorer().index(coded(masters)).scores(coded(queries), 5):
+        above = found - true[top : top + len(found), columns]
+        assert 7 not in columns and (above >= -1e-6).all() and (above <= 0.03 * scale[top : top + len(found), columns] + 1e-6).all()
+
+
+@pytest.mark.parametrize("k, threshold", [(3, 0.3), (1, 0.9)])
+def test_search_on_codes_equals_search_in_the_same_cells(spark, clustered, k, threshold):
+    """Also with copies, of which more than the short list holds have the same score."""
+    targets, masters, centroids = clustered
+    masters = masters + [(1_000 + i, masters[0][1]) for i in range(30)] + [(2_000, np.zeros(16))]
+    t, m = frame(spark, "target", "vector", targets), frame(spark, "master", "vector", masters)
+    coded, plain = (
+        result(nearest(t, m, k, threshold, kind, centroids=centroids, nprobe=2, limits=SMALL)) for kind in ("coded", "ivfflat")
+    )
+    assert coded == plain and plain
+
+
 @pytest.mark.parametrize("threshold", [-1.0, 0.3, 0.9])
 def test_first_bounds_do_not_change_the_result(spark, clustered, threshold):
     """Also with targets that have fewer than k matches, copies, and vectors of zero."""
