@@ -59,12 +59,13 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]+", least=20, hints=("akia",), base=True),
     Rule("hex", "[0-9a-f]{24,}", base=True),
 )
-# A key is found up to its END line; without one, to the end of the header lines and base64 lines that follow.
+# A key is found up to its END line; without one, to the end of the header lines and base64 lines that follow. Each loop
+# ends where it must, so it gives nothing back (`*+`, `++`) and no state is kept for each character.
 _PRIVATE_KEY = (
     r"-----BEGIN ((?:[A-Z0-9]+ )*)PRIVATE KEY((?: BLOCK)?)-----"
-    r"(?:(?:[^-]|-(?!----(?:BEGIN|END) ))*-----END \1PRIVATE KEY\2-----"
-    r"|(?:\s*[A-Za-z][A-Za-z-]*:[^\r\n]*(?:\r?\n|$))*"
-    r"(?:(?:(?:\s|\\[rn])*[A-Za-z0-9+/=]{40,})+(?:[ \t]*(?:\r?\n|\\n)[A-Za-z0-9+/=]+[ \t]*(?=\r?\n|\\n|$))*)?)"
+    r"(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END \1PRIVATE KEY\2-----"
+    r"|(?:\s*[A-Za-z][A-Za-z-]*:[^\r\n]*(?:\r?\n|$))*+"
+    r"(?:(?:(?:\s|\\[rn])*+[A-Za-z0-9+/=]{40,}+)++(?:[ \t]*(?:\r?\n|\\n)[A-Za-z0-9+/=]+[ \t]*(?=\r?\n|\\n|$))*+)?)"
 )
 EXTRA_RULES = (
     Rule("private_key", _PRIVATE_KEY, hints=("private key",)),
