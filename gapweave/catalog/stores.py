@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gapweave.catalog.fixtures import REGISTER_SQL, extracts, register
+from gapweave.catalog.fixtures import REGISTER_SQL, extracts, register, table
 from gapweave.functions.text import quoted
 from gapweave.operators.combine import union_by_name
 from gapweave.operators.fingerprint import compare_content, content_facts
 from gapweave.operators.profile import column_info
 from gapweave.operators.states import STANDARD_ERROR, merge_states, state_profile
+from gapweave.sources.codes import decode_stored, encode_stored, extend_codes, stored_codes
 from gapweave.sources.manifest import refresh, snapshot, stored_states, stored_summary
 from gapweave.sources.sinks import read_saved, write_parquet
 from gapweave.storage import remove_scratch, scratch_path
@@ -132,7 +133,29 @@ def merged_profile(spark, sf):
     )
 
 
+#: Customers that ordered before this day are coded by a first run, all others by a second one.
+_FIRST_RUN = "1995-03-01"
+
+
+def dictionary_append(spark, sf):
+    """Orders with the codes of two runs: the second one codes new customers without changing a code of the first."""
+    customer = F.col("o_custkey").cast("string")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", customer.alias("customer"), "o_orderpriority")
+    columns, store = ["customer", "o_orderpriority"], scratch_path(spark, "codes")
+    first = extend_codes(orders.where(F.col("o_orderdate") < F.lit(_FIRST_RUN).cast("timestamp")), columns, store)
+    second = extend_codes(orders, columns, store)
+    encoded = encode_stored(orders.drop("o_orderdate"), columns, store, "o_orderkey", second)
+    decoded = decode_stored(encoded.drop(*columns), columns, store, "o_orderkey", second)
+    known = stored_codes(spark, store, first).where("column = 'customer'").select(
+        F.col("value").alias("customer"), F.col("code").alias("first_code")
+    )
+    return decoded.join(F.broadcast(known), "customer", "left").select(
+        "o_orderkey", "customer", "o_orderpriority", "customer_code", "o_orderpriority_code", "first_code"
+    )
+
+
 QUERIES = {
+    "dictionary_append": dictionary_append,
     "verify_content": verify_content,
     "incremental_load": incremental_load,
     "incremental_summary": incremental_summary,
@@ -157,6 +180,16 @@ def _profile_sql(column: str) -> str:
 
 
 ORACLE = {
+    "dictionary_append": f"""
+        WITH seen AS (
+          SELECT CAST(o_custkey AS VARCHAR) AS customer, min(o_orderdate) < TIMESTAMP '{_FIRST_RUN}' AS early FROM orders GROUP BY 1),
+        codes AS (SELECT customer, early, row_number() OVER (ORDER BY early DESC, customer) - 1 AS code FROM seen),
+        priorities AS (
+          SELECT o_orderpriority AS p, row_number() OVER (ORDER BY min(o_orderdate) >= TIMESTAMP '{_FIRST_RUN}', o_orderpriority) - 1 AS code
+          FROM orders GROUP BY 1)
+        SELECT o_orderkey, customer, o_orderpriority, codes.code AS customer_code, priorities.code AS o_orderpriority_code,
+               CASE WHEN early THEN codes.code END AS first_code
+        FROM orders JOIN codes ON customer = CAST(o_custkey AS VARCHAR) JOIN priorities ON p = o_orderpriority""",
     "verify_content": _verify_content_sql(),
     "incremental_load": f"WITH {_STORED_SQL} SELECT * FROM stored",
     "incremental_summary": f"""

@@ -93,14 +93,19 @@ def dictionary_encode(
         codes = dictionary(df, column).select(
             F.col("value").alias(column), F.col("code").alias(f"{column}_code")
         )
-        size = codes.agg(F.sum(F.octet_length(column) + 16).alias("bytes")).first()["bytes"] or 0
-        if size <= broadcast_bytes:
-            df = df.join(F.broadcast(codes), column, "left")
-        else:
-            df = skew_safe_lookup(df, codes, column, spread)
+        df = join_codes(df, codes, column, spread, broadcast_bytes)
     return df
 
 
+def join_codes(df: DataFrame, codes: DataFrame, column: str, spread: str, broadcast_bytes: int) -> DataFrame:
+    """Left join to a table with unique values of `column`, broadcast if measured to be small, else salted."""
+    texts = [quoted(n) for n, kind in codes.dtypes if kind == "string"]
+    size = codes.agg(F.sum(sum((F.octet_length(c) for c in texts), F.lit(16))).alias("bytes")).first()["bytes"] or 0
+    if size <= broadcast_bytes:
+        return df.join(F.broadcast(codes), column, "left")
+    return skew_safe_lookup(df, codes, column, spread)
+
+
 @dataclass(frozen=True)
 class Narrowed:
     df: DataFrame
