@@ -15,14 +15,14 @@ from gapweave.catalog.fixtures import (
     vectors,
 )
 from gapweave.config import FIELDS
-from gapweave.operators.encode import HashedTokenEncoder, embed_texts, lexical_vectors, mean_pool
+from gapweave.operators.encode import HashedTokenEncoder, embed_cached, embed_texts, lexical_vectors, mean_pool
 from gapweave.operators.knn import BlockLimits, assign_cells, centroid_matrix, hash_patterns, nearest, random_hyperplanes
 from gapweave.operators.match import best_matches, fill, lookup_matches, match_records
 from gapweave.operators.report import completion_report, completion_stats, score_stats
 from gapweave.operators.scoring import MASTER_KEY, TARGET_KEY, LexicalScorer
 from gapweave.operators.validate import rows_needing_fill, vector_checks, vector_stats
 from gapweave.plans.complete import complete, find_matches, record_text
-from gapweave.storage import materialize
+from gapweave.storage import materialize, scratch_path
 
 _NO_BROADCAST = BlockLimits(broadcast_rows=0)
 # Many blocks of masters, so that targets look for a first bound.
@@ -155,7 +155,18 @@ def scores(spark, sf):
 
 def embedded(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "text")
-    vectors_ = embed_texts(documents, "text", HashedTokenEncoder, 64, partitions=spark.sparkContext.defaultParallelism)
+    return _long(embed_texts(documents, "text", HashedTokenEncoder, 64, partitions=spark.sparkContext.defaultParallelism))
+
+
+def embedded_once(spark, sf):
+    """Vectors of all documents, after a run over the English ones: the second one encodes other texts only."""
+    documents, store = table(spark, sf, "documents").select("doc_id", "text", "lang"), scratch_path(spark, "encoded")
+    for part in (documents.where("lang = 'en'"), documents):
+        found = embed_cached(part, "text", HashedTokenEncoder, store, "hashed-64", "doc_id", 64)
+    return _long(found)
+
+
+def _long(vectors_):
     long = vectors_.select("doc_id", F.posexplode("vector").alias("pos", "x")).where("x <> 0")
     return long.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("x").cast("double").alias("x"))
 
@@ -198,6 +209,7 @@ QUERIES = {
     "completion_stats": stats,
     "completion_report": report,
     "embed_texts": embedded,
+    "embed_cached": embedded_once,
     "lexical_vectors": lexical,
     "mean_pool_vectors": pooled,
     "vector_stats": stats_of_vectors,
@@ -265,6 +277,15 @@ _IVF_SQL = f"""
       FROM probes t JOIN placed m USING (cell))
     {_top('found', 3)}"""
 
+_EMBEDDED_SQL = r"""
+        WITH tokens AS (
+          SELECT doc_id, unnest(string_split(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), ' ')) AS token
+          FROM documents),
+        places AS (
+          SELECT doc_id, ('0x' || substr(md5(token), 1, 8))::BIGINT % 64 AS pos, count(*) AS n
+          FROM tokens WHERE token <> '' GROUP BY ALL)
+        SELECT doc_id, pos, (n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE AS x FROM places"""
+
 ORACLE = {
     "knn_topk": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 5)}",
     "knn_exact": f"WITH {VECTORS_SQL}, {_ALL_PAIRS} {_top('pairs', 3)}",
@@ -338,14 +359,8 @@ ORACLE = {
         UNION ALL SELECT 'scores', "column", 'min_score', min_score FROM score_stats
         UNION ALL SELECT 'scores', "column", 'max_score', max_score FROM score_stats
         UNION ALL SELECT 'scores', "column", 'scores_available', scores_available FROM score_stats""",
-    "embed_texts": r"""
-        WITH tokens AS (
-          SELECT doc_id, unnest(string_split(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), ' ')) AS token
-          FROM documents),
-        places AS (
-          SELECT doc_id, ('0x' || substr(md5(token), 1, 8))::BIGINT % 64 AS pos, count(*) AS n
-          FROM tokens WHERE token <> '' GROUP BY ALL)
-        SELECT doc_id, pos, (n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE AS x FROM places""",
+    "embed_texts": _EMBEDDED_SQL,
+    "embed_cached": _EMBEDDED_SQL,
     "lexical_vectors": r"""
         WITH tokens AS (
           SELECT doc_id, unnest(string_split(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), ' ')) AS token

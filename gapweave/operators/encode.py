@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gapweave.functions.text import normalize_text
+from gapweave.operators.lookup import skew_safe_lookup
 from gapweave.operators.scoring import LexicalScorer, token_counts
 
 _ROWS_PER_BATCH = 100_000
@@ -91,6 +94,45 @@ def embed_texts(
     return df.withColumn(prepared, normalize_text(F.col(text))).mapInArrow(encode, schema)
 
 
+def embed_cached(
+    df: DataFrame,
+    text: str,
+    encoder: Callable[[], Encoder],
+    store: str,
+    version: str,
+    spread: str,
+    batch_size: int = 16,
+    vector: str = "vector",
+    partitions: int | None = None,
+    hot_rows: int = 1_000_000,
+) -> DataFrame:
+    """`embed_texts`, but a text is encoded once, however often and in however many runs it occurs.
+
+    `store` is a folder of Parquet files with a subfolder per `version`, the name of the encoder and its settings: SHA-256
+    of the normalised text, and vector. Only texts it lacks are encoded, one row of each, and added as one write, which counts
+    when it is complete; runs at the same time may both encode a text. Vectors are joined back by the hash, texts with more than
+    `hot_rows` rows salted by the column `spread`. Rows are kept as they are, repeated ones too; null counts as the empty
+    text.
+    """
+    spark, place, key = df.sparkSession, f"{store.rstrip('/')}/encoder={version}", f"_hash_of_{vector}"
+    schema = T.StructType([T.StructField(key, T.BinaryType()), T.StructField(vector, T.ArrayType(T.FloatType(), False))])
+
+    def cached() -> DataFrame:
+        try:
+            return spark.read.schema(schema).parquet(f"{place}/run-*")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+
+    prepared = F.coalesce(normalize_text(F.col(text)), F.lit(""))
+    hashed = df.withColumn(key, F.unhex(F.sha2(prepared, 256)))
+    texts = hashed.select(key, prepared.alias("text")).join(cached(), key, "left_anti").dropDuplicates([key])
+    new = embed_texts(texts, "text", encoder, batch_size, vector, partitions).select(key, vector)
+    new.write.parquet(f"{place}/run-{uuid.uuid4().hex}")
+    return skew_safe_lookup(hashed, cached().dropDuplicates([key]), key, spread, hot_rows=hot_rows).select(*df.columns, vector)
+
+
 def lexical_vectors(df: DataFrame, key: str, text: str, partitions: int | None = None) -> DataFrame:
     """(key, token, weight): unit-length counts of the lower-cased tokens of each text.
 

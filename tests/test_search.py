@@ -9,7 +9,7 @@ import pytest
 
 from gapweave.catalog.search import knn_exact, knn_ivf, knn_lsh
 from gapweave.operators import knn
-from gapweave.operators.encode import HashedTokenEncoder, embed_texts, lexical_vectors, mean_pool
+from gapweave.operators.encode import HashedTokenEncoder, embed_cached, embed_texts, lexical_vectors, mean_pool
 from gapweave.operators.knn import (
     BlockLimits,
     cell_count,
@@ -382,6 +382,35 @@ def test_encoder_gets_batches_of_the_given_size(spark):
     assert sizes == {4, 2}
 
 
+def test_a_text_is_encoded_once_over_all_runs(spark, tmp_path):
+    calls = tmp_path / "calls"
+
+    class Counting(HashedTokenEncoder):
+        def encode(self, texts):
+            with open(calls, "a") as out:
+                out.write("".join(f"{t}\n" for t in texts))
+            return super().encode(texts)
+
+    def encoded():
+        texts = calls.read_text().splitlines() if calls.exists() else []
+        calls.unlink(missing_ok=True)
+        return sorted(texts)
+
+    first = spark.createDataFrame([(i, "a b" if i % 3 else f"t {i}") for i in range(60)], "id int, text string").repartition(6)
+    second = spark.createDataFrame(
+        [(1, "a b"), (2, " a  b "), (3, "new"), (3, "new"), (4, None), (5, "")], "id int, text string"
+    )
+    run = lambda df, version="v1": embed_cached(df, "text", Counting, str(tmp_path / "store"), version, "id", hot_rows=10)
+    rows = lambda df: sorted((r["id"], r["text"] or "", tuple(r["vector"])) for r in df.collect())
+    for df, wanted in ((first, sorted({"a b"} | {f"t {i}" for i in range(0, 60, 3)})), (second, ["", "new"]), (second, [])):
+        got = run(df)
+        assert encoded() == wanted
+        assert rows(got) == rows(embed_texts(df, "text", HashedTokenEncoder))
+    run(second, "v2")
+    assert encoded() == ["", "a b", "new"]
+    assert run(second.limit(0)).isEmpty() and encoded() == []
+
+
 def test_lexical_vectors_are_unit_length(spark):
     df = spark.createDataFrame([(1, "a A b"), (2, " ")], "id int, t string")
     got = {(r["id"], r["token"]): r["weight"] for r in lexical_vectors(df, "id", "t").collect()}
