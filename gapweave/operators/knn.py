@@ -216,8 +216,9 @@ def with_floors(target, master, m_rows, k, threshold, limits=BlockLimits()) -> D
 
     Masters lie in cells around a bounded number of them. A target is compared with one block of its nearest cell, and
     its k-th score there is the bound: any k masters give one, so neither the centres nor which part of a cell is looked
-    at can change the result of the search. It moves each side at most once and saves the blocks from handing on
-    k rows each for every target. Cells are cut on both sides, so a group of copies is spread.
+    at can change the result of the search. A target moves once, the looked-at masters once per block of targets of their
+    cell; it saves the blocks from handing on k rows each for every target. Cells are cut on both sides, so a group of
+    copies is spread.
     """
     width = master.select(F.size("vector").alias("n")).first()
     if width is None or not width["n"]:
@@ -340,7 +341,7 @@ def coded_knn(target, master, centroids, k, threshold, nprobe, limits=BlockLimit
     In the cells the codes give an upper bound of each score, so no match falls below the threshold for its code. The
     `short` masters of the highest bounds of a target, four times k and at least 16, are scored on the vectors, which
     are moved once per pair of that list instead of once per cell. What a bound may be too high by is about a hundredth,
-    so a match is missed only if `short` others are as close as that.
+    so of the cells visited a match is missed only if `short` others are as close as that.
     """
     short = short or max(4 * k, 16)
     t, m = (_coded(side, key) for side, key in zip(_probed(target, master, centroid_matrix(centroids), nprobe), (TARGET_KEY, MASTER_KEY)))
