@@ -1,4 +1,4 @@
-"""Queries on content checks, incremental loading and mergeable profiles, each with its SQL."""
+"""Queries on content checks, incremental loading, mergeable profiles and what a column's content decides, each with its SQL."""
 
 from __future__ import annotations
 
@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from gapweave.catalog.fixtures import REGISTER_SQL, extracts, register, table
 from gapweave.functions.text import quoted
 from gapweave.operators.combine import union_by_name
+from gapweave.operators.date_vote import format_votes, parse_dates_by_vote
+from gapweave.operators.distinct import distinct_rows
 from gapweave.operators.fingerprint import compare_content, content_facts
 from gapweave.operators.profile import column_info
 from gapweave.operators.states import STANDARD_ERROR, merge_states, state_profile
 from gapweave.sources.codes import decode_stored, encode_stored, extend_codes, stored_codes
+from gapweave.sources.files import discover_files, load_files, quarantine
 from gapweave.sources.manifest import refresh, snapshot, stored_states, stored_summary
 from gapweave.sources.sinks import read_saved, write_parquet
 from gapweave.storage import remove_scratch, scratch_path
@@ -154,7 +157,64 @@ def dictionary_append(spark, sf):
     )
 
 
+def distinct_by_hash(spark, sf):
+    """The register with its parts twice, once each row."""
+    return distinct_rows(_doubled(spark, sf).select(*map(quoted, _COLUMNS)))
+
+
+#: Offices write the day of shipping in formats of their own; those of the first two cannot be told apart by every value.
+_OFFICE_FORMATS = ("MM/dd/yyyy", "dd/MM/yyyy", "yyyy-MM-dd")
+
+
+def _shipped(spark, sf):
+    office = F.col("l_suppkey") % 3
+    day = F.date_format("l_shipdate", "MM/dd/yyyy")
+    for number, pattern in enumerate(_OFFICE_FORMATS[1:], 1):
+        day = F.when(office == number, F.date_format("l_shipdate", pattern)).otherwise(day)
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat(F.lit("office"), office.cast("string")).alias("office"), day.alias("shipped")
+    )
+
+
+def dates_by_vote(spark, sf):
+    """Days of shipping as timestamps, each by the format of its office."""
+    return parse_dates_by_vote(_shipped(spark, sf), ["shipped"], _OFFICE_FORMATS, "office")
+
+
+def date_votes(spark, sf):
+    votes = format_votes(_shipped(spark, sf), ["shipped"], _OFFICE_FORMATS, "office")
+    fits = [F.get("fits", F.lit(i)).alias(name) for i, name in enumerate(("month_first", "day_first", "year_first"))]
+    return votes.select("source", "values", *fits, F.get("formats", F.lit(0)).alias("format"))
+
+
+def _orders_lines(spark, sf):
+    """Orders as lines of JSON; of every fifth the end is lost, and every seventh is no object at all."""
+    key = F.col("o_orderkey")
+    line = F.concat(
+        F.lit('{"id":"'), key.cast("string"), F.lit('","priority":"'), F.col("o_orderpriority"), F.lit('"}')
+    )
+    lost = F.when(key % 7 == 0, F.concat(F.lit("order "), key.cast("string"))).when(key % 5 == 0, F.substr(line, F.lit(1), F.lit(18)))
+    return table(spark, sf, "orders").select(F.coalesce(lost, line).alias("value"))
+
+
+def quarantined_rows(spark, sf):
+    """Accepted orders beside the lines that were put aside, with the reason; `placed` if file and record are known."""
+    base = scratch_path(spark, "lines")
+    _orders_lines(spark, sf).write.text(f"{base}/orders.json")
+    load = load_files(spark, discover_files(spark, base, "*.json"), "json", keep_rejects=True)
+    none = F.lit(None).cast("string")
+    good = load.df.select("id", "priority", none.alias("raw"), none.alias("reason"), F.lit(True).alias("placed"))
+    placed = F.col("file").isNotNull() & (F.col("record") > 0)
+    return good.unionByName(
+        quarantine(load).select(none.alias("id"), none.alias("priority"), "raw", "reason", placed.alias("placed"))
+    )
+
+
 QUERIES = {
+    "distinct_by_hash": distinct_by_hash,
+    "dates_by_vote": dates_by_vote,
+    "date_votes": date_votes,
+    "quarantined_rows": quarantined_rows,
     "dictionary_append": dictionary_append,
     "verify_content": verify_content,
     "incremental_load": incremental_load,
@@ -179,7 +239,33 @@ def _profile_sql(column: str) -> str:
     FROM stored"""
 
 
+_SHIPPED_SQL = """shipped AS (
+  SELECT l_orderkey, l_linenumber, 'office' || l_suppkey % 3 AS office, l_suppkey % 3 AS n, l_shipdate AS d FROM lineitem)"""
+
 ORACLE = {
+    "distinct_by_hash": f"""
+        WITH {REGISTER_SQL} SELECT DISTINCT {", ".join(f'"{c}"' for c in _COLUMNS)} FROM register""",
+    "dates_by_vote": f"""
+        WITH {_SHIPPED_SQL}
+        SELECT l_orderkey, l_linenumber, office, CAST(CAST(d AS DATE) AS TIMESTAMP) AS shipped FROM shipped""",
+    "date_votes": f"""
+        WITH {_SHIPPED_SQL}
+        SELECT office AS source, count(*) AS values,
+               count(*) FILTER (n = 0 OR (n = 1 AND day(d) <= 12)) AS month_first,
+               count(*) FILTER (n = 1 OR (n = 0 AND day(d) <= 12)) AS day_first,
+               count(*) FILTER (n = 2) AS year_first,
+               CASE n WHEN 0 THEN 'MM/dd/yyyy' WHEN 1 THEN 'dd/MM/yyyy' ELSE 'yyyy-MM-dd' END AS format
+        FROM shipped GROUP BY office, n""",
+    "quarantined_rows": """
+        WITH lines AS (
+          SELECT o_orderkey AS k, o_orderpriority AS p, '{"id":"' || o_orderkey || '","priority":"' || o_orderpriority || '"}' AS line
+          FROM orders)
+        SELECT CASE WHEN k % 7 <> 0 AND k % 5 <> 0 THEN CAST(k AS VARCHAR) END AS id,
+               CASE WHEN k % 7 <> 0 AND k % 5 <> 0 THEN p END AS priority,
+               CASE WHEN k % 7 = 0 THEN 'order ' || k WHEN k % 5 = 0 THEN substr(line, 1, 18) END AS raw,
+               CASE WHEN k % 7 = 0 THEN 'no JSON object' WHEN k % 5 = 0 THEN 'JSON object not whole' END AS reason,
+               true AS placed
+        FROM lines""",
     "dictionary_append": f"""
         WITH seen AS (
           SELECT CAST(o_custkey AS VARCHAR) AS customer, min(o_orderdate) < TIMESTAMP '{_FIRST_RUN}' AS early FROM orders GROUP BY 1),

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json"}
 SOURCE = "_source"
 CORRUPT = "_corrupt_record"
 REJECTED = "_rejected"
+RAW, FILE, BLOCK, ROW = "_raw", "_file", "_block", "_row"
+_PLACE_COLUMNS = (RAW, FILE, BLOCK, ROW)
 
 
 def format_of(path: str) -> str:
@@ -110,6 +112,7 @@ def load_files(
     multi_line: bool = True,
     skip_corrupt: bool = False,
     by_path: bool = False,
+    keep_rejects: bool = False,
 ) -> Load:
     """Union of the files by column name, every value as text.
 
@@ -118,7 +121,8 @@ def load_files(
     at once or while scanning. With `skip_corrupt` all files are read through first, and those with damage
     are left out whole, logged and named in `skipped`; any other error, such as a time-out, still fails. Rows that do
     not parse are counted by `load_validation`. A file without columns is kept as a source without rows. With `by_path`
-    a source is named by its path (`plain_path`), whatever other files there are.
+    a source is named by its path (`plain_path`), whatever other files there are. With `keep_rejects` a row that was read
+    in part is rejected too, and `quarantine` gives all rejected rows as they stand in their files.
     """
     names = {path: plain_path(path) for path in paths} if by_path else source_names(paths)
     reasons: dict[str, str] = {}
@@ -149,7 +153,7 @@ def load_files(
             groups.setdefault((*found, own), []).append(path)
     frames = []
     for (fields, schema_json, own), members in groups.items():
-        scan = lambda chosen: _scan(_reader(spark, fmt, multi_line), chosen, fmt, fields, schema_json, own, by_path)
+        scan = lambda chosen: _scan(_reader(spark, fmt, multi_line), chosen, fmt, fields, schema_json, own, by_path, keep_rejects)
         if skip_corrupt:
             members = _readable(scan, members, skip)
         if members:
@@ -159,7 +163,46 @@ def load_files(
     for name in reasons:
         columns.pop(name, None)
     scanned = union_by_name(frames)
-    return Load(scanned.where(~F.col(REJECTED)).drop(REJECTED), columns, tuple(sorted(reasons)), scanned, reasons)
+    df = scanned.where(~F.col(REJECTED)).drop(REJECTED, *_PLACE_COLUMNS)
+    return Load(df, columns, tuple(sorted(reasons)), scanned, reasons)
+
+
+def quarantine(load: Load) -> DataFrame:
+    """(source, file, record, raw, reason) of the rejected rows of a load with `keep_rejects`.
+
+    `raw` is the text of the row in its file, `record` counts the rows of the file from 1, blank lines and the header left
+    out. Accepted and quarantined rows together are all rows read. Rows are numbered in the scan and shifted by the sizes of
+    the parts of the file before, so only counts are shuffled. A load without rejected rows gives an empty table.
+    """
+    scanned = load.scanned
+    if ROW not in scanned.columns:
+        raise ValueError("load the files with keep_rejects=True to get the rejected rows")
+    part = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        scanned.groupBy(FILE, BLOCK)
+        .agg(F.min(ROW).alias("first"), F.count("*").alias("rows"), F.max(F.col(REJECTED)).alias("any"))
+        .withColumn("before", F.coalesce(F.sum("rows").over(part), F.lit(0)))
+        .where("any")
+        .select(FILE, BLOCK, (F.col("before") - F.col("first") + 1).alias("shift"))
+    )
+    widths = [(name, len(columns)) for name, columns in load.columns.items()]
+    fields = load.df.sparkSession.createDataFrame(widths, "source string, fields int")
+    rejected = scanned.where(REJECTED).select(
+        F.col(SOURCE).alias("source"), FILE, BLOCK, ROW, RAW
+    )
+    # Quoted parts hold no separators; a quote that is left over was never closed.
+    bare = F.regexp_replace(RAW, '"[^"]*"', "")
+    found = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    csv_reason = F.when(bare.contains('"'), "open quote").otherwise(
+        F.concat(found.cast("string"), F.lit(" fields instead of "), F.col("fields").cast("string"))
+    )
+    is_json = F.lower(FILE).rlike(r"\.json(/[^/]*)?$")
+    reason = F.when(~is_json, csv_reason).when(F.ltrim(RAW).startswith("{"), "JSON object not whole").otherwise("no JSON object")
+    return (
+        rejected.join(shifts, [FILE, BLOCK]).join(F.broadcast(fields), "source")
+        .select("source", F.col(FILE).alias("file"), (F.col(ROW) + F.col("shift")).alias("record"), F.col(RAW).alias("raw"),
+                reason.alias("reason"))
+    )
 
 
 def _is_damage(error: Exception) -> bool:
@@ -186,20 +229,28 @@ def _fingerprint(df: DataFrame) -> DataFrame:
     return df.groupBy().agg(F.max(F.xxhash64(*[quoted(c) for c in df.columns])).alias("fingerprint"))
 
 
-def _scan(reader, paths, fmt, names, schema_json, own, by_path) -> DataFrame:
+def _scan(reader, paths, fmt, names, schema_json, own, by_path, keep_rejects) -> DataFrame:
     schema = T.StructType.fromJson(json.loads(schema_json))
     reader = reader.option("ignoreCorruptFiles", "false").option("mode", "PERMISSIVE")
-    rejected = F.lit(False)
+    rejected, raw = F.lit(False), F.lit(None).cast("string")
     if fmt != "parquet":
-        # A row that does not fit the layout is flagged; it is rejected if nothing of it could be read.
+        # A row that does not fit the layout is flagged; it is rejected if nothing of it could be read, or in any case.
         fields = [f for f in schema.fields if f.name != CORRUPT]
         schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        rejected = F.col(CORRUPT).isNotNull() & F.coalesce(*[quoted(c) for c in names]).isNull()
+        raw = F.col(CORRUPT)
+        values = [quoted(c) for c in names]
+        # The remainder is always 0. It takes every column along: a row is judged by all of them, whichever are asked for.
+        judged = F.xxhash64(*values) % 1 == 0 if keep_rejects else F.coalesce(*values).isNull()
+        rejected = raw.isNotNull() & judged
     df = reader.schema(schema).load(list(paths))
     columns = [quoted(c).cast("string").alias(c) for c in names]
     source = _path_column() if by_path else _source_column() if own is None else F.lit(own)
-    return df.select(*columns, source.alias(SOURCE), rejected.alias(REJECTED))
+    place = []
+    if keep_rejects:
+        block = F.col("_metadata.file_block_start")
+        place = [raw.alias(RAW), _file_path().alias(FILE), block.alias(BLOCK), F.monotonically_increasing_id().alias(ROW)]
+    return df.select(*columns, source.alias(SOURCE), rejected.alias(REJECTED), *place)
 
 
 def source_names(paths: Sequence[str]) -> dict[str, str]:
