@@ -14,6 +14,7 @@ A byte goes if a string of `length` bytes that covers it also starts in a docume
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import tempfile
 from collections.abc import Iterator
@@ -33,7 +34,8 @@ LENGTH, GRAM = 50, 20
 PART_STRETCHES, SHARD_BYTES = 3_000_000, 8 << 20
 #: Suffixes of a sorted run, and suffixes of a run that the merge holds in memory at once.
 RUN_ROWS, BLOCK_ROWS = 300_000, 30_000
-_PLACE = np.uint64((1 << 28) - 1)
+#: Places in a text take 31 bits, as many as the longest value of a row needs; the rest is hash.
+_PLACE = np.uint64((1 << 31) - 1)
 _SHORT = np.uint64((1 << 48) - 1)
 
 
@@ -67,8 +69,14 @@ def stretches(data: np.ndarray, rows: np.ndarray, length: int, gram: int):
 
 
 def _text_refs(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """A hash of each text, which tells apart rows that share an id."""
-    return range_hashes(*prefix_hashes(data), rows[:-1], rows[1:]).view(np.int64)
+    """A hash of each text, which tells apart rows that share an id.
+
+    Texts may be of any length, so no polynomial is taken: modulo 2**64 it takes certain patterns of 1,024 bytes and more
+    for one. Stretches are shorter than `2 * length` bytes, where these patterns do not meet.
+    """
+    bounds, view = rows.tolist(), memoryview(np.ascontiguousarray(data))
+    digests = b"".join(hashlib.blake2b(view[a:b], digest_size=8).digest() for a, b in zip(bounds, bounds[1:]))
+    return np.frombuffer(digests, np.int64)
 
 
 def _owner_rows(ids, refs, owner: np.ndarray, values: np.ndarray):
@@ -257,14 +265,14 @@ class SuffixRuns:
         self.windows = np.lib.stride_tricks.sliding_window_view(np.memmap(self.file, np.uint8, "r"), length)
 
     def add(self, place: np.ndarray, owner: np.ndarray) -> None:
-        rows = self._tuples(np.stack([place, owner], axis=1).astype(np.uint32))
+        rows = self._tuples(np.stack([place, owner], axis=1).astype(np.uint64))
         out = tempfile.TemporaryFile()  # noqa: SIM115
-        rows[self._order(rows)][:, self.words :].astype(np.uint32).tofile(out)
+        rows[self._order(rows)][:, self.words :].tofile(out)
         self.runs.append((out, len(rows)))
 
     def _tuples(self, pairs: np.ndarray) -> np.ndarray:
         wide = np.zeros((len(pairs), self.words * 8), np.uint8)
-        wide[:, : self.length] = self.windows[pairs[:, 0]]
+        wide[:, : self.length] = self.windows[pairs[:, 0].astype(np.int64)]
         return np.concatenate([wide.view(">u8").astype(np.uint64), pairs], axis=1)
 
     def _order(self, rows: np.ndarray) -> np.ndarray:
@@ -276,7 +284,7 @@ class SuffixRuns:
     def _blocks(self, file, left: int) -> Iterator[np.ndarray]:
         file.seek(0)
         while left:
-            pairs = np.fromfile(file, np.uint32, min(left, BLOCK_ROWS) * 2).reshape(-1, 2)
+            pairs = np.fromfile(file, np.uint64, min(left, BLOCK_ROWS) * 2).reshape(-1, 2)
             left -= len(pairs)
             yield self._tuples(pairs)
 

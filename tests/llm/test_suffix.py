@@ -74,3 +74,29 @@ def test_runs_larger_than_their_blocks(monkeypatch):
     want = {(n, k) for n, t in enumerate(texts) for k in range(len(t) - 7) if first[t[k : k + 8]] < ids[n]}
     got = [(int(o), int(p)) for owner, place in suffix.equal_windows(texts, ids, 8) for o, p in zip(owner, place)]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_texts_of_one_id_are_told_apart_whatever_repeats_in_them(spark):
+    """Words of Thue and Morse and their complements have equal polynomials modulo 2**64 from 1,024 letters on."""
+    rows = []
+    for n, size in enumerate((1_024, 2_048, 4_096)):
+        word = "".join("ab"[k.bit_count() % 2] for k in range(size))
+        other = word.translate(str.maketrans("ab", "ba"))
+        data = np.frombuffer((word + other).encode(), np.uint8)
+        one, two = suffix._text_refs(data, np.array([0, size, 2 * size]))
+        assert one != two
+        # The complements stand under one id, each after what a smaller document holds of one of them alone.
+        mark = f" {n} " + "-" * n
+        rows += [(10 * n, f"{mark}{word[:60]}x"), (10 * n + 1, word + mark), (10 * n + 1, other + mark)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_places_need_more_than_32_bits_of_their_own():
+    runs = suffix.SuffixRuns([b"abcdefgh" * 4], 8)
+    try:
+        runs.add(np.array([3, 11]), np.array([0, 0]))
+        file, count = runs.runs[0]
+        file.seek(0)
+        assert len(file.read()) == count * 2 * 8
+    finally:
+        runs.close()
