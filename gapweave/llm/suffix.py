@@ -146,18 +146,21 @@ def _compare(docs: DataFrame, length: int, gram: int, parts: int) -> DataFrame:
         wide = np.zeros((len(of_gram), 8), np.uint8)
         wide[:, :6] = join("hashes", np.uint8).reshape(-1, 6)
         of_bytes = wide.view(np.uint64).ravel()
-        order = np.lexsort((ids[owner], of_bytes, of_gram))
+        order = np.lexsort((refs[owner], ids[owner], of_bytes, of_gram))
         of_gram, of_bytes, owner = of_gram[order], of_bytes[order], owner[order]
         if len(order):
             new_gram = np.concatenate([[True], of_gram[1:] != of_gram[:-1]])
             head = new_gram | np.concatenate([[True], of_bytes[1:] != of_bytes[:-1]])
             least = ids[owner[head]]
             gone = ids[owner] > least[np.cumsum(head) - 1]
-            # A k-gram whose stretches differ and belong to several documents: one copy of each stretch is sorted.
+            # A k-gram whose stretches differ and belong to several documents: one copy of each stretch is sorted, or
+            # one for each text that shares the smallest id.
+            text = refs[owner]
+            copy = (ids[owner] == least[np.cumsum(head) - 1]) & (head | np.concatenate([[True], text[1:] != text[:-1]]))
             gram_of = np.cumsum(new_gram) - 1
             low = np.minimum.reduceat(least, np.flatnonzero(new_gram[head]))
             high = np.maximum.reduceat(least, np.flatnonzero(new_gram[head]))
-            sent = head & (low != high)[gram_of]
+            sent = copy & (low != high)[gram_of]
         else:
             gone = sent = np.zeros(0, bool)
         pieces = []
