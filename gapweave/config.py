@@ -63,6 +63,8 @@ class ConsolidationConfig:
     multi_line: bool = True
     # Leave damaged files out, whole and named in the report, instead of failing.
     skip_corrupt: bool = False
+    # Put rows that do not fit their file's layout, also those read in part, into a table beside the output.
+    quarantine: bool = False
 
     def __post_init__(self):
         if not self.required_columns:

@@ -34,6 +34,7 @@ from gapweave.sources.files import (
     format_of,
     load_files,
     load_validation,
+    quarantine,
 )
 from gapweave.sources.sinks import (
     read_saved,
@@ -41,6 +42,7 @@ from gapweave.sources.sinks import (
     run_timestamp,
     save_with_facts,
     write_json_document,
+    write_parquet,
 )
 from gapweave.storage import materialize
 
@@ -87,7 +89,7 @@ def run_consolidation(
 ) -> dict:
     """Load, combine, check, narrow, save and report. Errors are raised, not turned into a status."""
     paths = discover_files(spark, directory, pattern)
-    load = load_files(spark, paths, format_of(pattern), config.multi_line, config.skip_corrupt)
+    load = load_files(spark, paths, format_of(pattern), config.multi_line, config.skip_corrupt, keep_rejects=config.quarantine)
     checks = load_validation(load).collect()
     if any(r["verdict"] == "no_columns" for r in checks):
         raise ValueError("A source has no columns")
@@ -137,5 +139,7 @@ def run_consolidation(
     report["output_files"] = dict(saved)
     report["configuration"] = config.describe()
     stem = saved[fmt].rsplit(".", 1)[0]
+    if config.quarantine:
+        saved["rejected"] = write_parquet(quarantine(load), f"{stem}_rejected.parquet")
     saved["report"] = write_json_document(spark, report, f"{stem}_report.json")
     return {"status": "success", "saved_files": saved, "statistics": report}

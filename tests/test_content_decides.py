@@ -4,9 +4,11 @@ import datetime as dt
 
 import pytest
 
+from gapweave.config import ConsolidationConfig
 from gapweave.operators import distinct
 from gapweave.operators.date_vote import format_votes, parse_dates_by_vote
 from gapweave.operators.distinct import distinct_rows
+from gapweave.plans.consolidate import run_consolidation
 from gapweave.sources.files import discover_files, load_files, quarantine
 
 FORMATS = ["MM/dd/yyyy", "dd/MM/yyyy", "yyyy-MM-dd"]
@@ -142,3 +144,15 @@ def test_json_lines_and_tables_without_rejects(spark, tmp_path):
     assert whole.df.count() == 3 and quarantine(whole).collect() == []
     with pytest.raises(ValueError):
         quarantine(load_files(spark, [f"{tmp_path}/p.parquet"], "parquet"))
+
+
+def test_a_run_puts_rows_that_do_not_fit_beside_its_output(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Equipment,Size\na1,5\na2\na3,6,7\n")
+    (tmp_path / "b.csv").write_text("Equipment,Size\nb1,5\n")
+    config = ConsolidationConfig(required_columns=("Equipment", "Size"), column_mappings={}, quarantine=True)
+    result = run_consolidation(spark, str(tmp_path), f"{tmp_path}/out", config=config)
+    saved, sources = result["saved_files"], result["statistics"]["sources"]
+    rejected = spark.read.parquet(saved["rejected"])
+    assert sorted((r.source, r.record, r.raw) for r in rejected.collect()) == [("a", 2, "a2"), ("a", 3, "a3,6,7")]
+    assert sources["a"] == {"rows": 1, "rows_rejected": 2, "columns": 2}
+    assert sorted(r.Equipment for r in spark.read.parquet(saved["parquet"]).collect()) == ["a1", "b1"]
