@@ -450,3 +450,17 @@ def test_copies_are_not_listed_beyond_the_first_k():
     one = pa.table({"target_key": pa.array([0], pa.int64()), "vector": pa.array([[1.0, 0.5, 0.0, 0.0]])})
     best = match_block(one, prepare(dense, DenseScorer()), 3, 0.1).to_pydict()
     assert best["master_key"] == [0, 4, 8]
+
+
+@pytest.mark.parametrize("rows", [400, 1_600])
+def test_rows_alone_do_not_multiply_the_copies_of_a_side(spark, monkeypatch, rows):
+    """A side is copied once per block of the other; blocks of a few rows would copy it as often as it has rows."""
+    grids, compare = [], knn.block_knn
+    monkeypatch.setattr(knn, "block_knn", lambda *args: grids.append(args[-2:]) or compare(*args))
+    rng = np.random.default_rng(8)
+    points = rng.standard_normal((rows, 8))
+    frame_rows = list(enumerate((points / np.linalg.norm(points, axis=1, keepdims=True)).tolist()))
+    t, m = frame(spark, "target", "vector", frame_rows), frame(spark, "master", "vector", frame_rows)
+    limits = BlockLimits(broadcast_rows=0, block_rows=5, seeded_blocks=10_000)
+    assert nearest(t, m, 1, 0.5, limits=limits).where("target_key = master_key").count() == rows
+    assert max(grids[0]) <= 16
