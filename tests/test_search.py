@@ -452,6 +452,29 @@ def test_copies_are_not_listed_beyond_the_first_k():
     assert best["master_key"] == [0, 4, 8]
 
 
+@pytest.mark.parametrize("k, threshold", [(1, 0.75), (3, 0.3), (5, 0.0)])
+def test_long_texts_are_scored_whole_only_where_sketches_allow_a_match(monkeypatch, k, threshold):
+    """The result is that of all pairs, also with copies, texts without a common token and sketches of few places."""
+    from gapweave.operators import scoring
+
+    monkeypatch.setattr(scoring, "_SKETCHED_TARGETS", 50)
+    monkeypatch.setattr(scoring, "_SKETCHED_MASTERS", 70)
+    monkeypatch.setattr(scoring, "_COUNTED_BYTES", 2_000)
+    rng = np.random.default_rng(3)
+    words = [[f"{lang}{i}" for i in (rng.zipf(1.3, 120) % 3_000)] for lang in "abc" for _ in range(90)]
+    texts = [" ".join(w) for w in words] + [" ".join(w[:100]) for w in words[:60]]
+    texts += [texts[7]] * 9 + [" ".join(f"only{i}" for i in range(60))]
+    targets, masters = list(enumerate(texts[::2])), list(enumerate(texts[1::2]))
+    scored, score = [], scoring._Sketches._score
+    monkeypatch.setattr(scoring._Sketches, "_score", lambda self, near, spread: scored.append(len(near)) or score(self, near, spread))
+    as_table = lambda key, rows: pa.table({key: pa.array([i for i, _ in rows], pa.int64()), "text": [text for _, text in rows]})
+    found = match_block(as_table("target_key", targets), prepare(as_table("master_key", masters), LexicalScorer()), k, threshold)
+    exact = brute_force(targets, masters, k, threshold, token_score)
+    assert sorted(zip(*(found[c].to_pylist() for c in ("target_key", "master_key", "score", "rank")))) == sorted(exact)
+    if threshold:
+        assert sum(scored) < 0.4 * len(targets) * len(masters)
+
+
 @pytest.mark.parametrize("rows", [400, 1_600])
 def test_rows_alone_do_not_multiply_the_copies_of_a_side(spark, monkeypatch, rows):
     """A side is copied once per block of the other; blocks of a few rows would copy it as often as it has rows."""
