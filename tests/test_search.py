@@ -487,3 +487,18 @@ def test_rows_alone_do_not_multiply_the_copies_of_a_side(spark, monkeypatch, row
     limits = BlockLimits(broadcast_rows=0, block_rows=5, seeded_blocks=10_000)
     assert nearest(t, m, 1, 0.5, limits=limits).where("target_key = master_key").count() == rows
     assert max(grids[0]) <= 16
+
+
+def test_batches_of_texts_are_worked_on_in_pieces(spark, monkeypatch):
+    """Memory follows a few megabytes of texts, not the texts of a batch; nothing else changes."""
+    from gapweave.operators import encode
+
+    monkeypatch.setattr(encode, "_PIECE_BYTES", 1_000)
+    texts = pa.array([f"text {i} " * (1 + i % 9) for i in range(300)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), texts], ["k", "text"])
+    pieces = list(encode._small_pieces([batch, batch.slice(0, 0)], "text"))
+    assert len(pieces) > 5 and max(piece.num_rows for piece in pieces) < 100
+    assert pa.Table.from_batches(pieces).to_pydict() == pa.Table.from_batches([batch]).to_pydict()
+    encoder = HashedTokenEncoder(8)
+    monkeypatch.setattr(encode, "_KNOWN_TOKENS", 10)
+    assert (encoder.encode(texts.to_pylist()) == HashedTokenEncoder(8).encode(texts.to_pylist())).all() and len(encoder.places) == 10
