@@ -502,3 +502,21 @@ def test_batches_of_texts_are_worked_on_in_pieces(spark, monkeypatch):
     encoder = HashedTokenEncoder(8)
     monkeypatch.setattr(encode, "_KNOWN_TOKENS", 10)
     assert (encoder.encode(texts.to_pylist()) == HashedTokenEncoder(8).encode(texts.to_pylist())).all() and len(encoder.places) == 10
+
+
+def test_prefix_search_compares_copies_once(spark, monkeypatch):
+    """60 rows of each text: no more texts are routed than there are distinct ones, and the first k copies are found."""
+    routed, sizes = [], knn._cell_sizes
+    monkeypatch.setattr(knn, "_cell_sizes", lambda *args: routed.append(args[1].select("text").count()) or sizes(*args))
+    rows = [(i, f"pump p{i % 20} q{i % 10} of steel") for i in range(1_200)]
+    t, m = frame(spark, "target", "text", rows[:300]), frame(spark, "master", "text", rows)
+    got = nearest(t, m, 70, 0.7, "prefix", LexicalScorer(), limits=BlockLimits(bucket_rows=20))
+    assert result(got) == brute_force(rows[:300], rows, 70, 0.7, token_score)
+    assert routed and max(routed) <= 20 * 5
+
+
+def test_a_cell_is_cut_until_a_task_compares_a_bounded_number_of_pairs():
+    size = {"cell": 0, "t_rows": 500_000, "t_bytes": 500_000 * 80, "m_rows": 60_000, "m_bytes": 60_000 * 80}
+    t_blocks, m_blocks = knn._cell_grid(size, BlockLimits())
+    assert 500_000 / t_blocks * 60_000 / m_blocks <= 10**9 and t_blocks * m_blocks < 60
+    assert knn._cell_grid({**size, "t_rows": 10, "t_bytes": 800}, BlockLimits()) == (1, 1)
