@@ -15,6 +15,7 @@ from gapweave.sources.files import (
     load_table,
     load_typed,
     load_validation,
+    plain_path,
     source_name,
 )
 from gapweave.sources.sinks import (
@@ -227,3 +228,16 @@ def test_the_run_report_names_files_types_and_sizes(spark, tmp_path):
     assert set(report["data_types"]) == {"Equipment", "Size"} == set(report["narrowing"])
     assert report["sample_values"]["Equipment"] == ["a1", "a2", "b1", "b2"]
     assert report["sources"]["a"] == {"rows": 2, "rows_rejected": 0, "columns": 2}
+
+
+def test_rows_name_their_file_by_plain_string_functions(spark, tmp_path):
+    for name in ("a.b.csv", "odd + %41 é.csv", "T.CSV/part-0.csv", "deep/u.csv/part-1.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x\n1\n")
+    paths = discover_files(spark, str(tmp_path), "*.{csv,CSV}")
+    assert len(paths) == 4
+    for by_path, named in ((False, source_name), (True, plain_path)):
+        load = load_files(spark, paths, "csv", by_path=by_path)
+        assert sorted(r["_source"] for r in load.df.collect()) == sorted(map(named, paths))
+        # Patterns on the path of each row took 25 to 100 microseconds a row.
+        assert "regexp" not in load.df._jdf.queryExecution().optimizedPlan().toString().lower()
