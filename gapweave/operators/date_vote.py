@@ -62,10 +62,17 @@ def parse_dates_by_vote(df: DataFrame, columns: Sequence[str], formats: Sequence
     joined = joined.join(chosen, F.col("_vote_origin").eqNullSafe(F.col("_vote_source")), "left")
 
     def parsed(name: str):
-        value = F.col("_vote_row")[name]
-        tried = F.create_map(*[part for p in formats for part in (F.lit(p), parse_date(value, [p]))])
-        found = F.transform(F.col("_vote")[name], lambda p: F.element_at(tried, p))
-        return F.get(F.filter(found, lambda t: t.isNotNull()), F.lit(0))
+        value, chosen_formats = F.col("_vote_row")[name], F.col("_vote")[name]
+
+        def by_format_at(place: int):
+            chosen_format = F.get(chosen_formats, F.lit(place))
+            attempt = F.lit(None).cast("timestamp_ntz")
+            for pattern in formats:
+                attempt = F.when(chosen_format == pattern, parse_date(value, [pattern])).otherwise(attempt)
+            return attempt
+
+        # The next format is only tried on a value that the ones before it do not fit.
+        return F.coalesce(*map(by_format_at, range(len(formats))))
 
     return joined.select(
         *[(parsed(c) if c in columns else F.col("_vote_row")[c]).alias(c) for c in df.columns]

@@ -156,3 +156,11 @@ def test_a_run_puts_rows_that_do_not_fit_beside_its_output(spark, tmp_path):
     assert sorted((r.source, r.record, r.raw) for r in rejected.collect()) == [("a", 2, "a2"), ("a", 3, "a3,6,7")]
     assert sources["a"] == {"rows": 1, "rows_rejected": 2, "columns": 2}
     assert sorted(r.Equipment for r in spark.read.parquet(saved["parquet"]).collect()) == ["a1", "b1"]
+
+
+def test_a_value_is_read_by_the_next_format_only_if_the_ones_before_do_not_fit(spark):
+    df = spark.createDataFrame([("25/04/2024",), ("03/04/2024",), ("04/25/2024",), ("soon",), (None,)], "d string")
+    # Each value was parsed by all formats for each of them, in a map that also refused a format listed twice.
+    got = parse_dates_by_vote(df, ["d"], ["MM/dd/yyyy", "dd/MM/yyyy", "dd/MM/yyyy"])
+    assert [r.d for r in got.collect()] == [day(2024, 4, 25), day(2024, 3, 4), day(2024, 4, 25), None, None]
+    assert "map(" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
