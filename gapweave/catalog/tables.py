@@ -42,6 +42,7 @@ from gapweave.sources.sinks import (
     backup_snapshot,
     save_completed,
     save_multi_format,
+    save_with_facts,
     verify_write,
     write_csv,
     write_json_report,
@@ -123,8 +124,8 @@ def save_formats(spark, sf):
 
 def verify(spark, sf):
     df = register(spark, sf)
-    saved = save_multi_format(df, scratch_path(spark, "saved"), "register")
-    return verify_write(spark, saved, df)
+    saved, facts = save_with_facts(df, scratch_path(spark, "saved"), "register")
+    return verify_write(spark, saved, df, facts)
 
 
 def save_completed_query(spark, sf):

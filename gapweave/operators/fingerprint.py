@@ -97,12 +97,16 @@ def merge_content(facts: DataFrame) -> DataFrame:
     )
 
 
-def compare_content(found: DataFrame, expected: DataFrame) -> DataFrame:
-    """(level, column, same) from two results of `content_facts`; a column that only one has is not the same."""
+def beside(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """(level, column, found, expected): two results of `content_facts`, null where only the other one has the column."""
     values = ("rows", "non_null_count", *CHECKS)
     side = lambda facts, name: facts.select("level", "column", F.struct(*values).alias(name))
-    joined = side(found, "found").join(side(expected, "expected"), ["level", "column"], "full")
-    return joined.select("level", "column", F.col("found").eqNullSafe(F.col("expected")).alias("same"))
+    return side(found, "found").join(side(expected, "expected"), ["level", "column"], "full")
+
+
+def compare_content(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """(level, column, same) from two results of `content_facts`; a column that only one has is not the same."""
+    return beside(found, expected).select("level", "column", F.col("found").eqNullSafe(F.col("expected")).alias("same"))
 
 
 class TableFacts:

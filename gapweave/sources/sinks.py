@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from gapweave.config import CompletionConfig, ConsolidationConfig
 from gapweave.operators.columns import order_output_columns
-from gapweave.operators.fingerprint import TableFacts, compare_content, content_facts
+from gapweave.operators.fingerprint import TableFacts, beside, content_facts
 from gapweave.sources.files import FORMATS, format_of, load_typed
 from gapweave.storage import remove_scratch, rename
 
@@ -184,9 +184,14 @@ def save_completed(
     return output
 
 
-def verify_write(spark: SparkSession, saved: dict[str, str], expected: DataFrame) -> DataFrame:
-    """Per output: rows and columns read back, and whether names, rows and values all agree with `expected`."""
-    wanted = content_facts(expected), content_facts(expected, blank_is_null=True)
+def verify_write(
+    spark: SparkSession, saved: dict[str, str], expected: DataFrame, facts: dict[str, TableFacts] | None = None
+) -> DataFrame:
+    """Per output: rows and columns read back, and whether names, rows and values all agree with `expected`.
+
+    Each output is read once. With the `facts` that `save_with_facts` took while it wrote `expected`, this is not
+    computed again; without them it is, once per output.
+    """
     found = None
     for fmt, path in sorted(saved.items()):
         names = load_typed(spark, path).columns
@@ -194,8 +199,12 @@ def verify_write(spark: SparkSession, saved: dict[str, str], expected: DataFrame
         same = names == expected.columns
         df = read_saved(spark, path, expected.schema) if same else load_typed(spark, path)
         blank = fmt != "parquet"
-        compared = compare_content(content_facts(df, blank), wanted[blank]).groupBy().agg(F.every("same").alias("same"))
-        row = df.groupBy().agg(F.count("*").alias("rows")).crossJoin(F.broadcast(compared)).select(
+        wanted = content_facts(expected, blank) if facts is None else facts[fmt].content(spark)
+        compared = beside(content_facts(df, blank), wanted).groupBy().agg(
+            F.coalesce(F.max(F.when(F.col("level") == "row", F.col("found")["rows"])), F.lit(0)).alias("rows"),
+            F.every(F.col("found").eqNullSafe(F.col("expected"))).alias("same"),
+        )
+        row = compared.select(
             F.lit(fmt).alias("format"),
             "rows",
             F.lit(len(names)).cast("bigint").alias("columns"),

@@ -7,7 +7,7 @@ from gapweave.config import ConsolidationConfig
 from gapweave.operators.fingerprint import TableFacts, compare_content, content_facts, merge_content
 from gapweave.operators.profile import footprint, null_counts
 from gapweave.plans.consolidate import run_consolidation
-from gapweave.sources.sinks import read_saved, save_multi_format, verify_write, write_csv, write_parquet
+from gapweave.sources.sinks import read_saved, save_multi_format, save_with_facts, verify_write, write_csv, write_parquet
 
 SCHEMA = "id int, `a b` string, x double, d date, m map<string,int>, l array<struct<y:int>>, n decimal(9,2)"
 ROWS = [
@@ -121,3 +121,15 @@ def test_the_written_table_is_read_twice(spark, tmp_path):
         type(spark.read).load = original
     assert seen.count(saved["parquet"]) == 2
     assert seen.count(saved["csv"]) == 1
+
+
+def test_what_was_written_is_read_once_and_not_computed_again(spark, tmp_path):
+    df = spark.createDataFrame([("x", 1), ("", 2), (None, 3)], "a string, b int")
+    saved, facts = save_with_facts(df, str(tmp_path), "t")
+    # Rows were counted by a scan of their own, and the table was computed twice more.
+    checked = verify_write(spark, saved, df, facts)
+    assert {r["format"]: (r["rows"], r["verified"]) for r in checked.collect()} == {"csv": (3, True), "parquet": (3, True)}
+    assert checked._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    write_parquet(df.union(df.limit(1)), f"{tmp_path}/more.parquet")
+    changed = verify_write(spark, {"parquet": f"{tmp_path}/more.parquet"}, df, facts).collect()
+    assert [(r["rows"], r["verified"]) for r in changed] == [(4, False)]
