@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding.
 
-An Arrow pass cuts the words out. The distinct words that most batches of documents hold are
-encoded once and broadcast (a bounded number). Then another pass numbers the words of many documents at once, so that
-every other distinct word is encoded once per batch; what it finds, one row per batch, is handed over by a shuffle. To
+An Arrow pass cuts the words out. The distinct words that most stretches of documents hold are
+encoded once and broadcast (a bounded number). Then another pass numbers the words of a stretch at once, so that
+every other distinct word is encoded once per stretch; what it finds, one row per stretch, is handed over by a shuffle. To
 encode, a higher-order function folds the ranked merges over the byte array of a word, with the ranks in a literal map.
 Decoding concatenates the pieces of the ids. Words are told apart by their texts.
 """
@@ -12,10 +12,10 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from gapweave.llm.text import mix, word_hashes
 from gapweave.storage import materialize
 
-#: A batch is closed once it holds so many words or so many distinct ones; this bounds the memory of a task.
-BATCH_WORDS, BATCH_DISTINCT = 1_000_000, 50_000
-#: Characters that are cut at once; a longer text is cut alone.
-CUT_CHARACTERS = 500_000
+#: Distinct words of a task that are counted as one; this bounds its memory.
+BATCH_DISTINCT = 50_000
+#: Characters of a stretch, which is cut and numbered at once; a longer text is one alone. This bounds the memory of a task.
+CUT_CHARACTERS = 1_500_000
 #: The pattern that cuts texts, as for the public rank files; `cut_words` follows it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CLASS_PATTERNS = [regex.compile(p, regex.DOTALL) for p in (r"\p{L}", r"\p{N}", r"\s", ".")]
@@ -39,10 +39,11 @@ COMMON_WORDS, COMMON_BYTES = 500_000, 64
 OUTPUT_BYTES = 8 << 20
 #: Longer words are merged by a heap in the numbering pass.
 FOLD_BYTES = 1_000
-#: A prime, so that pairs spread evenly; and what two ids are packed with.
-_BUCKETS, _FIELD = 131_071, 1 << 21
+#: A prime, so that pairs spread evenly; and the bits that ids and places are packed with.
+_BUCKETS, _BITS = 32_749, 21
+_FIELD = 1 << _BITS
 #: The rank of a pair that has none.
-_NONE = 1 << 21
+_NONE = _FIELD - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,7 +61,8 @@ class RankMap:
     """The ranks as one literal, whose size is that of the rank file.
 
     A merge is looked up by its two parts: every cut of a piece into two pieces is an entry. A look-up in an array
-    is a linear search, so entries are hashed to buckets of about two; nothing is built from the literal per row.
+    is a linear search, so entries are hashed to buckets of a few; nothing is built from the literal per row. Two bytes
+    have a table of their own.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -83,10 +85,11 @@ class RankMap:
             "pairs": pairs,
             "merged": merged,
             "bytes": [ranks[bytes([b])] for b in range(256)],
+            "two": [ranks.get(bytes([a, b]), _NONE) for a in range(256) for b in range(256)],
         }
         self._literal = F.from_json(
             F.lit(json.dumps(table, separators=(",", ":"))),
-            "pairs array<array<bigint>>, merged array<array<bigint>>, bytes array<bigint>",
+            "pairs array<array<bigint>>, merged array<array<bigint>>, bytes array<bigint>, two array<bigint>",
         )
 
     def bound(self, body) -> Column:
@@ -96,61 +99,71 @@ class RankMap:
 
 class _Tables:
     def __init__(self, table: Column):
-        self._pairs, self._merged, self._bytes = table["pairs"], table["merged"], table["bytes"]
+        self._pairs, self._merged, self._bytes, self._two = (table[name] for name in ("pairs", "merged", "bytes", "two"))
 
     def of_byte(self, byte: Column) -> Column:
         return F.get(self._bytes, byte)
 
+    def of_bytes(self, left: Column, right: Column) -> Column:
+        """The rank of two bytes put together, like `of_pair` of their ids."""
+        return F.coalesce(F.get(self._two, left.cast("int") * 256 + right.cast("int")), F.lit(_NONE).cast("bigint"))
+
     def of_pair(self, left: Column, right: Column) -> Column:
-        """The rank of two parts put together; a large number if there is none, or no part on the right."""
-        pair = left * _FIELD + right
-        bucket = (pair % _BUCKETS).cast("int")
+        """The rank of two parts put together; `_NONE` if there is none, or no part on the right."""
+
+        def look_up(pair: Column, bucket: Column) -> Column:
+            place = F.array_position(F.get(self._pairs, bucket), pair).cast("int")  # 0: not there, and nothing at -1
+            return F.coalesce(F.get(F.get(self._merged, bucket), place - 1), F.lit(_NONE).cast("bigint"))
 
-        place = F.nullif(F.array_position(F.get(self._pairs, bucket), pair), F.lit(0))
-        return F.coalesce(F.get(F.get(self._merged, bucket), place.cast("int") - 1), F.lit(_NONE).cast("bigint"))
+        return _let(
+            left * _FIELD + right, lambda pair: _let((pair % _BUCKETS).cast("int"), lambda bucket: look_up(pair, bucket))
+        )
 
 
 def _encode_word(byte_array: Column, tables: _Tables) -> Column:
     """The ids of a word: of its bytes, the leftmost pair of least rank is merged until none is left.
 
-    The fold keeps the ids of the parts and the rank of each with the next one. A merge replaces two parts by one, whose
-    id is the rank, and looks up the ranks of the two pairs that it is in.
+    The fold keeps one number per part: the rank of the part with the next one, the place of its first byte and its id. So
+    the least number is the leftmost pair of least rank. A merge replaces two parts by one, whose id is the rank, and
+    looks up the ranks of the two pairs that it is in.
     """
-    ranks_of = lambda parts: F.transform(parts, lambda part, i: tables.of_pair(part, F.get(parts, i + 1)))
+    id_of = lambda part: part.bitwiseAND(F.lit(_FIELD - 1))
+
+    def of_byte(byte: Column, i: Column) -> Column:
+        rank = tables.of_bytes(byte, F.get(byte_array, i + 1))
+        return _packed_part(rank, F.shiftleft(i.cast("bigint"), _BITS).bitwiseOR(tables.of_byte(byte)))
 
-    def merge(state: Column, least: Column) -> Column:
-        ids, ranks = state["ids"], state["ranks"]
+    def merge(parts: Column, least: Column) -> Column:
+        rank = F.shiftright(least, 2 * _BITS)
 
         def at(place: Column) -> Column:  # of the left part, from 1
-            rest = F.size(ids)
-            after = tables.of_pair(least, F.get(ids, place + 1))
-            before = F.array(tables.of_pair(F.get(ids, place - 2), least), after)
-            return F.struct(
-                F.concat(F.slice(ids, F.lit(1), place - 1), F.array(least), F.slice(ids, place + 2, rest)).alias("ids"),
-                F.concat(
-                    F.slice(ranks, F.lit(1), F.greatest(place - 2, F.lit(0))),
-                    F.when(place > 1, before).otherwise(F.array(after)),
-                    F.slice(ranks, place + 2, rest),
-                ).alias("ranks"),
+            before, after = F.get(parts, place - 2), F.get(parts, place + 1)
+            start = least.bitwiseAND(F.lit((_FIELD - 1) << _BITS))
+            own = _packed_part(tables.of_pair(rank, id_of(after)), start.bitwiseOR(rank))
+            other = _packed_part(tables.of_pair(id_of(before), rank), before.bitwiseAND(F.lit((1 << 2 * _BITS) - 1)))
+            return F.concat(
+                F.slice(parts, F.lit(1), F.greatest(place - 2, F.lit(0))),
+                F.when(place > 1, F.array(other, own)).otherwise(F.array(own)),
+                F.slice(parts, place + 2, F.size(parts)),
             )
 
-        return _let(F.array_position(ranks, least).cast("int"), at)
+        return _let(F.array_position(parts, least).cast("int"), at)
 
-    first = _let(
-        F.transform(byte_array, tables.of_byte),
-        lambda parts: F.struct(parts.alias("ids"), ranks_of(parts).alias("ranks")),
-    )
     return F.aggregate(
         F.sequence(F.lit(2), F.size(byte_array)),  # no more merges than that
-        first,
-        lambda state, _: _let(
-            F.array_min(state["ranks"]),
-            lambda least: F.when(least < _NONE, merge(state, least)).otherwise(state),
+        F.transform(byte_array, of_byte),
+        lambda parts, _: _let(
+            F.array_min(parts),
+            lambda least: F.when(least < F.lit(_NONE << 2 * _BITS), merge(parts, least)).otherwise(parts),
         ),
-        lambda state: F.transform(state["ids"], lambda token: token.cast("int")),
+        lambda parts: F.transform(parts, lambda part: id_of(part).cast("int")),
     )
 
 
+def _packed_part(rank: Column, start_and_id: Column) -> Column:
+    return F.shiftleft(rank, 2 * _BITS).bitwiseOR(start_and_id)
+
+
 def encode_long_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same merges by a heap, for words whose length would make the fold slow (n log n instead of n * n)."""
     ends = list(range(1, len(word) + 1))  # of the part that starts here; 0: no part starts here
@@ -245,6 +258,34 @@ def cut_words(texts: list[str], known: dict) -> tuple[np.ndarray, np.ndarray, np
     return codes, begins, ends, np.searchsorted(rows, begins, "right") - 1
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the distinct values, where each is first, place of every value among them), in order of appearance."""
+    place, distinct = pd.factorize(hashes)
+    first = np.empty(len(distinct), np.int64)
+    first[place[::-1]] = np.arange(len(place) - 1, -1, -1)
+    return distinct, first, place
+
+
+def _byte_hashes(text: str, codes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Hashes of the words by their UTF-8 bytes, which takes fewer steps than by code points."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    at = np.arange(len(codes) + 1)
+    if len(data) > len(codes):
+        sizes = np.ones(len(codes), np.int64)
+        for least in (0x80, 0x800, 0x10000):
+            sizes += codes >= least
+        at[1:] = np.cumsum(sizes)
+    return word_hashes(data, at[start], at[np.append(start[1:], len(codes))])
+
+
+def _equal_words(codes: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> bool:
+    """Whether every word is the same as another one given by its number; words follow each other without a gap."""
+    sizes, shift = end - start, start[other] - start
+    if (sizes != sizes[other]).any():
+        return False
+    return bool((codes == codes[np.arange(len(codes)) + np.repeat(shift, sizes)]).all())
+
+
 def _numbered(column: pa.Array, known: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[str]]]:
     """(first row, words per row, place of every word among the distinct ones, their hashes, their texts) by stretches."""
     at = 0
@@ -254,16 +295,15 @@ def _numbered(column: pa.Array, known: dict) -> Iterator[tuple[int, np.ndarray,
             texts.append(column[at + len(texts)].as_py() or "")
             size += len(texts[-1])
         codes, start, end, row = cut_words(texts, known)
-        hashes = word_hashes(codes, start, end)
-        distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        # A second hash settles whether equal hashes are equal words; if not, which is not to be expected, texts do.
-        second = word_hashes(codes, start, end, 1)
         joined = "".join(texts)
-        if (second != second[first][place]).any():
+        hashes = _byte_hashes(joined, codes, start)
+        distinct, first, place = _distinct(hashes)
+        # If equal hashes are not equal words, which is not to be expected, the texts tell them apart.
+        if not _equal_words(codes, start, end, first[place]):
             known_texts: dict[str, int] = {}
             whole = [joined[a:b] for a, b in zip(start.tolist(), end.tolist())]
             hashes = mix(np.array([known_texts.setdefault(w, len(known_texts)) for w in whole], np.uint64))
-            distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+            distinct, first, place = _distinct(hashes)
         words = [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
         yield at, np.bincount(row, minlength=len(texts)), place, distinct, words
         at += len(texts)
@@ -307,14 +347,14 @@ def _byte_lists(words: list[bytes]) -> pa.ListArray:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Numbers in as few bytes as they need, compressed."""
+    """Numbers in as few bytes as they need; shuffles compress them."""
     most = int(values.max(initial=0))
     kind = np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64
-    return bytes([np.dtype(kind).itemsize]) + zlib.compress(values.astype(kind).tobytes(), 1)
+    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data[1:]), f"u{data[0]}").astype(np.int64)
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
 
 
 def common_words(texts: DataFrame, ranks: RankMap, limit: int | None = None) -> tuple[np.ndarray, pa.Array]:
@@ -346,59 +386,47 @@ def common_words(texts: DataFrame, ranks: RankMap, limit: int | None = None) ->
 
 
 def _number_words(vocabulary: dict[bytes, int], common):
-    """Batches of documents -> one row per batch: its distinct words, and their numbers in each document."""
+    """Batches of documents -> one row per stretch: its distinct words, and their numbers in each document.
 
-    def closed(ids: list, counts: list, codes: list, words: list[str], word_hash: list[int]) -> pa.RecordBatch:
-        """The row of a batch: its documents' ids, and packed the words of each, the words by number, the sizes of the
-        words' ids where these are known and these ids; and the words that are left to fold."""
-        known, known_ids = common.value
-        hashes = np.array(word_hash, np.uint64)
-        at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-        hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-        # Ids of the common words; then of words that are a piece themselves, never cut, and of long ones, by the heap.
-        given = dict(zip(np.flatnonzero(hit).tolist(), known_ids.take(pa.array(at[hit])).to_pylist()))
-        open_words = []
-        for i in np.flatnonzero(~hit).tolist():
-            word = words[i].encode()
-            if word in vocabulary:
-                given[i] = [vocabulary[word]]
-            elif len(word) > FOLD_BYTES:
-                given[i] = encode_long_word(word, vocabulary)
-            else:
-                open_words.append(word)
-        sizes = np.zeros(len(words), np.int64)  # 0: to be folded
-        for i, value in given.items():
-            sizes[i] = len(value)
-        flat = np.array([token for i in sorted(given) for token in given[i]], np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                _one_list(pa.concat_arrays(ids)),
-                *(pa.array([_packed(np.asarray(v, np.int64))], pa.binary()) for v in (np.concatenate(counts), np.concatenate(codes), sizes, flat)),
-                _one_list(_byte_lists(open_words)),
-                pa.array([int(hashes.sum(dtype=np.uint64)) >> 1], pa.int64()),
-            ],
-            ["ids", "counts", "codes", "sizes", "given", "words", "spread"],
-        )
+    A row holds its documents' ids, and packed the words of each, the words by number, the sizes of the words' ids where
+    these are known and these ids; and the words that are left to fold.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts, codes, index, hashes, total, classes = [], [], [], {}, [], 0, {}
+        known, known_ids = common.value
+        classes: dict = {}
         for batch in batches:
-            for first, per_row, places, distinct, texts in _numbered(batch.column(1), classes):
-                number = np.empty(len(distinct), np.int32)
-                for i, (value, text) in enumerate(zip(distinct.tolist(), texts)):
-                    place = index.setdefault(text, len(index))
-                    if place == len(hashes):
-                        hashes.append(value)
-                    number[i] = place
-                codes.append(number[places])
-                counts.append(per_row)
-                ids.append(batch.column(0).slice(first, len(per_row)))
-                total += len(places)
-                if len(index) >= BATCH_DISTINCT or total >= BATCH_WORDS:
-                    yield closed(ids, counts, codes, list(index), hashes)
-                    ids, counts, codes, index, hashes, total = [], [], [], {}, [], 0
-        if counts:
-            yield closed(ids, counts, codes, list(index), hashes)
+            for first, per_row, place, hashes, words in _numbered(batch.column(1), classes):
+                at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
+                hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+                # Ids of the common words; then of words that are a piece themselves, never cut, and of long ones, by the heap.
+                own, own_ids, open_words = [], [], []
+                for i in np.flatnonzero(~hit).tolist():
+                    word = words[i].encode()
+                    if word in vocabulary:
+                        own.append(i)
+                        own_ids.append([vocabulary[word]])
+                    elif len(word) > FOLD_BYTES:
+                        own.append(i)
+                        own_ids.append(encode_long_word(word, vocabulary))
+                    else:
+                        open_words.append(word)
+                numbers = np.concatenate([np.flatnonzero(hit), np.array(own, np.int64)])
+                order = np.argsort(numbers)
+                given = pa.concat_arrays([known_ids.take(pa.array(at[hit])), pa.array(own_ids, pa.list_(pa.int32()))])
+                given = given.take(pa.array(order))
+                sizes = np.zeros(len(words), np.int64)  # 0: to be folded
+                sizes[numbers[order]] = pc.list_value_length(given).to_numpy(zero_copy_only=False)
+                packed = (per_row, place, sizes, given.flatten().to_numpy())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        _one_list(batch.column(0).slice(first, len(per_row))),
+                        *(pa.array([_packed(values)], pa.binary()) for values in packed),
+                        _one_list(_byte_lists(open_words)),
+                        pa.array([int(hashes.sum(dtype=np.uint64)) >> 1], pa.int64()),
+                    ],
+                    ["ids", "counts", "codes", "sizes", "given", "words", "spread"],
+                )
 
     return run
 
@@ -415,8 +443,10 @@ def _merge_lists(known: np.ndarray, given: np.ndarray, folded: pa.Array) -> tupl
     return merged, pc.list_value_length(merged).to_numpy(zero_copy_only=False)
 
 
-def _per_document(batches: Iterator[pa.RecordBatch], pieces: pa.Array) -> Iterator[pa.RecordBatch]:
-    """Ids of every document from the rows of batches, decoded by joining their `pieces`."""
+def _per_document(
+    batches: Iterator[pa.RecordBatch], pieces: pa.Array, decimals: pa.Array | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Ids of every document from the rows of batches, decoded by joining their `pieces`; as text with `decimals`."""
     for batch in batches:
         for row in range(batch.num_rows):
             ids = batch.column("ids").slice(row, 1).flatten()
@@ -434,24 +464,27 @@ def _per_document(batches: Iterator[pa.RecordBatch], pieces: pa.Array) -> Iterat
                 starts = np.concatenate([[0], np.cumsum(sizes[own], dtype=np.int64)])[ends[first : last + 1] - ends[first]]
                 starts = pa.array(starts.astype(np.int32))
                 found = tokens.take(picked).flatten()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(first, last - first),
-                        pa.ListArray.from_arrays(starts, found),
-                        pc.binary_join(pa.ListArray.from_arrays(starts, pieces.take(found)), b""),
-                    ],
-                    ["id", "token_ids", "decoded"],
-                )
+                joined = lambda texts, mark: pc.binary_join(pa.ListArray.from_arrays(starts, texts.take(found)), mark)  # noqa: B023, E731
+                columns = {
+                    "id": ids.slice(first, last - first),
+                    "token_ids": pa.ListArray.from_arrays(starts, found),
+                    "decoded": joined(pieces, b""),
+                }
+                if decimals is not None:
+                    columns["ids_text"] = joined(decimals, " ")
+                yield pa.RecordBatch.from_pydict(columns)
                 first = last
 
 
-def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_column: str = "text", ids_text: bool = False
+) -> DataFrame:
     """Encodes every whole text and decodes the ids again.
 
     Returns one row per row of `docs`: the id column (repeated or null ids included), `token_ids`
     (array<int>, without special tokens) and `decoded` (the bytes of the ids). A null text counts as empty and
-    has no ids. Other columns are ignored. A word of n bytes costs n * n steps up to `FOLD_BYTES`,
-    beyond that n * log(n).
+    has no ids. With `ids_text` there is also a column of that name, the decimal ids joined by blanks. Other columns are
+    ignored. A word of n bytes costs n * n steps up to `FOLD_BYTES`, beyond that n * log(n).
     """
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -465,10 +498,10 @@ def encode(docs: DataFrame, ranks: RankMap, id_column: str = "doc_id", text_colu
     encoded = numbered.select("ids", "counts", "codes", "sizes", "given", encode_words(F.col("words"), ranks).alias("tokens"))
     by_rank = {rank: piece for piece, rank in ranks.pieces.items()}
     pieces = pa.array([by_rank.get(rank) for rank in range(max(by_rank) + 1)], pa.binary())
+    decimals = pa.array([str(rank) for rank in range(len(pieces))]) if ids_text else None
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _per_document(batches, pieces)
+        return _per_document(batches, pieces, decimals)
 
-    return encoded.mapInArrow(assemble, f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed(
-        "id", id_column
-    )
+    columns = f"id {id_type}, token_ids array<int>, decoded binary" + (", ids_text string" if ids_text else "")
+    return encoded.mapInArrow(assemble, columns).withColumnRenamed("id", id_column)

@@ -16,11 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.RankMap(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks)
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, ids_text=True)
     return encoded.select(
         "doc_id",
         F.size("token_ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join("token_ids", " "), 256).alias("ids_sha256"),
+        F.sha2("ids_text", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

@@ -69,13 +69,21 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     """
     width, bits = (8, 8) if data.dtype == np.uint8 else (3, 21)
     padded = np.concatenate([data, np.zeros(width, data.dtype)])
+    if width == 8:  # the 8 bytes from every place on
+        padded = padded.astype(np.uint64)
+        for k in (1, 2, 4):
+            padded = padded[:-k] | padded[k:] << np.uint64(bits * k)
+    content = np.array([(1 << bits * k) - 1 for k in range(9)], np.uint64) if width == 8 else None
     left = ends - starts
     state = mix(left.astype(np.uint64) + np.uint64(seed))
     at, live = starts, np.arange(len(starts))
     while len(live):
-        step = np.zeros(len(live), np.uint64)
-        for k in range(width):
-            step |= np.where(left > k, padded[at + k], 0).astype(np.uint64) << np.uint64(bits * k)
+        if width == 8:
+            step = padded[at] & content[np.minimum(left, width)]
+        else:
+            step = np.zeros(len(live), np.uint64)
+            for k in range(width):
+                step |= np.where(left > k, padded[at + k], 0).astype(np.uint64) << np.uint64(bits * k)
         state[live] = mix((state[live] ^ mix(step + _BASE)) * _BASE + _ONE)
         more = left > width
         live, at, left = live[more], at[more] + width, left[more] - width

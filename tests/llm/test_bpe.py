@@ -114,3 +114,10 @@ def test_equal_hashes_are_settled_by_the_text(spark, ranks, library, monkeypatch
     texts = pa.array(["ab cd ab", "xy zw", ""])
     rows = [[places, words] for _, _, places, _, words in bpe._numbered(texts, {})]
     assert [rows[0][1][p] for p in rows[0][0]] == ["ab", " cd", " ab", "xy", " zw"]
+
+
+def test_equal_sums_are_settled_by_the_text(spark, ranks, library, monkeypatch):
+    """Words of one length have one hash here, whatever its seed, so only the texts tell."""
+    monkeypatch.setattr(bpe, "word_hashes", lambda codes, start, end, seed=0: (end - start).astype(np.uint64))
+    rows = list(bpe._numbered(pa.array(["ab cd ab", "xy zw"]), {}))
+    assert [rows[0][4][p] for p in rows[0][2]] == ["ab", " cd", " ab", "xy", " zw"]
