@@ -6,12 +6,14 @@ that the places of the token set; the others are filters that a candidate must p
 by their frequency, to a power of two, and differ in how they break ties. Each is a total order of all tokens, so
 no link is lost.
 
-Links are only needed to connect. So classes are first compared with one pivot per token, which is linear in
-the size of a group of copies; afterwards only pairs from different components are candidates.
+Links are only needed to connect. So classes are first compared with one pivot per token and band of sizes, which is
+linear in the size of a group of copies; afterwards only pairs from different components are candidates. The pivot is the
+class with the least share of rarer tokens before that one: it has the least of its own, so most of its group link with it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -214,6 +216,18 @@ def _possible(a: str, b: str):
     return most * (100 + PERCENT) >= PERCENT * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
+def _band(size: str):
+    """Linked sets are at most one band of sizes apart."""
+    return F.floor(F.log(F.col(size)) / math.log(100 / PERCENT))
+
+
+def _pivots(postings: DataFrame) -> DataFrame:
+    """(token, band, class, n, place): of the classes of a size that have a token, the one with the least share before it."""
+    order = F.struct((F.col("place") / F.col("n")).alias("share"), F.xxhash64("class").alias("h"), "class", "n", "place")
+    least = postings.groupBy("token", _band("n").alias("band")).agg(F.min(order).alias("p"))
+    return least.select("token", "band", "p.class", "p.n", "p.place")
+
+
 def _masks(sets: DataFrame) -> DataFrame:
     """(class, m0, m1, ...): the bits that the tokens of a class hash to."""
 
@@ -320,22 +334,19 @@ def similar_documents(docs: DataFrame, words: int = 5, id_column: str = "doc_id"
     sets = materialize(_stored_sets(picked, words).join(able.select("class").distinct(), "class", "left_semi"), "sets")
     sketch = spark.sparkContext.broadcast(_sketch(sets))  # COUNTERS numbers, whatever the input
     postings = materialize(_postings(sets, sketch), "postings")
-    pivot = postings.groupBy("token").agg(
-        F.min(F.struct(F.xxhash64("class").alias("h"), "class", "n", "place")).alias("p"), F.count("*").alias("members")
-    )
-    pivots = pivot.where("members > 1").select("token", F.col("p.class").alias("class"), F.col("p.n").alias("n"), F.col("p.place").alias("place"))
+    pivots = _pivots(postings)
     ordered = [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")]
     first_pairs = (
         postings.alias("x")
         .join(pivots.alias("y"), "token")
-        .where((F.col("x.class") != F.col("y.class")) & _possible("x", "y"))
+        .where((F.col("x.class") != F.col("y.class")) & (F.abs(_band("x.n") - F.col("y.band")) <= 1) & _possible("x", "y"))
         .select(*ordered)
         .distinct()
     )
     links = materialize(_links(first_pairs, sets, sketch), "links")
     joined = components(links)
     placed = materialize(
-        postings.join(pivots.select("token"), "token", "left_semi")
+        postings.join(postings.groupBy("token").count().where("count > 1").select("token"), "token", "left_semi")
         .join(joined, postings["class"] == joined["node"], "left")
         .select("token", "class", "n", "place", F.coalesce("component", "class").alias("component")),
         "postings",

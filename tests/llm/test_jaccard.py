@@ -100,3 +100,20 @@ def test_words_of_repeating_patterns_are_different_words(spark):
     docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)] + [(2, texts[1])], "doc_id bigint, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect()}
     assert got == {0: (2, 0), 1: (2, 1), 2: (2, 1)}
+
+
+def test_pivots_are_central_in_a_group_of_near_copies(spark, monkeypatch):
+    """Forty texts with two words changed all link; a hundred with six changed link with none, and must not be their pivots."""
+    words = [f"wa{i}" for i in range(150)]
+
+    def changed(row, places):
+        return " ".join(f"own{row}x{i}" if i in places else word for i, word in enumerate(words))
+
+    texts = [changed(row, {20 + row, 90 + row} if row < 40 else {(row + 25 * k) % 150 for k in range(6)}) for row in range(140)]
+    compared = []
+    links = jaccard._links
+    monkeypatch.setattr(jaccard, "_links", lambda pairs, *rest: compared.append(pairs.count()) or links(pairs, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {row.doc_id: row.component_id for row in jaccard.similar_documents(docs).collect()}
+    assert got == {row: 0 if row < 40 else row for row in range(140)}
+    assert sum(compared) < 3 * len(texts), compared
