@@ -3,7 +3,7 @@
 An Arrow pass cuts the words out. The distinct words that most stretches of documents hold are
 encoded once and broadcast (a bounded number). Then another pass numbers the words of a stretch at once, so that
 every other distinct word is encoded once per stretch; what it finds, one row per stretch, is handed over by a shuffle. To
-encode, a higher-order function folds the ranked merges over the byte array of a word, with the ranks in a literal map.
+encode, a higher-order function folds the ranked merges over the byte array of a word, with the ranks in a broadcast row.
 Decoding concatenates the pieces of the ids. Words are told apart by their texts.
 """
 
@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +38,8 @@ COMMON_WORDS, COMMON_BYTES = 500_000, 64
 OUTPUT_BYTES = 8 << 20
 #: Longer words are merged by a heap in the numbering pass.
 FOLD_BYTES = 1_000
-#: A prime, so that pairs spread evenly; and the bits that ids and places are packed with.
-_BUCKETS, _BITS = 32_749, 21
+#: The bits that ids and places are packed with.
+_BITS = 21
 _FIELD = 1 << _BITS
 #: The rank of a pair that has none.
 _NONE = _FIELD - 1
@@ -52,17 +51,47 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-def _let(value: Column, body) -> Column:
-    """`body` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _let(value: Column, body, empty: Column) -> Column:
+    """`body` of a value that is computed once; `empty` is any value of the type of the result.
+
+    An aggregate over one element. Taking the only element of a transformed array would do the same, but there Spark finds the
+    type of the whole body anew for every value.
+    """
+    return F.aggregate(F.array(value), empty, lambda _, element: body(element))
+
+
+def _spread(pairs: dict[int, int]) -> tuple[list[int], list[int]]:
+    """(shifts, slots): the entry of a pair is in slot (pair + its bucket's shift) modulo the number of slots.
+
+    A bucket is the pair modulo the number of shifts. So a look-up is two places of arrays, whatever the pair. An entry is the
+    pair and its number; -1 where there is none.
+    """
+    count = len(pairs) // 4 + 1
+    buckets: list[list[int]] = [[] for _ in range(count)]
+    for pair in pairs:
+        buckets[pair % count].append(pair)
+    order = sorted((b for b in range(count) if buckets[b]), key=lambda b: -len(buckets[b]))
+    size = len(pairs) + len(pairs) // 2 + 1
+    while any(len({pair % size for pair in buckets[b]}) < len(buckets[b]) for b in order):
+        size += 1  # two pairs of a bucket would share a slot whatever the shift
+    shifts, slots = [0] * count, [-1] * size
+    for b in order:
+        own = [pair % size for pair in buckets[b]]
+        shift = next((s for s in range(size) if all(slots[(at + s) % size] < 0 for at in own)), None)
+        if shift is None:
+            raise ValueError(f"no place for {len(own)} pairs of a bucket")
+        shifts[b] = shift
+        for pair in buckets[b]:
+            slots[(pair + shift) % size] = pair << _BITS | pairs[pair]
+    return shifts, slots
 
 
 class RankMap:
-    """The ranks as one literal, whose size is that of the rank file.
+    """The ranks as a table of one row, whose size is that of the rank file; it is broadcast.
 
-    A merge is looked up by its two parts: every cut of a piece into two pieces is an entry. A look-up in an array
-    is a linear search, so entries are hashed to buckets of a few; nothing is built from the literal per row. Two bytes
-    have a table of their own.
+    A literal would do the same, but Spark writes it out in every description of a plan and sends it with every task. A merge is
+    looked up by its two parts: every cut of a piece into two pieces is an entry. A look-up in an array is a linear search, so an
+    entry is where `_spread` puts it; nothing is built from the table per row. Two bytes have an array of their own.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -72,34 +101,30 @@ class RankMap:
         if max(ranks.values()) >= _NONE:
             raise ValueError(f"ranks must be below {_NONE}")
         self.pieces: dict[bytes, int] = ranks
-        pairs: list[list[int]] = [[] for _ in range(_BUCKETS)]
-        merged: list[list[int]] = [[] for _ in range(_BUCKETS)]
+        pairs: dict[int, int] = {}
         for piece, rank in ranks.items():
             for cut in range(1, len(piece)):
                 left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
                 if left is not None and right is not None:
-                    pair = left * _FIELD + right
-                    pairs[pair % _BUCKETS].append(pair)
-                    merged[pair % _BUCKETS].append(rank)
-        table = {
-            "pairs": pairs,
-            "merged": merged,
-            "bytes": [ranks[bytes([b])] for b in range(256)],
-            "two": [ranks.get(bytes([a, b]), _NONE) for a in range(256) for b in range(256)],
-        }
-        self._literal = F.from_json(
-            F.lit(json.dumps(table, separators=(",", ":"))),
-            "pairs array<array<bigint>>, merged array<array<bigint>>, bytes array<bigint>, two array<bigint>",
-        )
-
-    def bound(self, body) -> Column:
-        """`body` of the tables as a variable, so that the plan holds the literal once."""
-        return _let(self._literal, lambda table: body(_Tables(table)))
+                    pairs[left * _FIELD + right] = rank
+        shifts, slots = _spread(pairs)
+        one_byte = [ranks[bytes([b])] for b in range(256)]
+        two_bytes = [ranks.get(bytes([a, b]), _NONE) for a in range(256) for b in range(256)]
+        columns = {"rank_shifts": shifts, "rank_slots": slots, "rank_bytes": one_byte, "rank_two": two_bytes}
+        self._counts = len(shifts), len(slots)
+        self._table = pa.table({name: pa.array([values], pa.list_(pa.int64())) for name, values in columns.items()})
+
+    def encoded(self, rows: DataFrame, *columns: str) -> DataFrame:
+        """`columns` of `rows`, and as `tokens` the ids of each of the list of words in the column `words`."""
+        joined = rows.crossJoin(F.broadcast(rows.sparkSession.createDataFrame(self._table)))
+        tables = _Tables(*self._counts)
+        return joined.select(*columns, F.transform("words", lambda word: _encode_word(word, tables)).alias("tokens"))
 
 
 class _Tables:
-    def __init__(self, table: Column):
-        self._pairs, self._merged, self._bytes, self._two = (table[name] for name in ("pairs", "merged", "bytes", "two"))
+    def __init__(self, shifts: int, slots: int):
+        self._shifts, self._slots, self._bytes, self._two = (F.col(f"rank_{name}") for name in ("shifts", "slots", "bytes", "two"))
+        self._counts = shifts, slots
 
     def of_byte(self, byte: Column) -> Column:
         return F.get(self._bytes, byte)
@@ -110,14 +135,19 @@ class _Tables:
 
     def of_pair(self, left: Column, right: Column) -> Column:
         """The rank of two parts put together; `_NONE` if there is none, or no part on the right."""
+        none = F.lit(_NONE).cast("bigint")
+        shifts, slots = self._counts
+
+        def look_up(pair: Column) -> Column:
+            shift = F.get(self._shifts, (pair % shifts).cast("int"))
+            found = F.get(self._slots, ((pair + shift) % slots).cast("int"))
+            return _let(
+                found,
+                lambda entry: F.when(F.shiftright(entry, _BITS) == pair, entry.bitwiseAND(F.lit(_FIELD - 1))).otherwise(none),
+                none,
+            )
 
-        def look_up(pair: Column, bucket: Column) -> Column:
-            place = F.array_position(F.get(self._pairs, bucket), pair).cast("int")  # 0: not there, and nothing at -1
-            return F.coalesce(F.get(F.get(self._merged, bucket), place - 1), F.lit(_NONE).cast("bigint"))
-
-        return _let(
-            left * _FIELD + right, lambda pair: _let((pair % _BUCKETS).cast("int"), lambda bucket: look_up(pair, bucket))
-        )
+        return _let(left * _FIELD + right, look_up, none)
 
 
 def _encode_word(byte_array: Column, tables: _Tables) -> Column:
@@ -127,7 +157,9 @@ def _encode_word(byte_array: Column, tables: _Tables) -> Column:
     the least number is the leftmost pair of least rank. A merge replaces two parts by one, whose id is the rank, and
     looks up the ranks of the two pairs that it is in.
     """
+    no_parts = F.array().cast("array<bigint>")
     id_of = lambda part: part.bitwiseAND(F.lit(_FIELD - 1))
+    start_of = lambda part: part.bitwiseAND(F.lit((_FIELD - 1) << _BITS))
 
     def of_byte(byte: Column, i: Column) -> Column:
         rank = tables.of_bytes(byte, F.get(byte_array, i + 1))
@@ -135,19 +167,22 @@ def _encode_word(byte_array: Column, tables: _Tables) -> Column:
 
     def merge(parts: Column, least: Column) -> Column:
         rank = F.shiftright(least, 2 * _BITS)
+        start = start_of(least)
 
         def at(place: Column) -> Column:  # of the left part, from 1
             before, after = F.get(parts, place - 2), F.get(parts, place + 1)
-            start = least.bitwiseAND(F.lit((_FIELD - 1) << _BITS))
             own = _packed_part(tables.of_pair(rank, id_of(after)), start.bitwiseOR(rank))
             other = _packed_part(tables.of_pair(id_of(before), rank), before.bitwiseAND(F.lit((1 << 2 * _BITS) - 1)))
-            return F.concat(
-                F.slice(parts, F.lit(1), F.greatest(place - 2, F.lit(0))),
-                F.when(place > 1, F.array(other, own)).otherwise(F.array(own)),
-                F.slice(parts, place + 2, F.size(parts)),
+            return F.flatten(
+                F.array(
+                    F.slice(parts, F.lit(1), F.greatest(place - 2, F.lit(0))),
+                    F.when(place > 1, F.array(other, own)).otherwise(F.array(own)),
+                    F.slice(parts, place + 2, F.size(parts)),
+                )
             )
 
-        return _let(F.array_position(parts, least).cast("int"), at)
+        # Parts are in order; array_position would leave its loop by an exception, which takes longer than the rest of a merge.
+        return _let(F.size(F.filter(parts, lambda part: start_of(part) <= start)), at, no_parts)
 
     return F.aggregate(
         F.sequence(F.lit(2), F.size(byte_array)),  # no more merges than that
@@ -155,6 +190,7 @@ def _encode_word(byte_array: Column, tables: _Tables) -> Column:
         lambda parts, _: _let(
             F.array_min(parts),
             lambda least: F.when(least < F.lit(_NONE << 2 * _BITS), merge(parts, least)).otherwise(parts),
+            no_parts,
         ),
         lambda parts: F.transform(parts, lambda part: id_of(part).cast("int")),
     )
@@ -195,11 +231,6 @@ def encode_long_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-def encode_words(words: Column, ranks: RankMap) -> Column:
-    """Ids of each of a list of words, given as lists of bytes."""
-    return ranks.bound(lambda tables: F.transform(words, lambda word: _encode_word(word, tables)))
-
-
 def _classes(codes: np.ndarray, known: dict) -> np.ndarray:
     """L, N, S (white space) or O for every code point; `known` keeps what has been looked up."""
     if "table" not in known:
@@ -331,7 +362,7 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words as lists that `encode_words` takes."""
+    """Words as lists that `RankMap.encoded` takes."""
     for batch in batches:
         words = _byte_lists(batch.column(1).cast(pa.binary()).to_pylist())
         yield pa.RecordBatch.from_arrays([_one_list(batch.column(0)), _one_list(words)], ["hashes", "words"])
@@ -378,9 +409,9 @@ def common_words(texts: DataFrame, ranks: RankMap, limit: int | None = None) ->
     lists = spread.where(F.col("level") >= least).select("hash", "word").mapInArrow(
         _word_lists, "hashes array<bigint>, words array<array<smallint>>"
     )
-    table = lists.select("hashes", encode_words(F.col("words"), ranks).alias("ids")).toArrow()
+    table = ranks.encoded(lists, "hashes").toArrow()
     hashes = table.column("hashes").combine_chunks().flatten().to_numpy().view(np.uint64)
-    ids = table.column("ids").combine_chunks().flatten().cast(pa.list_(pa.int32()))
+    ids = table.column("tokens").combine_chunks().flatten().cast(pa.list_(pa.int32()))
     order = np.argsort(hashes)
     return hashes[order], ids.take(pa.array(order))
 
@@ -495,7 +526,7 @@ def encode(
         f"ids array<{id_type}>, counts binary, codes binary, sizes binary, given binary, words array<array<smallint>>, "
         "spread bigint",
     ).repartition("spread")
-    encoded = numbered.select("ids", "counts", "codes", "sizes", "given", encode_words(F.col("words"), ranks).alias("tokens"))
+    encoded = ranks.encoded(numbered, "ids", "counts", "codes", "sizes", "given")
     by_rank = {rank: piece for piece, rank in ranks.pieces.items()}
     pieces = pa.array([by_rank.get(rank) for rank in range(max(by_rank) + 1)], pa.binary())
     decimals = pa.array([str(rank) for rank in range(len(pieces))]) if ids_text else None

@@ -121,3 +121,19 @@ def test_equal_sums_are_settled_by_the_text(spark, ranks, library, monkeypatch):
     monkeypatch.setattr(bpe, "word_hashes", lambda codes, start, end, seed=0: (end - start).astype(np.uint64))
     rows = list(bpe._numbered(pa.array(["ab cd ab", "xy zw"]), {}))
     assert [rows[0][4][p] for p in rows[0][2]] == ["ab", " cd", " ab", "xy", " zw"]
+
+
+def test_plans_do_not_hold_the_ranks(spark, ranks):
+    docs = spark.createDataFrame([(1, "some text of words")], "doc_id bigint, text string")
+    encoded = bpe.encode(docs, bpe.RankMap(ranks))
+    assert len(encoded._jdf.queryExecution().toString()) < 100_000
+
+
+def test_every_pair_has_its_slot_and_others_none():
+    rng = random.Random(3)
+    pairs = {rng.randrange(1 << 42): rng.randrange(1 << 21) for _ in range(20_000)}
+    shifts, slots = bpe._spread(pairs)
+    find = lambda pair: slots[(pair + shifts[pair % len(shifts)]) % len(slots)]
+    assert all(find(pair) == pair << 21 | number for pair, number in pairs.items())
+    assert not any(find(pair) >> 21 == pair for pair in (rng.randrange(1 << 42) for _ in range(20_000)) if pair not in pairs)
+    assert bpe._spread({}) == ([0], [-1])
