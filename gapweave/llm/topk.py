@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gapweave.operators.blocks import beside
+
 #: Rows of one document range (the unit that Spark deals out), rows of a block in it, queries that meet a range at once.
 RANGE_ROWS, BLOCK_ROWS, QUERY_ROWS = 8_192, 128, 1_024
 #: Terms whose signs order the rows, so that a block holds similar rows and has tight bounds.
@@ -139,11 +141,14 @@ def top_k(
         F.concat(*map(sign, range(_ORDER_TERMS))).alias("near"),
     )
     asked = quantized(queries).withColumn("batch", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(batches)))
-    # Every batch of queries meets every range once: (batches) * (ranges) rows of matrices.
-    met = (
-        pack(asked, "batch", QUERY_ROWS)
-        .select("ids", "dim", "matrix", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(ranges - 1).cast("bigint"))).alias("range"))
-        .join(pack(stored, "range", RANGE_ROWS, ["near"]).toDF("range", "r_ids", "r_dim", "r_matrix"), "range")
+    # Every batch of queries meets every range once, and neither is copied for that.
+    met = beside(
+        pack(asked, "batch", QUERY_ROWS),
+        "batch",
+        batches,
+        pack(stored, "range", RANGE_ROWS, ["near"]).toDF("range", "r_ids", "r_dim", "r_matrix"),
+        "range",
+        ranges,
     )
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,7 +159,7 @@ def top_k(
                 )
                 yield pd.DataFrame(found, columns=["query_id", "id", "score"], dtype="int64")
 
-    found = met.drop("range").mapInPandas(search, "query_id bigint, id bigint, score bigint")
+    found = met.drop("batch", "range").mapInPandas(search, "query_id bigint, id bigint, score bigint")
     return best_of(found, k).withColumnRenamed("id", id_column)
 
 

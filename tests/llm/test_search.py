@@ -42,6 +42,17 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got)) == ranked(fine(rows), lambda q: q % 50 == 0, 5, whole)
 
 
+def test_top_k_copies_no_queries_and_broadcasts_nothing(spark, monkeypatch):
+    monkeypatch.setattr(topk, "RANGE_ROWS", 20)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 5)
+    rows = vectors(200)
+    df = frame(spark, rows)
+    got = topk.top_k(df.where("vec_id % 10 = 0"), df, 5)
+    assert len(got.collect()) == 20 * 5
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
 def test_top_k_of_few_rows_and_none(spark):
     df = frame(spark, [(0, [1.0]), (50, [2.0])])
     assert sorted(map(tuple, topk.top_k(df, df, 5).collect())) == [(0, 1, 50, 131072), (50, 1, 0, 131072)]
