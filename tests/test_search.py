@@ -475,6 +475,42 @@ def test_long_texts_are_scored_whole_only_where_sketches_allow_a_match(monkeypat
         assert sum(scored) < 0.4 * len(targets) * len(masters)
 
 
+@pytest.mark.parametrize("t_blocks, m_blocks", [(3, 4), (8, 12)])
+def test_blocks_of_texts_are_packed_once_and_copied_nowhere(spark, texts, t_blocks, m_blocks):
+    """Also with blocks without a row, and with tasks that take their targets through several blocks."""
+    targets, masters = texts
+    t, m = frame(spark, "target", "text", targets), frame(spark, "master", "text", masters)
+    t, m = LexicalScorer().ready(t), LexicalScorer().ready(m)
+    got = knn.block_knn(t, m, 2, 0.3, LexicalScorer(), t_blocks, m_blocks)
+    assert result(got) == brute_force(targets, masters, 2, 0.3, token_score)
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "Broadcast" not in plan
+    assert result(knn.block_knn(t, m.limit(0), 2, 0.3, LexicalScorer(), t_blocks, m_blocks)) == set()
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_targets_take_what_they_have_found_to_the_next_block(monkeypatch, k):
+    from gapweave.operators import scoring
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in (rng.zipf(1.3, 120) % 3_000)) for _ in range(240)]
+    texts += [text + " more" for text in texts[:40]]
+    targets, masters = list(enumerate(texts[:80])), list(enumerate(texts[80:][::-1]))
+    as_table = lambda key, rows: pa.table({key: pa.array([i for i, _ in rows], pa.int64()), "text": [text for _, text in rows]})
+    asked = pa.py_buffer(scoring.pack_texts(as_table("target_key", targets), "target_key"))
+    blocks = [pa.py_buffer(scoring.pack_texts(as_table("master_key", masters[a : a + 50]), "master_key")) for a in range(0, 200, 50)]
+    scored, score = [], scoring._Sketches._score
+    monkeypatch.setattr(scoring._Sketches, "_score", lambda self, near, query: scored.append(len(near)) or score(self, near, query))
+    found = pa.concat_tables(scoring.match_packed(asked, blocks, k, 0.3))
+    together = sum(scored)
+    pairs = sorted((t, -s, m) for t, m, s in zip(*(found[c].to_pylist() for c in ("target_key", "master_key", "score"))))
+    best = {(t, m, -s, i + 1) for q, _ in targets for i, (t, s, m) in enumerate([x for x in pairs if x[0] == q][:k])}
+    assert best == brute_force(targets, masters, k, 0.3, token_score)
+    scored.clear()
+    apart = [pa.concat_tables(scoring.match_packed(asked, [block], k, 0.3)) for block in blocks]
+    assert together < 0.8 * sum(scored) and len(found) < sum(map(len, apart))
+
+
 @pytest.mark.parametrize("rows", [400, 1_600])
 def test_rows_alone_do_not_multiply_the_copies_of_a_side(spark, monkeypatch, rows):
     """A side is copied once per block of the other; blocks of a few rows would copy it as often as it has rows."""
